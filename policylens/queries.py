@@ -78,3 +78,212 @@ def q_policy_indicators(spark, sf_dir):
 SELECT {_cols(WIDE_TABLE_OUTPUT)} FROM policy_i LEFT JOIN rollup USING (policyno)""")
 def q_policy_wide_table(spark, sf_dir):
     return pol.policy_wide_table(sources_for(spark, sf_dir), WINDOW)
+
+
+# --- flags, dates, projections -----------------------------------------------------------------
+
+from policylens.functions.dates import parse_ts  # noqa: E402
+from policylens.functions.money import co_insured  # noqa: E402
+from policylens.operators.columns import (  # noqa: E402
+    add_date_by_flag, add_flag_char, add_later_date, cast_column, cast_to_timestamp, text_to_timestamp, width_guard,
+)
+from policylens.operators.indicators import endorsement_indicator_columns, policy_indicator_columns  # noqa: E402
+from policylens.operators.records import copymain_record, head_record, policy_record  # noqa: E402
+from policylens.plans.plain import PLAIN_WIDE_OUTPUT, plain_wide_table  # noqa: E402
+
+POLICY_FLAGS = ["policyno", "underwriteflag", "chargeflag", "cancelflag", "coinsflag", "stopflag", "continueflag",
+                "Tuancheflag"]
+
+
+@register("flags_policy", lambda s: f"""
+SELECT {_cols(POLICY_FLAGS)}, substring(othflag, 7, 1) AS charge_char FROM policy_r""")
+def q_flags_policy(spark, sf_dir):
+    rows = add_flag_char(policy_record(sources_for(spark, sf_dir).policy), "othflag", 6, "charge_char")
+    return rows.select(*POLICY_FLAGS, "charge_char")
+
+
+ENDORSE_FLAGS = ["applyno", "coinsflag", "chargeflag", "policyunderwriteflag", "cancelflag", "underwriteflag",
+                 "endortype", "tuibaoflag", "policycancelflag", "decreaseNotcancelflag"]
+
+
+@register("flags_endorsement", lambda s: f"""
+SELECT {_cols(ENDORSE_FLAGS)} FROM copymain_r LEFT JOIN head_r USING (applyno)""")
+def q_flags_endorsement(spark, sf_dir):
+    src = sources_for(spark, sf_dir)
+    return copymain_record(src.copymain).join(head_record(src.head), "applyno", "left_outer").select(*ENDORSE_FLAGS)
+
+
+@register("parse_and_later_date", lambda s: """
+SELECT applyno, policyno,
+  TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP) AS underwriteenddate,
+  TRY_CAST(replace(validdate, '/', '-') AS TIMESTAMP) AS validdate,
+  greatest(TRY_CAST(replace(validdate, '/', '-') AS TIMESTAMP),
+           TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP)) AS later_date,
+  TRY_CAST(underwriteflag AS INTEGER) AS underwriteflag,
+  CASE WHEN contains(validdate, '/') THEN NULL ELSE TRY_CAST(validdate AS TIMESTAMP) END AS plain_cast
+FROM head2""")
+def q_parse_and_later_date(spark, sf_dir):
+    df = sources_for(spark, sf_dir).head2.withColumn("plain_cast", F.col("validdate"))
+    df = cast_to_timestamp(df, "plain_cast")                 # plain cast: slash text is not a date
+    df = text_to_timestamp(text_to_timestamp(df, "underwriteenddate"), "validdate")
+    df = add_later_date(df, "validdate", "underwriteenddate", "later_date")
+    df = cast_column(df, "underwriteflag", "int")
+    return df.select("applyno", "policyno", "underwriteenddate", "validdate", "later_date", "underwriteflag",
+                     "plain_cast")
+
+
+@register("date_by_flag", lambda s: """
+SELECT policyno, CASE WHEN cancelflag = 1 THEN enddate ELSE startdate END AS chosen_date FROM policy_r""")
+def q_date_by_flag(spark, sf_dir):
+    df = policy_record(sources_for(spark, sf_dir).policy).withColumn("is_cancelled", F.col("cancelflag") == 1)
+    return add_date_by_flag(df, "enddate", "startdate", "is_cancelled", "chosen_date").select("policyno", "chosen_date")
+
+
+@register("window_month", lambda s: f"""
+SELECT policyno, CASE WHEN policyno IS NOT NULL THEN '{s.p.start.strftime('%Y-%m')}' END AS timeYearMonth
+FROM policy""")
+def q_window_month(spark, sf_dir):
+    cols = policy_indicator_columns(WINDOW)
+    return sources_for(spark, sf_dir).policy.select("policyno", cols["timeYearMonth"].alias("timeYearMonth"))
+
+
+# --- window predicates and filters -------------------------------------------------------------
+
+@register("filter_in_window", lambda s: f"""
+SELECT policyno, maxStartdateUnderwritedate FROM policy_r WHERE {s.inside('maxStartdateUnderwritedate')}""")
+def q_filter_in_window(spark, sf_dir):
+    df = policy_record(sources_for(spark, sf_dir).policy)
+    return df.where(WINDOW.contains("maxStartdateUnderwritedate")).select("policyno", "maxStartdateUnderwritedate")
+
+
+@register("filter_endorse_window", lambda s: f"""
+SELECT applyno, policyno, maxValiddateAndWritedate, startdate
+FROM copymain_r LEFT JOIN head_r USING (applyno)
+WHERE {s.endorse_in('maxValiddateAndWritedate', 'startdate')}""")
+def q_filter_endorse_window(spark, sf_dir):
+    src = sources_for(spark, sf_dir)
+    df = copymain_record(src.copymain).join(head_record(src.head), "applyno", "left_outer")
+    return df.where(WINDOW.endorsement_in("maxValiddateAndWritedate", "startdate")).select(
+        "applyno", "policyno", "maxValiddateAndWritedate", "startdate")
+
+
+@register("filter_surrender_window", lambda s: f"""
+SELECT applyno, policyno, maxValiddateAndWritedate, validdate, prppunderwriteenddate, startdate
+FROM copymain_r LEFT JOIN head_r USING (applyno)
+WHERE {s.surrender_in('maxValiddateAndWritedate', 'validdate', 'prppunderwriteenddate', 'startdate')}""")
+def q_filter_surrender_window(spark, sf_dir):
+    src = sources_for(spark, sf_dir)
+    df = copymain_record(src.copymain).join(head_record(src.head), "applyno", "left_outer")
+    return df.where(WINDOW.surrender_in("maxValiddateAndWritedate", "validdate", "prppunderwriteenddate",
+                                        "startdate")).select(
+        "applyno", "policyno", "maxValiddateAndWritedate", "validdate", "prppunderwriteenddate", "startdate")
+
+
+@register("filter_endorsement_rows", lambda s: "SELECT * FROM ce_joined")
+def q_filter_endorsement_rows(spark, sf_dir):
+    return endo.copy_with_head(sources_for(spark, sf_dir), WINDOW)
+
+
+@register("filter_policy_rows", lambda s: "SELECT * FROM policy_f")
+def q_filter_policy_rows(spark, sf_dir):
+    return pol.filtered_policies(sources_for(spark, sf_dir), WINDOW)
+
+
+# --- co-insurance and indicators ---------------------------------------------------------------
+
+@register("coinsurance_adjusted", lambda s: """
+SELECT applyno, policyno, coinsflag, coinsrate, chgpremium,
+  CASE WHEN coinsflag = 1 THEN chgpremium * coinsrate ELSE chgpremium END AS own_chgpremium
+FROM endo_rows""")
+def q_coinsurance_adjusted(spark, sf_dir):
+    rows = endo.endorsement_rows(sources_for(spark, sf_dir), WINDOW)
+    return rows.select("applyno", "policyno", "coinsflag", "coinsrate", "chgpremium",
+                       co_insured("chgpremium", "coinsflag", "coinsrate").alias("own_chgpremium"))
+
+
+@register("policy_shares", lambda s: """
+SELECT policyno, proposalno, coinsflag, coinsrate,
+  CASE WHEN coinsflag = 1 THEN sumpremium * coinsrate ELSE sumpremium END AS own_premium
+FROM policy_s""")
+def q_policy_shares(spark, sf_dir):
+    rows = pol.policies_with_shares(sources_for(spark, sf_dir), WINDOW)
+    return rows.select("policyno", "proposalno", "coinsflag", "coinsrate",
+                       co_insured("sumpremium", "coinsflag", "coinsrate").alias("own_premium"))
+
+
+IND_GROUPS = {
+    "ind_raw_premium": ["rawpremium"],
+    "ind_increase": ["increasecount", "increasepremium", "increaseamount"],
+    "ind_decrease": ["decreasecount", "decreasepremium", "decreaseamount"],
+    "ind_surrender": ["tuibaocount", "tuibaoamount", "tuibaopremium"],
+    "ind_cancel": ["policycancelcount", "policycancelamount", "policycancelpremium"],
+    "ind_other_reduction": ["decreasenotcancelcount"],
+}
+
+
+def _ind_query(names):
+    def run(spark, sf_dir):
+        cols = endorsement_indicator_columns(WINDOW)
+        rows = endo.endorsement_rows(sources_for(spark, sf_dir), WINDOW)
+        return rows.select("applyno", "policyno", *[cols[n].alias(n) for n in names])
+
+    def sql(s: Sql) -> str:
+        exprs = s.endorsement_indicator_exprs(exact=False)
+        return "SELECT applyno, policyno, " + ", ".join(f"{exprs[n]} AS {n}" for n in names) + " FROM endo_gates"
+    return run, sql
+
+
+for _name, _inds in IND_GROUPS.items():
+    _run, _sql = _ind_query(_inds)
+    register(_name, _sql)(_run)
+
+
+@register("ind_policy", lambda s: f"SELECT policyno, {_cols(POLICY_INDICATORS)} FROM policy_i")
+def q_ind_policy(spark, sf_dir):
+    rows = pol.policies_with_shares(sources_for(spark, sf_dir), WINDOW)
+    return rows.withColumns(policy_indicator_columns(WINDOW)).select("policyno", *POLICY_INDICATORS)
+
+
+# --- older job ---------------------------------------------------------------------------------
+
+def _plain_sql(s: Sql) -> str:
+    return f"""
+SELECT {_cols(PLAIN_WIDE_OUTPUT)} FROM (
+  SELECT policyno, proposalno, TRY_CAST(replace(startdate, '/', '-') AS TIMESTAMP) AS startdate,
+    TRY_CAST(replace(enddate, '/', '-') AS TIMESTAMP) AS enddate,
+    TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP) AS underwriteenddate,
+    comcode, riskcode, sumpremium, sumamount,
+    greatest(TRY_CAST(replace(startdate, '/', '-') AS TIMESTAMP),
+             TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP)) AS validdate
+  FROM policy2) pw
+LEFT JOIN (
+  SELECT applyno, endortype AS endortype1, policyno, riskcode AS riskcode1,
+    TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP) AS underwriteenddate1,
+    underwriteflag AS underwriteflag1, TRY_CAST(replace(validdate, '/', '-') AS TIMESTAMP) AS validdate1
+  FROM head2) h USING (policyno)
+LEFT JOIN (SELECT applyno, chgamount AS chgamount1, chgpremium AS chgpremium1, currency FROM fee2) f USING (applyno)
+LEFT JOIN profit2 USING (proposalno)
+LEFT JOIN vehicle2 USING (proposalno)
+LEFT JOIN (SELECT applyno, chgpremium AS chgpremium3, coinsflag AS coinsflag1, othflag AS othflag2,
+                  riskcode AS riskcode2 FROM pmain2) m USING (applyno)
+LEFT JOIN (SELECT applyno, calculateflag, chgamount AS chgamount2, chgpremium AS chgpremium2, currency AS currency1,
+                  policyno FROM itemkind2) i USING (applyno, policyno)"""
+
+
+@register("plain_wide_table", _plain_sql)
+def q_plain_wide_table(spark, sf_dir):
+    return plain_wide_table(sources_for(spark, sf_dir))
+
+
+@register("width_guard", lambda s: "SELECT * FROM policy2")
+def q_width_guard(spark, sf_dir):
+    src = sources_for(spark, sf_dir)
+    kept = width_guard(src.policy2, 9)
+    dropped = width_guard(src.policy2, 8)        # wrong width: no rows
+    return kept.unionByName(dropped)
+
+
+@register("result_count", lambda s: "SELECT COUNT(*) AS n_rows FROM policy_i LEFT JOIN rollup USING (policyno)")
+def q_result_count(spark, sf_dir):
+    from policylens.sources.sinks import row_count
+    return row_count(pol.policy_wide_table(sources_for(spark, sf_dir), WINDOW))
