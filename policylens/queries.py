@@ -287,3 +287,129 @@ def q_width_guard(spark, sf_dir):
 def q_result_count(spark, sf_dir):
     from policylens.sources.sinks import row_count
     return row_count(pol.policy_wide_table(sources_for(spark, sf_dir), WINDOW))
+
+
+# --- file sources and sinks (write, then read back what was written) ---------------------------
+
+from policylens import schemas  # noqa: E402
+from policylens.functions.sql import register_sql_functions  # noqa: E402
+from policylens.session import scratch_path  # noqa: E402
+from policylens.sources import files, sinks  # noqa: E402
+from policylens.sources.adapter import Sources  # noqa: E402
+
+DELIMITER = "|"
+
+
+def _vehicle_lines(src) -> DataFrame:
+    """Vehicle rows as delimited lines; some lines are malformed on purpose:
+    an extra field (k % 50 = 1) or an empty last field (k % 50 = 2)."""
+    k = F.col("proposalno").cast("long")
+    cols = [F.coalesce(F.col(c), F.lit("")) for c in schemas.VEHICLE_COLUMNS]
+    last = F.when(k % 50 == 2, F.lit("")).otherwise(cols[-1])
+    line = F.concat_ws(DELIMITER, *cols[:-1], last)
+    line = F.when(k % 50 == 1, F.concat(line, F.lit(DELIMITER + "X"))).otherwise(line)
+    return src.vehicle.select(line.alias("value"))
+
+
+def _delimited(spark, sf_dir):
+    src = sources_for(spark, sf_dir)
+    vpath, cpath = scratch_path(spark, "vehicle-txt"), scratch_path(spark, "company-txt")
+    _vehicle_lines(src).write.text(vpath)
+    files.to_delimited_lines(src.company, schemas.COMPANY_COLUMNS, DELIMITER).write.text(cpath)
+    sep = files.sniff_separator(spark, vpath, key_width=22)
+    return (files.read_delimited(spark, vpath, schemas.VEHICLE_COLUMNS, sep),
+            files.read_delimited(spark, cpath, schemas.COMPANY_COLUMNS, sep))
+
+
+@register("delimited_roundtrip", lambda s: f"""
+SELECT {_cols(schemas.VEHICLE_COLUMNS)} FROM vehicle WHERE CAST(proposalno AS BIGINT) % 50 NOT IN (1, 2)""")
+def q_delimited_roundtrip(spark, sf_dir):
+    return _delimited(spark, sf_dir)[0]
+
+
+@register("delimited_company_roundtrip", lambda s: f"SELECT {_cols(schemas.COMPANY_COLUMNS)} FROM company")
+def q_delimited_company_roundtrip(spark, sf_dir):
+    return _delimited(spark, sf_dir)[1]
+
+
+@register("json_roundtrip", lambda s: "SELECT * FROM rollup")
+def q_json_roundtrip(spark, sf_dir):
+    """Endorsement extracts written as JSON lines, read back with explicit
+    schemas, rolled up (SRC-1 feeding PIPE-1)."""
+    src = sources_for(spark, sf_dir)
+    read = {}
+    for name, schema in (("copymain", schemas.COPYMAIN), ("head", schemas.HEAD), ("fee", schemas.FEE),
+                         ("itemkind", schemas.ITEMKIND), ("copycoins", schemas.COPYCOINS)):
+        path = scratch_path(spark, f"{name}-json")
+        getattr(src, name).write.json(path)
+        read[name] = files.read_json(spark, path, schema)
+    return endo.endorsement_rollup(_replace(src, **read), WINDOW)
+
+
+def _replace(src: Sources, **frames) -> Sources:
+    return Sources(**{**src.__dict__, **frames})
+
+
+@register("csv_roundtrip", lambda s: f"""
+SELECT {_cols(WIDE_TABLE_OUTPUT)} FROM policy_i LEFT JOIN rollup USING (policyno)""")
+def q_csv_roundtrip(spark, sf_dir):
+    """Wide table written as CSV under its window folder (SNK-1), read back (SRC-2)."""
+    wide = pol.policy_wide_table(sources_for(spark, sf_dir), WINDOW)
+    path = sinks.write_csv_per_window(wide, scratch_path(spark, "wide-csv"), WINDOW, header=True)
+    return files.read_csv(spark, path, wide.schema, sep=",", header=True)
+
+
+@register("parquet_roundtrip", _plain_sql)
+def q_parquet_roundtrip(spark, sf_dir):
+    """Plain wide table written as Parquet (SNK-2/3), read back."""
+    plain = plain_wide_table(sources_for(spark, sf_dir))
+    path = sinks.write_parquet(plain, scratch_path(spark, "plain-parquet"), files=4)
+    return spark.read.parquet(path)
+
+
+# --- SQL functions -----------------------------------------------------------------------------
+
+SQL_VIEW = "policylens_policy_extract"
+
+
+@register("sql_functions", lambda s: f"""
+SELECT policyno,
+  {_flag('othflag', 6, 'Y')} AS chargeflag,
+  {_flag('coinsflag', 0, '1', '2')} AS coinsflag,
+  substring(othflag, 1, 1) AS first_char,
+  greatest(TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP),
+           TRY_CAST(replace(startdate, '/', '-') AS TIMESTAMP)) AS validdate,
+  COALESCE(greatest(TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP),
+           TRY_CAST(replace(startdate, '/', '-') AS TIMESTAMP)) > {_ts(s.p.start)}
+      AND greatest(TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP),
+           TRY_CAST(replace(startdate, '/', '-') AS TIMESTAMP)) < {_ts(s.p.end)}, FALSE) AS started_in_window,
+  CASE WHEN {_flag('coinsflag', 0, '1', '2')} = 1 THEN sumpremium * 0.5 ELSE sumpremium END AS half_share_premium,
+  CASE WHEN policyno IS NOT NULL THEN '{s.p.start.strftime('%Y-%m')}' END AS timeYearMonth
+FROM policy""")
+def q_sql_functions(spark, sf_dir):
+    """The same builders called by name from SQL text (UDF-1..3)."""
+    register_sql_functions(spark)
+    sources_for(spark, sf_dir).policy.createOrReplaceTempView(SQL_VIEW)
+    start = WINDOW.start.strftime("%Y-%m-%d %H:%M:%S")
+    end = WINDOW.end.strftime("%Y-%m-%d %H:%M:%S")
+    return spark.sql(f"""
+        SELECT policyno,
+          pl_flag_in(othflag, 6, 'Y', 'Y') AS chargeflag,
+          pl_flag_in(coinsflag, 0, '1', '2') AS coinsflag,
+          pl_char_at(othflag, 0) AS first_char,
+          pl_later(pl_parse_ts(underwriteenddate), pl_parse_ts(startdate)) AS validdate,
+          pl_in_window(pl_later(pl_parse_ts(underwriteenddate), pl_parse_ts(startdate)),
+                       TIMESTAMP_NTZ '{start}', TIMESTAMP_NTZ '{end}') AS started_in_window,
+          pl_own_share(sumpremium, pl_flag_in(coinsflag, 0, '1', '2'), 0.5D) AS half_share_premium,
+          pl_year_month(policyno, TIMESTAMP_NTZ '{start}') AS timeYearMonth
+        FROM {SQL_VIEW}""")
+
+
+def _flag(col, index, *values):
+    from policylens.oracle import flag_in
+    return flag_in(col, index, *values)
+
+
+def _ts(value):
+    from policylens.oracle import ts
+    return ts(value)
