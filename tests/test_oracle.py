@@ -1,0 +1,31 @@
+"""Every registered query against its DuckDB oracle on the smallest tables."""
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from tests.conftest import SF_SMALL
+from tests.oracle_check import compare, duck
+
+NAMES = sorted(queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_SMALL)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    sdf = queries()[name](spark, SF_SMALL).toPandas()
+    sql = oracle_sql().get(name)
+    if sql is None:
+        pytest.skip("no SQL oracle for this query")
+    ddf = con.execute(sql).fetchdf()
+    approx, exact, msg = compare(sdf, ddf)
+    assert approx and exact, msg
+
+
+def test_entry_runs(spark):
+    df = entry(spark)
+    assert df.count() > 0
+    assert len(df.columns) == 64

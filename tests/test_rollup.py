@@ -1,0 +1,93 @@
+"""Endorsement roll-up: golden policy story, fan-out semantics, and the
+scaled plan against the row-level definition."""
+
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from policylens import schemas
+from policylens.operators.indicators import ENDORSEMENT_INDICATORS
+from policylens.operators.period import Period
+from policylens.plans.endorsement import endorsement_indicator_rows, endorsement_rollup, rollup_rows
+from policylens.sources.adapter import sources_for
+
+WINDOW = Period.of("1997-01-01 00:00:00", "1999-01-01 00:00:00")
+
+
+def story(spark, coinsflag="0", extra_fee=(), extra_item=(), extra_head=(), coins=()):
+    """One policy: original + increase + decrease + surrender + cancel + other reduction."""
+    copy = [("A1-0", "P1", "1997-03-01 00:00:00", "1997/03/02 00:00:00", 0.0, "000000Y", 1000.0, 10000.0,
+             coinsflag, "1")]
+    for i in range(1, 6):
+        copy.append((f"A1-{i}", "P1", "1997-03-01 00:00:00", "1997/03/02 00:00:00", float(i), "000000Y", 1000.0,
+                     10000.0, coinsflag, "1"))
+    types = {1: "58", 2: "58", 3: "21", 4: "19", 5: "58"}
+    head = [(f"A1-{i}", "1", "1997-06-01 00:00:00", t, "1997-06-02 00:00:00") for i, t in types.items()]
+    head += list(extra_head)
+    fee = [("A1-1", 100.0, 1000.0, "CNY"), ("A1-2", -50.0, -500.0, "CNY"), ("A1-3", -30.0, -300.0, "CNY"),
+           ("A1-4", -20.0, -200.0, "CNY"), ("A1-5", -10.0, -100.0, "CNY")] + list(extra_fee)
+    item = [(f"A1-{i}", "Y", "CNY", 0.0, 0.0, "P1") for i in range(1, 6)] + list(extra_item)
+    return SimpleNamespace(
+        copymain=spark.createDataFrame(copy, schemas.COPYMAIN),
+        head=spark.createDataFrame(head, schemas.HEAD),
+        fee=spark.createDataFrame(fee, schemas.FEE),
+        itemkind=spark.createDataFrame(item, schemas.ITEMKIND),
+        copycoins=spark.createDataFrame(list(coins), schemas.COPYCOINS),
+    )
+
+
+def as_dict(df):
+    rows = {r["policyno"]: r.asDict() for r in df.collect()}
+    return rows
+
+
+def test_golden_story(spark):
+    got = as_dict(endorsement_rollup(story(spark), WINDOW))["P1"]
+    expected = {
+        "rawpremium": 1000.0, "increasecount": 1, "decreasecount": 4, "increasepremium": 100.0,
+        "decreasepremium": -110.0, "increaseamount": 1000.0, "decreaseamount": -1100.0, "tuibaocount": 1,
+        "tuibaoamount": -300.0, "tuibaopremium": -30.0, "policycancelcount": 1, "policycancelamount": -200.0,
+        "policycancelpremium": -20.0, "decreasenotcancelcount": 1,
+    }
+    assert {k: got[k] for k in expected} == expected
+
+
+def assert_same(a, b):
+    da, db = as_dict(a), as_dict(b)
+    assert da.keys() == db.keys()
+    for key in da:
+        for c in ENDORSEMENT_INDICATORS:
+            assert da[key][c] == pytest.approx(db[key][c], rel=1e-12, abs=1e-9), (key, c)
+
+
+def test_fan_out_matches_row_level(spark):
+    src = story(
+        spark, coinsflag="1",
+        extra_fee=[("A1-1", 40.0, 400.0, "CNY"), ("A1-3", None, 50.0, "CNY")],
+        extra_item=[("A1-2", "N", "CNY", 0.0, 0.0, "P1"), ("A1-2", None, "CNY", 0.0, 0.0, "P1")],
+        extra_head=[("A1-3", "1", "1997-06-01 00:00:00", "21", "1997-06-02 00:00:00"),
+                    ("A1-5", "1", "1997-07-01 00:00:00", "10", "1997-07-02 00:00:00")],
+        coins=[("A1-4", 50.0), ("A1-4", 20.0), ("A1-0", 30.0), ("A1-2", None)],
+    )
+    scaled = endorsement_rollup(src, WINDOW)
+    row_level = rollup_rows(endorsement_indicator_rows(src, WINDOW))
+    assert_same(scaled, row_level)
+    got = as_dict(scaled)["P1"]
+    # the fee duplicate adds an increase row; two head copies × two fee rows of A1-3,
+    # plus the extra type-"10" head of A1-5, are surrender rows
+    assert got["increasecount"] == 2 and got["tuibaocount"] == 2 * 2 + 1
+    assert got["rawpremium"] == pytest.approx(1000.0 * 0.3)
+
+
+def test_scaled_equals_row_level_on_test_tables(spark):
+    src = sources_for(spark, "/root/testdata/sf0.001")
+    assert_same(endorsement_rollup(src, WINDOW), rollup_rows(endorsement_indicator_rows(src, WINDOW)))
+
+
+def test_marks_are_zero_or_one_and_signs_hold(spark):
+    src = sources_for(spark, "/root/testdata/sf0.001")
+    r = endorsement_rollup(src, WINDOW)
+    bad = r.where(~F.col("policycancelcount").isin(0, 1) | ~F.col("decreasenotcancelcount").isin(0, 1)
+                  | (F.col("increasepremium") < 0) | (F.col("decreasepremium") > 0))
+    assert bad.count() == 0
