@@ -58,6 +58,6 @@ def test_csv_per_window_refuses_to_overwrite(spark):
     p = Period.of("1997-01-01 00:00:00", "1999-01-01 00:00:00")
     path = sinks.write_csv_per_window(df, base, p, single_file=True)
     assert path.endswith("window_start=19970101000000")
-    assert sinks.written_count(spark, path, "csv") == 1
+    assert sinks.written_count(spark, path, "csv", header=True) == 1
     with pytest.raises(Exception):
         sinks.write_csv_per_window(df, base, p)
