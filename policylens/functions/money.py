@@ -1,13 +1,17 @@
 """Money column builders.
 
-Per-row amounts stay ``double``.  Amounts that are summed use exact decimals:
-a money addend is ``decimal(20,6)`` and a share ``decimal(10,6)``, so a
-product is exact at 12 decimals and sums do not depend on the order in which
-executors add them.  Aggregated results are returned as ``double``.
+Per-row amounts stay ``double``.  Amounts that are summed are exact: a
+money addend is the nearest whole number of micro-units (10^-6, ties to
+even), summed as ``long`` (fast, and order-independent); a share is a
+``decimal(11,6)``, so a product of an amount and a share is exact at 12
+decimals.  Sums therefore do not depend on the order in which executors add
+them.  Aggregated results are returned as ``double``.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +29,19 @@ def co_insured(x: Column | str, coinsflag: Column | str, rate: Column | str) ->
     return F.when(as_col(coinsflag) == 1, as_col(x) * as_col(rate)).otherwise(as_col(x))
 
 
+def micros(x: Column | str) -> Column:
+    """A null-free money addend (null → 0) in whole micro-units."""
+    return F.rint(F.coalesce(as_col(x).cast("double"), F.lit(0.0)) * 1e6).cast("long")
+
+
+def from_micros(m: Column | str) -> Column:
+    """Whole micro-units → an exact ``MONEY_SUM`` decimal."""
+    return (as_col(m).cast(T.DecimalType(26, 0)) * F.lit(Decimal("0.000001"))).cast(MONEY_SUM)
+
+
 def money(x: Column | str) -> Column:
-    """A null-free money addend (null → 0) as an exact decimal."""
-    return F.coalesce(as_col(x).cast(MONEY), F.lit(0).cast(MONEY))
+    """A null-free money addend as an exact decimal (micro-unit rounding)."""
+    return from_micros(micros(x))
 
 
 def percent_to_fraction(x: Column | str) -> Column:

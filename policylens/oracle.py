@@ -252,7 +252,8 @@ endo_gates AS (
 
     @staticmethod
     def _own_dec(x: str) -> str:
-        m = f"CAST(COALESCE({x}, 0.0) AS DECIMAL(20,6))"
+        m = (f"CAST(CAST(CAST(round_even(COALESCE({x}, 0.0) * 1000000.0, 0) AS BIGINT) AS DECIMAL(26,0)) "
+             f"* CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(20,6))")
         return f"(CASE WHEN coinsflag = 1 THEN {m} * CAST(coinsrate AS DECIMAL(11,6)) ELSE {m} END)"
 
     def endorsement_indicator_exprs(self, exact: bool) -> dict[str, str]:

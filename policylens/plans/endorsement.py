@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from policylens.functions.money import MONEY_SUM, PRODUCT, RATE_SUM, money
+from policylens.functions.money import MONEY_SUM, PRODUCT, RATE_SUM, from_micros, micros, money
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
 )
@@ -81,7 +81,7 @@ def fee_by_application(fee: DataFrame) -> DataFrame:
     a = F.coalesce(F.col("chgamount"), F.lit(0.0))
 
     def dsum(x: Column, cond: Column | None = None) -> Column:
-        return F.sum(money(x) if cond is None else F.when(cond, money(x)))
+        return F.sum(micros(x) if cond is None else F.when(cond, micros(x)))
 
     return fee.groupBy("applyno").agg(
         F.count(F.lit(1)).alias("n_fee"),
@@ -118,7 +118,8 @@ def head_with_multiplicity(head: DataFrame) -> DataFrame:
 
 
 def _dec_times(s: Column, count: Column) -> Column:
-    """Exact decimal sum × integer multiplicity, kept at 6 decimals."""
+    """Exact sum × integer multiplicity, as a 6-decimal amount.  ``s`` is a
+    micro-unit ``long`` sum or already a ``MONEY_SUM`` decimal."""
     return (F.coalesce(s, F.lit(0).cast(MONEY_SUM)) * count).cast(MONEY_SUM)
 
 
@@ -148,6 +149,9 @@ def endorsement_rollup(src, period: Period) -> DataFrame:
     def money_if(cond: Column, s: Column, mult: Column) -> Column:
         return F.when(cond, _dec_times(s, mult) * share).otherwise(zero_money)
 
+    def fee_sum(name: str) -> Column:
+        return from_micros(F.coalesce(c(name), F.lit(0).cast("long")))
+
     def count_if(cond: Column, mult: Column) -> Column:
         return F.when(cond, mult).otherwise(F.lit(0).cast("long"))
 
@@ -157,16 +161,16 @@ def endorsement_rollup(src, period: Period) -> DataFrame:
         "rawpremium": money_if(g.original_kept & g.in_policy_window, money("sumpremium"), h * n_fee * n_item),
         "increasecount": count_if(g.increase, c("n_prem_pos") * per_fee),
         "decreasecount": count_if(g.increase, c("n_prem_neg") * per_fee),
-        "increasepremium": money_if(g.increase, c("s_prem_pos"), h * n_item),
-        "decreasepremium": money_if(g.increase, c("s_prem_neg"), h * n_item),
-        "increaseamount": money_if(g.increase, c("s_amt_pos"), h * n_y),
-        "decreaseamount": money_if(g.increase, c("s_amt_neg"), h * n_y),
+        "increasepremium": money_if(g.increase, fee_sum("s_prem_pos"), h * n_item),
+        "decreasepremium": money_if(g.increase, fee_sum("s_prem_neg"), h * n_item),
+        "increaseamount": money_if(g.increase, fee_sum("s_amt_pos"), h * n_y),
+        "decreaseamount": money_if(g.increase, fee_sum("s_amt_neg"), h * n_y),
         "tuibaocount": count_if(g.surrender, every_row),
-        "tuibaoamount": money_if(g.surrender, c("s_amt"), h * n_y),
-        "tuibaopremium": money_if(g.surrender, c("s_prem"), h * n_item),
+        "tuibaoamount": money_if(g.surrender, fee_sum("s_amt"), h * n_y),
+        "tuibaopremium": money_if(g.surrender, fee_sum("s_prem"), h * n_item),
         "policycancelcount": F.when(g.cancel, 1).otherwise(0),
-        "policycancelamount": money_if(g.cancel, c("s_amt"), h * n_y),
-        "policycancelpremium": money_if(g.cancel, c("s_prem"), h * n_item),
+        "policycancelamount": money_if(g.cancel, fee_sum("s_amt"), h * n_y),
+        "policycancelpremium": money_if(g.cancel, fee_sum("s_prem"), h * n_item),
         "decreasenotcancelcount": F.when(g.other_reduction, 1).otherwise(0),
     }
     # A row without fee rows has one filled fee row of 0; counts by sign are 0 then.

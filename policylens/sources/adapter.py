@@ -222,3 +222,27 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
 
 def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
     return build_sources(read_tables(spark, sf_dir))
+
+
+EXTRACT_SCHEMA_NAMES = {
+    "policy": "POLICY", "policy_coins": "POLICY_COINS", "vehicle": "VEHICLE", "company": "COMPANY",
+    "copymain": "COPYMAIN", "head": "HEAD", "fee": "FEE", "itemkind": "ITEMKIND", "copycoins": "COPYCOINS",
+    "policy2": "POLICY2", "head2": "HEAD2", "fee2": "FEE2", "profit2": "PROFIT2", "vehicle2": "VEHICLE2",
+    "pmain2": "PMAIN2", "itemkind2": "ITEMKIND2", "claims": "CLAIMS",
+}
+
+
+def materialize_sources(spark: SparkSession, src: Sources, base: str, fmt: str = "parquet") -> Sources:
+    """Write every extract once under ``base`` (a shared folder) and return
+    sources that read the written files with their explicit schemas.  This
+    is the production shape: the jobs read extract files, not the tables
+    they were derived from."""
+    from policylens import schemas
+
+    out = {}
+    for name in EXTRACT_SCHEMA_NAMES:
+        path = f"{base.rstrip('/')}/{name}"
+        getattr(src, name).write.mode("overwrite").format(fmt).save(path)
+        schema = getattr(schemas, EXTRACT_SCHEMA_NAMES[name])
+        out[name] = spark.read.schema(schema).format(fmt).load(path)
+    return Sources(**out)
