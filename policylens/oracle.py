@@ -98,7 +98,8 @@ policy_k AS (
     CASE WHEN k % 97 = 0 THEN NULL ELSE
       CAST(k % 4 AS VARCHAR) || '00' || CASE WHEN k % 5 = 0 THEN '1' ELSE '0' END || '0'
       || CASE WHEN k % 10 = 0 THEN '1' ELSE '0' END || CASE WHEN k % 7 = 0 THEN 'N' ELSE 'Y' END END AS othflag,
-    CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS contractno
+    CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS contractno,
+    CAST(o_custkey AS VARCHAR) AS insuredcode
   FROM base),
 policy AS (SELECT * EXCLUDE (k) FROM policy_k),
 apps AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_shipdate) AS sd FROM lineitem GROUP BY l_orderkey, l_linenumber),

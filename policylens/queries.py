@@ -413,3 +413,58 @@ def _flag(col, index, *values):
 def _ts(value):
     from policylens.oracle import ts
     return ts(value)
+
+
+# --- indicators named but not coded in the original job (our definitions) ----------------------
+
+from policylens.plans import extensions as ext  # noqa: E402
+
+
+def _claims_ratio_sql(s: Sql) -> str:
+    def dbl(m):
+        return f"CAST(CAST({m} AS DECIMAL(26,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DOUBLE)"
+
+    def mic(x):
+        return f"CAST(round_even(COALESCE({x}, 0.0) * 1000000.0, 0) AS BIGINT)"
+    income = ("CASE WHEN underwriteflag = 1 AND chargeflag = 1 AND cancelflag = 0 AND "
+              + s.inside("maxStartdateUnderwritedate") + f" THEN {s._own('sumpremium')} ELSE 0.0 END")
+    return f"""
+SELECT comcode, {dbl('inc')} AS premium_income, {dbl('pd')} AS claims_paid,
+  CASE WHEN {dbl('inc')} <> 0 THEN {dbl('pd')} / {dbl('inc')} END AS claims_ratio
+FROM (
+  SELECT comcode, SUM({mic(income)}) AS inc, COALESCE(SUM(paid_micros), 0) AS pd
+  FROM policy_s LEFT JOIN (
+    SELECT policyno, SUM({mic('paid')}) AS paid_micros FROM claims
+    WHERE {s.inside("TRY_CAST(replace(claimtime, '/', '-') AS TIMESTAMP)")}
+    GROUP BY policyno) c USING (policyno)
+  GROUP BY comcode) t"""
+
+
+@register("claims_ratio", _claims_ratio_sql)
+def q_claims_ratio(spark, sf_dir):
+    return ext.claims_ratio(sources_for(spark, sf_dir), WINDOW)
+
+
+def _ncd_sql(s: Sql) -> str:
+    coefs = " ".join(f"WHEN {g} THEN CAST({c} AS DOUBLE)" for g, c in sorted(ext.NCD_COEFFICIENTS.items()))
+    top = max(ext.NCD_COEFFICIENTS)
+    return f"""
+SELECT policyno, insuredcode, CAST(run AS INTEGER) AS claim_free_run, CAST(LEAST(run, {top}) AS INTEGER) AS ncd_grade,
+  CASE LEAST(run, {top}) {coefs} END AS ncd_coefficient
+FROM (
+  SELECT *, seq - COALESCE(MAX(CASE WHEN claimed THEN seq END) OVER (
+      PARTITION BY insuredcode ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - 1 AS run
+  FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY insuredcode ORDER BY startdate ASC NULLS FIRST, policyno) AS seq
+    FROM (
+      SELECT p.policyno, p.insuredcode, TRY_CAST(replace(p.startdate, '/', '-') AS TIMESTAMP) AS startdate,
+        COALESCE(c.claimed, FALSE) AS claimed
+      FROM policy p LEFT JOIN (
+        SELECT policyno, COUNT(*) FILTER (WHERE paid > 0) > 0 AS claimed FROM claims GROUP BY policyno) c
+      USING (policyno)
+      WHERE p.insuredcode IS NOT NULL) a) b) c"""
+
+
+@register("ncd_coefficient", _ncd_sql)
+def q_ncd_coefficient(spark, sf_dir):
+    return ext.ncd_coefficient(sources_for(spark, sf_dir))

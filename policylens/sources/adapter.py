@@ -108,6 +108,7 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
         "othflag": F.when(k % 97 == 0, F.lit(None).cast("string")).otherwise(
             F.concat(_s(k % 4), F.lit("00"), p3, F.lit("0"), p5, p6)),
         "contractno": F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey"))),
+        "insuredcode": _s(F.col("o_custkey")),
     }
     policy_k = base.select(k, *[v.alias(c) for c, v in policy_cols.items()])
     policy = policy_k.drop("k")
