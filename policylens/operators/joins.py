@@ -37,3 +37,41 @@ def dimension_join(left: DataFrame, dim: DataFrame, keys: str | Sequence[str],
                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Left join to a dimension; broadcast it when it is checked to be small."""
     return left_join(left, bounded_broadcast(dim, max_rows), keys)
+
+
+# Right-side keys with more rows than this are treated as hot.
+DEFAULT_HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 1_000
+
+
+def hot_keys(right: DataFrame, key: str, hot_rows: int, max_keys: int = MAX_HOT_KEYS) -> list | None:
+    """Keys of ``right`` with more than ``hot_rows`` rows (a partial-aggregated
+    count; at most ``rows / hot_rows`` keys qualify).  None when more than
+    ``max_keys`` qualify — then the caller keeps the plain join and AQE."""
+    found = (right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > hot_rows).select(key).limit(max_keys + 1).collect())
+    if len(found) > max_keys:
+        return None
+    return [r[0] for r in found]
+
+
+def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int = 32,
+                         hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Left outer equi-join on one key whose right side may fan out heavily.
+
+    Rows of hot keys are joined on (key, salt): right rows get a salt from a
+    hash of the whole row (deterministic, so a recomputed task puts every row
+    where it was), left rows are replicated once per salt, and the fan-out of
+    a hot key is spread over ``salts`` tasks.  Each left row of a hot key
+    matches at least one right row, so an inner join is exact there; all other
+    rows take the plain left outer join.  Same rows as ``left_join``."""
+    keys = hot_keys(right, key, hot_rows)
+    if not keys:
+        return left_join(left, right, key)
+    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    cold = left.where(~is_hot).join(right.where(~is_hot), key, "left_outer")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salts)).cast("int")
+    hot_right = right.where(is_hot).withColumn("_salt", salt)
+    hot_left = left.where(is_hot).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = hot_left.join(hot_right, [key, "_salt"], "inner").drop("_salt")
+    return cold.unionByName(hot)

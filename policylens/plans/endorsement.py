@@ -31,7 +31,7 @@ from policylens.functions.money import MONEY_SUM, PRODUCT, RATE_SUM, from_micros
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
 )
-from policylens.operators.joins import left_join
+from policylens.operators.joins import left_join, skew_aware_left_join
 from policylens.operators.period import Period, endorsement_row_filter
 from policylens.operators.records import copycoins_record, copymain_record, head_record
 
@@ -45,7 +45,8 @@ ENDORSEMENT_FILL = {
 def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFrame:
     """copy main ⟕ head on applyno, filtered to the reporting window (JN-1, FIL-1)."""
     head = head_record(src.head) if head is None else head
-    joined = left_join(copymain_record(src.copymain), head, "applyno")
+    # Heads fan out from the right side, which AQE cannot split for a left join.
+    joined = skew_aware_left_join(copymain_record(src.copymain), head, "applyno")
     return joined.where(endorsement_row_filter(period))
 
 
