@@ -468,3 +468,19 @@ FROM (
 @register("ncd_coefficient", _ncd_sql)
 def q_ncd_coefficient(spark, sf_dir):
     return ext.ncd_coefficient(sources_for(spark, sf_dir))
+
+
+# --- streaming ---------------------------------------------------------------------------------
+
+from policylens.streaming.policy_stream import policy_indicator_stream, run_available  # noqa: E402
+
+
+@register("stream_policy_indicators", lambda s: f"SELECT {_cols(POLICY_INDICATOR_OUTPUT)} FROM policy_i")
+def q_stream_policy_indicators(spark, sf_dir):
+    """Policy extracts written as JSON files in several parts, streamed
+    through the policy plan into a Parquet sink, read back."""
+    src = sources_for(spark, sf_dir)
+    folder, sink = scratch_path(spark, "policy-stream-in"), scratch_path(spark, "policy-stream-out")
+    src.policy.repartition(4).write.json(folder)
+    run_available(policy_indicator_stream(spark, folder, src, WINDOW), sink, scratch_path(spark, "policy-stream-ckpt"))
+    return spark.read.parquet(sink)
