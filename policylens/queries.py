@@ -102,15 +102,20 @@ def q_flags_policy(spark, sf_dir):
     return rows.select(*POLICY_FLAGS, "charge_char")
 
 
-ENDORSE_FLAGS = ["applyno", "coinsflag", "chargeflag", "policyunderwriteflag", "cancelflag", "underwriteflag",
-                 "endortype", "tuibaoflag", "policycancelflag", "decreaseNotcancelflag"]
+HEAD_FLAGS = ["applyno", "underwriteflag", "endortype", "tuibaoflag", "policycancelflag", "decreaseNotcancelflag"]
+COPY_FLAGS = ["applyno", "coinsflag", "chargeflag", "policyunderwriteflag", "cancelflag"]
 
 
-@register("flags_endorsement", lambda s: f"""
-SELECT {_cols(ENDORSE_FLAGS)} FROM copymain_r LEFT JOIN head_r USING (applyno)""")
+@register("flags_endorsement", lambda s: f"SELECT {_cols(HEAD_FLAGS)} FROM head_r")
 def q_flags_endorsement(spark, sf_dir):
-    src = sources_for(spark, sf_dir)
-    return copymain_record(src.copymain).join(head_record(src.head), "applyno", "left_outer").select(*ENDORSE_FLAGS)
+    """Endorsement header marks: underwriting, surrender, cancellation, other reduction."""
+    return head_record(sources_for(spark, sf_dir).head).select(*HEAD_FLAGS)
+
+
+@register("flags_copymain", lambda s: f"SELECT {_cols(COPY_FLAGS)} FROM copymain_r")
+def q_flags_copymain(spark, sf_dir):
+    """Flags of the policy snapshot per application (charge, co-insurance, underwriting, not cancelled)."""
+    return copymain_record(sources_for(spark, sf_dir).copymain).select(*COPY_FLAGS)
 
 
 @register("parse_and_later_date", lambda s: """
