@@ -1,0 +1,74 @@
+"""Policy side: hand-computed indicators (IND-15..19), window filter, shares."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from policylens import schemas
+from policylens.operators.period import Period
+from policylens.plans.policy import policy_indicators, policy_wide_table
+
+WINDOW = Period.of("1997-01-01 00:00:00", "1999-01-01 00:00:00")
+
+
+def policy_row(no, uwend, start, operate, end, uwflag="1", coins="0", oth="000000Y", contract="C1"):
+    prop = no.rjust(22, "0")
+    return (prop, no, "DAA", "7", uwend, start, operate, uwflag, coins, 1000.0, 10000.0, "F", "1", "AG1", end,
+            oth, contract, "I1")
+
+
+def sources(spark, policies, shares=()):
+    vehicle = [(p[0], "C", "L", "V", "02", "1", "10", "5", "0", "1.6", "3", "F42", "A0") for p in policies[:1]]
+    company = [("7", "NAME", "N7", "name", "R", "r", "1", "2", "1")]
+    empty = spark.createDataFrame([], schemas.FEE)
+    return SimpleNamespace(
+        policy=spark.createDataFrame(policies, schemas.POLICY),
+        policy_coins=spark.createDataFrame(list(shares), schemas.POLICY_COINS),
+        vehicle=spark.createDataFrame(vehicle, schemas.VEHICLE),
+        company=spark.createDataFrame(company, schemas.COMPANY),
+        copymain=spark.createDataFrame([], schemas.COPYMAIN), head=spark.createDataFrame([], schemas.HEAD),
+        fee=empty, itemkind=spark.createDataFrame([], schemas.ITEMKIND),
+        copycoins=spark.createDataFrame([], schemas.COPYCOINS))
+
+
+def by_policy(df):
+    return {r["policyno"]: r.asDict() for r in df.collect()}
+
+
+def test_policy_indicators_by_hand(spark):
+    rows = [
+        # written and started in the window, co-insured at 40 %
+        policy_row("P1", "1997/03/02 00:00:00", "1997-03-01 00:00:00", "1997-02-20 00:00:00", "1998-03-01 00:00:00",
+                   coins="1"),
+        # written only (start before the window, operate date later)
+        policy_row("P2", "1996-12-01 00:00:00", "1996-11-01 00:00:00", "1997-02-01 00:00:00", "1997-11-01 00:00:00"),
+        # cancelled (othflag[3] = "1"): kept by the filter, no money, not expiring
+        policy_row("P3", "1997-05-01 00:00:00", "1997-05-01 00:00:00", "1997-05-01 00:00:00", "1998-05-01 00:00:00",
+                   oth="000100Y"),
+        # "11" fails the exact underwriting test; co-insured without a share row → 0.5
+        policy_row("P4", "1997-06-01 00:00:00", "1997-06-01 00:00:00", "1997-06-01 00:00:00", "1998-06-01 00:00:00",
+                   uwflag="11"),
+        policy_row("P5", "1997-06-01 00:00:00", "1997-06-01 00:00:00", "1997-06-01 00:00:00", "1998-06-01 00:00:00",
+                   coins="2", contract=None),
+        # entirely outside the window: filtered out
+        policy_row("P6", "1995-01-01 00:00:00", "1995-01-01 00:00:00", "1995-01-01 00:00:00", "1996-01-01 00:00:00"),
+    ]
+    got = by_policy(policy_indicators(sources(spark, rows, shares=[("P1".rjust(22, "0"), 0.4)]), WINDOW))
+    assert set(got) == {"P1", "P2", "P3", "P4", "P5"}
+    assert (got["P1"]["qiandanbaofei"], got["P1"]["baofeishouru"], got["P1"]["baoxianjine"]) == \
+        pytest.approx((400.0, 400.0, 4000.0))
+    assert got["P1"]["zhongbaoshuliang"] == 1 and got["P1"]["timeYearMonth"] == "1997-01"
+    assert (got["P2"]["qiandanbaofei"], got["P2"]["baofeishouru"], got["P2"]["zhongbaoshuliang"]) == (1000.0, 0.0, 1)
+    assert (got["P3"]["qiandanbaofei"], got["P3"]["zhongbaoshuliang"], got["P3"]["cancelflag"]) == (0.0, 0, 1)
+    assert (got["P4"]["underwriteflag"], got["P4"]["qiandanbaofei"]) == (0, 0.0)
+    assert got["P5"]["baofeishouru"] == pytest.approx(500.0) and got["P5"]["coinsrate"] == 0.5
+    assert got["P5"]["Tuancheflag"] == 1 and got["P1"]["Tuancheflag"] == 0
+    assert got["P1"]["comcname"] == "NAME" and got["P1"]["carid"] == "C" and got["P2"]["carid"] is None
+
+
+def test_wide_table_keeps_nulls_for_policies_without_endorsements(spark):
+    rows = [policy_row("P1", "1997/03/02 00:00:00", "1997-03-01 00:00:00", "1997-02-20 00:00:00",
+                       "1998-03-01 00:00:00")]
+    wide = by_policy(policy_wide_table(sources(spark, rows), WINDOW))
+    assert wide["P1"]["rawpremium"] is None and wide["P1"]["policycancelcount"] is None
+    assert len(policy_wide_table(sources(spark, rows), WINDOW).columns) == 64
