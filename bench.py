@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from policylens.operators.period import Period  # noqa: E402
-from policylens.plans import endorsement, plain, policy  # noqa: E402
+from policylens.plans import endorsement, extensions, plain, policy  # noqa: E402
 from policylens.queries import WINDOW  # noqa: E402
 from policylens.session import local_session, scratch_path  # noqa: E402
 from policylens.sources.adapter import materialize_sources, sources_for  # noqa: E402
@@ -32,6 +32,8 @@ JOBS = {
     "policy_wide_table": lambda src, w: policy.policy_wide_table(src, w),
     "plain_wide_table": lambda src, w: plain.plain_wide_table(src),
     "premium_income_by_company": lambda src, w: policy.premium_income_by_company(src, w),
+    "claims_ratio": lambda src, w: extensions.claims_ratio(src, w),
+    "ncd_coefficient": lambda src, w: extensions.ncd_coefficient(src),
 }
 
 
