@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from policylens import schemas
 from policylens.operators.period import Period
-from policylens.session import JOB_CONF
+from policylens.session import CLUSTER_CONF, shuffle_partitions_for
 from policylens.sources import files, sinks
 from policylens.sources.adapter import EXTRACT_SCHEMA_NAMES, Sources
 
@@ -66,13 +66,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--sep")
     ap.add_argument("--key-width", type=int, default=22)
     ap.add_argument("--single-file", action="store_true")
+    ap.add_argument("--input-bytes", type=int,
+                    help="total extract size; sets spark.sql.shuffle.partitions to keep partitions ~256 MiB")
     args = ap.parse_args(argv)
 
     if spark is None:
         builder = SparkSession.builder.appName(f"policylens-{args.job}")
-        for k, v in JOB_CONF.items():
+        for k, v in CLUSTER_CONF.items():
             builder = builder.config(k, v)
         spark = builder.getOrCreate()
+    if args.input_bytes:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(args.input_bytes)))
     overrides = dict(p.split("=", 1) for p in args.path)
 
     if args.job == "wide":

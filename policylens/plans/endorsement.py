@@ -36,8 +36,9 @@ from policylens.operators.period import Period, endorsement_row_filter
 from policylens.operators.records import copycoins_record, copymain_record, head_record
 
 HEAD_SOURCE_COLUMNS = ["applyno", "underwriteflag", "validdate", "endortype", "underwriteenddate"]
+MISSING_ENDORSEMENT_SHARE = 1.0
 ENDORSEMENT_FILL = {
-    "coinsrate": 1.0, "tuibaoflag": 0, "policycancelflag": 0, "decreaseNotcancelflag": 0,
+    "coinsrate": MISSING_ENDORSEMENT_SHARE, "tuibaoflag": 0, "policycancelflag": 0, "decreaseNotcancelflag": 0,
     "chgpremium": 0.0, "underwriteflag": 0, "chgamount": 0.0,
 }
 
@@ -50,20 +51,20 @@ def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFr
     return joined.where(endorsement_row_filter(period))
 
 
-def endorsement_rows(src, period: Period) -> DataFrame:
+def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
     """Joined and filled endorsement rows (JN-1..4, FIL-1, PRJ-11), one per fan-out row."""
     joined = copy_with_head(src, period)
     fee = src.fee.select("applyno", "chgpremium", "chgamount", "currency")
     item = src.itemkind.select("applyno", "calculateflag")  # its currency duplicates the fee's
     rows = left_join(left_join(skew_aware_left_join(joined, fee, "applyno"), item, "applyno"),
                      copycoins_record(src.copycoins), "applyno")
-    return rows.na.fill(ENDORSEMENT_FILL)
+    return rows.na.fill({**ENDORSEMENT_FILL, "coinsrate": missing_share})
 
 
-def endorsement_indicator_rows(src, period: Period) -> DataFrame:
+def endorsement_indicator_rows(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
     """IND-1..14 per joined row (row-level definition)."""
     cols = endorsement_indicator_columns(period)
-    return endorsement_rows(src, period).select("applyno", "policyno", *[v.alias(k) for k, v in cols.items()])
+    return endorsement_rows(src, period, missing_share).select("applyno", "policyno", *[v.alias(k) for k, v in cols.items()])
 
 
 def rollup_rows(rows: DataFrame) -> DataFrame:
@@ -105,9 +106,9 @@ def items_by_application(itemkind: DataFrame) -> DataFrame:
     )
 
 
-def shares_by_application(copycoins: DataFrame) -> DataFrame:
+def shares_by_application(copycoins: DataFrame, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
     """Per applyno: co-insurance rows and the exact sum of their shares (missing share → 1)."""
-    rate = F.coalesce(F.col("coinsrate"), F.lit(1.0)).cast(RATE_SUM)
+    rate = F.coalesce(F.col("coinsrate"), F.lit(float(missing_share))).cast(RATE_SUM)
     return copycoins_record(copycoins).groupBy("applyno").agg(
         F.count(F.lit(1)).alias("n_coins"), F.sum(rate).cast(RATE_SUM).alias("s_rate"))
 
@@ -124,13 +125,15 @@ def _dec_times(s: Column, count: Column) -> Column:
     return (F.coalesce(s, F.lit(0).cast(MONEY_SUM)) * count).cast(MONEY_SUM)
 
 
-def endorsement_rollup(src, period: Period) -> DataFrame:
-    """PIPE-1: one row per policyno with the 14 indicators (scaled plan)."""
+def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
+    """PIPE-1: one row per policyno with the 14 indicators (scaled plan).
+    ``missing_share`` is the own share used when an application has no
+    co-insurance row or a null share (1.0: the whole amount)."""
     joined = copy_with_head(src, period, head=head_with_multiplicity(src.head))
     rows = (joined
             .join(fee_by_application(src.fee), "applyno", "left_outer")
             .join(items_by_application(src.itemkind), "applyno", "left_outer")
-            .join(shares_by_application(src.copycoins), "applyno", "left_outer"))
+            .join(shares_by_application(src.copycoins, missing_share), "applyno", "left_outer"))
 
     c = F.col
     h = F.coalesce(c("n_head"), F.lit(1))
@@ -140,7 +143,7 @@ def endorsement_rollup(src, period: Period) -> DataFrame:
     n_coins = F.coalesce(c("n_coins"), F.lit(1))
     # Σ over co-insurance rows of the own-share factor: the shares when
     # co-insured, else one per row; a missing row counts as share 1.
-    share = F.when(c("coinsflag") == 1, F.coalesce(c("s_rate"), F.lit(1).cast(RATE_SUM))).otherwise(
+    share = F.when(c("coinsflag") == 1, F.coalesce(c("s_rate"), F.lit(float(missing_share)).cast(RATE_SUM))).otherwise(
         n_coins.cast(RATE_SUM))
     # Missing head marks count as 0 (fill after the filter).
     rows = rows.na.fill({"underwriteflag": 0, "tuibaoflag": 0, "policycancelflag": 0, "decreaseNotcancelflag": 0})

@@ -17,6 +17,23 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Added for cluster runs (the CLI job): coalesce towards the advisory size
+# rather than keeping every core busy with tiny partitions; 256 MiB shuffle
+# partitions fit executor memory.  Locally they would collapse small data
+# into one partition, so tests and the bench keep the defaults.
+CLUSTER_CONF = {
+    **JOB_CONF,
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+}
+
+
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Initial shuffle partitions for a job reading ``input_bytes``: enough
+    that no shuffle partition exceeds ~``partition_bytes`` even if a shuffle
+    carries all input; AQE coalesces the small ones afterwards."""
+    return max(8, -(-input_bytes // partition_bytes))
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "policylens") -> SparkSession:
     """A local[N] session for tests and the bench (no UI, no extra servers)."""
