@@ -41,7 +41,7 @@ JOBS = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="policylens-bench")
     times, rows = {}, {}
     # 1. Derive the 17 extracts from the test tables and write them once.
