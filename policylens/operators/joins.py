@@ -60,9 +60,11 @@ def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int
     """Left outer equi-join on one key whose right side may fan out heavily.
 
     Rows of hot keys are joined on (key, salt): right rows get a salt from a
-    hash of the whole row (deterministic, so a recomputed task puts every row
-    where it was), left rows are replicated once per salt, and the fan-out of
-    a hot key is spread over ``salts`` tasks.  Each left row of a hot key
+    hash of the row and its row id, so even identical copies spread; left rows
+    are replicated once per salt, and the fan-out of a hot key is spread over
+    ``salts`` tasks.  Over a file scan the row id, hence the salt, is the same
+    when a task is recomputed; elsewhere Spark treats the salt as
+    nondeterministic and re-runs the consuming stage as a whole on retry.  Each left row of a hot key
     matches at least one right row, so an inner join is exact there; all other
     rows take the plain left outer join.  Same rows as ``left_join``."""
     keys = hot_keys(right, key, hot_rows)
@@ -70,7 +72,8 @@ def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int
         return left_join(left, right, key)
     is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
     cold = left.where(~is_hot).join(right.where(~is_hot), key, "left_outer")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salts)).cast("int")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns], F.monotonically_increasing_id()),
+                  F.lit(salts)).cast("int")
     hot_right = right.where(is_hot).withColumn("_salt", salt)
     hot_left = left.where(is_hot).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hot = hot_left.join(hot_right, [key, "_salt"], "inner").drop("_salt")

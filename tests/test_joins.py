@@ -32,3 +32,12 @@ def test_bounded_broadcast(spark):
     small = spark.range(10)
     assert has_at_most(small, 10) and not has_at_most(small, 9)
     assert bounded_broadcast(small, 5) is small
+
+
+def test_skew_aware_left_join_spreads_copies(spark):
+    left = spark.createDataFrame([("H", 1), ("a", 2)], "k string, l int")
+    right = spark.range(0, 3000).select(F.lit("H").alias("k"), F.lit(7).alias("r"))   # identical copies
+    got = skew_aware_left_join(left, right, "k", salts=8, hot_rows=100)
+    assert rows(got) == rows(left_join(left, right, "k"))
+    salted = right.withColumn("s", F.pmod(F.xxhash64("k", "r", F.monotonically_increasing_id()), F.lit(8)))
+    assert salted.select("s").distinct().count() == 8
