@@ -15,7 +15,9 @@ a claims input: (policyno, claimtime text, paid).
   range-partitioned on (insured, start, policyno), so a hot insured spans many
   partitions; each (insured, partition) piece is scanned locally; a small
   per-piece summary (at most one row per partition for any insured) carries
-  the run across pieces.
+  the run across pieces.  Identical policy rows are collapsed with a
+  multiplicity before the scan and re-expanded after it, so copies cannot
+  pile up in one task either.
 """
 
 from __future__ import annotations
@@ -51,22 +53,34 @@ def claims_ratio(src, period: Period) -> DataFrame:
         F.when(income_d != 0, paid_d / income_d).alias("claims_ratio"))
 
 
-def claim_free_runs(policies: DataFrame, pieces: int) -> DataFrame:
-    """Add ``claim_free_run`` to rows (insuredcode, startdate, policyno, claimed).
+# Copies of one policy row are re-expanded in chunks of this many rows.
+COPY_CHUNK = 100_000
 
-    Two-level prefix scan: range partitions → local scan per (insured, piece)
-    → carry across pieces from a bounded per-piece summary."""
+
+def claim_free_runs(policies: DataFrame, pieces: int, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Add ``claim_free_run`` to rows (policyno, insuredcode, startdate, claimed).
+
+    Identical rows are first collapsed into one row with a multiplicity, so
+    no group of copies reaches one task.  Two-level prefix scan over the
+    collapsed rows, with positions weighted by the multiplicity: range
+    partitions → local scan per (insured, piece) → carry across pieces from a
+    bounded per-piece summary.  Then every copy gets its own row again:
+    the first copy has the scanned run; a later copy follows its twin, so its
+    run is 0 after a claimed twin and grows by one per copy otherwise."""
     order = ["startdate", "policyno"]
-    ranged = (policies.repartitionByRange(pieces, "insuredcode", *order)
+    cols = policies.columns
+    collapsed = policies.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+    ranged = (collapsed.repartitionByRange(pieces, "insuredcode", *order, "claimed")
               .withColumn("piece", F.spark_partition_id()))
-    w = Window.partitionBy("insuredcode", "piece").orderBy(*order)
+    w = Window.partitionBy("insuredcode", "piece").orderBy(*order, "claimed")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    local = (ranged.withColumn("seq", F.row_number().over(w))
-             .withColumn("last_claim_seq", F.max(F.when(F.col("claimed"), F.col("seq"))).over(before)))
+    # pos = position of this row's last copy within the piece
+    local = (ranged.withColumn("pos", F.sum("copies").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("last_claim_pos", F.max(F.when(F.col("claimed"), F.col("pos"))).over(before)))
 
     summary = local.groupBy("insuredcode", "piece").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.max(F.when(F.col("claimed"), F.col("seq"))).alias("last_claim"))
+        F.sum("copies").alias("cnt"),
+        F.max(F.when(F.col("claimed"), F.col("pos"))).alias("last_claim"))
     ws = Window.partitionBy("insuredcode").orderBy("piece")
     prev = ws.rowsBetween(Window.unboundedPreceding, -1)
     has_claim = F.col("last_claim").isNotNull()
@@ -83,9 +97,32 @@ def claim_free_runs(policies: DataFrame, pieces: int) -> DataFrame:
     summary = summary.select("insuredcode", "piece", carry.alias("carry"))
 
     joined = local.join(summary, ["insuredcode", "piece"], "inner")
-    run = F.when(F.col("last_claim_seq").isNotNull(), F.col("seq") - F.col("last_claim_seq") - 1).otherwise(
-        F.col("carry") + F.col("seq") - 1)
-    return joined.withColumn("claim_free_run", run.cast("int")).drop("piece", "seq", "last_claim_seq", "carry")
+    first_pos = F.col("pos") - F.col("copies") + 1
+    first_run = F.when(F.col("last_claim_pos").isNotNull(), first_pos - F.col("last_claim_pos") - 1).otherwise(
+        F.col("carry") + first_pos - 1)
+    runs = joined.select(*cols, "copies", first_run.alias("first_run"))
+    return _expand_copies(runs, cols, chunk)
+
+
+def _expand_copies(runs: DataFrame, cols: list[str], chunk: int) -> DataFrame:
+    """One output row per copy; large copy groups are cut into chunks that
+    are spread over tasks before they are expanded."""
+    def expand(df: DataFrame, lo, hi) -> DataFrame:
+        j = F.explode(F.sequence(lo, hi)).alias("copy")
+        out = df.select(*cols, "first_run", j)
+        run = (F.when(F.col("copy") == 0, F.col("first_run"))
+               .when(F.col("claimed"), F.lit(0))
+               .otherwise(F.col("first_run") + F.col("copy")))
+        return out.select(*cols, run.cast("int").alias("claim_free_run"))
+
+    small = runs.where(F.col("copies") <= chunk)
+    big = runs.where(F.col("copies") > chunk)
+    small_rows = expand(small, F.lit(0), F.col("copies") - 1)
+    pieces = big.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk))))
+    pieces = pieces.repartition("policyno", "chunk")
+    lo = F.col("chunk") * chunk
+    hi = F.least(lo + chunk, F.col("copies")) - 1
+    return small_rows.unionByName(expand(pieces, lo, hi))
 
 
 def ncd_coefficient(src, coefficients: dict[int, float] | None = None, pieces: int | None = None) -> DataFrame:

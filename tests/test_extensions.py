@@ -33,8 +33,30 @@ def test_hot_insured_spans_pieces(spark):
         rows.append((f"P{i:05d}", insured, start, rnd.random() < 0.15))
     df = spark.createDataFrame(rows, "policyno string, insuredcode string, startdate timestamp_ntz, claimed boolean")
     runs = claim_free_runs(df, pieces=6)
+    assert runs.count() == len(rows)
     pieces = df.repartitionByRange(6, "insuredcode", "startdate", "policyno") \
         .where(F.col("insuredcode") == "HOT").select(F.spark_partition_id().alias("p")).distinct().count()
     assert pieces > 1, "the hot insured should be split over several pieces"
     got = {r["policyno"]: r["claim_free_run"] for r in runs.collect()}
     assert got == brute_force(rows)
+
+
+def test_copies_of_one_policy_are_spread_and_exact(spark):
+    base = datetime(1997, 1, 1)
+    rows = [("P1", "A", base, False)] * 950 + [("P2", "A", base + timedelta(days=1), True)] * 230 \
+        + [("P0", "A", base - timedelta(days=1), False), ("P3", "A", base + timedelta(days=2), False),
+           ("Q1", "B", base, True), ("Q2", "B", base, False)]
+    df = spark.createDataFrame(rows, "policyno string, insuredcode string, startdate timestamp_ntz, claimed boolean")
+    got = sorted((r["policyno"], r["claim_free_run"]) for r in claim_free_runs(df, pieces=3, chunk=100).collect())
+    expected = []
+    by = {}
+    for r in rows:
+        by.setdefault(r[1], []).append(r)
+    for items in by.values():
+        items.sort(key=lambda r: (r[2], r[0]))
+        last = 0
+        for seq, r in enumerate(items, start=1):
+            expected.append((r[0], seq - last - 1))
+            if r[3]:
+                last = seq
+    assert got == sorted(expected)
