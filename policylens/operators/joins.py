@@ -55,8 +55,26 @@ def hot_keys(right: DataFrame, key: str, hot_rows: int, max_keys: int = MAX_HOT_
     return [r[0] for r in found]
 
 
+def _join_with_extra(left: DataFrame, right: DataFrame, keys: list[str], also_equal: list[str],
+                     how: str) -> DataFrame:
+    """Equi-join on ``keys`` (used for partitioning) plus equality of the
+    ``also_equal`` columns as a further condition; nulls never match and the
+    right copies of all join columns are dropped (USING semantics)."""
+    if not also_equal:
+        return left.join(right, keys, how)
+    renamed = {c: f"_r_{c}" for c in keys + also_equal}
+    r = right.withColumnsRenamed(renamed)
+    cond = None
+    for c in keys:
+        part = F.col(c) == F.col(renamed[c])
+        cond = part if cond is None else cond & part
+    for c in also_equal:
+        cond = cond & F.coalesce(F.col(c) == F.col(renamed[c]), F.lit(False))
+    return left.join(r, cond, how).drop(*renamed.values())
+
+
 def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int = 32,
-                         hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                         hot_rows: int = DEFAULT_HOT_ROWS, also_equal: Sequence[str] = ()) -> DataFrame:
     """Left outer equi-join on one key whose right side may fan out heavily.
 
     Rows of hot keys are joined on (key, salt): right rows get a salt from a
@@ -64,17 +82,35 @@ def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int
     are replicated once per salt, and the fan-out of a hot key is spread over
     ``salts`` tasks.  Over a file scan the row id, hence the salt, is the same
     when a task is recomputed; elsewhere Spark treats the salt as
-    nondeterministic and re-runs the consuming stage as a whole on retry.  Each left row of a hot key
-    matches at least one right row, so an inner join is exact there; all other
-    rows take the plain left outer join.  Same rows as ``left_join``."""
+    nondeterministic and re-runs the consuming stage as a whole on retry.
+    Each left row of a hot key matches at least one right row on the key, so
+    an inner join is exact there when there are no ``also_equal`` columns; with
+    them, hot left rows that match nothing are added back by an anti join.
+    All other rows take the plain left outer join.  Same rows as a left join
+    on ``[key, *also_equal]``.  ``also_equal`` columns take part in matching
+    but not in partitioning, so a side already partitioned by ``key`` stays
+    where it is."""
+    also_equal = list(also_equal)
     keys = hot_keys(right, key, hot_rows)
     if not keys:
-        return left_join(left, right, key)
+        return _join_with_extra(left, right, [key], also_equal, "left_outer")
     is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
-    cold = left.where(~is_hot).join(right.where(~is_hot), key, "left_outer")
+    cold = _join_with_extra(left.where(~is_hot), right.where(~is_hot), [key], also_equal, "left_outer")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns], F.monotonically_increasing_id()),
                   F.lit(salts)).cast("int")
     hot_right = right.where(is_hot).withColumn("_salt", salt)
-    hot_left = left.where(is_hot).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hot = hot_left.join(hot_right, [key, "_salt"], "inner").drop("_salt")
-    return cold.unionByName(hot)
+    hot_left = left.where(is_hot)
+    exploded = hot_left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = _join_with_extra(exploded, hot_right, [key, "_salt"], also_equal, "inner").drop("_salt")
+    parts = [cold, hot]
+    if also_equal:
+        matched = hot_right.select(key, *also_equal).distinct()
+        missed = _join_with_extra(hot_left, matched, [key], also_equal, "left_anti")
+        for c in right.columns:
+            if c not in [key, *also_equal]:
+                missed = missed.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
+        parts.append(missed)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

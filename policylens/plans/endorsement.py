@@ -56,8 +56,8 @@ def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSE
     joined = copy_with_head(src, period)
     fee = src.fee.select("applyno", "chgpremium", "chgamount", "currency")
     item = src.itemkind.select("applyno", "calculateflag")  # its currency duplicates the fee's
-    rows = left_join(left_join(skew_aware_left_join(joined, fee, "applyno"), item, "applyno"),
-                     copycoins_record(src.copycoins), "applyno")
+    rows = skew_aware_left_join(skew_aware_left_join(skew_aware_left_join(joined, fee, "applyno"), item, "applyno"),
+                                copycoins_record(src.copycoins), "applyno")
     return rows.na.fill({**ENDORSEMENT_FILL, "coinsrate": missing_share})
 
 

@@ -31,6 +31,7 @@ from policylens.operators.indicators import policy_indicator_columns
 from policylens.operators.joins import left_join
 from policylens.operators.period import Period
 from policylens.plans.policy import policies_with_shares
+from policylens.session import ensure_checkpoint_dir
 
 # Fixed values (our definition): claim-free run → grade → coefficient.
 NCD_COEFFICIENTS = {0: 1.0, 1: 0.9, 2: 0.8, 3: 0.7}
@@ -70,8 +71,13 @@ def claim_free_runs(policies: DataFrame, pieces: int, chunk: int = COPY_CHUNK) -
     order = ["startdate", "policyno"]
     cols = policies.columns
     collapsed = policies.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+    # The piece of a row comes from sampled range bounds; it is materialised
+    # once (reliable checkpoint in the shared folder) so the local scan and the
+    # per-piece summary below see the same assignment.
+    ensure_checkpoint_dir(policies.sparkSession)
     ranged = (collapsed.repartitionByRange(pieces, "insuredcode", *order, "claimed")
-              .withColumn("piece", F.spark_partition_id()))
+              .withColumn("piece", F.spark_partition_id())
+              .checkpoint(eager=True))
     w = Window.partitionBy("insuredcode", "piece").orderBy(*order, "claimed")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     # pos = position of this row's last copy within the piece

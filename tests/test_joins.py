@@ -41,3 +41,15 @@ def test_skew_aware_left_join_spreads_copies(spark):
     assert rows(got) == rows(left_join(left, right, "k"))
     salted = right.withColumn("s", F.pmod(F.xxhash64("k", "r", F.monotonically_increasing_id()), F.lit(8)))
     assert salted.select("s").distinct().count() == 8
+
+
+def test_skew_aware_left_join_with_extra_equality(spark):
+    left = spark.createDataFrame(
+        [("H", "p1", 1), ("H", "p2", 2), ("H", None, 3), ("a", "p1", 4), (None, "p1", 5)], "k string, p string, l int")
+    right = spark.range(0, 2000).select(
+        F.when(F.col("id") < 1900, F.lit("H")).otherwise(F.lit("a")).alias("k"),
+        F.when(F.col("id") % 2 == 0, F.lit("p1")).otherwise(F.lit("p9")).alias("p"),
+        (F.col("id") % 5).alias("r"))
+    got = skew_aware_left_join(left, right, "k", salts=4, hot_rows=100, also_equal=["p"])
+    expected = left.join(right, ["k", "p"], "left_outer")
+    assert rows(got) == rows(expected)
