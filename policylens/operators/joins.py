@@ -74,7 +74,8 @@ def _join_with_extra(left: DataFrame, right: DataFrame, keys: list[str], also_eq
 
 
 def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int = 32,
-                         hot_rows: int = DEFAULT_HOT_ROWS, also_equal: Sequence[str] = ()) -> DataFrame:
+                         hot_rows: int = DEFAULT_HOT_ROWS, also_equal: Sequence[str] = (),
+                         hot_from: DataFrame | None = None) -> DataFrame:
     """Left outer equi-join on one key whose right side may fan out heavily.
 
     Rows of hot keys are joined on (key, salt): right rows get a salt from a
@@ -89,9 +90,11 @@ def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int
     All other rows take the plain left outer join.  Same rows as a left join
     on ``[key, *also_equal]``.  ``also_equal`` columns take part in matching
     but not in partitioning, so a side already partitioned by ``key`` stays
-    where it is."""
+    where it is.  ``hot_from`` is a cheaper frame to count keys on (e.g. the
+    raw extract ``right`` was derived from, with at least as many rows per
+    key); it defaults to ``right``."""
     also_equal = list(also_equal)
-    keys = hot_keys(right, key, hot_rows)
+    keys = hot_keys(right if hot_from is None else hot_from, key, hot_rows)
     if not keys:
         return _join_with_extra(left, right, [key], also_equal, "left_outer")
     is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))

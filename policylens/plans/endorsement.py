@@ -46,8 +46,9 @@ ENDORSEMENT_FILL = {
 def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFrame:
     """copy main ⟕ head on applyno, filtered to the reporting window (JN-1, FIL-1)."""
     head = head_record(src.head) if head is None else head
-    # Heads fan out from the right side, which AQE cannot split for a left join.
-    joined = skew_aware_left_join(copymain_record(src.copymain), head, "applyno")
+    # Heads fan out from the right side, which AQE cannot split for a left join;
+    # hot keys are counted on the raw head extract (no dedupe pass needed).
+    joined = skew_aware_left_join(copymain_record(src.copymain), head, "applyno", hot_from=src.head)
     return joined.where(endorsement_row_filter(period))
 
 
