@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policylens.operators.indicators import ENDORSEMENT_INDICATORS, POLICY_INDICATORS
+from policylens.operators.indicators import POLICY_INDICATORS
 from policylens.operators.period import Period
 from policylens.oracle import Sql
 from policylens.plans import endorsement as endo
@@ -82,7 +82,6 @@ def q_policy_wide_table(spark, sf_dir):
 
 # --- flags, dates, projections -----------------------------------------------------------------
 
-from policylens.functions.dates import parse_ts  # noqa: E402
 from policylens.functions.money import co_insured  # noqa: E402
 from policylens.operators.columns import (  # noqa: E402
     add_date_by_flag, add_flag_char, add_later_date, cast_column, cast_to_timestamp, text_to_timestamp, width_guard,
