@@ -5,6 +5,11 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
+from tests.test_plans import plan_text
+
+# Operators that must never appear in a plan: row-at-a-time or Arrow Python
+# evaluation, Cartesian products, nested-loop joins.
+FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
 NAMES = sorted(queries())
 
@@ -16,7 +21,10 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sdf = queries()[name](spark, SF_SMALL).toPandas()
+    df = queries()[name](spark, SF_SMALL)
+    text = plan_text(df)
+    assert not [op for op in FORBIDDEN if op in text], text
+    sdf = df.toPandas()
     sql = oracle_sql().get(name)
     if sql is None:
         pytest.skip("no SQL oracle for this query")
