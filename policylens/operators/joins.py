@@ -73,9 +73,28 @@ def _join_with_extra(left: DataFrame, right: DataFrame, keys: list[str], also_eq
     return left.join(r, cond, how).drop(*renamed.values())
 
 
+def hot_keys_many(specs: Sequence[tuple[DataFrame, str]], hot_rows: int = DEFAULT_HOT_ROWS,
+                  max_keys: int = MAX_HOT_KEYS) -> list[list]:
+    """Hot keys of several (frame, key) sides in one job: the key columns are
+    tagged, unioned and counted together.  A side with more than
+    ``max_keys`` hot keys gets ``[]`` (plain join, AQE)."""
+    parts = [df.select(F.lit(i).alias("_side"), F.col(key).cast("string").alias("_key"))
+             for i, (df, key) in enumerate(specs)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    found = (union.where(F.col("_key").isNotNull()).groupBy("_side", "_key")
+             .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+             .select("_side", "_key").limit(max_keys * len(specs) + 1).collect())
+    out: list[list] = [[] for _ in specs]
+    for row in found:
+        out[row["_side"]].append(row["_key"])
+    return [keys if len(keys) <= max_keys else [] for keys in out]
+
+
 def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int = 32,
                          hot_rows: int = DEFAULT_HOT_ROWS, also_equal: Sequence[str] = (),
-                         hot_from: DataFrame | None = None) -> DataFrame:
+                         hot_from: DataFrame | None = None, hot: list | None = None) -> DataFrame:
     """Left outer equi-join on one key whose right side may fan out heavily.
 
     Rows of hot keys are joined on (key, salt): right rows get a salt from a
@@ -92,12 +111,13 @@ def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int
     but not in partitioning, so a side already partitioned by ``key`` stays
     where it is.  ``hot_from`` is a cheaper frame to count keys on (e.g. the
     raw extract ``right`` was derived from, with at least as many rows per
-    key); it defaults to ``right``."""
+    key); it defaults to ``right``.  ``hot`` passes keys already found (as
+    text) by ``hot_keys_many`` for several joins at once."""
     also_equal = list(also_equal)
-    keys = hot_keys(right if hot_from is None else hot_from, key, hot_rows)
+    keys = hot if hot is not None else hot_keys(right if hot_from is None else hot_from, key, hot_rows)
     if not keys:
         return _join_with_extra(left, right, [key], also_equal, "left_outer")
-    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    is_hot = F.coalesce(F.col(key).cast("string").isin([str(k) for k in keys]), F.lit(False))
     cold = _join_with_extra(left.where(~is_hot), right.where(~is_hot), [key], also_equal, "left_outer")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns], F.monotonically_increasing_id()),
                   F.lit(salts)).cast("int")

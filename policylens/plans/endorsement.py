@@ -43,12 +43,12 @@ ENDORSEMENT_FILL = {
 }
 
 
-def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFrame:
+def copy_with_head(src, period: Period, head: DataFrame | None = None, hot_heads: list | None = None) -> DataFrame:
     """copy main ⟕ head on applyno, filtered to the reporting window (JN-1, FIL-1)."""
     head = head_record(src.head) if head is None else head
     # Heads fan out from the right side, which AQE cannot split for a left join;
     # hot keys are counted on the raw head extract (no dedupe pass needed).
-    joined = skew_aware_left_join(copymain_record(src.copymain), head, "applyno", hot_from=src.head)
+    joined = skew_aware_left_join(copymain_record(src.copymain), head, "applyno", hot_from=src.head, hot=hot_heads)
     return joined.where(endorsement_row_filter(period))
 
 
@@ -126,11 +126,13 @@ def _dec_times(s: Column, count: Column) -> Column:
     return (F.coalesce(s, F.lit(0).cast(MONEY_SUM)) * count).cast(MONEY_SUM)
 
 
-def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
+def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE,
+                       hot_heads: list | None = None) -> DataFrame:
     """PIPE-1: one row per policyno with the 14 indicators (scaled plan).
     ``missing_share`` is the own share used when an application has no
-    co-insurance row or a null share (1.0: the whole amount)."""
-    joined = copy_with_head(src, period, head=head_with_multiplicity(src.head))
+    co-insurance row or a null share (1.0: the whole amount).  ``hot_heads``
+    passes hot head keys already counted by the caller."""
+    joined = copy_with_head(src, period, head=head_with_multiplicity(src.head), hot_heads=hot_heads)
     rows = (joined
             .join(fee_by_application(src.fee), "applyno", "left_outer")
             .join(items_by_application(src.itemkind), "applyno", "left_outer")

@@ -53,3 +53,15 @@ def test_skew_aware_left_join_with_extra_equality(spark):
     got = skew_aware_left_join(left, right, "k", salts=4, hot_rows=100, also_equal=["p"])
     expected = left.join(right, ["k", "p"], "left_outer")
     assert rows(got) == rows(expected)
+
+
+def test_hot_keys_many_counts_all_sides_in_one_job(spark):
+    from policylens.operators.joins import hot_keys, hot_keys_many
+    a = spark.range(0, 500).select(F.when(F.col("id") < 300, "H").otherwise(F.col("id").cast("string")).alias("k"))
+    b = spark.range(0, 500).select((F.col("id") % 2).alias("n"))       # non-string key: 0 and 1 are both hot
+    c = spark.range(0, 10).select(F.col("id").cast("string").alias("k"))
+    got = hot_keys_many([(a, "k"), (b, "n"), (c, "k")], hot_rows=100)
+    assert got[0] == ["H"] and sorted(got[1]) == ["0", "1"] and got[2] == []
+    assert hot_keys(a, "k", 100) == ["H"]
+    left = spark.createDataFrame([(0, "x"), (1, "y"), (2, "z")], "n long, l string")
+    assert rows(skew_aware_left_join(left, b, "n", salts=4, hot=got[1])) == rows(left_join(left, b, "n"))
