@@ -31,7 +31,7 @@ from policylens.functions.money import MONEY_SUM, PRODUCT, RATE_SUM, from_micros
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
 )
-from policylens.operators.joins import skew_aware_left_join
+from policylens.operators.joins import hot_keys_many, skew_aware_left_join
 from policylens.operators.period import Period, endorsement_row_filter
 from policylens.operators.records import copycoins_record, copymain_record, head_record
 
@@ -54,11 +54,15 @@ def copy_with_head(src, period: Period, head: DataFrame | None = None, hot_heads
 
 def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
     """Joined and filled endorsement rows (JN-1..4, FIL-1, PRJ-11), one per fan-out row."""
-    joined = copy_with_head(src, period)
     fee = src.fee.select("applyno", "chgpremium", "chgamount", "currency")
     item = src.itemkind.select("applyno", "calculateflag")  # its currency duplicates the fee's
-    rows = skew_aware_left_join(skew_aware_left_join(skew_aware_left_join(joined, fee, "applyno"), item, "applyno"),
-                                copycoins_record(src.copycoins), "applyno")
+    coins = copycoins_record(src.copycoins)
+    # hot keys of all four fan-out joins, counted in one job
+    hot = hot_keys_many([(src.head, "applyno"), (fee, "applyno"), (item, "applyno"), (coins, "applyno")])
+    joined = copy_with_head(src, period, hot_heads=hot[0])
+    rows = skew_aware_left_join(joined, fee, "applyno", hot=hot[1])
+    rows = skew_aware_left_join(rows, item, "applyno", hot=hot[2])
+    rows = skew_aware_left_join(rows, coins, "applyno", hot=hot[3])
     return rows.na.fill({**ENDORSEMENT_FILL, "coinsrate": missing_share})
 
 
