@@ -233,17 +233,21 @@ EXTRACT_SCHEMA_NAMES = {
 }
 
 
-def materialize_sources(spark: SparkSession, src: Sources, base: str, fmt: str = "parquet") -> Sources:
+def materialize_sources(spark: SparkSession, src: Sources, base: str, fmt: str = "parquet",
+                        files: int | None = None) -> Sources:
     """Write every extract once under ``base`` (a shared folder) and return
     sources that read the written files with their explicit schemas.  This
     is the production shape: the jobs read extract files, not the tables
-    they were derived from."""
+    they were derived from.  Each extract is spread over ``files`` files
+    (default: the cluster's default parallelism), as exported extracts are,
+    so reading one is not limited to a handful of scan tasks."""
     from policylens import schemas
 
+    files = files or spark.sparkContext.defaultParallelism
     out = {}
     for name in EXTRACT_SCHEMA_NAMES:
         path = f"{base.rstrip('/')}/{name}"
-        getattr(src, name).write.mode("overwrite").format(fmt).save(path)
+        getattr(src, name).repartition(files).write.mode("overwrite").format(fmt).save(path)
         schema = getattr(schemas, EXTRACT_SCHEMA_NAMES[name])
         out[name] = spark.read.schema(schema).format(fmt).load(path)
     return Sources(**out)
