@@ -243,7 +243,7 @@ def materialize_sources(spark: SparkSession, src: Sources, base: str, fmt: str =
     so reading one is not limited to a handful of scan tasks."""
     from policylens import schemas
 
-    files = files or spark.sparkContext.defaultParallelism
+    files = files or int(spark.conf.get("spark.default.parallelism", None) or spark.sparkContext.defaultParallelism)
     out = {}
     for name in EXTRACT_SCHEMA_NAMES:
         path = f"{base.rstrip('/')}/{name}"
