@@ -135,7 +135,7 @@ item_base AS (
     CASE WHEN k % 13 = 0 THEN NULL WHEN n % 3 = 0 THEN 'N' ELSE 'Y' END AS calc1,
     'CNY' AS currency, CAST(n AS DOUBLE) * 100.0 AS chgamount, CAST(n AS DOUBLE) * 1.5 AS chgpremium,
     CASE WHEN k % 11 = 0 THEN 'X' ELSE 'P' END || CAST(k AS VARCHAR) AS policyno
-  FROM apps),
+  FROM (SELECT k, n FROM apps UNION ALL SELECT k, 0 AS n FROM policy_k) all_apps),
 itemkind AS (
   SELECT applyno, calc1 AS calculateflag, currency, chgamount, chgpremium, policyno FROM item_base
   UNION ALL

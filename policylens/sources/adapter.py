@@ -147,8 +147,11 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
         F.lit("CNY").alias("currency"),
     )
 
+    # item kind: one row per application, original ones (n = 0) included
+    all_apps = apps.select("k", "n").unionByName(policy_k.select("k", F.lit(0).alias("n")))
+
     def item_rows(calc: Column) -> DataFrame:
-        return apps.select(
+        return all_apps.select(
             k, endo_applyno.alias("applyno"), calc.alias("calculateflag"), F.lit("CNY").alias("currency"),
             (n * 100.0).alias("chgamount"), (n * 1.5).alias("chgpremium"),
             F.when(k % 11 == 0, F.concat(F.lit("X"), _s(k))).otherwise(F.concat(F.lit("P"), _s(k))).alias("policyno"),
