@@ -1,20 +1,27 @@
 """Join helpers.
 
-Every join of the jobs is a left outer equi-join by column names (the key
-is kept once; null keys never match).  A side is broadcast only behind a
-bounded row count; otherwise the join is left to the planner and AQE, which
-may still switch to a broadcast from measured shuffle sizes at run time.
+``left_join`` is a plain left outer equi-join by column names (the key is
+kept once; null keys never match) that is left to the planner and AQE.
+
+``salted_join`` is the same join for keys that may be heavy.  It has one
+path whatever the data look like: a key is heavy when it holds more than
+``1 / (SHARE * shuffle partitions)`` of its side's rows, so at most
+``SHARE * shuffle partitions`` keys can be heavy.  That arithmetic bound is
+what makes the table of heavy keys safe to broadcast; nothing is collected,
+limited or switched off.  Every heavy key is cut into as many pieces as its
+own row count asks for, and no piece is larger than a key that is not heavy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 100_000
+# Pieces per shuffle partition: a key is cut when it alone fills more than
+# a quarter of an average task.
+SHARE = 4
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -22,118 +29,73 @@ def left_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> D
     return left.join(right, keys, "left_outer")
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  The count is capped at
-    ``max_rows + 1`` so the check stays cheap whatever the size."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def dimension_join(left: DataFrame, dim: DataFrame, keys: str | Sequence[str],
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join to a dimension; broadcast it when it is checked to be small."""
-    return left_join(left, bounded_broadcast(dim, max_rows), keys)
-
-
-# Right-side keys with more rows than this are treated as hot.
-DEFAULT_HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-
-
-def hot_keys(right: DataFrame, key: str, hot_rows: int, max_keys: int = MAX_HOT_KEYS) -> list | None:
-    """Keys of ``right`` with more than ``hot_rows`` rows (a partial-aggregated
-    count; at most ``rows / hot_rows`` keys qualify).  None when more than
-    ``max_keys`` qualify — then the caller keeps the plain join and AQE."""
-    found = (right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > hot_rows).select(key).limit(max_keys + 1).collect())
-    if len(found) > max_keys:
-        return None
-    return [r[0] for r in found]
-
-
-def _join_with_extra(left: DataFrame, right: DataFrame, keys: list[str], also_equal: list[str],
-                     how: str) -> DataFrame:
-    """Equi-join on ``keys`` (used for partitioning) plus equality of the
-    ``also_equal`` columns as a further condition; nulls never match and the
-    right copies of all join columns are dropped (USING semantics)."""
-    if not also_equal:
-        return left.join(right, keys, how)
-    renamed = {c: f"_r_{c}" for c in keys + also_equal}
-    r = right.withColumnsRenamed(renamed)
-    cond = None
-    for c in keys:
-        part = F.col(c) == F.col(renamed[c])
-        cond = part if cond is None else cond & part
-    for c in also_equal:
-        cond = cond & F.coalesce(F.col(c) == F.col(renamed[c]), F.lit(False))
-    return left.join(r, cond, how).drop(*renamed.values())
-
-
-def hot_keys_many(specs: Sequence[tuple[DataFrame, str]], hot_rows: int = DEFAULT_HOT_ROWS,
-                  max_keys: int = MAX_HOT_KEYS) -> list[list]:
-    """Hot keys of several (frame, key) sides in one job: the key columns are
-    tagged, unioned and counted together.  A side with more than
-    ``max_keys`` hot keys gets ``[]`` (plain join, AQE)."""
-    parts = [df.select(F.lit(i).alias("_side"), F.col(key).cast("string").alias("_key"))
-             for i, (df, key) in enumerate(specs)]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    found = (union.where(F.col("_key").isNotNull()).groupBy("_side", "_key")
-             .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-             .select("_side", "_key").limit(max_keys * len(specs) + 1).collect())
-    out: list[list] = [[] for _ in specs]
-    for row in found:
-        out[row["_side"]].append(row["_key"])
-    return [keys if len(keys) <= max_keys else [] for keys in out]
-
-
-def skew_aware_left_join(left: DataFrame, right: DataFrame, key: str, salts: int = 32,
-                         hot_rows: int = DEFAULT_HOT_ROWS, also_equal: Sequence[str] = (),
-                         hot_from: DataFrame | None = None, hot: list | None = None) -> DataFrame:
-    """Left outer equi-join on one key whose right side may fan out heavily.
-
-    Rows of hot keys are joined on (key, salt): right rows get a salt from a
-    hash of the row and its row id, so even identical copies spread; left rows
-    are replicated once per salt, and the fan-out of a hot key is spread over
-    ``salts`` tasks.  Over a file scan the row id, hence the salt, is the same
-    when a task is recomputed; elsewhere Spark treats the salt as
-    nondeterministic and re-runs the consuming stage as a whole on retry.
-    Each left row of a hot key matches at least one right row on the key, so
-    an inner join is exact there when there are no ``also_equal`` columns; with
-    them, hot left rows that match nothing are added back by an anti join.
-    All other rows take the plain left outer join.  Same rows as a left join
-    on ``[key, *also_equal]``.  ``also_equal`` columns take part in matching
-    but not in partitioning, so a side already partitioned by ``key`` stays
-    where it is.  ``hot_from`` is a cheaper frame to count keys on (e.g. the
-    raw extract ``right`` was derived from, with at least as many rows per
-    key); it defaults to ``right``.  ``hot`` passes keys already found (as
-    text) by ``hot_keys_many`` for several joins at once."""
-    also_equal = list(also_equal)
-    keys = hot if hot is not None else hot_keys(right if hot_from is None else hot_from, key, hot_rows)
-    if not keys:
-        return _join_with_extra(left, right, [key], also_equal, "left_outer")
-    is_hot = F.coalesce(F.col(key).cast("string").isin([str(k) for k in keys]), F.lit(False))
-    cold = _join_with_extra(left.where(~is_hot), right.where(~is_hot), [key], also_equal, "left_outer")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns], F.monotonically_increasing_id()),
-                  F.lit(salts)).cast("int")
-    hot_right = right.where(is_hot).withColumn("_salt", salt)
-    hot_left = left.where(is_hot)
-    exploded = hot_left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    hot = _join_with_extra(exploded, hot_right, [key, "_salt"], also_equal, "inner").drop("_salt")
-    parts = [cold, hot]
-    if also_equal:
-        matched = hot_right.select(key, *also_equal).distinct()
-        missed = _join_with_extra(hot_left, matched, [key], also_equal, "left_anti")
-        for c in right.columns:
-            if c not in [key, *also_equal]:
-                missed = missed.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-        parts.append(missed)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], pieces: str) -> DataFrame:
+    """Heavy keys of ``df`` with the number of ``pieces`` (at least 2) each is
+    cut into.  At most ``SHARE * shuffle partitions`` rows, by arithmetic."""
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
+    share = SHARE * _partitions(df)
+    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") * share > total).select(
+        *keys, F.greatest(F.lit(2), F.ceil(F.col("_n") * share / total)).cast("int").alias(pieces))
+
+
+def _row_salt(df: DataFrame, pieces: Column) -> Column:
+    """A piece per row.  The row id spreads identical copies; over a file scan
+    it is the same when a task is recomputed."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()),
+                  pieces).cast("int")
+
+
+def _every_piece(pieces: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(pieces), F.lit(1)) - 1))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left_outer",
+                heavy: str = "right", count_right: DataFrame | None = None) -> DataFrame:
+    """``left.join(right, keys, how)`` for ``how`` "left_outer" or "inner", with
+    heavy keys of the ``heavy`` side ("left", "right", "both" or "none") cut in
+    pieces.  "none" is for keys known to be unique on both sides.
+
+    A row of a heavy key goes to one piece (a hash of the row and its row id);
+    the other side's rows of that key are copied to every piece.  A left outer
+    join drops the copies that met no row in their piece: a key that is heavy
+    on the right has a match in another piece.  Left rows with a null key match
+    nothing and are spread over all tasks.  ``count_right`` is a cheaper frame
+    to count right keys on, with the same rows per key (default: ``right``).
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    l_cols = list(left.columns)
+    r_cols = [c for c in right.columns if c not in keys]
+    outer = how == "left_outer"
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+
+    l, r, on = left, right.withColumn("_hit", F.lit(True)), list(keys)
+    if heavy in ("right", "both"):
+        table = heavy_keys((right if count_right is None else count_right).select(*keys), keys, "_rp")
+        r = r.join(F.broadcast(table), keys, "left_outer").withColumn(
+            "_rs", F.when(F.col("_rp").isNull(), 0).otherwise(_row_salt(right, F.col("_rp")))).drop("_rp")
+        l = l.join(F.broadcast(table), keys, "left_outer").withColumn("_rs", _every_piece("_rp"))
+        on.append("_rs")
+    if heavy in ("left", "both"):
+        table = heavy_keys(left.select(*keys), keys, "_lp")
+        l = l.join(F.broadcast(table), keys, "left_outer").withColumn(
+            "_ls", F.when(null_key, _row_salt(left, F.lit(_partitions(left)))).when(F.col("_lp").isNull(), 0)
+            .otherwise(_row_salt(left, F.col("_lp")))).drop("_lp")
+        r = r.join(F.broadcast(table), keys, "left_outer").withColumn("_ls", _every_piece("_lp")).drop("_lp")
+        on.append("_ls")
+    elif outer:
+        l = l.withColumn("_ls", F.when(null_key, _row_salt(left, F.lit(_partitions(left)))).otherwise(0))
+        # zero, but not as a literal: the optimizer would drop it from the join keys
+        r = r.withColumn("_ls", F.pmod(F.hash(*keys), F.lit(1)))
+        on.append("_ls")
+    out = l.join(r, on, how)
+    if outer and heavy in ("right", "both"):
+        # a key can be heavy on the right only if it has rows there
+        out = out.where(F.col("_hit").isNotNull() | F.col("_rp").isNull())
+    return out.select(*[F.col(f"`{c}`") for c in [*l_cols, *r_cols]])

@@ -31,7 +31,7 @@ from policylens.functions.money import MONEY_SUM, PRODUCT, RATE_SUM, from_micros
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
 )
-from policylens.operators.joins import hot_keys_many, skew_aware_left_join
+from policylens.operators.joins import salted_join
 from policylens.operators.period import Period, endorsement_row_filter
 from policylens.operators.records import copycoins_record, copymain_record, head_record
 
@@ -43,12 +43,12 @@ ENDORSEMENT_FILL = {
 }
 
 
-def copy_with_head(src, period: Period, head: DataFrame | None = None, hot_heads: list | None = None) -> DataFrame:
+def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFrame:
     """copy main ⟕ head on applyno, filtered to the reporting window (JN-1, FIL-1)."""
     head = head_record(src.head) if head is None else head
     # Heads fan out from the right side, which AQE cannot split for a left join;
-    # hot keys are counted on the raw head extract (no dedupe pass needed).
-    joined = skew_aware_left_join(copymain_record(src.copymain), head, "applyno", hot_from=src.head, hot=hot_heads)
+    # heavy keys are counted on the raw head extract (no dedupe pass needed).
+    joined = salted_join(copymain_record(src.copymain), head, "applyno", count_right=src.head)
     return joined.where(endorsement_row_filter(period))
 
 
@@ -57,12 +57,8 @@ def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSE
     fee = src.fee.select("applyno", "chgpremium", "chgamount", "currency")
     item = src.itemkind.select("applyno", "calculateflag")  # its currency duplicates the fee's
     coins = copycoins_record(src.copycoins)
-    # hot keys of all four fan-out joins, counted in one job
-    hot = hot_keys_many([(src.head, "applyno"), (fee, "applyno"), (item, "applyno"), (coins, "applyno")])
-    joined = copy_with_head(src, period, hot_heads=hot[0])
-    rows = skew_aware_left_join(joined, fee, "applyno", hot=hot[1])
-    rows = skew_aware_left_join(rows, item, "applyno", hot=hot[2])
-    rows = skew_aware_left_join(rows, coins, "applyno", hot=hot[3])
+    rows = salted_join(copy_with_head(src, period), fee, "applyno")
+    rows = salted_join(salted_join(rows, item, "applyno"), coins, "applyno")
     return rows.na.fill({**ENDORSEMENT_FILL, "coinsrate": missing_share})
 
 
@@ -130,13 +126,11 @@ def _dec_times(s: Column, count: Column) -> Column:
     return (F.coalesce(s, F.lit(0).cast(MONEY_SUM)) * count).cast(MONEY_SUM)
 
 
-def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE,
-                       hot_heads: list | None = None) -> DataFrame:
+def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
     """PIPE-1: one row per policyno with the 14 indicators (scaled plan).
     ``missing_share`` is the own share used when an application has no
-    co-insurance row or a null share (1.0: the whole amount).  ``hot_heads``
-    passes hot head keys already counted by the caller."""
-    joined = copy_with_head(src, period, head=head_with_multiplicity(src.head), hot_heads=hot_heads)
+    co-insurance row or a null share (1.0: the whole amount)."""
+    joined = copy_with_head(src, period, head=head_with_multiplicity(src.head))
     rows = (joined
             .join(fee_by_application(src.fee), "applyno", "left_outer")
             .join(items_by_application(src.itemkind), "applyno", "left_outer")

@@ -1,8 +1,9 @@
-"""Join helpers: size-checked broadcast and the skew-aware left join."""
+"""Join helpers: the salted join equals a plain join and spreads heavy and null keys."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from policylens.operators.joins import bounded_broadcast, has_at_most, left_join, skew_aware_left_join
+from policylens.operators.joins import heavy_keys, left_join, salted_join
 
 
 def rows(df):
@@ -10,58 +11,65 @@ def rows(df):
                   key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-def test_skew_aware_left_join_equals_left_join(spark):
+@pytest.fixture
+def sides(spark):
     left = spark.createDataFrame(
-        [("H", 1), ("H", 2), ("a", 3), ("b", 4), (None, 5), ("z", 6)], "k string, l int")
+        [("H", 1), ("H", 2), ("H", 2), ("a", 3), ("b", 4), (None, 5), (None, 5), ("z", 6)], "k string, l int")
     right = spark.range(0, 5000).select(
         F.when(F.col("id") < 4000, F.lit("H")).when(F.col("id") < 4003, F.lit("a"))
         .when(F.col("id") < 4010, F.lit(None)).otherwise(F.lit("b")).alias("k"),
         (F.col("id") % 7).alias("r"))
-    got = skew_aware_left_join(left, right, "k", salts=8, hot_rows=100)
-    assert rows(got) == rows(left_join(left, right, "k"))
-    assert got.where(F.col("k") == "H").count() == 2 * 4000
+    return left, right
 
 
-def test_skew_aware_left_join_without_hot_keys(spark):
-    left = spark.createDataFrame([("a", 1)], "k string, l int")
-    right = spark.createDataFrame([("a", 2), ("a", 3)], "k string, r int")
-    assert rows(skew_aware_left_join(left, right, "k", hot_rows=10)) == rows(left_join(left, right, "k"))
-
+@pytest.mark.parametrize("heavy", ["right", "left", "both", "none"])
+@pytest.mark.parametrize("how", ["left_outer", "inner"])
+def test_salted_join_equals_plain_join(sides, heavy, how):
+    left, right = sides
+    assert rows(salted_join(left, right, "k", how, heavy)) == rows(left.join(right, ["k"], how))
+    assert rows(salted_join(right, left, "k", how, heavy)) == rows(right.join(left, ["k"], how))
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert has_at_most(small, 10) and not has_at_most(small, 9)
-    assert bounded_broadcast(small, 5) is small
 
-
-def test_skew_aware_left_join_spreads_copies(spark):
-    left = spark.createDataFrame([("H", 1), ("a", 2)], "k string, l int")
-    right = spark.range(0, 3000).select(F.lit("H").alias("k"), F.lit(7).alias("r"))   # identical copies
-    got = skew_aware_left_join(left, right, "k", salts=8, hot_rows=100)
-    assert rows(got) == rows(left_join(left, right, "k"))
-    salted = right.withColumn("s", F.pmod(F.xxhash64("k", "r", F.monotonically_increasing_id()), F.lit(8)))
-    assert salted.select("s").distinct().count() == 8
+def test_salted_join_without_heavy_keys_and_without_rows(spark):
+    left = spark.createDataFrame([("a", 1)], "k string, l int")
+    right = spark.createDataFrame([("a", 2), ("a", 3)], "k string, r int")
+    assert rows(salted_join(left, right, "k")) == rows(left_join(left, right, "k"))
+    assert rows(salted_join(left, right.limit(0), "k", heavy="both")) == [("a", 1, None)]
+    assert rows(salted_join(left.limit(0), right, "k", heavy="both")) == []
 
 
-def test_skew_aware_left_join_with_extra_equality(spark):
+def test_composite_keys(spark):
     left = spark.createDataFrame(
         [("H", "p1", 1), ("H", "p2", 2), ("H", None, 3), ("a", "p1", 4), (None, "p1", 5)], "k string, p string, l int")
     right = spark.range(0, 2000).select(
         F.when(F.col("id") < 1900, F.lit("H")).otherwise(F.lit("a")).alias("k"),
         F.when(F.col("id") % 2 == 0, F.lit("p1")).otherwise(F.lit("p9")).alias("p"),
         (F.col("id") % 5).alias("r"))
-    got = skew_aware_left_join(left, right, "k", salts=4, hot_rows=100, also_equal=["p"])
-    expected = left.join(right, ["k", "p"], "left_outer")
-    assert rows(got) == rows(expected)
-
-
-def test_hot_keys_many_counts_all_sides_in_one_job(spark):
-    from policylens.operators.joins import hot_keys, hot_keys_many
-    a = spark.range(0, 500).select(F.when(F.col("id") < 300, "H").otherwise(F.col("id").cast("string")).alias("k"))
-    b = spark.range(0, 500).select((F.col("id") % 2).alias("n"))       # non-string key: 0 and 1 are both hot
-    c = spark.range(0, 10).select(F.col("id").cast("string").alias("k"))
-    got = hot_keys_many([(a, "k"), (b, "n"), (c, "k")], hot_rows=100)
-    assert got[0] == ["H"] and sorted(got[1]) == ["0", "1"] and got[2] == []
-    assert hot_keys(a, "k", 100) == ["H"]
-    left = spark.createDataFrame([(0, "x"), (1, "y"), (2, "z")], "n long, l string")
-    assert rows(skew_aware_left_join(left, b, "n", salts=4, hot=got[1])) == rows(left_join(left, b, "n"))
+    assert rows(salted_join(left, right, ["k", "p"])) == rows(left.join(right, ["k", "p"], "left_outer"))
+
+
+def test_heavy_keys_are_bounded_and_cut_by_their_own_count(spark):
+    df = spark.range(0, 10_000).select(F.when(F.col("id") < 5000, -1).otherwise(F.col("id")).alias("k"))
+    found = {r["k"]: r["pieces"] for r in heavy_keys(df, ["k"], "pieces").collect()}
+    assert found == {-1: 16}                 # half of the rows over 4 pieces for each of 8 partitions
+
+
+def largest_task(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_null_and_heavy_keys_spread_over_tasks(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 40_000).select(
+            F.when(F.col("id") % 20 == 0, F.col("id")).alias("k"), F.col("id").alias("l"))
+        right = spark.range(0, 40_000, 20).select(F.col("id").alias("k"), F.col("id").alias("r"))
+        assert largest_task(salted_join(left, right, "k")) < 2 * 40_000 / 8
+        copies = spark.range(0, 30_000).select(F.lit(0).cast("long").alias("k"), F.lit(7).alias("r"))
+        assert largest_task(salted_join(spark.range(1).withColumnRenamed("id", "k"), copies, "k")) < 2 * 30_000 / 8
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
