@@ -56,8 +56,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh folder is made and set.
+    ``spark.checkpoint.dir`` names a folder that driver and executors share and
+    is used as is.  Where it is unset, a local session (tests) gets a fresh
+    folder; on any other master that would be a different disk on every
+    machine, so it is an error.
     """
     try:
         sc = spark.sparkContext
@@ -68,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="policylens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is None:
         return configured
@@ -75,6 +79,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def workers_import_this(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (a
+    path that executors have too, or a local session); harmless if installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
