@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from policylens.llm.common import read_table
 from policylens.llm.exact_dedup import exact_duplicates
 from policylens.llm.mixing import mix
+from policylens.llm.packing import pack
+from policylens.llm.tokens import with_token_counts
+from policylens.session import workers_import_this
+
+# The vocabulary files; executors have them at the same place.
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+TOKEN_LIMIT = 512
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -56,12 +68,31 @@ FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
       FROM documents) WINDOW g AS (PARTITION BY norm)"""
 
 
-_SPARK: dict[str, QueryFn] = {"op1_mix": op1_mix, "op5_exact_dedup": op5_exact_dedup}
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = with_token_counts(docs, vocabulary("byte_bpe_50k.json"))
+    return rows.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+_SPARK: dict[str, QueryFn] = {
+    "op1_mix": op1_mix, "op5_exact_dedup": op5_exact_dedup, "op6_pack": op6_pack,
+    "op10_token_counts": op10_token_counts,
+}
 _SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL}
 
 
 def spark_queries() -> dict[str, QueryFn]:
-    return dict(_SPARK)
+    def ready(query: QueryFn) -> QueryFn:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_import_this(spark)
+            return query(spark, sf_dir)
+        return run
+
+    return {name: ready(query) for name, query in _SPARK.items()}
 
 
 def oracle_queries() -> dict[str, str]:

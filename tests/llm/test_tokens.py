@@ -1,0 +1,118 @@
+"""Token counts and ids against the tokenizers library; packing against its bounds."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from policylens.llm.packing import IdEncoder, complete_bins, pack, waste_bound
+from policylens.llm.tokens import MergeCounter, with_token_counts
+
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+
+ODD = ["", " ", "a", "  a  b\n\n c", "it's we'll I'D", "x" * 3000, " " * 4000 + "z", "aaaa" * 500, "日本語テキスト 123",
+       "é Å İstanbul ſ ß", "a<|endoftext|>b <|startoftext|>", "<|endoftext|><|endoftext|>", "\x1c\x1d a\x85b\xa0c",
+       "naïve café ¼½² 12345", "🙂🙂 emoji!!! ​", "!!'s ''ll", "\x00\x01\x7f", "tab\tnew\r\nline sep　wide"]
+
+
+def noise(seed, n=150):
+    rnd = random.Random(seed)
+    letters = "abc THE é ñ'sld1²!?\n\t  \x85\xa0ÀÿßΣσςдж中文🙂́\x1c<|endoftext|>"
+    return ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))) for _ in range(n)]
+
+
+def test_counts_equal_the_library():
+    library, ours = Tokenizer.from_file(BYTES), MergeCounter(BYTES)
+    for text in ODD + noise(1):
+        assert ours.count(text) == len(library.encode(text, add_special_tokens=False).ids), text[:80]
+    assert ours.count(None) == 0
+
+
+def test_ids_equal_the_library():
+    library, ours = Tokenizer.from_file(WORDS), IdEncoder(WORDS)
+    assert ours.shortcut
+    for text in ODD + noise(2):
+        ids = np.frombuffer(ours.encode(text), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids, text[:80]
+
+
+def test_token_count_frame(spark):
+    df = spark.createDataFrame([(1, "hello world", "x"), (2, None, None), (1, "hello world", "x"), (None, "", "y")],
+                               "doc_id long, text string, n_token string")
+    got = sorted(map(tuple, with_token_counts(df, BYTES).collect()), key=str)
+    assert got == sorted([(1, "x", 11, 2), (2, None, 0, 0), (1, "x", 11, 2), (None, "y", 0, 0)], key=str)
+    assert with_token_counts(df.limit(0), BYTES).count() == 0
+
+
+def check_patterns(counts, capacity, patterns):
+    used = {}
+    for pattern, times in patterns:
+        assert times > 0 and sum(x * k for x, k in pattern) <= capacity
+        for x, k in pattern:
+            used[x] = used.get(x, 0) + k * times
+    assert used == counts
+    return sum(times for _, times in patterns)
+
+
+def fewest_bins(items, capacity):
+    """Exhaustive: each item into every open bin or a new one."""
+    best = [len(items)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(bins)
+            return
+        for b in range(len(bins)):
+            if bins[b] + items[i] <= capacity and bins[b] not in bins[:b]:
+                bins[b] += items[i]
+                place(i + 1, bins)
+                bins[b] -= items[i]
+        place(i + 1, [*bins, items[i]])
+    place(0, [])
+    return best[0]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_bins_are_as_few_as_exhaustive_search_finds(seed):
+    rnd = random.Random(seed)
+    items = sorted((rnd.randint(1, 30) for _ in range(rnd.randint(1, 10))), reverse=True)
+    counts = {x: items.count(x) for x in items}
+    n = check_patterns(counts, 30, complete_bins(dict(counts), 30))
+    assert waste_bound(counts, 30) <= n == fewest_bins(items, 30)
+
+
+def test_many_items_meet_the_bound():
+    rnd = random.Random(5)
+    lengths = [min(2048, int(rnd.lognormvariate(6, 1)) + 1) for _ in range(200_000)]
+    counts = {}
+    for x in lengths:
+        counts[x] = counts.get(x, 0) + 1
+    n = check_patterns(counts, 2048, complete_bins(dict(counts)))
+    assert n <= waste_bound(counts, 2048) + 1
+    assert complete_bins({}) == []
+
+
+def test_pack_frame(spark):
+    texts = ["", None, "word " * 5000, "a b c", "a b c", "x y"] + [f"some text number {i} " * (i % 300) for i in range(400)]
+    df = spark.createDataFrame([(None if i == 5 else i, t, 7) for i, t in enumerate(texts)],
+                               "doc_id long, text string, rank int")
+    rows = pack(df, WORDS).collect()
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 2048
+    library = Tokenizer.from_file(WORDS)
+    sizes = [len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts]
+    assert sum(r["length"] for r in rows) == sum(sizes)
+    assert sorted(r["length"] for r in rows if r["doc_id"] == 2) == sorted([2048, 2048, sizes[2] - 4096])
+    assert pack(df.where(F.lit(False)), WORDS).count() == 0
