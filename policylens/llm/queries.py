@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from policylens.llm import langid, quality
 from policylens.llm.common import read_table
 from policylens.llm.exact_dedup import exact_duplicates
 from policylens.llm.mixing import mix
+from policylens.llm.near_dedup import near_duplicates
 from policylens.llm.packing import pack
+from policylens.llm.spotsigs import compare_with_next
 from policylens.llm.tokens import with_token_counts
 from policylens.session import workers_import_this
 
@@ -56,6 +59,30 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(CASE WHEN
 FROM p"""
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo ``n``; a null id is no remainder."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out).select("text", "lang"))
+    return langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    model = quality.train(docs, labels.where(~held_out))
+    return quality.score(docs.withColumn("held_out", held_out), model)
+
+
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_duplicates(read_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -72,6 +99,27 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = near_duplicates(read_table(spark, sf_dir, "documents"), size=4)
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id"))
+                       .alias("kept"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS shingles
+  FROM w),
+t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reached = e.a)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id) USING (doc_id)"""
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = with_token_counts(docs, vocabulary("byte_bpe_50k.json"))
@@ -79,10 +127,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SPARK: dict[str, QueryFn] = {
-    "op1_mix": op1_mix, "op5_exact_dedup": op5_exact_dedup, "op6_pack": op6_pack,
+    "op1_mix": op1_mix, "op2_language": op2_language, "op4_fingerprint": op4_fingerprint,
+    "op7_quality": op7_quality, "op5_exact_dedup": op5_exact_dedup, "op6_pack": op6_pack,
+    "op9_near_dedup": op9_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
-_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL}
+_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_near_dedup": OP9_SQL}
 
 
 def spark_queries() -> dict[str, QueryFn]:
