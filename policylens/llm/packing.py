@@ -77,8 +77,6 @@ class IdEncoder:
         self.known: dict[str, bytes] = {}
 
     def _learn(self, missing: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         for at in range(0, len(missing), 500):
             part = missing[at:at + 500]
             ids = np.array(self.chunks.encode("\n".join(part), add_special_tokens=False).ids, "<u4")
@@ -98,6 +96,8 @@ class IdEncoder:
         try:
             return b"".join(map(get, chunks))
         except KeyError:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
             self._learn([c for c in set(chunks) if c not in self.known])
         return b"".join(map(self.known.__getitem__, chunks))
 

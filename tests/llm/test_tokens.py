@@ -39,6 +39,16 @@ def test_ids_equal_the_library():
         assert ids == library.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+def test_a_full_memory_starts_anew(monkeypatch):
+    monkeypatch.setattr("policylens.llm.packing.REMEMBERED", 20)
+    monkeypatch.setattr("policylens.llm.tokens.REMEMBERED", 20)
+    library, ids, counts = Tokenizer.from_file(WORDS), IdEncoder(WORDS), MergeCounter(BYTES)
+    for i in range(40):
+        text = " ".join(f"same word{i + j}" for j in range(i % 7 * 4))
+        assert np.frombuffer(ids.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert counts.count(text) == MergeCounter(BYTES).count(text) if i % 10 == 0 else True
+
+
 def test_token_count_frame(spark):
     df = spark.createDataFrame([(1, "hello world", "x"), (2, None, None), (1, "hello world", "x"), (None, "", "y")],
                                "doc_id long, text string, n_token string")
