@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policylens.llm import langid, quality
+from policylens.llm import langid, pii, quality
 from policylens.llm.common import read_table
 from policylens.llm.exact_dedup import exact_duplicates
 from policylens.llm.mixing import mix
@@ -83,6 +83,11 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(read_table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.personal_data(docs, pii.train(docs))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_duplicates(read_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -128,7 +133,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SPARK: dict[str, QueryFn] = {
     "op1_mix": op1_mix, "op2_language": op2_language, "op4_fingerprint": op4_fingerprint,
-    "op7_quality": op7_quality, "op5_exact_dedup": op5_exact_dedup, "op6_pack": op6_pack,
+    "op7_quality": op7_quality, "op8_pii": op8_pii,
+    "op5_exact_dedup": op5_exact_dedup, "op6_pack": op6_pack,
     "op9_near_dedup": op9_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
