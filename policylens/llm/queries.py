@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policylens.llm import langid, pii, quality
+from policylens.llm import langid, lm, pii, quality
 from policylens.llm.common import read_table
 from policylens.llm.exact_dedup import exact_duplicates
 from policylens.llm.mixing import mix
@@ -79,6 +79,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs.withColumn("held_out", held_out), model)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(7) == 2, F.lit(False))
+    return lm.score(docs.select("doc_id", "text", held_out.alias("held_out")))
+
+
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(read_table(spark, sf_dir, "documents"))
 
@@ -132,7 +138,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SPARK: dict[str, QueryFn] = {
-    "op1_mix": op1_mix, "op2_language": op2_language, "op4_fingerprint": op4_fingerprint,
+    "op1_mix": op1_mix, "op2_language": op2_language, "op3_lm_score": op3_lm_score,
+    "op4_fingerprint": op4_fingerprint,
     "op7_quality": op7_quality, "op8_pii": op8_pii,
     "op5_exact_dedup": op5_exact_dedup, "op6_pack": op6_pack,
     "op9_near_dedup": op9_near_dedup,
