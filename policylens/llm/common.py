@@ -3,7 +3,6 @@ in the shared folder, and prefix sums over a total order."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,18 +12,11 @@ from policylens.session import scratch_path
 
 # A word is a run of anything but the six ASCII white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-words = re.compile(WORD_PATTERN).findall
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_ASCII_LOWER = str.maketrans(UPPER, LOWER)
-
-
-def ascii_lower(text: str) -> str:
-    """Lower-case A-Z and nothing else."""
-    return text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
 
 
 def lower_az(text: Column) -> Column:
-    """``ascii_lower`` as a column; null counts as empty."""
+    """A-Z lower-cased and nothing else; null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 

@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from policylens.llm.common import ascii_lower, shuffle_partitions, stage, words
-from policylens.llm.near_dedup import _mix, word_hashes
+from policylens.llm.common import shuffle_partitions, stage
+from policylens.llm.hashing import mix, word_hashes
 from policylens.llm.trie import NgramTrie, build_trie
 from policylens.session import scratch_path
 
@@ -92,14 +92,13 @@ def grouped(docs: DataFrame, group_words: int) -> DataFrame:
             id_type = batch.column("doc_id").type
             for doc_id, text, out in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "held_out")),
                                          strict=True):
-                found = words(ascii_lower(text)) if text else []
-                h = np.fromiter(map(word_hashes.__getitem__, found), np.uint64, len(found))
+                h = word_hashes(text)
                 h[h <= BEGIN] += np.uint64(3)             # the two hashes that are taken
                 hashes.append(np.append(h, END))
                 ids.append(doc_id)
                 held.append(out)
-                lengths.append(len(found) + 1)
-                count += len(found) + 1
+                lengths.append(len(h) + 1)
+                count += len(h) + 1
                 if count >= group_words:
                     yield flush()
                     ids, held, hashes, lengths, count, made = [], [], [], [], 0, made + 1
@@ -136,7 +135,7 @@ class Group:
         Returns their hashes and training counts."""
         codes, self.pair_of = np.unique(self.last * (self.size + 1) + self.tokens, return_inverse=True)
         self.pair_last, self.pair_word = np.divmod(codes, self.size + 1)
-        keys = _mix(self.hashes[self.pair_last] * _FIRST + self.hashes[self.pair_word] * _SECOND)
+        keys = mix(self.hashes[self.pair_last] * _FIRST + self.hashes[self.pair_word] * _SECOND)
         return keys, np.bincount(self.pair_of[self.learn], minlength=len(codes))
 
     def triples(self, pair_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +149,7 @@ class Group:
                                           return_inverse=True)
         self.triple_node, self.triple_word = np.divmod(codes, self.size + 1)
         first, middle = self.pair_last[self.triple_node], self.pair_word[self.triple_node]
-        keys = _mix(_mix(self.hashes[first] * _FIRST + self.hashes[middle] * _SECOND) * _THIRD
+        keys = mix(mix(self.hashes[first] * _FIRST + self.hashes[middle] * _SECOND) * _THIRD
                     + self.hashes[self.triple_word])
         return keys, np.bincount(self.triple_of[self.learn[at]], minlength=len(codes))
 

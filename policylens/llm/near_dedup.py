@@ -33,49 +33,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from policylens.llm.common import ascii_lower, stage, words
+from policylens.llm.common import stage
 from policylens.llm.components import components
+from policylens.llm.hashing import mix, word_hashes
 from policylens.operators.joins import salted_join
 
 SHINGLE = 5
 THRESHOLD = 80           # percent
 BINS, ROWS_PER_BAND = 128, 4
 BLOCK = 256
-REMEMBERED = 1_000_000
 _ATTEMPTS = 64
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; a full memory starts anew."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-
-word_hashes = WordHashes()
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijective finaliser of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles."""
-    found = words(ascii_lower(text)) if text else []
-    if not found:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(word_hashes.__getitem__, found), np.uint64, len(found))
+    h = word_hashes(text)
+    if not len(h):
+        return h
     n = max(1, len(h) - size + 1)
     out = np.full(n, min(len(h), size), np.uint64)
     for k in range(min(len(h), size)):
         out = out * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n]
-    return np.unique(_mix(out))
+    return np.unique(mix(out))
 
 
 _RNG = np.random.default_rng(20240229)
@@ -100,7 +79,7 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
             donor[missed] = have[np.searchsorted(have, empty[missed]) % len(have)]
         value[empty] = value[donor]
     bands = value.reshape(-1, ROWS_PER_BAND) * _BAND_FACTORS
-    return _mix(bands.sum(axis=1, dtype=np.uint64) + np.arange(1, len(bands) + 1, dtype=np.uint64))
+    return mix(bands.sum(axis=1, dtype=np.uint64) + np.arange(1, len(bands) + 1, dtype=np.uint64))
 
 
 def _list_column(parts: list[np.ndarray]) -> pa.Array:

@@ -18,24 +18,20 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from policylens.llm.common import shuffle_partitions, stage
-from policylens.llm.near_dedup import _mix
-from policylens.llm.tokens import is_latin
+from policylens.llm.hashing import LETTERS_DIGITS, mix, run_hashes
 
 CHAIN = 3
-REMEMBERED = 1_000_000
 # Common words of English, German, French and Spanish.
 COMMON_WORDS = frozenset((
     "a an and are as at be but by for from had has have he her his if in into is it its not of on or she that the their "
@@ -47,45 +43,27 @@ COMMON_WORDS = frozenset((
     "al con del desde e el ella ellos era esta este fue ha hay las lo los más me muy ni no o para pero por sin sobre "
     "su sus también te tiene todo una unos ya").split())
 
-_latin_runs = re.compile("[0-9a-zªµºß-öø-ÿ²³¹¼-¾]+").findall
-_any_runs = regex.compile(r"[\p{L}\p{M}\p{N}]+").findall
-
-
-class _Marked(dict):
-    """Word hashes whose two lowest bits say what the word is: 3 a common
-    word, 1 a content word that is an anchor too, 0 another content word."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        mark = 3 if word in COMMON_WORDS else int(h >> 60 == 0)
-        value = self[word] = h & ~3 | mark
-        return value
-
-
-_marked = _Marked()
+_COMMON_HASHES = np.sort(np.concatenate([run_hashes(w.encode(), LETTERS_DIGITS) for w in sorted(COMMON_WORDS)]))
 
 
 def signatures(text: str | None) -> np.ndarray:
     """Sorted distinct 32-bit signatures of a text."""
     if not text:
         return np.empty(0, np.uint32)
-    lower = text.lower()
-    found = _latin_runs(lower) if is_latin(lower) else _any_runs(lower)
-    if not found:
+    h = run_hashes(text.lower().encode("utf-8", "surrogatepass"), LETTERS_DIGITS)
+    if not len(h):
         return np.array([xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass"))], np.uint32)
+    at = np.searchsorted(_COMMON_HASHES, h)
+    common = _COMMON_HASHES[np.minimum(at, len(_COMMON_HASHES) - 1)] == h
+    content = np.flatnonzero(~common)
     # the start of the text stands before the first word
-    h = np.fromiter(map(_marked.__getitem__, found), np.uint64, len(found))
-    kind = h & np.uint64(3)
-    content = np.flatnonzero(kind != 3)
-    anchors = np.concatenate([[-1], np.flatnonzero(kind != 0)])
+    anchors = np.concatenate([[-1], np.flatnonzero(common | (h >> np.uint64(60) == 0))])
     chain = np.searchsorted(content, anchors, "right")
     words = np.concatenate([h[content], np.zeros(CHAIN, np.uint64)])
     out = np.where(anchors < 0, np.uint64(7), h[anchors])
     for k in range(CHAIN):
         out = out * np.uint64(0x9E3779B97F4A7C15) + words[np.minimum(chain + k, len(words) - 1)]
-    return np.unique((_mix(out) >> np.uint64(32)).astype(np.uint32))
+    return np.unique((mix(out) >> np.uint64(32)).astype(np.uint32))
 
 
 def fingerprint(signed: np.ndarray) -> str:
