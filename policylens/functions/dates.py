@@ -1,8 +1,9 @@
 """Date column builders.
 
 Extract dates are text: ``yyyy-MM-dd HH:mm:ss[.fff]``, the same with ``/``,
-or a bare date.  They are parsed to ``TIMESTAMP_NTZ`` so no session time zone
-enters any comparison; text that is not a valid date becomes null.
+or a bare date, with white space around or without.  They are parsed to
+``TIMESTAMP_NTZ`` so no session time zone enters any comparison; all other
+text (a year alone, an offset, a day that does not exist) becomes null.
 """
 
 from __future__ import annotations
@@ -12,12 +13,18 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from policylens.functions.flags import trimmed
 from policylens.functions.util import as_col
 
 
+# Fixed value: the accepted shapes, after "/" became "-".
+DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,9})?)?$"
+
+
 def parse_ts(s: Column | str) -> Column:
-    """Text → timestamp_ntz: '/' becomes '-', invalid text → null."""
-    return F.replace(as_col(s), F.lit("/"), F.lit("-")).try_cast("timestamp_ntz")
+    """Text → timestamp_ntz: '/' becomes '-', text of another shape → null."""
+    text = F.replace(trimmed(s), F.lit("/"), F.lit("-"))
+    return F.when(text.rlike(DATE_SHAPE), text).try_cast("timestamp_ntz")
 
 
 def later(d1: Column | str, d2: Column | str) -> Column:

@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from policylens.functions.util import as_col
 
 
+# Fixed value: the characters a trim removes, everything up to the space.
+TRIMMED = "".join(map(chr, range(33)))
+
+
+def trimmed(s: Column | str) -> Column:
+    return F.btrim(as_col(s), F.lit(TRIMMED))
+
+
 def char_at(s: Column | str, index: int) -> Column:
     """Character at 0-based ``index``; null for null text, "" past the end."""
     return F.substring(as_col(s), index + 1, 1)
@@ -21,7 +29,7 @@ def char_at(s: Column | str, index: int) -> Column:
 
 def flag_in(s: Column | str, index: int, *values: str) -> Column:
     """1 when the trimmed character at ``index`` is one of ``values``, else 0."""
-    return F.coalesce(F.trim(char_at(s, index)).isin(*values).cast("int"), F.lit(0))
+    return F.coalesce(trimmed(char_at(s, index)).isin(*values).cast("int"), F.lit(0))
 
 
 def is_null_flag(s: Column | str) -> Column:
@@ -51,4 +59,4 @@ def in_set(s: Column | str, values: Iterable[str]) -> Column:
 
 def not_in_set_trimmed(s: Column | str, values: Iterable[str]) -> Column:
     """1 when the trimmed value is not one of ``values``; 0 for a member or null."""
-    return F.coalesce((~F.trim(as_col(s)).isin(*list(values))).cast("int"), F.lit(0))
+    return F.coalesce((~trimmed(s).isin(*list(values))).cast("int"), F.lit(0))

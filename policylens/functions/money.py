@@ -2,10 +2,12 @@
 
 Per-row amounts stay ``double``.  Amounts that are summed are exact: a
 money addend is the nearest whole number of micro-units (10^-6, ties to
-even), summed as ``long`` (fast, and order-independent); a share is a
-``decimal(11,6)``, so a product of an amount and a share is exact at 12
-decimals.  Sums therefore do not depend on the order in which executors add
-them.  Aggregated results are returned as ``double``.
+even), summed as a decimal; a share is a percentage with 8 decimals, its sum
+over any number of rows a whole number of percents and a fraction of one.
+An amount times such a sum is kept as these two parts, each exact and wide
+enough for any corpus, and only the last sum is put together.  Sums
+therefore do not depend on the order in which executors add them, and no
+number of rows ends the job.  Aggregated results are returned as ``double``.
 """
 
 from __future__ import annotations
@@ -20,8 +22,11 @@ from policylens.functions.util import as_col
 
 MONEY = T.DecimalType(20, 6)       # one money addend
 MONEY_SUM = T.DecimalType(26, 6)   # a sum of addends times a row multiplicity
-RATE_SUM = T.DecimalType(11, 6)    # a share, or a sum of shares
-PRODUCT = T.DecimalType(38, 12)    # MONEY_SUM * RATE_SUM, exact
+PERCENT = T.DecimalType(20, 8)     # a share in percent
+COUNT = T.DecimalType(20, 0)       # a row count, or a product of counts
+WHOLE = T.DecimalType(38, 8)       # MONEY_SUM times whole percents, in the unit of the amount
+PART = T.DecimalType(36, 16)       # MONEY_SUM times a fraction of a percent
+EXACT_BELOW = Decimal(10 ** 19)   # sums below this are put together without rounding
 
 
 def co_insured(x: Column | str, coinsflag: Column | str, rate: Column | str) -> Column:
@@ -36,7 +41,7 @@ def micros(x: Column | str) -> Column:
 
 def from_micros(m: Column | str) -> Column:
     """Whole micro-units → an exact ``MONEY_SUM`` decimal."""
-    return (as_col(m).cast(T.DecimalType(26, 0)) * F.lit(Decimal("0.000001"))).cast(MONEY_SUM)
+    return (as_col(m).cast(T.DecimalType(29, 0)) * F.lit(Decimal("0.000001"))).cast(MONEY_SUM)
 
 
 def money(x: Column | str) -> Column:
@@ -46,3 +51,25 @@ def money(x: Column | str) -> Column:
 
 def percent_to_fraction(x: Column | str) -> Column:
     return as_col(x) / 100
+
+
+def sum_micros(m: Column | str) -> Column:
+    """The sum of whole micro-units, for any number of rows."""
+    return F.sum(as_col(m).cast(T.DecimalType(19, 0)))
+
+
+def shared_parts(amount: Column, percents: Column) -> tuple[Column, Column]:
+    """``amount`` (``MONEY_SUM``) times a sum of percents, over 100: the part of
+    the whole percents and the part of the fraction of one."""
+    whole = F.floor(percents)
+    hundredth = F.lit(Decimal("0.01"))
+    part = (percents - whole).cast(T.DecimalType(8, 8))
+    return ((amount * whole.cast(COUNT)).cast(T.DecimalType(35, 6)) * hundredth).cast(WHOLE), \
+        (amount * part * hundredth).cast(PART)
+
+
+def sum_of_parts(whole: str, part: str) -> Column:
+    """The sum of amounts kept in two parts, as ``double``."""
+    a, b = F.sum(whole), F.sum(part)
+    exact = (a.cast(T.DecimalType(28, 8)) + b.cast(PART)).cast("double")
+    return F.when(F.abs(a) < EXACT_BELOW, exact).otherwise(a.cast("double") + b.cast("double"))

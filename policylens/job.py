@@ -22,7 +22,7 @@ from pyspark.sql import SparkSession
 
 from policylens import schemas
 from policylens.operators.period import Period
-from policylens.session import CLUSTER_CONF, shuffle_partitions_for
+from policylens.session import CLUSTER_CONF, scratch_path, shuffle_partitions_for
 from policylens.sources import files, sinks
 from policylens.sources.adapter import EXTRACT_SCHEMA_NAMES, Sources
 
@@ -49,6 +49,19 @@ def read_extracts(spark: SparkSession, base: str, overrides: dict[str, str], sep
     return Sources(**frames)
 
 
+def ingested(src: Sources) -> Sources:
+    """Each text extract read and parsed once, into Parquet in the shared folder:
+    counting heavy keys and joining then read single columns of it."""
+    out = {}
+    for name, df in src.__dict__.items():
+        if df is not None:
+            path = scratch_path(df.sparkSession, f"extract-{name}")
+            df.write.parquet(path)
+            df = df.sparkSession.read.schema(df.schema).parquet(path)
+        out[name] = df
+    return Sources(**out)
+
+
 WIDE_INPUTS = ["copymain", "head", "fee", "itemkind", "copycoins", "policy", "policy_coins", "vehicle", "company"]
 PLAIN_INPUTS = ["policy2", "head2", "fee2", "profit2", "vehicle2", "pmain2", "itemkind2"]
 
@@ -66,6 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--sep")
     ap.add_argument("--key-width", type=int, default=22)
     ap.add_argument("--single-file", action="store_true")
+    ap.add_argument("--header", action="store_true", help="write a header line to the CSV")
     ap.add_argument("--input-bytes", type=int,
                     help="total extract size; sets spark.sql.shuffle.partitions to keep partitions ~256 MiB")
     args = ap.parse_args(argv)
@@ -85,14 +99,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             ap.error("wide needs --start and --end")
         period = Period.of(args.start, args.end, args.prior_start, args.prior_end)
         src = read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, WIDE_INPUTS)
-        out = sinks.write_csv_per_window(policy_wide_table(src, period), args.out, period,
-                                         single_file=args.single_file)
-        print(f"{out}\t{sinks.written_count(spark, out, 'csv', header=True)}")
+        out, rows = sinks.write_csv_per_window(policy_wide_table(ingested(src), period), args.out, period,
+                                               header=args.header, single_file=args.single_file)
     else:
         from policylens.plans.plain import plain_wide_table
         src = read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, PLAIN_INPUTS)
-        out = sinks.write_parquet(plain_wide_table(src), args.out, files=1 if args.single_file else None)
-        print(f"{out}\t{sinks.written_count(spark, out)}")
+        out, rows = sinks.write_parquet(plain_wide_table(ingested(src)), args.out, files=1 if args.single_file else None)
+    print(f"{out}\t{rows}")
     return 0
 
 

@@ -44,8 +44,9 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], pieces: str) -> DataFrame:
 
 
 def _row_salt(df: DataFrame, pieces: Column) -> Column:
-    """A piece per row.  The row id spreads identical copies; over a file scan
-    it is the same when a task is recomputed."""
+    """A piece per row.  The row id spreads identical copies; a heavy side is a
+    file scan or a staged table, where the id is the same when a task is
+    recomputed."""
     return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()),
                   pieces).cast("int")
 
@@ -55,7 +56,8 @@ def _every_piece(pieces: str) -> Column:
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left_outer",
-                heavy: str = "right", count_right: DataFrame | None = None) -> DataFrame:
+                heavy: str = "right", count_right: DataFrame | None = None,
+                spread_by: Sequence[str] | None = None) -> DataFrame:
     """``left.join(right, keys, how)`` for ``how`` "left_outer" or "inner", with
     heavy keys of the ``heavy`` side ("left", "right", "both" or "none") cut in
     pieces.  "none" is for keys known to be unique on both sides.
@@ -64,8 +66,10 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
     the other side's rows of that key are copied to every piece.  A left outer
     join drops the copies that met no row in their piece: a key that is heavy
     on the right has a match in another piece.  Left rows with a null key match
-    nothing and are spread over all tasks.  ``count_right`` is a cheaper frame
-    to count right keys on, with the same rows per key (default: ``right``).
+    nothing and are spread over all tasks by a hash of ``spread_by`` (default:
+    every column; naming a few lets the others be pruned).  ``count_right`` is
+    a cheaper frame to count right keys on, with the same rows per key (default:
+    ``right``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     l_cols = list(left.columns)
@@ -75,6 +79,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
     for k in keys:
         null_key = null_key | F.col(k).isNull()
 
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or l_cols)]),
+                    F.lit(_partitions(left))).cast("int")
     l, r, on = left, right.withColumn("_hit", F.lit(True)), list(keys)
     if heavy in ("right", "both"):
         table = heavy_keys((right if count_right is None else count_right).select(*keys), keys, "_rp")
@@ -85,12 +91,12 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
     if heavy in ("left", "both"):
         table = heavy_keys(left.select(*keys), keys, "_lp")
         l = l.join(F.broadcast(table), keys, "left_outer").withColumn(
-            "_ls", F.when(null_key, _row_salt(left, F.lit(_partitions(left)))).when(F.col("_lp").isNull(), 0)
+            "_ls", F.when(null_key, spread).when(F.col("_lp").isNull(), 0)
             .otherwise(_row_salt(left, F.col("_lp")))).drop("_lp")
         r = r.join(F.broadcast(table), keys, "left_outer").withColumn("_ls", _every_piece("_lp")).drop("_lp")
         on.append("_ls")
     elif outer:
-        l = l.withColumn("_ls", F.when(null_key, _row_salt(left, F.lit(_partitions(left)))).otherwise(0))
+        l = l.withColumn("_ls", F.when(null_key, spread).otherwise(0))
         # zero, but not as a literal: the optimizer would drop it from the join keys
         r = r.withColumn("_ls", F.pmod(F.hash(*keys), F.lit(1)))
         on.append("_ls")

@@ -31,12 +31,25 @@ def _pick(index: str, values) -> str:
     return f"CASE {index} {arms} END"
 
 
+def trimmed(s: str) -> str:
+    return f"regexp_replace({s}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
 def parse(s: str) -> str:
-    return f"TRY_CAST(replace({s}, '/', '-') AS TIMESTAMP)"
+    text = f"replace({trimmed(s)}, '/', '-')"
+    return (f"CASE WHEN regexp_full_match({text}, '\\d{{4}}-\\d\\d?-\\d\\d?( \\d\\d?:\\d\\d?:\\d\\d?([.]\\d{{1,9}})?)?') "
+            f"THEN TRY_CAST({text} AS TIMESTAMP) END")
 
 
 def flag_in(s: str, index: int, *values: str) -> str:
-    return f"COALESCE(CAST(trim(substring({s}, {index + 1}, 1)) IN ({_q(values)}) AS INTEGER), 0)"
+    return f"COALESCE(CAST({trimmed(f'substring({s}, {index + 1}, 1)')} IN ({_q(values)}) AS INTEGER), 0)"
+
+
+_PERCENT = "CASE WHEN k % 33 = 0 THEN CAST(33.33333333 AS DOUBLE) ELSE CAST(20 + k % 60 AS DOUBLE) END"
+
+
+def _unless(matches: str, key: str) -> str:
+    return f"CASE WHEN {matches} THEN {key} ELSE 'X' || substring({key}, 2) END"
 
 
 def ts(value) -> str:
@@ -86,7 +99,8 @@ policy_k AS (
     CAST(c_nationkey AS VARCHAR) AS comcode,
     CASE WHEN k % 89 = 0 THEN NULL ELSE {_txt(_days('o_orderdate', 'k % 11 - 5'), k)} END AS underwriteenddate,
     {_txt('o_orderdate', k)} AS startdate,
-    {_txt(_days('o_orderdate', 'k % 40 - 20'), k)} AS operatedate,
+    CASE WHEN k % 101 = 0 THEN '2013' WHEN k % 103 = 0 THEN '2013/5' ELSE
+      ({_txt(_days('o_orderdate', 'k % 40 - 20'), k)}) || CASE WHEN k % 107 = 0 THEN '+08:00' ELSE '' END END AS operatedate,
     {_pick('k % 6', UNDERWRITE_FLAGS)} AS underwriteflag,
     CASE WHEN o_orderpriority = '1-URGENT' THEN '1' WHEN o_orderpriority = '2-HIGH' THEN '2' ELSE '0' END AS coinsflag,
     o_totalprice AS sumpremium,
@@ -99,7 +113,7 @@ policy_k AS (
       CAST(k % 4 AS VARCHAR) || '00' || CASE WHEN k % 5 = 0 THEN '1' ELSE '0' END || '0'
       || CASE WHEN k % 10 = 0 THEN '1' ELSE '0' END || CASE WHEN k % 7 = 0 THEN 'N' ELSE 'Y' END END AS othflag,
     CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS contractno,
-    CAST(o_custkey AS VARCHAR) AS insuredcode
+    CASE WHEN k % 83 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS insuredcode
   FROM base),
 policy AS (SELECT * EXCLUDE (k) FROM policy_k),
 apps AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_shipdate) AS sd FROM lineitem GROUP BY l_orderkey, l_linenumber),
@@ -140,15 +154,15 @@ itemkind AS (
   SELECT applyno, calc1 AS calculateflag, currency, chgamount, chgpremium, policyno FROM item_base
   UNION ALL
   SELECT applyno, 'Y' AS calculateflag, currency, chgamount, chgpremium, policyno FROM item_base WHERE k % 17 = 0),
-copycoins AS (SELECT applyno, CAST(20 + k % 60 AS DOUBLE) AS coinsrate FROM copy_all WHERE k % 3 = 0),
-policy_coins AS (SELECT proposalno, CAST(20 + k % 60 AS DOUBLE) / 100.0 AS coinsrate FROM policy_k WHERE k % 3 = 0),
+copycoins AS (SELECT {_unless('k % 3 = 0', 'applyno')} AS applyno, {_PERCENT} AS coinsrate FROM copy_all),
+policy_coins AS (SELECT {_unless('k % 3 = 0', 'proposalno')} AS proposalno, {_PERCENT} / 100.0 AS coinsrate FROM policy_k),
 company AS (
   SELECT CAST(n.n_nationkey AS VARCHAR) AS comcode, n.n_name AS comcname,
     'N' || CAST(n.n_nationkey AS VARCHAR) AS comshortname, lower(n.n_name) AS comename, r.r_name AS addresscname,
     lower(r.r_name) AS addressename, CAST(n.n_regionkey AS VARCHAR) AS comtype, '2' AS comlevel, '1' AS comkind
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
 vehicle AS (
-  SELECT lpad(CAST(o_orderkey AS VARCHAR), 22, '0') AS proposalno,
+  SELECT {_unless('o_orderkey % 8 <> 0', "lpad(CAST(o_orderkey AS VARCHAR), 22, '0')")} AS proposalno,
     'C' || CAST(o_orderkey AS VARCHAR) AS carid,
     'L' || CAST(o_orderkey % 100000 AS VARCHAR) AS licenseno,
     'V' || lpad(CAST(o_orderkey AS VARCHAR), 16, '0') AS vinno,
@@ -159,7 +173,7 @@ vehicle AS (
     '0' AS toncount, '1.6' AS exhaustscale,
     CAST(o_orderkey % 15 AS VARCHAR) AS useyears,
     'F42' AS clausetype, 'A0' AS carkindcode
-  FROM orders WHERE o_orderkey % 8 <> 0),
+  FROM orders),
 policy2 AS (
   SELECT policyno, proposalno, startdate, enddate, underwriteenddate, comcode, riskcode, sumpremium, sumamount
   FROM policy),
@@ -169,16 +183,16 @@ head2 AS (
   FROM head_k),
 fee2 AS (SELECT applyno, chgamount, chgpremium, currency FROM fee),
 profit2 AS (
-  SELECT lpad(CAST(o_orderkey AS VARCHAR), 22, '0') AS proposalno, o_totalprice * 0.12 AS profit,
+  SELECT {_unless('o_orderkey % 5 <> 1', "lpad(CAST(o_orderkey AS VARCHAR), 22, '0')")} AS proposalno, o_totalprice * 0.12 AS profit,
          CAST(0.12 AS DOUBLE) AS profitrate
-  FROM orders WHERE o_orderkey % 5 <> 1),
+  FROM orders),
 vehicle2 AS (SELECT proposalno, licenseno FROM vehicle),
 pmain2 AS (SELECT applyno, sumpremium * 0.01 AS chgpremium, coinsflag, othflag, riskcode FROM copy_endorse),
 itemkind2 AS (SELECT applyno, calculateflag, chgamount, chgpremium, currency, policyno FROM itemkind),
 claims AS (
   SELECT 'P' || CAST(l_orderkey AS VARCHAR) AS policyno, {_txt('l_shipdate', 'l_orderkey')} AS claimtime,
-         l_extendedprice * l_discount AS paid
-  FROM lineitem WHERE l_returnflag = 'R')"""
+         CASE WHEN l_returnflag = 'R' THEN l_extendedprice * l_discount ELSE 0.0 END AS paid
+  FROM lineitem)"""
 
     # -- typed records ----------------------------------------------------------------------
     @staticmethod
@@ -199,9 +213,9 @@ head_r AS (
     greatest({parse('validdate')}, {parse('underwriteenddate')}) AS maxValiddateAndWritedate,
     COALESCE(CAST((contains(endortype, '21') OR contains(endortype, '10')) AS INTEGER), 0) AS tuibaoflag,
     COALESCE(CAST(endortype IN ('19', 'N1') AS INTEGER), 0) AS policycancelflag,
-    COALESCE(CAST(NOT (trim(endortype) IN ('19', 'N1', '21', '10')) AS INTEGER), 0) AS decreaseNotcancelflag
+    COALESCE(CAST(NOT ({trimmed('endortype')} IN ('19', 'N1', '21', '10')) AS INTEGER), 0) AS decreaseNotcancelflag
   FROM head),
-copycoins_r AS (SELECT applyno, coinsrate / 100 AS coinsrate FROM copycoins),
+copycoins_r AS (SELECT applyno, coinsrate / 100 AS coinsrate, coinsrate AS percent FROM copycoins),
 policy_r AS (
   SELECT proposalno, policyno, riskcode, comcode,
     {parse('underwriteenddate')} AS underwriteenddate, {parse('startdate')} AS startdate,
@@ -228,11 +242,11 @@ policy_r AS (
         return f"""
 ce_joined AS (SELECT * FROM copymain_r LEFT JOIN head_r USING (applyno) WHERE {self.fil1()}),
 endo_raw AS (
-  SELECT j.*, f.chgpremium, f.chgamount, f.currency, i.calculateflag, c.coinsrate
+  SELECT j.*, f.chgpremium, f.chgamount, f.currency, i.calculateflag, c.coinsrate, c.percent
   FROM ce_joined j LEFT JOIN fee f USING (applyno) LEFT JOIN itemkind i USING (applyno)
   LEFT JOIN copycoins_r c USING (applyno)),
 endo_rows AS (
-  SELECT * REPLACE (COALESCE(coinsrate, 1.0) AS coinsrate, COALESCE(tuibaoflag, 0) AS tuibaoflag,
+  SELECT * REPLACE (COALESCE(coinsrate, 1.0) AS coinsrate, COALESCE(percent, 100.0) AS percent, COALESCE(tuibaoflag, 0) AS tuibaoflag,
     COALESCE(policycancelflag, 0) AS policycancelflag, COALESCE(decreaseNotcancelflag, 0) AS decreaseNotcancelflag,
     COALESCE(chgpremium, 0.0) AS chgpremium, COALESCE(underwriteflag, 0) AS underwriteflag,
     COALESCE(chgamount, 0.0) AS chgamount)
@@ -253,13 +267,14 @@ endo_gates AS (
 
     @staticmethod
     def _own_dec(x: str) -> str:
-        m = (f"CAST(CAST(CAST(round_even(COALESCE({x}, 0.0) * 1000000.0, 0) AS BIGINT) AS DECIMAL(26,0)) "
-             f"* CAST(0.000001 AS DECIMAL(6,6)) AS DECIMAL(20,6))")
-        return f"(CASE WHEN coinsflag = 1 THEN {m} * CAST(coinsrate AS DECIMAL(11,6)) ELSE {m} END)"
+        # the definition in exact decimals: amount times percent over 100, one row at a time
+        m = f"CAST(round_even(COALESCE({x}, 0.0), 6) AS DECIMAL(20,6))"
+        return (f"(CASE WHEN coinsflag = 1 THEN {m} * CAST(CAST(percent AS DECIMAL(14,8)) * 0.01 AS DECIMAL(16,10)) "
+                f"ELSE {m} END)")
 
     def endorsement_indicator_exprs(self, exact: bool) -> dict[str, str]:
         own = self._own_dec if exact else self._own
-        z = "CAST(0 AS DECIMAL(38,12))" if exact else "0.0"
+        z = "CAST(0 AS DECIMAL(38,16))" if exact else "0.0"
         inc = "g_ok AND t_endorse"
         sur = "g_ok AND tuibaoflag = 1 AND t_surr"
         can = "g_ok AND policycancelflag = 1 AND t_surr"

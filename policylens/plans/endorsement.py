@@ -18,8 +18,8 @@ materialising the fan-out:
   gate, a decimal sum and integer counts (exact, by distributivity);
 * the final ``groupBy(policyno)`` is a partial + final hash aggregate.
 
-Exact decimals make the result independent of the order of addition, so it
-equals the row-level definition to the last digit.
+Exact decimals make the result independent of the order of addition; it
+equals the row-level definition summed exactly.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from policylens.functions.money import MONEY_SUM, PRODUCT, RATE_SUM, from_micros, micros, money
+from policylens.functions.money import (
+    COUNT, MONEY_SUM, PART, PERCENT, WHOLE, from_micros, micros, money, shared_parts, sum_micros, sum_of_parts,
+)
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
 )
@@ -48,7 +50,8 @@ def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFr
     head = head_record(src.head) if head is None else head
     # Heads fan out from the right side, which AQE cannot split for a left join;
     # heavy keys are counted on the raw head extract (no dedupe pass needed).
-    joined = salted_join(copymain_record(src.copymain), head, "applyno", count_right=src.head)
+    joined = salted_join(copymain_record(src.copymain), head, "applyno", count_right=src.head,
+                         spread_by=["policyno"])
     return joined.where(endorsement_row_filter(period))
 
 
@@ -57,8 +60,9 @@ def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSE
     fee = src.fee.select("applyno", "chgpremium", "chgamount", "currency")
     item = src.itemkind.select("applyno", "calculateflag")  # its currency duplicates the fee's
     coins = copycoins_record(src.copycoins)
-    rows = salted_join(copy_with_head(src, period), fee, "applyno")
-    rows = salted_join(salted_join(rows, item, "applyno"), coins, "applyno")
+    rows = salted_join(copy_with_head(src, period), fee, "applyno", spread_by=["policyno"])
+    rows = salted_join(salted_join(rows, item, "applyno", spread_by=["policyno"]), coins, "applyno",
+                       spread_by=["policyno"])
     return rows.na.fill({**ENDORSEMENT_FILL, "coinsrate": missing_share})
 
 
@@ -84,7 +88,7 @@ def fee_by_application(fee: DataFrame) -> DataFrame:
     a = F.coalesce(F.col("chgamount"), F.lit(0.0))
 
     def dsum(x: Column, cond: Column | None = None) -> Column:
-        return F.sum(micros(x) if cond is None else F.when(cond, micros(x)))
+        return sum_micros(micros(x) if cond is None else F.when(cond, micros(x)))
 
     return fee.groupBy("applyno").agg(
         F.count(F.lit(1)).alias("n_fee"),
@@ -108,10 +112,10 @@ def items_by_application(itemkind: DataFrame) -> DataFrame:
 
 
 def shares_by_application(copycoins: DataFrame, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
-    """Per applyno: co-insurance rows and the exact sum of their shares (missing share → 1)."""
-    rate = F.coalesce(F.col("coinsrate"), F.lit(float(missing_share))).cast(RATE_SUM)
-    return copycoins_record(copycoins).groupBy("applyno").agg(
-        F.count(F.lit(1)).alias("n_coins"), F.sum(rate).cast(RATE_SUM).alias("s_rate"))
+    """Per applyno: co-insurance rows and the exact sum of their shares in percent (missing share → 100)."""
+    percent = F.coalesce(F.col("coinsrate"), F.lit(100.0 * missing_share)).cast(PERCENT)
+    return copycoins.groupBy("applyno").agg(
+        F.count(F.lit(1)).alias("n_coins"), F.sum(percent).alias("s_percent"))
 
 
 def head_with_multiplicity(head: DataFrame) -> DataFrame:
@@ -121,8 +125,7 @@ def head_with_multiplicity(head: DataFrame) -> DataFrame:
 
 
 def _dec_times(s: Column, count: Column) -> Column:
-    """Exact sum × integer multiplicity, as a 6-decimal amount.  ``s`` is a
-    micro-unit ``long`` sum or already a ``MONEY_SUM`` decimal."""
+    """Exact sum × multiplicity (a ``COUNT``), as a 6-decimal amount."""
     return (F.coalesce(s, F.lit(0).cast(MONEY_SUM)) * count).cast(MONEY_SUM)
 
 
@@ -137,35 +140,37 @@ def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDOR
             .join(shares_by_application(src.copycoins, missing_share), "applyno", "left_outer"))
 
     c = F.col
-    h = F.coalesce(c("n_head"), F.lit(1))
-    n_fee = F.coalesce(c("n_fee"), F.lit(1))
-    n_item = F.coalesce(c("n_item"), F.lit(1))
-    n_y = F.coalesce(c("n_item_y"), F.lit(0))
-    n_coins = F.coalesce(c("n_coins"), F.lit(1))
-    # Σ over co-insurance rows of the own-share factor: the shares when
-    # co-insured, else one per row; a missing row counts as share 1.
-    share = F.when(c("coinsflag") == 1, F.coalesce(c("s_rate"), F.lit(float(missing_share)).cast(RATE_SUM))).otherwise(
-        n_coins.cast(RATE_SUM))
+
+    def count(name: str, missing: int = 1) -> Column:
+        return F.coalesce(c(name), F.lit(missing)).cast(COUNT)
+
+    h, n_fee, n_item, n_y, n_coins = (count("n_head"), count("n_fee"), count("n_item"), count("n_item_y", 0),
+                                      count("n_coins"))
+    # Σ over co-insurance rows of the own share in percent: the shares when
+    # co-insured, else 100 per row; a missing row counts as the missing share.
+    missing = F.lit(100.0 * missing_share).cast(PERCENT).cast("decimal(30,8)")
+    percents = F.when(c("coinsflag") == 1, F.coalesce(c("s_percent"), missing)).otherwise(
+        (n_coins * 100).cast("decimal(30,8)"))
     # Missing head marks count as 0 (fill after the filter).
     rows = rows.na.fill({"underwriteflag": 0, "tuibaoflag": 0, "policycancelflag": 0, "decreaseNotcancelflag": 0})
     g = EndorsementGates(period)
-    zero_money = F.lit(0).cast(PRODUCT)
 
-    def money_if(cond: Column, s: Column, mult: Column) -> Column:
-        return F.when(cond, _dec_times(s, mult) * share).otherwise(zero_money)
+    def money_if(cond: Column, s: Column, mult: Column) -> tuple[Column, Column]:
+        whole, part = shared_parts(_dec_times(s, mult), percents)
+        return (F.when(cond, whole).otherwise(F.lit(0).cast(WHOLE)), F.when(cond, part).otherwise(F.lit(0).cast(PART)))
 
     def fee_sum(name: str) -> Column:
-        return from_micros(F.coalesce(c(name), F.lit(0).cast("long")))
+        return from_micros(F.coalesce(c(name), F.lit(0)))
 
     def count_if(cond: Column, mult: Column) -> Column:
-        return F.when(cond, mult).otherwise(F.lit(0).cast("long"))
+        return F.when(cond, mult).otherwise(F.lit(0)).cast("decimal(38,0)")
 
     every_row = h * n_fee * n_item * n_coins
     per_fee = h * n_item * n_coins
     values = {
         "rawpremium": money_if(g.original_kept & g.in_policy_window, money("sumpremium"), h * n_fee * n_item),
-        "increasecount": count_if(g.increase, c("n_prem_pos") * per_fee),
-        "decreasecount": count_if(g.increase, c("n_prem_neg") * per_fee),
+        "increasecount": count_if(g.increase, count("n_prem_pos", 0) * per_fee),
+        "decreasecount": count_if(g.increase, count("n_prem_neg", 0) * per_fee),
         "increasepremium": money_if(g.increase, fee_sum("s_prem_pos"), h * n_item),
         "decreasepremium": money_if(g.increase, fee_sum("s_prem_neg"), h * n_item),
         "increaseamount": money_if(g.increase, fee_sum("s_amt_pos"), h * n_y),
@@ -179,9 +184,11 @@ def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDOR
         "decreasenotcancelcount": F.when(g.other_reduction, 1).otherwise(0),
     }
     # A row without fee rows has one filled fee row of 0; counts by sign are 0 then.
-    values["increasecount"] = F.coalesce(values["increasecount"], F.lit(0).cast("long"))
-    values["decreasecount"] = F.coalesce(values["decreasecount"], F.lit(0).cast("long"))
-    per_row = rows.select("policyno", *[v.alias(k) for k, v in values.items()])
+    columns = []
+    for name, v in values.items():
+        parts = [(f"{name}_whole", v[0]), (f"{name}_part", v[1])] if isinstance(v, tuple) else [(name, v)]
+        columns += [x.alias(n) for n, x in parts]
+    per_row = rows.select("policyno", *columns)
 
     aggs = []
     for name in ENDORSEMENT_INDICATORS:
@@ -190,5 +197,5 @@ def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDOR
         elif name in COUNT_INDICATORS:
             aggs.append(F.sum(name).cast("long").alias(name))
         else:
-            aggs.append(F.sum(name).cast("double").alias(name))
+            aggs.append(sum_of_parts(f"{name}_whole", f"{name}_part").alias(name))
     return per_row.groupBy("policyno").agg(*aggs)

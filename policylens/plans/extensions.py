@@ -6,10 +6,12 @@ a claims input: (policyno, claimtime text, paid).
 * ``claims_ratio``: per company, paid claims dated in the window ÷ premium
   income (IND-16); null when the income is 0.  Claims are pre-aggregated per
   policy before the join, so a policy with a huge number of claims costs one
-  row after the map-side partial aggregate.
+  row after the map-side partial aggregate.  All claims of the window count,
+  whether or not their policy was written in it.
 * ``ncd_coefficient``: per policy, the number of immediately preceding
   claim-free policies of the same insured (ordered by start date, then
-  policyno) → grade = min(run, max grade) → coefficient from a table.  The run
+  policyno) → grade = min(run, max grade) → coefficient from a table.  A policy
+  without an insured keeps its row with a run of 0.  The run
   is a prefix scan per insured.  To keep one insured with a third of all
   policies from landing in one task, the scan is done in two levels: rows are
   range-partitioned on (insured, start, policyno), so a hot insured spans many
@@ -26,36 +28,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from policylens.functions.dates import parse_ts
-from policylens.functions.money import from_micros, micros
+from policylens.functions.money import micros, sum_micros
 from policylens.operators.indicators import policy_indicator_columns
-from policylens.operators.joins import left_join
+from policylens.operators.joins import left_join, salted_join
 from policylens.operators.period import Period
 from policylens.plans.policy import policies_with_shares
 from policylens.session import ensure_checkpoint_dir
 
+MICROS_TOTAL = "decimal(38,0)"
+
 # Fixed values (our definition): claim-free run → grade → coefficient.
 NCD_COEFFICIENTS = {0: 1.0, 1: 0.9, 2: 0.8, 3: 0.7}
 
 
 def claims_ratio(src, period: Period) -> DataFrame:
+    """Per company: premium income of the window's policies, claims paid in the
+    window on any of the company's policies, and their ratio.  Claims never
+    meet the policies' co-insurance rows, so none is counted twice; claims on
+    policies without a company or a record are in the null company's row."""
     claims = src.claims.select("policyno", parse_ts("claimtime").alias("claimtime"), "paid")
     paid = (claims.where(period.contains("claimtime"))
-            .groupBy("policyno").agg(F.sum(micros("paid")).alias("paid_micros")))
+            .groupBy("policyno").agg(sum_micros(micros("paid")).alias("paid_micros")))
+    company_of = src.policy.groupBy("policyno").agg(F.max("comcode").alias("comcode"))
+    paid = salted_join(paid, company_of, "policyno", heavy="none").groupBy("comcode").agg(
+        F.sum("paid_micros").alias("paid_micros"))
     income = policy_indicator_columns(period)["baofeishouru"]
-    policies = policies_with_shares(src, period).select("policyno", "comcode", micros(income).alias("income_micros"))
-    rows = left_join(policies, paid, "policyno")
-    by_company = rows.groupBy("comcode").agg(
-        F.sum("income_micros").alias("income_micros"),
-        F.coalesce(F.sum("paid_micros"), F.lit(0).cast("long")).alias("paid_micros"))
-    income_d = from_micros("income_micros").cast("double")
-    paid_d = from_micros("paid_micros").cast("double")
+    earned = policies_with_shares(src, period).groupBy("comcode").agg(sum_micros(micros(income)).alias("income_micros"))
+    both = earned.select("comcode", F.col("income_micros").cast(MICROS_TOTAL).alias("income_micros"),
+                         F.lit(0).cast(MICROS_TOTAL).alias("paid_micros")).unionByName(
+        paid.select("comcode", F.lit(0).cast(MICROS_TOTAL).alias("income_micros"),
+                    F.col("paid_micros").cast(MICROS_TOTAL).alias("paid_micros")))
+    by_company = both.groupBy("comcode").agg(F.sum("income_micros").alias("i"), F.sum("paid_micros").alias("p"))
+    income_d, paid_d = F.col("i").cast("double") / 1e6, F.col("p").cast("double") / 1e6
     return by_company.select(
         "comcode", income_d.alias("premium_income"), paid_d.alias("claims_paid"),
         F.when(income_d != 0, paid_d / income_d).alias("claims_ratio"))
 
 
-# Copies of one policy row are re-expanded in chunks of this many rows.
-COPY_CHUNK = 100_000
+# Copies of one policy row are expanded in pieces of this many rows.
+COPY_CHUNK = 10_000
 
 
 def claim_free_runs(policies: DataFrame, pieces: int, chunk: int = COPY_CHUNK) -> DataFrame:
@@ -111,36 +122,31 @@ def claim_free_runs(policies: DataFrame, pieces: int, chunk: int = COPY_CHUNK) -
 
 
 def _expand_copies(runs: DataFrame, cols: list[str], chunk: int) -> DataFrame:
-    """One output row per copy; large copy groups are cut into chunks that
-    are spread over tasks before they are expanded."""
-    def expand(df: DataFrame, lo, hi) -> DataFrame:
-        j = F.explode(F.sequence(lo, hi)).alias("copy")
-        out = df.select(*cols, "first_run", j)
-        run = (F.when(F.col("copy") == 0, F.col("first_run"))
-               .when(F.col("claimed"), F.lit(0))
-               .otherwise(F.col("first_run") + F.col("copy")))
-        return out.select(*cols, run.cast("int").alias("claim_free_run"))
-
-    small = runs.where(F.col("copies") <= chunk)
-    big = runs.where(F.col("copies") > chunk)
-    small_rows = expand(small, F.lit(0), F.col("copies") - 1)
-    pieces = big.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk))))
-    pieces = pieces.repartition("policyno", "chunk")
+    """One output row per copy.  Every row is cut into pieces of ``chunk`` copies
+    (almost all are one piece), the pieces are spread, and then expanded."""
+    pieces = runs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk))))
     lo = F.col("chunk") * chunk
     hi = F.least(lo + chunk, F.col("copies")) - 1
-    return small_rows.unionByName(expand(pieces, lo, hi))
+    out = pieces.repartition("policyno", "chunk").select(
+        *cols, "first_run", F.explode(F.sequence(lo, hi)).alias("copy"))
+    run = (F.when(F.col("copy") == 0, F.col("first_run"))
+           .when(F.col("claimed"), F.lit(0))
+           .otherwise(F.col("first_run") + F.col("copy")))
+    return out.select(*cols, run.cast("int").alias("claim_free_run"))
 
 
 def ncd_coefficient(src, coefficients: dict[int, float] | None = None, pieces: int | None = None) -> DataFrame:
     coefficients = coefficients or NCD_COEFFICIENTS
     max_grade = max(coefficients)
     claimed = src.claims.groupBy("policyno").agg((F.count_if(F.col("paid") > 0) > 0).alias("claimed"))
-    policies = (src.policy.where(F.col("insuredcode").isNotNull())
-                .select("policyno", "insuredcode", parse_ts("startdate").alias("startdate")))
+    policies = src.policy.select("policyno", "insuredcode", parse_ts("startdate").alias("startdate"))
     policies = left_join(policies, claimed, "policyno").na.fill({"claimed": False})
     spark = policies.sparkSession
     pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = claim_free_runs(policies, pieces)
+    known = F.col("insuredcode").isNotNull()
+    # nobody is known to have had a policy before: a run of 0
+    unknown = policies.where(~known).withColumn("claim_free_run", F.lit(0))
+    runs = claim_free_runs(policies.where(known), pieces).unionByName(unknown)
     grade = F.least(F.col("claim_free_run"), F.lit(max_grade))
     coef = F.lit(None).cast("double")
     for g in sorted(coefficients, reverse=True):

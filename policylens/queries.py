@@ -188,6 +188,15 @@ def q_filter_endorsement_rows(spark, sf_dir):
     return endo.copy_with_head(sources_for(spark, sf_dir), WINDOW)
 
 
+# Policies that expire in an earlier window are kept too.
+PRIOR_WINDOW = Period.of("1997-01-01 00:00:00", "1999-01-01 00:00:00", "1996-01-01 00:00:00", "1997-01-01 00:00:00")
+
+
+@register("filter_policy_rows_prior", lambda s: f"SELECT * FROM policy_r WHERE {Sql(PRIOR_WINDOW).fil2()}")
+def q_filter_policy_rows_prior(spark, sf_dir):
+    return pol.filtered_policies(sources_for(spark, sf_dir), PRIOR_WINDOW)
+
+
 @register("filter_policy_rows", lambda s: "SELECT * FROM policy_f")
 def q_filter_policy_rows(spark, sf_dir):
     return pol.filtered_policies(sources_for(spark, sf_dir), WINDOW)
@@ -307,7 +316,7 @@ DELIMITER = "|"
 def _vehicle_lines(src) -> DataFrame:
     """Vehicle rows as delimited lines; some lines are malformed on purpose:
     an extra field (k % 50 = 1) or an empty last field (k % 50 = 2)."""
-    k = F.col("proposalno").cast("long")
+    k = F.substring("proposalno", 2, 21).cast("long")
     cols = [F.coalesce(F.col(c), F.lit("")) for c in schemas.VEHICLE_COLUMNS]
     last = F.when(k % 50 == 2, F.lit("")).otherwise(cols[-1])
     line = F.concat_ws(DELIMITER, *cols[:-1], last)
@@ -326,7 +335,7 @@ def _delimited(spark, sf_dir):
 
 
 @register("delimited_roundtrip", lambda s: f"""
-SELECT {_cols(schemas.VEHICLE_COLUMNS)} FROM vehicle WHERE CAST(proposalno AS BIGINT) % 50 NOT IN (1, 2)""")
+SELECT {_cols(schemas.VEHICLE_COLUMNS)} FROM vehicle WHERE CAST(substring(proposalno, 2) AS BIGINT) % 50 NOT IN (1, 2)""")
 def q_delimited_roundtrip(spark, sf_dir):
     return _delimited(spark, sf_dir)[0]
 
@@ -359,15 +368,24 @@ SELECT {_cols(WIDE_TABLE_OUTPUT)} FROM policy_i LEFT JOIN rollup USING (policyno
 def q_csv_roundtrip(spark, sf_dir):
     """Wide table written as CSV under its window folder (SNK-1), read back (SRC-2)."""
     wide = pol.policy_wide_table(sources_for(spark, sf_dir), WINDOW)
-    path = sinks.write_csv_per_window(wide, scratch_path(spark, "wide-csv"), WINDOW, header=True)
-    return files.read_csv(spark, path, wide.schema, sep=",", header=True)
+    path, _ = sinks.write_csv_per_window(wide, scratch_path(spark, "wide-csv"), WINDOW)
+    return files.read_csv(spark, path, wide.schema, sep=",")
+
+
+@register("csv_caret_roundtrip", lambda s: f"SELECT {_cols(schemas.VEHICLE_COLUMNS)} FROM vehicle")
+def q_csv_caret_roundtrip(spark, sf_dir):
+    """Vehicle rows written with "^" between fields, read back as CSV with that separator (SRC-2)."""
+    vehicle = sources_for(spark, sf_dir).vehicle.select(*schemas.VEHICLE_COLUMNS)
+    path = scratch_path(spark, "vehicle-caret")
+    vehicle.write.option("sep", "^").csv(path)
+    return files.read_csv(spark, path, vehicle.schema, sep="^")
 
 
 @register("parquet_roundtrip", _plain_sql)
 def q_parquet_roundtrip(spark, sf_dir):
     """Plain wide table written as Parquet (SNK-2/3), read back."""
     plain = plain_wide_table(sources_for(spark, sf_dir))
-    path = sinks.write_parquet(plain, scratch_path(spark, "plain-parquet"), files=4)
+    path, _ = sinks.write_parquet(plain, scratch_path(spark, "plain-parquet"))
     return spark.read.parquet(path)
 
 
@@ -388,7 +406,12 @@ SELECT policyno,
       AND greatest(TRY_CAST(replace(underwriteenddate, '/', '-') AS TIMESTAMP),
            TRY_CAST(replace(startdate, '/', '-') AS TIMESTAMP)) < {_ts(s.p.end)}, FALSE) AS started_in_window,
   CASE WHEN {_flag('coinsflag', 0, '1', '2')} = 1 THEN sumpremium * 0.5 ELSE sumpremium END AS half_share_premium,
-  CASE WHEN policyno IS NOT NULL THEN '{s.p.start.strftime('%Y-%m')}' END AS timeYearMonth
+  CASE WHEN policyno IS NOT NULL THEN '{s.p.start.strftime('%Y-%m')}' END AS timeYearMonth,
+  {_amount(s, 'operatedate', 'sumpremium')} AS written_premium,
+  {_amount(s, 'startdate', 'sumpremium')} AS premium_income,
+  {_amount(s, 'startdate', 'sumamount')} AS sum_insured,
+  CASE WHEN underwriteflag IN ('1', '3') AND {_flag('othflag', 3, '1')} = 0 AND {s.inside(_parse('enddate'))}
+    THEN 1 ELSE 0 END AS expiring
 FROM policy""")
 def q_sql_functions(spark, sf_dir):
     """The same builders called by name from SQL text (UDF-1..3)."""
@@ -396,19 +419,46 @@ def q_sql_functions(spark, sf_dir):
     sources_for(spark, sf_dir).policy.createOrReplaceTempView(SQL_VIEW)
     start = WINDOW.start.strftime("%Y-%m-%d %H:%M:%S")
     end = WINDOW.end.strftime("%Y-%m-%d %H:%M:%S")
+    approved = "CAST(underwriteflag IN ('1', '3') AS INT)"
+    cancelled = "pl_flag_in(othflag, 3, array('1'))"
+
+    def amount(day: str, column: str) -> str:
+        return (f"pl_own_amount_in({column}, pl_flag_in(coinsflag, 0, array('1', '2')), 0.5D, {approved}, "
+                f"pl_flag_in(othflag, 6, array('Y')), {cancelled}, "
+                f"pl_later(pl_parse_ts(underwriteenddate), pl_parse_ts({day})), "
+                f"TIMESTAMP_NTZ '{start}', TIMESTAMP_NTZ '{end}')")
+
     return spark.sql(f"""
         SELECT policyno,
-          pl_flag_in(othflag, 6, 'Y', 'Y') AS chargeflag,
-          pl_flag_in(coinsflag, 0, '1', '2') AS coinsflag,
+          pl_flag_in(othflag, 6, array('Y')) AS chargeflag,
+          pl_flag_in(coinsflag, 0, array('1', '2')) AS coinsflag,
           pl_char_at(othflag, 0) AS first_char,
           pl_later(pl_parse_ts(underwriteenddate), pl_parse_ts(startdate)) AS validdate,
           pl_in_window(pl_later(pl_parse_ts(underwriteenddate), pl_parse_ts(startdate)),
                        TIMESTAMP_NTZ '{start}', TIMESTAMP_NTZ '{end}') AS started_in_window,
-          pl_own_share(sumpremium, pl_flag_in(coinsflag, 0, '1', '2'), 0.5D) AS half_share_premium,
-          pl_year_month(policyno, TIMESTAMP_NTZ '{start}') AS timeYearMonth
+          pl_own_share(sumpremium, pl_flag_in(coinsflag, 0, array('1', '2')), 0.5D) AS half_share_premium,
+          pl_year_month(policyno, TIMESTAMP_NTZ '{start}') AS timeYearMonth,
+          {amount('operatedate', 'sumpremium')} AS written_premium,
+          {amount('startdate', 'sumpremium')} AS premium_income,
+          {amount('startdate', 'sumamount')} AS sum_insured,
+          pl_expiring_in(pl_parse_ts(enddate), {approved}, {cancelled},
+                         TIMESTAMP_NTZ '{start}', TIMESTAMP_NTZ '{end}') AS expiring
         FROM {SQL_VIEW}""")
 
 
+def _parse(column):
+    from policylens.oracle import parse
+    return parse(column)
+
+
+def _amount(s: Sql, day: str, amount: str) -> str:
+    """Written out: own half share of an approved, charged, kept policy whose later date is in the window."""
+    later = f"greatest({_parse('underwriteenddate')}, {_parse(day)})"
+    return (f"CASE WHEN underwriteflag IN ('1', '3') AND {_flag('othflag', 6, 'Y')} = 1 AND {_flag('othflag', 3, '1')} = 0 "
+            f"AND {s.inside(later)} THEN CASE WHEN {_flag('coinsflag', 0, '1', '2')} = 1 THEN {amount} * 0.5 "
+            f"ELSE {amount} END ELSE 0.0 END")
+
+
 def _flag(col, index, *values):
     from policylens.oracle import flag_in
     return flag_in(col, index, *values)
@@ -425,22 +475,20 @@ from policylens.plans import extensions as ext  # noqa: E402
 
 
 def _claims_ratio_sql(s: Sql) -> str:
-    def dbl(m):
-        return f"CAST(CAST({m} AS DECIMAL(26,0)) * CAST(0.000001 AS DECIMAL(6,6)) AS DOUBLE)"
-
     def mic(x):
-        return f"CAST(round_even(COALESCE({x}, 0.0) * 1000000.0, 0) AS BIGINT)"
+        return f"round_even(COALESCE({x}, 0.0) * 1000000.0, 0)::BIGINT"
     income = ("CASE WHEN underwriteflag = 1 AND chargeflag = 1 AND cancelflag = 0 AND "
               + s.inside("maxStartdateUnderwritedate") + f" THEN {s._own('sumpremium')} ELSE 0.0 END")
     return f"""
-SELECT comcode, {dbl('inc')} AS premium_income, {dbl('pd')} AS claims_paid,
-  CASE WHEN {dbl('inc')} <> 0 THEN {dbl('pd')} / {dbl('inc')} END AS claims_ratio
+SELECT comcode, premium_income, claims_paid,
+  CASE WHEN premium_income <> 0 THEN claims_paid / premium_income END AS claims_ratio
 FROM (
-  SELECT comcode, SUM({mic(income)}) AS inc, COALESCE(SUM(paid_micros), 0) AS pd
-  FROM policy_s LEFT JOIN (
-    SELECT policyno, SUM({mic('paid')}) AS paid_micros FROM claims
-    WHERE {s.inside("TRY_CAST(replace(claimtime, '/', '-') AS TIMESTAMP)")}
-    GROUP BY policyno) c USING (policyno)
+  SELECT comcode, CAST(SUM(i) AS DOUBLE) / 1e6 AS premium_income, CAST(SUM(p) AS DOUBLE) / 1e6 AS claims_paid
+  FROM (
+    SELECT comcode, {mic(income)} AS i, 0 AS p FROM policy_s
+    UNION ALL
+    SELECT policy.comcode, 0 AS i, {mic('paid')} AS p FROM claims LEFT JOIN policy USING (policyno)
+    WHERE {s.inside(_parse('claimtime'))}) t
   GROUP BY comcode) t"""
 
 
@@ -456,17 +504,16 @@ def _ncd_sql(s: Sql) -> str:
 SELECT policyno, insuredcode, CAST(run AS INTEGER) AS claim_free_run, CAST(LEAST(run, {top}) AS INTEGER) AS ncd_grade,
   CASE LEAST(run, {top}) {coefs} END AS ncd_coefficient
 FROM (
-  SELECT *, seq - COALESCE(MAX(CASE WHEN claimed THEN seq END) OVER (
+  SELECT * EXCLUDE (run), CASE WHEN insuredcode IS NULL THEN 0 ELSE run END AS run FROM (SELECT *, seq - COALESCE(MAX(CASE WHEN claimed THEN seq END) OVER (
       PARTITION BY insuredcode ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - 1 AS run
   FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY insuredcode ORDER BY startdate ASC NULLS FIRST, policyno) AS seq
     FROM (
-      SELECT p.policyno, p.insuredcode, TRY_CAST(replace(p.startdate, '/', '-') AS TIMESTAMP) AS startdate,
+      SELECT p.policyno, p.insuredcode, {_parse('p.startdate')} AS startdate,
         COALESCE(c.claimed, FALSE) AS claimed
       FROM policy p LEFT JOIN (
         SELECT policyno, COUNT(*) FILTER (WHERE paid > 0) > 0 AS claimed FROM claims GROUP BY policyno) c
-      USING (policyno)
-      WHERE p.insuredcode IS NOT NULL) a) b) c"""
+      USING (policyno)) a) b) b2) c"""
 
 
 @register("ncd_coefficient", _ncd_sql)
@@ -485,6 +532,6 @@ def q_stream_policy_indicators(spark, sf_dir):
     through the policy plan into a Parquet sink, read back."""
     src = sources_for(spark, sf_dir)
     folder, sink = scratch_path(spark, "policy-stream-in"), scratch_path(spark, "policy-stream-out")
-    src.policy.repartition(4).write.json(folder)
+    src.policy.write.json(folder)
     run_available(policy_indicator_stream(spark, folder, src, WINDOW), sink, scratch_path(spark, "policy-stream-ckpt"))
     return spark.read.parquet(sink)

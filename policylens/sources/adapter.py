@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 TABLES = ("orders", "customer", "lineitem", "nation", "region")
 
 # Fixed values of the test mapping.
-ENDORSEMENT_TYPES = ["19", "N1", "21", "10", "58", "19 ", "2110", "06"]   # by (k + n) % 8
+ENDORSEMENT_TYPES = ["19", "N1", "21", "10", "58", "\t19 ", "2110", "06"]   # by (k + n) % 8
 UNDERWRITE_FLAGS = ["0", "2", "1", "3", "1", "11"]                       # by k % 6
 
 
@@ -51,6 +51,11 @@ def _pick(index: Column, values: list[str]) -> Column:
     return out
 
 
+def _unless(matches: Column, key: Column) -> Column:
+    """The key where it should match, else one of the same width that nothing has."""
+    return F.when(matches, key).otherwise(F.concat(F.lit("X"), F.substr(key, F.lit(2))))
+
+
 @dataclass
 class Sources:
     """The extracts of both jobs, as lazy DataFrames."""
@@ -95,7 +100,10 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
         "underwriteenddate": F.when(k % 89 == 0, F.lit(None).cast("string")).otherwise(
             date_text(plus_days(start, (k % 11 - 5).cast("int")), k)),
         "startdate": date_text(start, k),
-        "operatedate": date_text(plus_days(start, (k % 40 - 20).cast("int")), k),
+        # some texts that are not dates: a year, a month, an offset
+        "operatedate": F.when(k % 101 == 0, "2013").when(k % 103 == 0, "2013/5").otherwise(
+            F.concat(date_text(plus_days(start, (k % 40 - 20).cast("int")), k),
+                     F.when(k % 107 == 0, "+08:00").otherwise(""))),
         "underwriteflag": _pick(k % 6, UNDERWRITE_FLAGS),
         "coinsflag": F.when(F.col("o_orderpriority") == "1-URGENT", "1")
                       .when(F.col("o_orderpriority") == "2-HIGH", "2").otherwise("0"),
@@ -108,7 +116,7 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
         "othflag": F.when(k % 97 == 0, F.lit(None).cast("string")).otherwise(
             F.concat(_s(k % 4), F.lit("00"), p3, F.lit("0"), p5, p6)),
         "contractno": F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(_s(F.col("o_custkey"))),
-        "insuredcode": _s(F.col("o_custkey")),
+        "insuredcode": F.when(k % 83 != 0, _s(F.col("o_custkey"))),
     }
     policy_k = base.select(k, *[v.alias(c) for c, v in policy_cols.items()])
     policy = policy_k.drop("k")
@@ -161,8 +169,11 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
     second_item = item_rows(F.lit("Y")).where(k % 17 == 0)
     itemkind = first_item.unionByName(second_item).drop("k")
 
-    copycoins = copy_all.where(k % 3 == 0).select("applyno", (20 + k % 60).cast("double").alias("coinsrate"))
-    policy_coins = policy_k.where(k % 3 == 0).select("proposalno", ((20 + k % 60) / 100.0).alias("coinsrate"))
+    # two thirds of the co-insurance rows belong to nothing; some shares are thirds
+    percent = F.when(k % 33 == 0, F.lit(33.33333333)).otherwise((20 + k % 60).cast("double"))
+    copycoins = copy_all.select(_unless(k % 3 == 0, F.col("applyno")).alias("applyno"), percent.alias("coinsrate"))
+    policy_coins = policy_k.select(_unless(k % 3 == 0, F.col("proposalno")).alias("proposalno"),
+                                   (percent / 100.0).alias("coinsrate"))
 
     nation, region = tables["nation"], tables["region"]
     company = nation.join(region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "left_outer").select(
@@ -177,8 +188,8 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
         F.lit("1").alias("comkind"),
     )
 
-    vehicle = orders.select(F.col("o_orderkey").alias("k"), "o_custkey", "o_orderpriority").where(k % 8 != 0).select(
-        F.lpad(_s(k), 22, "0").alias("proposalno"),
+    vehicle = orders.select(F.col("o_orderkey").alias("k"), "o_custkey", "o_orderpriority").select(
+        _unless(k % 8 != 0, F.lpad(_s(k), 22, "0")).alias("proposalno"),
         F.concat(F.lit("C"), _s(k)).alias("carid"),
         F.concat(F.lit("L"), _s(k % 100000)).alias("licenseno"),
         F.concat(F.lit("V"), F.lpad(_s(k), 16, "0")).alias("vinno"),
@@ -200,8 +211,8 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
         F.when(k % 2 == 0, "DAA").otherwise("DZA").alias("riskcode"),
         "underwriteenddate", "underwriteflag", "validdate")
     fee2 = fee.select("applyno", "chgamount", "chgpremium", "currency")
-    profit2 = orders.select(F.col("o_orderkey").alias("k"), "o_totalprice").where(k % 5 != 1).select(
-        F.lpad(_s(k), 22, "0").alias("proposalno"),
+    profit2 = orders.select(F.col("o_orderkey").alias("k"), "o_totalprice").select(
+        _unless(k % 5 != 1, F.lpad(_s(k), 22, "0")).alias("proposalno"),
         (F.col("o_totalprice") * 0.12).alias("profit"),
         F.lit(0.12).alias("profitrate"))
     vehicle2 = vehicle.select("proposalno", "licenseno")
@@ -209,10 +220,12 @@ def build_sources(tables: dict[str, DataFrame]) -> Sources:
         "applyno", (F.col("sumpremium") * 0.01).alias("chgpremium"), "coinsflag", "othflag", "riskcode")
     itemkind2 = itemkind.select("applyno", "calculateflag", "chgamount", "chgpremium", "currency", "policyno")
 
-    claims = lineitem.where(F.col("l_returnflag") == "R").select(
+    # a line that was not returned is a claim of which nothing was paid
+    claims = lineitem.select(
         F.concat(F.lit("P"), _s(lk)).alias("policyno"),
         date_text(F.col("l_shipdate"), lk).alias("claimtime"),
-        (F.col("l_extendedprice") * F.col("l_discount")).alias("paid"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice") * F.col("l_discount")).otherwise(0.0)
+        .alias("paid"),
     )
 
     return Sources(

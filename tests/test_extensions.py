@@ -68,5 +68,31 @@ def test_no_rows_lost_when_range_bounds_are_sampled(spark):
     from policylens.plans.extensions import ncd_coefficient
     from policylens.sources.adapter import sources_for
     src = sources_for(spark, "/root/testdata/sf0.1")
-    n = src.policy.where(F.col("insuredcode").isNotNull()).count()
-    assert ncd_coefficient(src, pieces=16).count() == n
+    assert src.policy.where(F.col("insuredcode").isNull()).count() > 0
+    assert ncd_coefficient(src, pieces=16).count() == src.policy.count()
+
+
+def _replace(src, **frames):
+    return type(src)(**{**src.__dict__, **frames})
+
+
+def test_paid_claims_are_counted_once_and_all(spark):
+    """Two co-insurers double no claim; a claim counts though its policy is outside
+    the filter; sums far beyond 10^13 hold."""
+    from policylens.plans.extensions import claims_ratio
+    from policylens.queries import WINDOW
+    from policylens.sources.adapter import sources_for
+    src = sources_for(spark, "/root/testdata/sf0.001")
+    plain = {r["comcode"]: r.asDict() for r in claims_ratio(src, WINDOW).collect()}
+    total = src.claims.where(WINDOW.contains(F.col("claimtime").substr(1, 19).try_cast("timestamp_ntz"))).count()
+    assert total > 0
+    doubled = _replace(src, policy_coins=src.policy_coins.unionByName(src.policy_coins))
+    twice = {r["comcode"]: r.asDict() for r in claims_ratio(doubled, WINDOW).collect()}
+    assert {c: r["claims_paid"] for c, r in twice.items()} == {c: r["claims_paid"] for c, r in plain.items()}
+    outside = src.policy.limit(1).withColumn("policyno", F.lit("OUT")).withColumn("comcode", F.lit("ZZ"))
+    for name in ("operatedate", "startdate", "enddate", "underwriteenddate"):
+        outside = outside.withColumn(name, F.lit("1980-01-01 00:00:00"))
+    claims = spark.createDataFrame([("OUT", "1997-05-05 00:00:00", 9e12)] * 50, "policyno string, claimtime string, paid double")
+    more = _replace(src, policy=src.policy.unionByName(outside), claims=src.claims.unionByName(claims))
+    got = {r["comcode"]: r.asDict() for r in claims_ratio(more, WINDOW).collect()}
+    assert got["ZZ"]["claims_paid"] == 4.5e14 and got["ZZ"]["claims_ratio"] is None

@@ -96,3 +96,60 @@ def test_endorsement_window_needs_start_before_end(spark):
 def test_co_insured(spark):
     df = spark.createDataFrame([(100.0, 1, 0.3), (100.0, 0, 0.3), (100.0, 2, 0.3)], "x double, f int, r double")
     assert [r[0] for r in df.select(co_insured("x", "f", "r")).collect()] == [30.0, 100.0, 100.0]
+
+
+def test_trim_removes_every_low_character(spark):
+    vals = ["19", "19\t", " \x0019\r\n", "58\t", "\u00a019", None]
+    got = one_col(spark, vals, lambda c: flags.not_in_set_trimmed(c, ["19", "N1", "21", "10"]))
+    assert got == [0, 0, 0, 1, 1, 0]
+
+
+DATES = {"2013-01-02 03:04:05": True, "2013/01/02 03:04:05.678": True, "2013-1-2": True, " 2013-01-02\t": True,
+         "2013": False, "2013/5": False, "2013-01-02 03:04:05+08:00": False, "2013-01-02T03:04:05": False,
+         "2013-02-30": False, "": False, "x": False}
+
+
+def test_only_documented_date_shapes_are_dates(spark):
+    from policylens.functions import dates
+    got = one_col(spark, list(DATES), lambda c: dates.parse_ts(c).isNotNull())
+    assert got == list(DATES.values())
+
+
+def test_sql_functions_equal_the_builders(spark):
+    """UDF-1..3: both statements of the rules on the same edge rows."""
+    from datetime import datetime
+
+    from policylens.functions import dates, money
+    from policylens.functions.sql import register_sql_functions
+    from policylens.operators.indicators import policy_indicator_columns
+    from policylens.operators.period import Period
+    register_sql_functions(spark)
+    window = Period.of("2013-01-01 00:00:00", "2014-01-01 00:00:00")
+    texts = [*DATES, None, "1", "\t1 ", "0Y", " Y", "19\t"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    pairs = [("pl_flag_in(s, 0, array('1', 'Y'))", flags.flag_in("s", 0, "1", "Y")),
+             ("pl_flag_in(s, 1, array('Y'))", flags.flag_in("s", 1, "Y")),
+             ("pl_char_at(s, 1)", flags.char_at("s", 1)), ("pl_parse_ts(s)", dates.parse_ts("s")),
+             ("pl_in_window(pl_parse_ts(s), TIMESTAMP_NTZ '2013-01-01', TIMESTAMP_NTZ '2014-01-01')",
+              window.contains(dates.parse_ts("s")))]
+    for sql, column in pairs:
+        for r in df.select(F.expr(sql).alias("a"), column.alias("b"), "s").collect():
+            assert r["a"] == r["b"], (sql, r)
+    days = [None, datetime(2013, 1, 1), datetime(2013, 6, 1), datetime(2014, 1, 1)]
+    rows = [(u, c, x, 1 if i % 2 else 0, d, [None, 10.5][i % 2], 0.25)
+            for u in (0, 1) for c in (0, 1) for x in (0, 1) for i, d in enumerate(days)]
+    wide = spark.createDataFrame(rows, "underwriteflag int, chargeflag int, cancelflag int, coinsflag int, "
+                                       "maxStartdateUnderwritedate timestamp_ntz, sumpremium double, coinsrate double")
+    wide = wide.withColumns({"maxOperatedateUnderwritedate": F.col("maxStartdateUnderwritedate"), "policyno": F.lit("P"),
+                             "enddate": F.col("maxStartdateUnderwritedate"), "sumamount": F.col("sumpremium")})
+    cols = policy_indicator_columns(window)
+    bounds = "TIMESTAMP_NTZ '2013-01-01', TIMESTAMP_NTZ '2014-01-01'"
+    sql = {"baofeishouru": "pl_own_amount_in(sumpremium, coinsflag, coinsrate, underwriteflag, chargeflag, cancelflag, "
+                           f"maxStartdateUnderwritedate, {bounds})",
+           "zhongbaoshuliang": f"pl_expiring_in(enddate, underwriteflag, cancelflag, {bounds})"}
+    for name, text in sql.items():
+        for r in wide.select(F.expr(text).alias("a"), cols[name].alias("b")).collect():
+            assert r["a"] == r["b"], name
+    own = wide.select(F.expr("pl_own_share(sumpremium, coinsflag, coinsrate)").alias("a"),
+                      money.co_insured("sumpremium", "coinsflag", "coinsrate").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in own)

@@ -32,7 +32,7 @@ def test_wide_and_plain_jobs(spark, capsys):
     path, count = capsys.readouterr().out.strip().split("\t")
     expected = policy_wide_table(src, WINDOW)
     assert int(count) == expected.count()
-    written = files.read_csv(spark, path, expected.schema, header=True)
+    written = files.read_csv(spark, path, expected.schema)
     assert rows(written) == rows(expected)
 
     out2 = scratch_path(spark, "plain-out")

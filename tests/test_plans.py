@@ -5,6 +5,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from policylens.plans import endorsement, extensions, plain, policy
 from policylens.queries import WINDOW
@@ -42,13 +43,35 @@ def exchanges(text: str) -> int:
     return len(re.findall(r"^\(\d+\) Exchange", text, flags=re.M))
 
 
-def test_shuffle_counts_at_scale_shape(spark, extracts, no_broadcast):
-    # one exchange per input on applyno (+1 for the head dedupe) and one on policyno
-    assert exchanges(plan_text(endorsement.endorsement_rollup(extracts, WINDOW))) == 7
-    # + policy side: 3 on proposalno (policy, shares, vehicles) and 1 on policyno
-    assert exchanges(plan_text(policy.policy_wide_table(extracts, WINDOW))) == 11
-    # the composite-key item join does not re-exchange the fanned-out side
-    assert exchanges(plan_text(plain.plain_wide_table(extracts))) == 9
+def scans(text: str) -> int:
+    return len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M))
+
+
+def with_hot_keys(spark, src):
+    """The extracts with a third of the fees, heads, items and shares on one key each."""
+    frames = {}
+    for name, key in (("fee", "applyno"), ("head", "applyno"), ("itemkind", "applyno"), ("copycoins", "applyno"),
+                      ("policy_coins", "proposalno"), ("vehicle", "proposalno"), ("profit2", "proposalno"),
+                      ("head2", "policyno"), ("fee2", "applyno"), ("pmain2", "applyno"), ("itemkind2", "applyno")):
+        df = getattr(src, name)
+        hot = df.withColumn(key, F.when(F.xxhash64(*df.columns) % 3 == 0, F.lit("HOT")).otherwise(F.col(key)))
+        path = scratch_path(spark, f"hot-{name}")
+        hot.write.parquet(path)
+        frames[name] = spark.read.schema(df.schema).parquet(path)
+    return type(src)(**{**src.__dict__, **frames})
+
+
+def test_plans_do_not_grow_with_hot_keys(spark, extracts, no_broadcast):
+    """Exchanges: one per join side and aggregate, and for every salted join the
+    count of its keys and of its rows, on either side of the broadcast."""
+    hot = with_hot_keys(spark, extracts)
+    for job, most, most_scans in ((lambda s: endorsement.endorsement_rollup(s, WINDOW), 12, 9),
+                                  (lambda s: policy.policy_wide_table(s, WINDOW), 28, 21),
+                                  (plain.plain_wide_table, 36, 31)):
+        plain_text, hot_text = plan_text(job(extracts)), plan_text(job(hot))
+        assert (exchanges(plain_text), scans(plain_text)) == (exchanges(hot_text), scans(hot_text))
+        assert exchanges(plain_text) <= most and scans(plain_text) <= most_scans, (
+            exchanges(plain_text), scans(plain_text))
 
 
 def test_scans_read_only_needed_columns(spark, extracts):

@@ -80,6 +80,15 @@ def test_fan_out_matches_row_level(spark):
     assert got["rawpremium"] == pytest.approx(1000.0 * 0.3)
 
 
+def test_many_co_insurance_rows_and_shares_in_thirds(spark):
+    """200,001 rows of one application, and a share that has no short decimal."""
+    src = story(spark, coinsflag="1", coins=[("A1-0", 100 / 3)])
+    assert as_dict(endorsement_rollup(src, WINDOW))["P1"]["rawpremium"] == pytest.approx(1000 / 3, abs=1e-6)
+    many = spark.range(200_001).select(F.lit("A1-0").alias("applyno"), F.lit(100.0).alias("coinsrate"))
+    src.copycoins = many
+    assert as_dict(endorsement_rollup(src, WINDOW))["P1"]["rawpremium"] == 1000.0 * 200_001
+
+
 def test_scaled_equals_row_level_on_test_tables(spark):
     src = sources_for(spark, "/root/testdata/sf0.001")
     assert_same(endorsement_rollup(src, WINDOW), rollup_rows(endorsement_indicator_rows(src, WINDOW)))
