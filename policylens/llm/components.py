@@ -6,24 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from policylens.llm.common import stage
-from policylens.operators.joins import salted_join
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One contraction of (a, b): every node's neighbours are linked with the
-    least of them and of the node; large: the greater neighbours, else the
-    smaller ones and the node itself.  A hub's edges stay cut in pieces."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    if not large:
-        both = both.where("b < a")
-    least = both.groupBy("a").agg(F.min("b").alias("_m"))
-    rows = salted_join(both, least, "a", how="inner", heavy="left").withColumn("_m", F.least("a", "_m"))
+    """One contraction of (a, b), a > b: every node's neighbours are linked with
+    the least of them and of the node; large: the greater neighbours, else the
+    smaller ones and the node itself.  The least neighbours are staged, so the
+    join is one of two plain scans and the optimizer splits a hub's rows."""
+    both = edges
+    if large:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = stage(both.groupBy("a").agg(F.min("b").alias("_m")), "least")
+    rows = both.join(least, "a").withColumn("_m", F.least("a", "_m"))
     if large:
         out = rows.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
     else:
         own = least.select("a", F.col("_m").alias("b"))
         out = rows.select(F.col("b").alias("a"), F.col("_m").alias("b")).unionByName(own)
-    return out.where("a <> b").distinct()
+    return stage(out.where("a <> b").distinct(), "star")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .where("a <> b").distinct(), "edges")
     while True:
-        edges = stage(_star(_star(edges, True), False), "edges")
+        edges = _star(_star(edges, True), False)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -248,7 +248,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     sets = stage(_sets(rows.join(wanted.withColumnRenamed("class", "row"), "row", "left_semi"), size), "sets")
     found = stage(components(_confirmed(candidates, sets, threshold)), "components")
     more = stage(_block_edges(_left_over(stars, found, threshold), sets, threshold), "more-links")
-    found = _joined(found, more)
+    if not more.isEmpty():
+        found = _joined(found, more)
     return _labelled(signed, classes, found)
 
 
