@@ -1,8 +1,9 @@
-"""Every registered query against its DuckDB oracle on the smallest tables."""
+"""Every query of the insurance job against its DuckDB oracle on the smallest tables."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from policylens.queries import spark_queries
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
 from tests.test_plans import plan_text
@@ -11,7 +12,7 @@ from tests.test_plans import plan_text
 # evaluation, Cartesian products, nested-loop joins.
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
-NAMES = sorted(queries())
+NAMES = sorted(spark_queries())
 
 
 @pytest.fixture(scope="module")
