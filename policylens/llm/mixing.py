@@ -49,14 +49,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     by_level = [F.col("level"), *by_name]
     ranked = prefix_sums(limited, by_level, F.col("limit"), "limits_before")
     ranked = prefix_sums(ranked, by_level, F.col("weight"), "weights_before")
-    totals = limited.agg(F.sum("source_size").alias("all_sizes"), F.sum("weight").alias("all_weights"))
-    ranked = stage(ranked.join(F.broadcast(totals)).withColumn(
-        "own_level", (F.col("all_sizes") * F.lit(float(share)) - F.col("limits_before"))
-        / (F.col("all_weights") - F.col("weights_before"))), "levels")
+    all_sizes, all_weights = (limited.agg(F.sum(c)).scalar() for c in ("source_size", "weight"))
+    ranked = stage(ranked.withColumn("own_level", (all_sizes * F.lit(float(share)) - F.col("limits_before"))
+                                     / (all_weights - F.col("weights_before"))), "levels")
     water = ranked.where(F.col("own_level") <= F.col("level")).agg(
-        F.min_by("own_level", F.struct("level", F.col("source").isNull(), "source")).alias("water"))
-    target = F.least(F.col("limit").cast("double"), F.coalesce(F.col("water") * F.col("weight"), F.lit(float("inf"))))
-    return ranked.join(F.broadcast(water)).select("source", "source_size", "start", target.alias("target"))
+        F.min_by("own_level", F.struct("level", F.col("source").isNull(), "source"))).scalar()
+    target = F.least(F.col("limit").cast("double"), F.coalesce(water * F.col("weight"), F.lit(float("inf"))))
+    return ranked.select("source", "source_size", "start", target.alias("target"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
