@@ -523,7 +523,7 @@ def q_ncd_coefficient(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------------------------
 
-from policylens.streaming.policy_stream import policy_indicator_stream, run_available  # noqa: E402
+from policylens.streaming.policy_stream import policy_extract_stream, read_sink, run_available  # noqa: E402
 
 
 @register("stream_policy_indicators", lambda s: f"SELECT {_cols(POLICY_INDICATOR_OUTPUT)} FROM policy_i")
@@ -533,5 +533,5 @@ def q_stream_policy_indicators(spark, sf_dir):
     src = sources_for(spark, sf_dir)
     folder, sink = scratch_path(spark, "policy-stream-in"), scratch_path(spark, "policy-stream-out")
     src.policy.write.json(folder)
-    run_available(policy_indicator_stream(spark, folder, src, WINDOW), sink, scratch_path(spark, "policy-stream-ckpt"))
-    return spark.read.parquet(sink)
+    run_available(policy_extract_stream(spark, folder), src, WINDOW, sink, scratch_path(spark, "policy-stream-ckpt"))
+    return read_sink(spark, sink)

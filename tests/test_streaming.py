@@ -4,7 +4,7 @@ from policylens.plans.policy import policy_indicators
 from policylens.queries import WINDOW
 from policylens.session import scratch_path
 from policylens.sources.adapter import sources_for
-from policylens.streaming.policy_stream import policy_indicator_stream, run_available
+from policylens.streaming.policy_stream import policy_extract_stream, read_sink, run_available
 from tests.conftest import SF_SMALL
 
 
@@ -20,12 +20,12 @@ def test_incremental_files_processed_once(spark):
     rest = policy.where("substring(policyno, -1) >= '5'")
 
     first.write.json(f"{folder}/batch1")
-    run_available(policy_indicator_stream(spark, f"{folder}/*", src, WINDOW), sink, ckpt)
-    after_first = spark.read.parquet(sink).count()
+    run_available(policy_extract_stream(spark, f"{folder}/*"), src, WINDOW, sink, ckpt)
+    after_first = read_sink(spark, sink).count()
 
     rest.write.json(f"{folder}/batch2")
-    run_available(policy_indicator_stream(spark, f"{folder}/*", src, WINDOW), sink, ckpt)
-    streamed = spark.read.parquet(sink)
+    run_available(policy_extract_stream(spark, f"{folder}/*"), src, WINDOW, sink, ckpt)
+    streamed = read_sink(spark, sink)
 
     expected = policy_indicators(src, WINDOW)
     assert 0 < after_first < expected.count()
