@@ -58,14 +58,16 @@ def sum_micros(m: Column | str) -> Column:
     return F.sum(as_col(m).cast(T.DecimalType(19, 0)))
 
 
-def shared_parts(amount: Column, percents: Column) -> tuple[Column, Column]:
-    """``amount`` (``MONEY_SUM``) times a sum of percents, over 100: the part of
-    the whole percents and the part of the fraction of one."""
+def whole_and_part(percents: Column) -> tuple[Column, Column]:
+    """A sum of percents as whole percents and the fraction of one."""
     whole = F.floor(percents)
+    return whole.cast(COUNT), (percents - whole).cast(T.DecimalType(8, 8))
+
+
+def shared_parts(amount: Column, whole: Column, part: Column) -> tuple[Column, Column]:
+    """``amount`` (``MONEY_SUM``) times percents, over 100, in the same two parts."""
     hundredth = F.lit(Decimal("0.01"))
-    part = (percents - whole).cast(T.DecimalType(8, 8))
-    return ((amount * whole.cast(COUNT)).cast(T.DecimalType(35, 6)) * hundredth).cast(WHOLE), \
-        (amount * part * hundredth).cast(PART)
+    return ((amount * whole).cast(T.DecimalType(35, 6)) * hundredth).cast(WHOLE), (amount * part * hundredth).cast(PART)
 
 
 def sum_of_parts(whole: str, part: str) -> Column:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from policylens.functions.money import (
     COUNT, MONEY_SUM, PART, PERCENT, WHOLE, from_micros, micros, money, shared_parts, sum_micros, sum_of_parts,
+    whole_and_part,
 )
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
@@ -154,9 +155,16 @@ def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDOR
     # Missing head marks count as 0 (fill after the filter).
     rows = rows.na.fill({"underwriteflag": 0, "tuibaoflag": 0, "policycancelflag": 0, "decreaseNotcancelflag": 0})
     g = EndorsementGates(period)
+    whole, part = whole_and_part(percents)
+    # each gate, count and share once per row; the indicators only refer to them
+    rows = rows.withColumns({
+        "_h": h, "_n_fee": n_fee, "_n_item": n_item, "_n_y": n_y, "_n_coins": n_coins, "_whole": whole, "_part": part,
+        "_original": g.original_kept & g.in_policy_window, "_increase": g.increase, "_surrender": g.surrender,
+        "_cancel": g.cancel, "_other": g.other_reduction})
+    h, n_fee, n_item, n_y, n_coins = (c(x) for x in ("_h", "_n_fee", "_n_item", "_n_y", "_n_coins"))
 
     def money_if(cond: Column, s: Column, mult: Column) -> tuple[Column, Column]:
-        whole, part = shared_parts(_dec_times(s, mult), percents)
+        whole, part = shared_parts(_dec_times(s, mult), c("_whole"), c("_part"))
         return (F.when(cond, whole).otherwise(F.lit(0).cast(WHOLE)), F.when(cond, part).otherwise(F.lit(0).cast(PART)))
 
     def fee_sum(name: str) -> Column:
@@ -168,20 +176,20 @@ def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDOR
     every_row = h * n_fee * n_item * n_coins
     per_fee = h * n_item * n_coins
     values = {
-        "rawpremium": money_if(g.original_kept & g.in_policy_window, money("sumpremium"), h * n_fee * n_item),
-        "increasecount": count_if(g.increase, count("n_prem_pos", 0) * per_fee),
-        "decreasecount": count_if(g.increase, count("n_prem_neg", 0) * per_fee),
-        "increasepremium": money_if(g.increase, fee_sum("s_prem_pos"), h * n_item),
-        "decreasepremium": money_if(g.increase, fee_sum("s_prem_neg"), h * n_item),
-        "increaseamount": money_if(g.increase, fee_sum("s_amt_pos"), h * n_y),
-        "decreaseamount": money_if(g.increase, fee_sum("s_amt_neg"), h * n_y),
-        "tuibaocount": count_if(g.surrender, every_row),
-        "tuibaoamount": money_if(g.surrender, fee_sum("s_amt"), h * n_y),
-        "tuibaopremium": money_if(g.surrender, fee_sum("s_prem"), h * n_item),
-        "policycancelcount": F.when(g.cancel, 1).otherwise(0),
-        "policycancelamount": money_if(g.cancel, fee_sum("s_amt"), h * n_y),
-        "policycancelpremium": money_if(g.cancel, fee_sum("s_prem"), h * n_item),
-        "decreasenotcancelcount": F.when(g.other_reduction, 1).otherwise(0),
+        "rawpremium": money_if(c("_original"), money("sumpremium"), h * n_fee * n_item),
+        "increasecount": count_if(c("_increase"), count("n_prem_pos", 0) * per_fee),
+        "decreasecount": count_if(c("_increase"), count("n_prem_neg", 0) * per_fee),
+        "increasepremium": money_if(c("_increase"), fee_sum("s_prem_pos"), h * n_item),
+        "decreasepremium": money_if(c("_increase"), fee_sum("s_prem_neg"), h * n_item),
+        "increaseamount": money_if(c("_increase"), fee_sum("s_amt_pos"), h * n_y),
+        "decreaseamount": money_if(c("_increase"), fee_sum("s_amt_neg"), h * n_y),
+        "tuibaocount": count_if(c("_surrender"), every_row),
+        "tuibaoamount": money_if(c("_surrender"), fee_sum("s_amt"), h * n_y),
+        "tuibaopremium": money_if(c("_surrender"), fee_sum("s_prem"), h * n_item),
+        "policycancelcount": F.when(c("_cancel"), 1).otherwise(0),
+        "policycancelamount": money_if(c("_cancel"), fee_sum("s_amt"), h * n_y),
+        "policycancelpremium": money_if(c("_cancel"), fee_sum("s_prem"), h * n_item),
+        "decreasenotcancelcount": F.when(c("_other"), 1).otherwise(0),
     }
     # A row without fee rows has one filled fee row of 0; counts by sign are 0 then.
     columns = []
