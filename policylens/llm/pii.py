@@ -11,7 +11,8 @@ else can hold a span.  The windows' scores for a character are averaged, the
 middle of a window counting most, and each stretch is then decoded as one
 sequence, so windows cannot disagree.  A span is added only if it has the
 parts its kind must have, touches no rule's span, and is not what a rule of
-its kind looked at and rejected.
+its kind looked at and rejected, digit for digit.  A part of that may be added,
+one of two numbers in a row, but never a part of a run of digits.
 
 Defined results: a null text counts as empty and has no spans.  With nothing
 to train on, the rules stand alone.  Positions are code points, end exclusive.
@@ -121,6 +122,7 @@ CHARS = 99
 SAMPLE_DOCUMENTS = 20_000
 SAMPLE_WINDOWS = 2_500
 EPOCHS, BATCH, RATE = 6, 64, 0.02
+ROWS = ((2, 2), (3, 1), (3, 2), (2, 1), (1, 2))       # kinds in a row that the rules take for one number
 _FORBIDDEN = -30.0
 _triggers = re.compile(r"[0-9@]|[\[(]at[\])]").finditer
 
@@ -371,10 +373,12 @@ def rewritten(kind: int, text: str, rng: np.random.Generator) -> str:
 
 
 def training_windows(texts: Iterable[str | None], seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Windows with the rules' spans, windows with rewritten spans, and windows
-    around digits that are neither (one row per window)."""
+    """Windows with the rules' spans, windows with rewritten spans, windows with
+    two numbers in a row, which the rules take for one, and windows around
+    digits that are neither (one row per window)."""
     rng = np.random.default_rng(seed)
     chars, tags = [], []
+    lately: dict[int, str] = {}                           # the last number of each kind
 
     def add(text: str, spans: Sequence[Span]) -> None:
         length = min(len(text), WINDOW)
@@ -393,14 +397,29 @@ def training_windows(texts: Iterable[str | None], seed: int = 7) -> tuple[np.nda
     for text in texts:
         if not text:
             continue
-        spans = base_spans(text)
+        looked = candidates(text)
+        spans = sorted(s for s, ok in looked if ok)
+        # failed matches that hold a card are no example of what is none
+        unclear = [s for s, ok in looked if not ok and s[1] == 2 and any(_cards(text, s[0], s[2]))]
         for a, b in stretches(text):
             inside = [(x - a, k, y - a) for x, k, y in spans if a <= x and y <= b]
-            add(text[a:b], inside)
+            if not any(x < b and a < y for x, _, y in unclear):
+                add(text[a:b], inside)
             for x, k, y in inside:
                 form = rewritten(k, text[a + x:a + y], rng)
                 before, after = text[max(a, a + x - CONTEXT):a + x], text[a + y:min(b, a + y + CONTEXT)]
                 add(before + form + after, [(len(before), k, len(before) + len(form))])
+                own, x0 = text[a + x:a + y], len(before)
+                rows = [r for r in ROWS if k in r and all(o == k or o in lately for o in r)]
+                for r in rng.permutation(len(rows))[:2].tolist():
+                    one, two = rows[r]
+                    # two of a kind: this one and the last one, in either order
+                    parts = [own if one == k else lately[one], own if two == k else lately[two]]
+                    if one == two:
+                        parts[int(rng.integers(0, 2))] = lately.get(k, own)
+                    y0 = x0 + len(parts[0]) + 1
+                    add(f"{before}{' '.join(parts)}{after}", [(x0, one, y0 - 1), (y0, two, y0 + len(parts[1]))])
+                lately[k] = own
     if not chars:
         return np.zeros((0, WINDOW), np.int64), np.zeros((0, WINDOW), np.int64)
     order = rng.permutation(len(chars))[:SAMPLE_WINDOWS]
@@ -439,19 +458,61 @@ def plausible(kind: int, text: str) -> bool:
     return 10 <= len(d) <= 15 and not re.search(r"[^0-9()+.\s-]", text)
 
 
+def _rejects(failed: Span, span: Span, text: str) -> bool:
+    """Does a match that failed its check rule out a span of its kind?  If they
+    have the same digits, or the span cuts a run of digits of the match."""
+    (a, k, b), (x, kind, y) = failed, span
+    if k != kind or a >= y or x >= b:
+        return False
+    cut = any(0 < p < len(text) and text[p - 1] in _DIGITS and text[p] in _DIGITS for p in (x, y))
+    return cut or not (_digits(text[min(a, x):max(a, x)]) or _digits(text[min(b, y):max(b, y)]))
+
+
+def _cards(text: str, start: int, stop: int) -> Iterator[Span]:
+    """Whole runs of digits between ``start`` and ``stop`` that make a card, from the left."""
+    runs = [(m.start() + start, m.end() + start) for m in re.finditer("[0-9]+", text[start:stop])]
+    i = 0
+    while i < len(runs):
+        size, after = 0, i + 1
+        for j in range(i, len(runs)):
+            size += runs[j][1] - runs[j][0]
+            if size > 19:
+                break
+            if plausible(2, text[runs[i][0]:runs[j][1]]):
+                yield runs[i][0], 2, runs[j][1]
+                after = j + 1
+                break
+        i = after
+
+
+def _decoded(text: str, tags: np.ndarray, start: int, failed: Sequence[Span]) -> Iterator[Span]:
+    """The spans of ``tags``, which begin at ``start``; one of a card also gives the
+    cards in it, and in the failed matches that it touches."""
+    for x, k, y in spans_of(tags):
+        a, b = start + x, start + y
+        if k != 2:
+            yield a, k, b
+            continue
+        if plausible(k, text[a:b]):
+            yield a, k, b
+        for low, kind, high in [(a, k, b), *failed]:
+            if kind == k and low < b and a < high:
+                yield from _cards(text, low, high)
+
+
 def find(texts: list[str | None], model: BiLstmCrf | None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text."""
     looked = [candidates(t) if t else [] for t in texts]
     base = [sorted(s for s, ok in c if ok) for c in looked]
+    failed = [[s for s, ok in c if not ok] for c in looked]
     every = [list(b) for b in base]
     if model is not None:
         where = [(i, a, b) for i, t in enumerate(texts) if t for a, b in stretches(t)]
         for (i, a, b), tags in zip(where, model.tag([texts[i][a:b] for i, a, b in where]), strict=True):
-            for x, k, y in spans_of(tags):
-                span, text = (a + x, k, a + y), texts[i][a + x:a + y]
+            for span in _decoded(texts[i], tags, a, failed[i]):
                 touched = any(s[0] < span[2] and span[0] < s[2] for s in every[i])
-                rejected = any(s[1] == k and s[0] < span[2] and span[0] < s[2] for s, ok in looked[i] if not ok)
-                if not touched and not rejected and plausible(k, text):
+                if not touched and plausible(span[1], texts[i][span[0]:span[2]]) and not any(
+                        _rejects(s, span, texts[i]) for s in failed[i]):
                     every[i].append(span)
     return [(b, sorted(e)) for b, e in zip(base, every, strict=True)]
 

@@ -138,6 +138,71 @@ def test_windows_are_reconciled_over_long_stretches(model):
     assert len(base) == 40 and every == base
 
 
+class Decoded:
+    """A model that finds the given pieces of text."""
+
+    def __init__(self, *pieces):
+        self.pieces = pieces
+
+    def tag(self, texts):
+        return [pii.tags_of(len(t), [(t.find(p), k, t.find(p) + len(p)) for k, p in self.pieces if p in t])
+                for t in texts]
+
+
+def added(text, *pieces):
+    (base, every), = pii.find([text], Decoded(*pieces))
+    return {(k, text[a:b]) for a, k, b in set(every) - set(base)}
+
+
+def test_parts_of_a_failed_match_are_added():
+    one, second = "4012888888881881", "4111 1111 1111 1111"
+    assert pii.base_spans(f"x {one} {second} y") == []
+    assert added(f"x {one} {second} y", (2, one), (2, second)) == {(2, one), (2, second)}
+    assert added(f"x {one} {second} y", (2, second)) == {(2, one), (2, second)}
+    assert added(f"x {one} {second} y", (2, f"{one} {second}")) == {(2, one), (2, second)}
+    phone = "+1 (826) 555-4081"
+    assert added(f"{phone} 190.137.223.204", (3, phone)) == {(3, phone)}
+    dotted = "4111.1111.1111.1111"                       # four matches that fail
+    assert added(f"card {dotted} end", (2, dotted)) == {(2, dotted)}
+
+
+def test_what_a_rule_rejected_is_not_added():
+    assert added("x 4111 1111 1111 1112 y", (2, "4111 1111 1111 1112")) == set()
+    assert added("call +1 (826) 555 4081 99999 now", (3, "1 (826) 555 4081 99999")) == set()
+    run = "4111111111111111" + "99999"                   # no part of one run of digits
+    assert added(f"x {run} y", (2, run[:16])) == set()
+    assert added("x 999.1.1.1 y", (1, "99.1.1.1")) == set()
+
+
+def test_model_finds_two_numbers_in_a_row(model):
+    """The rules find none of these cards and phones."""
+    rnd = random.Random(11)
+
+    def card():
+        d = "4" + "".join(rnd.choice("0123456789") for _ in range(14))
+        return next(d + c for c in "0123456789" if pii.luhn(d + c))
+
+    found = {"card": 0, "phone": 0}
+    for _ in range(40):
+        one, two, ip = card(), card(), ".".join(str(rnd.randint(100, 255)) for _ in range(4))
+        phone = f"+1 ({rnd.randint(200, 999)}) 555-{rnd.randint(1000, 9999)}"
+        for kind, text, want in (("card", f"of the house {one} {two} said on", {one, two}),
+                                 ("phone", f"of the house {phone} {ip} said on", {phone})):
+            (base, every), = pii.find([text], model)
+            found[kind] += {text[a:b] for a, _, b in set(every) - set(base)} == want
+    assert min(found.values()) >= 28, found
+
+
+def test_two_numbers_in_a_row_are_trained_on():
+    chars, tags = pii.training_windows(["pay 4111 1111 1111 1111 from +1 (826) 555-4081 or 10.2.3.4 today"] * 3)
+    assert max(len(pii.spans_of(t)) for t in tags) >= 2
+    for t in tags:
+        spans = pii.spans_of(t)
+        if any(b + 1 == c for (_, _, b), (c, _, _) in itertools.pairwise(spans)):
+            return
+    raise AssertionError("no window with two numbers in a row")
+
+
 def test_frame(spark, texts):
     rows = [(i, t, "x") for i, t in enumerate(texts[:300])] + [(None, None, "x"), (7, "", None), (7, "", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans_of string")
