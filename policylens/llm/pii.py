@@ -124,7 +124,8 @@ SAMPLE_WINDOWS = 2_500
 EPOCHS, BATCH, RATE = 6, 64, 0.02
 ROWS = ((2, 2), (3, 1), (3, 2), (2, 1), (1, 2))       # kinds in a row that the rules take for one number
 _FORBIDDEN = -30.0
-_triggers = re.compile(r"[0-9@]|[\[(]at[\])]").finditer
+_triggers = re.compile(r"[0-9@]|[\[(]at[\])]", re.IGNORECASE).finditer
+_sign = re.compile(r"\s*(?:@|[\[(]at[\])])\s*", re.IGNORECASE)
 
 
 def encode(text: str) -> np.ndarray:
@@ -135,13 +136,32 @@ def encode(text: str) -> np.ndarray:
     return np.where(plain, out - 31, other)
 
 
+def _name_and_host(text: str, a: int, b: int) -> tuple[int, int]:
+    """From the start of the name before the at sign at ``a:b`` to the end of the host after it."""
+    while a and text[a - 1].isspace():
+        a -= 1
+    while a and text[a - 1] in _LOCAL:
+        a -= 1
+    while b < len(text) and text[b].isspace():
+        b += 1
+    while b < len(text) and text[b] in _LOCAL:
+        b += 1
+    return a, b
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of ``text`` around triggers, with their context; near ones are one."""
+    """Parts of ``text`` around triggers, with their context; near ones are one.  An
+    at sign has the whole name before it and the whole host after it."""
     out: list[list[int]] = []
     for m in _triggers(text):
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
+        a, b = m.span()
+        if text[a] not in _DIGITS:
+            a, b = _name_and_host(text, a, b)
+        a, b = max(0, min(a, m.start() - CONTEXT)), min(len(text), max(b, m.end() + CONTEXT))
+        while out and a < out[-1][0]:                    # a long name reaches over earlier ones
+            b = max(b, out.pop()[1])
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(b, out[-1][1])
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]
@@ -447,9 +467,8 @@ def plausible(kind: int, text: str) -> bool:
     """Has an added span the parts that its kind must have?"""
     d = _digits(text)
     if kind == 0:
-        name, sign, host = re.split(r"\s*(@|[\[(]at[\])])\s*", text, maxsplit=1) if re.search(
-            r"@|[\[(]at[\])]", text) else ("", "", "")
-        return bool(sign and _LOCAL_RUN.search(name) and _domain(host))
+        sign = _sign.search(text)
+        return bool(sign and _LOCAL_RUN.search(text[:sign.start()]) and _domain(text, sign.end()))
     if kind == 1:
         numbers = re.findall(r"[0-9]+", text)
         return len(numbers) == 4 and all(map(_octet, numbers)) and not re.search(r"[^0-9.\[\]()\s]", text)
@@ -487,9 +506,16 @@ def _cards(text: str, start: int, stop: int) -> Iterator[Span]:
 
 def _decoded(text: str, tags: np.ndarray, start: int, failed: Sequence[Span]) -> Iterator[Span]:
     """The spans of ``tags``, which begin at ``start``; one of a card also gives the
-    cards in it, and in the failed matches that it touches."""
+    cards in it, and in the failed matches that it touches.  An address has its
+    whole name and host, as the rules' have."""
     for x, k, y in spans_of(tags):
         a, b = start + x, start + y
+        sign = _sign.search(text, a, b) if k == 0 else None
+        host = sign and _domain(text, sign.end())
+        if host:
+            a, b = sign.start(), host.end()
+            while a and text[a - 1] in _LOCAL:
+                a -= 1
         if k != 2:
             yield a, k, b
             continue

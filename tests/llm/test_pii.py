@@ -203,6 +203,23 @@ def test_two_numbers_in_a_row_are_trained_on():
     raise AssertionError("no window with two numbers in a row")
 
 
+def test_long_names_and_hosts_are_read_whole(model):
+    name, host = "a.very.long.name.of.a.person.in.an.office", "some-long-subdomain.of.example-company.com"
+    for sign in (" @ ", "(at)", " [at] ", " (AT) "):
+        text = f"write to {name}{sign}{host} about it"
+        whole = name + sign + host
+        assert any(whole in text[a:b] for a, b in pii.stretches(text)), sign
+        assert added(text, (0, f"office{sign}some-long-subdomain.of.exa")) == {(0, whole)}
+    text = f"mail to {name} @ {host} 1 " + "x" * 100 + " 2"
+    parts = pii.stretches(text)
+    assert all(b < c for (_, b), (c, _) in itertools.pairwise(parts))
+
+
+def test_stretches_take_linear_time():
+    for text in ("@" * 100_000, "a@" * 50_000, "a" * 300_000 + "@", " " * 300_000 + "@", "b(at)" * 50_000, "1 " * 100_000):
+        pii.stretches(text)
+
+
 def test_frame(spark, texts):
     rows = [(i, t, "x") for i, t in enumerate(texts[:300])] + [(None, None, "x"), (7, "", None), (7, "", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans_of string")
