@@ -142,7 +142,7 @@ def _confirmed(candidates: DataFrame, sets: DataFrame, threshold: int) -> DataFr
     """Edges (a, b) of ``candidates`` (centre, class) that are similar on their full sets."""
     members = candidates.join(sets, "class").withColumnRenamed("shingles", "_of_class")
     both = salted_join(members, sets.withColumnsRenamed({"class": "centre", "shingles": "_of_centre"}), "centre",
-                       how="inner", heavy="left")
+                       how="inner", heavy="left", salt_by=["class"])
     common = F.size(F.array_intersect("_of_class", "_of_centre"))
     return both.where(_similar(common, F.size("_of_class"), F.size("_of_centre"), threshold)).select(
         F.col("centre").alias("a"), F.col("class").alias("b"))
@@ -263,7 +263,7 @@ def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
         F.col("node").alias("component"), F.col("component").alias("_into"))
     nodes = found.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
                               .join(found, "node", "left_anti").select("node", F.col("node").alias("component")))
-    joined = salted_join(nodes, merged, "component", heavy="left")
+    joined = salted_join(nodes, merged, "component", heavy="left", salt_by=["node"])
     return stage(joined.select("node", F.coalesce("_into", "component").alias("component")), "joined")
 
 

@@ -43,12 +43,13 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], pieces: str) -> DataFrame:
         *keys, F.greatest(F.lit(2), F.ceil(F.col("_n") * share / total)).cast("int").alias(pieces))
 
 
-def _row_salt(df: DataFrame, pieces: Column) -> Column:
-    """A piece per row.  The row id spreads identical copies; a heavy side is a
-    file scan or a staged table, where the id is the same when a task is
-    recomputed."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()),
-                  pieces).cast("int")
+def _row_salt(df: DataFrame, pieces: Column, salt_by: Sequence[str] | None) -> Column:
+    """A piece per row, the same when a task is recomputed.  The row id spreads
+    identical copies of a file scan's or a staged table's rows; rows behind a
+    shuffle come in any order, and have a piece by their columns ``salt_by``."""
+    what = [F.col(f"`{c}`") for c in salt_by] if salt_by else [
+        *[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()]
+    return F.pmod(F.xxhash64(*what), pieces).cast("int")
 
 
 def _every_piece(pieces: str) -> Column:
@@ -57,13 +58,14 @@ def _every_piece(pieces: str) -> Column:
 
 def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left_outer",
                 heavy: str = "right", count_right: DataFrame | None = None,
-                spread_by: Sequence[str] | None = None) -> DataFrame:
+                spread_by: Sequence[str] | None = None, salt_by: Sequence[str] | None = None) -> DataFrame:
     """``left.join(right, keys, how)`` for ``how`` "left_outer" or "inner", with
     heavy keys of the ``heavy`` side ("left", "right", "both" or "none") cut in
     pieces.  "none" is for keys known to be unique on both sides.
 
-    A row of a heavy key goes to one piece (a hash of the row and its row id);
-    the other side's rows of that key are copied to every piece.  A left outer
+    A row of a heavy key goes to one piece: by a hash of the row and its row id
+    where the heavy side is a file scan or staged, by a hash of ``salt_by``,
+    columns that tell its rows apart, where it is not.  The other side's rows of that key are copied to every piece.  A left outer
     join drops the copies that met no row in their piece: a key that is heavy
     on the right has a match in another piece.  Left rows with a null key match
     nothing and are spread over all tasks by a hash of ``spread_by`` (default:
@@ -85,14 +87,14 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
     if heavy in ("right", "both"):
         table = heavy_keys((right if count_right is None else count_right).select(*keys), keys, "_rp")
         r = r.join(F.broadcast(table), keys, "left_outer").withColumn(
-            "_rs", F.when(F.col("_rp").isNull(), 0).otherwise(_row_salt(right, F.col("_rp")))).drop("_rp")
+            "_rs", F.when(F.col("_rp").isNull(), 0).otherwise(_row_salt(right, F.col("_rp"), salt_by))).drop("_rp")
         l = l.join(F.broadcast(table), keys, "left_outer").withColumn("_rs", _every_piece("_rp"))
         on.append("_rs")
     if heavy in ("left", "both"):
         table = heavy_keys(left.select(*keys), keys, "_lp")
         l = l.join(F.broadcast(table), keys, "left_outer").withColumn(
             "_ls", F.when(null_key, spread).when(F.col("_lp").isNull(), 0)
-            .otherwise(_row_salt(left, F.col("_lp")))).drop("_lp")
+            .otherwise(_row_salt(left, F.col("_lp"), salt_by))).drop("_lp")
         r = r.join(F.broadcast(table), keys, "left_outer").withColumn("_ls", _every_piece("_lp")).drop("_lp")
         on.append("_ls")
     elif outer:

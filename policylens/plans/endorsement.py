@@ -52,7 +52,7 @@ def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFr
     # Heads fan out from the right side, which AQE cannot split for a left join;
     # heavy keys are counted on the raw head extract (no dedupe pass needed).
     joined = salted_join(copymain_record(src.copymain), head, "applyno", count_right=src.head,
-                         spread_by=["policyno"])
+                         spread_by=["policyno"], salt_by=["_head"] if "_head" in head.columns else None).drop("_head")
     return joined.where(endorsement_row_filter(period))
 
 
@@ -120,9 +120,10 @@ def shares_by_application(copycoins: DataFrame, missing_share: float = MISSING_E
 
 
 def head_with_multiplicity(head: DataFrame) -> DataFrame:
-    """Exact copies of a head row collapse to one typed row with ``n_head``."""
+    """Exact copies of a head row collapse to one typed row with ``n_head``, and
+    ``_head`` to tell it from rows that differ before they are typed."""
     grouped = head.groupBy(*HEAD_SOURCE_COLUMNS).agg(F.count(F.lit(1)).alias("n_head"))
-    return head_record(grouped, "n_head")
+    return head_record(grouped.withColumn("_head", F.xxhash64(*HEAD_SOURCE_COLUMNS)), "n_head", "_head")
 
 
 def _dec_times(s: Column, count: Column) -> Column:

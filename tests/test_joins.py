@@ -54,6 +54,53 @@ def test_heavy_keys_are_bounded_and_cut_by_their_own_count(spark):
     assert found == {-1: 16}                 # half of the rows over 4 pieces for each of 8 partitions
 
 
+def test_salt_by_columns_does_not_depend_on_row_order(spark):
+    left = spark.range(0, 4000).select(F.lit(1).alias("k"), F.col("id").alias("l"))
+    right = spark.createDataFrame([(1, "x")], "k int, r string")
+    for heavy, one, two in (("left", left, right), ("right", right, left)):
+        out = salted_join(one, two, "k", how="inner", heavy=heavy, salt_by=["l"])
+        assert "monotonically_increasing_id" not in out._jdf.queryExecution().analyzed().toString()
+        assert rows(out) == rows(one.join(two, "k"))
+
+
+def unstable(df):
+    """Does a row id stand above a shuffle of rows?"""
+    def shuffled(plan):
+        return plan.nodeName() in ("Join", "Aggregate", "Distinct", "Deduplicate") or any(
+            shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    return shuffled(df._jdf.queryExecution().analyzed())
+
+
+@pytest.mark.parametrize("operator", ["near_dedup", "endorsement"])
+def test_heavy_sides_behind_a_shuffle_have_no_row_id(spark, monkeypatch, operator):
+    from policylens.llm import near_dedup
+    from policylens.plans import endorsement
+    from tests.test_rollup import WINDOW, story
+
+    module, calls = {"near_dedup": near_dedup, "endorsement": endorsement}[operator], []
+
+    def watched(left, right, *args, **kw):
+        heavy = kw.get("heavy", args[2] if len(args) > 2 else "right")
+        out = salted_join(left, right, *args, **kw)
+        side = left if heavy == "left" else right
+        if heavy != "none" and unstable(side):
+            calls.append("monotonically_increasing_id" in out._jdf.queryExecution().analyzed().toString())
+        return out
+
+    monkeypatch.setattr(module, "salted_join", watched)
+    if operator == "near_dedup":
+        sets = spark.createDataFrame([(i, [1, 2, 3]) for i in range(4)], "class long, shingles array<long>")
+        pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "centre long, class long")
+        assert near_dedup._confirmed(pairs, sets, 80).count() == 3
+        found = spark.createDataFrame([(0, 0), (1, 0), (2, 2)], "node long, component long")
+        more = spark.createDataFrame([(1, 2), (5, 2)], "a long, b long")
+        assert {r["component"] for r in near_dedup._joined(found, more).collect()} == {0}
+    else:
+        endorsement.endorsement_rollup(story(spark), WINDOW)
+    assert calls and not any(calls)
+
+
 def largest_task(df):
     return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
 
