@@ -11,7 +11,7 @@ the part of the model that its own documents touch.
    own training counts go to the shard of the hash, each once per group, so
    no word is hot.  A shard adds up and answers in the order asked.
 3. Words and pairs are asked for first; triples then only where both of their
-   pairs occur ``LEAST_CONTEXT`` times, the others are not in the model.
+   pairs occur in the training texts, elsewhere no triple can.
 4. A group builds the trie of its n-grams with their corpus counts, maps it
    into memory, and scores its documents by successor search.
 
@@ -20,8 +20,7 @@ within their shard, whose size does not grow with the corpus.
 
 Defined results: a null text counts as empty and is one token, the end.  With
 no training texts every score is 0.  Equal texts have equal scores, whatever
-their group.  Probabilities after a context sum to one, or to less where triples
-are not in the model.
+their group.  Probabilities after a context sum to one.
 """
 
 from __future__ import annotations
@@ -44,7 +43,7 @@ from policylens.session import scratch_path
 
 GROUP_WORDS = 1_000_000
 PAIR_WEIGHT, TRIPLE_WEIGHT = 20.0, 1.0
-LEAST_CONTEXT = 2
+LEAST_CONTEXT = 1        # a context is every pair that occurs
 # Hashes that no word is given: the end of a text, and its beginning as a context.
 END, BEGIN = np.uint64(1), np.uint64(2)
 _FIRST, _SECOND, _THIRD = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -139,7 +138,7 @@ class Group:
         return keys, np.bincount(self.pair_of[self.learn], minlength=len(codes))
 
     def triples(self, pair_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct triples of which both pairs are frequent: ``triple_at`` are
+        """Distinct triples of which both pairs are known: ``triple_at`` are
         their positions, ``triple_of`` which one each has."""
         often = (pair_counts >= LEAST_CONTEXT)[self.pair_of]
         at = np.flatnonzero(often)

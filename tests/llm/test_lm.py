@@ -115,6 +115,38 @@ def test_probabilities_sum_to_at_most_one(corpus):
         assert 0.9 < sum(p(u, v, w) for w in [*sorts, "unknown word"]) < 1 + 1e-9
 
 
+def uncut(rows):
+    """The definition with every triple that occurs, however rare its pairs."""
+    p3, one = definition(rows)
+    learn = [[BEFORE, *tokens(text)] for _, text, held in rows if not held]
+    two = Counter(g for t in learn for g in zip(t, t[1:]))
+    three = Counter(g for t in learn for g in zip(t, t[1:], t[2:]))
+
+    def p(u, v, w):
+        shorter = p3(None, v, w)
+        return (three[u, v, w] + lm.TRIPLE_WEIGHT * shorter) / (two[u, v] + lm.TRIPLE_WEIGHT) if two[u, v] else shorter
+
+    return p, one
+
+
+def test_a_passage_seen_once_has_its_triples(spark, corpus):
+    passage = "one passage that is seen just once in training"
+    rows = [*corpus, (900, passage, False), (901, passage, True)]
+    p, _ = uncut(rows)
+    t = [BEFORE, *tokens(passage)]
+    want = sum(math.log10(p(t[i - 2] if i > 1 else None, t[i - 1], t[i])) for i in range(1, len(t)))
+    for group_words in (1, 10**6):
+        got = {r["doc_id"]: r["score"] for r in lm.score(frame(spark, rows).repartition(3), group_words).collect()}
+        assert got[901] == pytest.approx(want, abs=5e-4 * len(t)) and got[900] == got[901]
+
+
+def test_probabilities_sum_to_one(corpus):
+    rows = [r for r in corpus if not r[2]]
+    for p, sorts in (definition(rows), uncut(rows)):
+        for u, v in ((None, "w1"), ("w1", "w2"), (BEFORE, "w0"), ("w3", "w9"), ("w50", "w61")):
+            assert sum(p(u, v, w) for w in [*sorts, "unknown word"]) == pytest.approx(1, abs=1e-9)
+
+
 def test_nothing_to_learn_from_and_no_rows(spark):
     none = lm.score(frame(spark, [(1, "a b", True), (2, None, True)])).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in
