@@ -142,12 +142,13 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                          *[StructField(c, DoubleType()) for c in ("near_edited", "near_next")]])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None                                        # the row whose next one is still to come
+        held = first = None                                # the row whose next one is still to come; the first row
         for batch in batches:
             out = []
             for doc_id, text, ahead in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "_ahead")],
                                            strict=True):
                 signed = signatures(text)
+                first = first or (text, signed)
                 if held is not None:
                     out.append(describe(*held, text, signed))
                     held = None
@@ -159,6 +160,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
                 continue
             yield batch_of(out)
             break
+        if held is not None:                               # no id at all: nothing is ahead of the only bucket
+            yield batch_of([describe(*held, *first)])
         for _ in batches:
             pass
 

@@ -165,6 +165,14 @@ def test_every_document_meets_its_next(spark):
         assert r["near_edited"] == spotsigs.likeness(a, b) and r["near_next"] == spotsigs.likeness(a, c)
 
 
+@pytest.mark.parametrize("n", [1, 4])
+def test_fingerprints_where_every_id_is_null(spark, n):
+    got = spotsigs.compare_with_next(spark.createDataFrame([(None, "a the b" + "c" * i, None) for i in range(n)], PRINTS))
+    rows = got.collect()
+    assert sorted(r["n_chars"] for r in rows) == [7 + i for i in range(n)]
+    assert all(r["doc_id"] is None and r["near_next"] is not None for r in rows)
+
+
 def test_one_document_ties_nulls_and_no_rows(spark):
     one = spotsigs.compare_with_next(spark.createDataFrame([(4, "the lone river stone", None)], PRINTS)).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
