@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from policylens.llm import langid, lm, pii, quality
+from policylens.llm.alignment import aligned
 from policylens.llm.common import read_table
 from policylens.llm.exact_dedup import exact_duplicates
 from policylens.llm.mixing import mix
 from policylens.llm.near_dedup import near_duplicates
 from policylens.llm.packing import pack
+from policylens.llm.ranking import ranked
+from policylens.llm.sharding import shard_plan
 from policylens.llm.spotsigs import compare_with_next
 from policylens.llm.tokens import with_token_counts
 from policylens.session import workers_import_this
@@ -137,15 +140,65 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                   vocabulary("piece_bpe_32k.model"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+p AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, c GROUP BY term),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))
+    AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN n USING (doc_id), c GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+    doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50"""
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shard_plan(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+# The checksum is that of the reversed polynomial 0xEDB88320, a byte at a time with its table.
+OP13_SQL = """
+WITH t AS (SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1
+    THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) FOR i IN range(256)] AS t),
+d AS (SELECT doc_id, text, CAST(octet_length(encode(coalesce(text, ''))) + 16 AS BIGINT) AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST(('0x' || x) AS BIGINT))),
+      lambda x, y: xor(x >> 8, t.t[(xor(x, y) & 255) + 1])), 4294967295) AS text_crc32 FROM documents, t),
+p AS (SELECT *, CAST(sum(size) OVER (ORDER BY doc_id, size, hash(text) ROWS UNBOUNDED PRECEDING) AS BIGINT) AS to_here,
+    CAST(sum(size) OVER () AS BIGINT) AS everything FROM d),
+s AS (SELECT *, CAST(((2 * to_here - size) * 40) // (2 * everything) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY to_here) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s"""
+
 _SPARK: dict[str, QueryFn] = {
     "op1_mix": op1_mix, "op2_language": op2_language, "op3_lm_score": op3_lm_score,
     "op4_fingerprint": op4_fingerprint,
     "op7_quality": op7_quality, "op8_pii": op8_pii,
     "op5_exact_dedup": op5_exact_dedup, "op6_pack": op6_pack,
     "op9_near_dedup": op9_near_dedup,
-    "op10_token_counts": op10_token_counts,
+    "op10_token_counts": op10_token_counts, "op11_alignment": op11_alignment,
+    "op12_ranked_search": op12_ranked_search, "op13_shards": op13_shards,
 }
-_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_near_dedup": OP9_SQL}
+_SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_near_dedup": OP9_SQL,
+                        "op12_ranked_search": OP12_SQL, "op13_shards": OP13_SQL}
 
 
 def spark_queries() -> dict[str, QueryFn]:

@@ -23,6 +23,10 @@ COLUMNS = {
              "base_sha256": "string", "spans": "string"},
     "op9_": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op10_": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    "op11_": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
+              "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
+    "op13_": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int",
+              "slot": "bigint", "grown_shard": "int"},
 }
 
 
@@ -55,3 +59,11 @@ def test_language_model_beats_its_base_on_held_out_texts(spark):
     held = [r for r in df.collect() if r["held_out"]]
     assert held and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
     assert all(r["score"] <= 0 and r["n_known"] <= r["n_tokens"] for r in held)
+
+
+def test_ranked_search(spark):
+    name = name_of("op12_")
+    df = queries()[name](spark, SF_SMALL)
+    assert dict(df.dtypes) == {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"}
+    approx, exact, msg = compare(df.toPandas(), duck(SF_SMALL).execute(oracle_sql()[name]).fetchdf())
+    assert approx and exact, msg
