@@ -232,6 +232,12 @@ def _pairs(blocks: DataFrame, byte_level: str, pieces: str, shards: int, lanes:
         run, "block long, shard long, lane long, keys binary, counts binary")
 
 
+def _every_lane(lanes: int):
+    """A row per lane; of the type that ``lane`` has in the pairs, since groups
+    of two frames only meet where their keys have the same type."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long")))
+
+
 def _rows(table: pa.Table, *names: str) -> Iterator[tuple]:
     return zip(*[table.column(n).to_pylist() for n in names])
 
@@ -333,7 +339,7 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str, block_bytes: int = BL
     lanes = max(1, math.ceil(math.sqrt(blocks.count() / lane_blocks)))
     pairs = stage(_pairs(blocks, byte_level, pieces, shards, lanes), "align-pairs")
     index, sums = pair_counts(pairs, lanes)
-    counted = index.join(sums, "shard").withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    counted = index.join(sums, "shard").withColumn("lane", _every_lane(lanes))
     replies = pairs.groupBy("shard", "lane").cogroup(counted.groupBy("shard", "lane")).applyInArrow(
         _looked_up(own.size_b), "block long, keys binary, counts binary")
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
@@ -347,7 +353,7 @@ def pair_counts(pairs: DataFrame, lanes: int) -> tuple[DataFrame, DataFrame]:
         _union, "shard long, keys binary")
     index = stage(unions.groupBy("shard").applyInArrow(_hashed, "shard long, hash binary, placed binary"),
                   "align-index")
-    per_lane = index.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    per_lane = index.withColumn("lane", _every_lane(lanes))
     vectors = pairs.groupBy("shard", "lane").cogroup(per_lane.groupBy("shard", "lane")).applyInArrow(
         _vector, "shard long, vector binary")
     return index, stage(vectors.groupBy("shard").applyInArrow(_sum, "shard long, vector binary"), "align-counts")

@@ -94,6 +94,15 @@ def test_aligned_is_the_definition(spark, rows):
     assert result(got) == defined(rows)
 
 
+def test_groups_meet_in_many_partitions(spark, rows):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = aligned(frame(spark, rows[:60]), A, B, block_bytes=20_000, shard_pairs=1 << 29, lane_blocks=1)
+        assert result(got) == defined(rows[:60])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_empty_and_tokenless_tables(spark):
     assert aligned(frame(spark, []), A, B, shard_pairs=1 << 27).count() == 0
     rows = [(1, None, "", ""), (1, "", "", ""), (None, "a▁b", None, None)]
