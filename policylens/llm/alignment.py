@@ -39,19 +39,17 @@ import hashlib
 import math
 import os
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from policylens.llm.common import stage
+from policylens.llm.common import shuffle_partitions, stage
 from policylens.llm.perfect_hash import PerfectHash
-from policylens.llm.tokens import byte_symbols
+from policylens.llm.tokens import _pattern, byte_symbols
 
 SEGMENT = re.compile(r" (?:[^ ]+| (?!\S)|(?<= ) )*")
 # Text bytes of a block, and blocks that one lane sums.
@@ -59,29 +57,63 @@ BLOCK_BYTES = 4 << 20
 LANE_BLOCKS = 64
 # Pairs that a shard can hold at most, by the size of the vocabularies.
 SHARD_PAIRS = 1 << 24
-# Segments a Python worker remembers.
-REMEMBERED = 200_000
+# Segments a Python worker remembers, and encodes at once.
+REMEMBERED = 400_000
+MANY = 20_000
+# Characters of a segment that is encoded together with others.
+SHORT = 200
+# Links of a group that are listed one by one before they are counted.
+LARGE_GROUP = 4_096
 
 
-class Aligned(NamedTuple):
-    """What a segment gives; ``pairs`` are distinct, ``times`` how often each is linked."""
+def _sums(values: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
+    """Whole-number sums of ``values`` by ``which`` of 0 to n - 1, ascending."""
+    up_to = np.concatenate([[0], np.cumsum(values)])
+    at = np.searchsorted(which, np.arange(n + 1))
+    return up_to[at[1:]] - up_to[at[:-1]]
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    pairs: tuple[int, ...]
-    times: tuple[int, ...]
-    groups: str
 
+class Segments:
+    """What segments give, a row each: ``numbers`` (tokens of either tokenizer,
+    groups, links; -1 where the bytes differ), the distinct linked pairs
+    ``pairs[starts[i]:starts[i + 1]]``, how many ``times`` each is linked, and
+    the groups as ``text``."""
+
+    def __init__(self):
+        self.numbers = np.zeros((0, 4), np.int64)
+        self.starts = np.zeros(1, np.int64)
+        self.pairs, self.times, self.text = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def add(self, numbers, sizes, pairs, times, text) -> None:
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
+        self.text += text
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of ``places`` one after the other, as places in ``pairs``,
+        and which of ``places`` each belongs to."""
+        sizes = self.starts[places + 1] - self.starts[places]
+        which = np.repeat(np.arange(len(places)), sizes)
+        return np.arange(len(which)) + np.repeat(self.starts[places] - (np.cumsum(sizes) - sizes), sizes), which
+
+
+def _products(own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``own`` items its number and each of 0 to n - 1 of its own."""
+    which = np.repeat(np.arange(len(own)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
 
 
 class Tokenizers:
-    """The two tokenizers of a worker."""
+    """The two tokenizers of a worker, and the segments it remembers."""
 
     def __init__(self, byte_level: str, pieces: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(byte_level)
@@ -91,9 +123,14 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.size_a, self.size_b = self.a.get_vocab_size(), self.b.get_piece_size()
         value = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+        added = {t.content for t in self.a.get_added_tokens_decoder().values()}
+        plain = {bytes(value[c] for c in t): i for t, i in self.a.get_vocab().items() if t not in added}
         self.bytes_a = [b""] * self.size_a
-        for token, i in self.a.get_vocab().items():
-            self.bytes_a[i] = bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
+        for token, i in plain.items():
+            self.bytes_a[i] = token
+        # the same merges by the rank of what they give, for many short segments at once
+        self.ranked = tiktoken.Encoding("ranked", pat_str=_pattern(r"\p{L}", r"\p{N}"), mergeable_ranks=plain,
+                                        special_tokens={})
         self.bytes_b = []
         for i in range(self.size_b):
             piece = self.b.id_to_piece(i)
@@ -101,61 +138,117 @@ class Tokenizers:
                 raise ValueError(f"{pieces}: a piece joins words, texts cannot be cut at spaces")
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i)
                                 else piece.replace("▁", " ").encode())
+        self.lengths = np.array([*map(len, self.bytes_a)]), np.array([*map(len, self.bytes_b)])
+        # "id," or at a group's end "id|" and "id;"
+        self.written = [f"{i}{c}" for n, end in ((self.size_a, "|"), (self.size_b, ";")) for i in range(n)
+                        for c in (",", end)]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.info: list[Aligned | None] = []
-        self.numbers = np.zeros((0, 4), np.int64)
+        self.found, self.groups = Segments(), False
+
+    def _add(self, texts: list[str], groups: bool) -> None:
+        """Align texts that begin with a space."""
+        for at in range(0, len(texts), MANY):
+            part = texts[at:at + MANY]
+            data = [t.encode() for t in part]
+            encoded = self._encoded_at_once(part, data) or self._encoded(part, data)
+            self.found.add(*self._aligned(*encoded, groups))
+
+    def _encoded_at_once(self, texts: list[str], data: list[bytes]):
+        """Segments that may stand one after the other, encoded as one text."""
+        if any(len(t) > SHORT or t[-1] == " " or t[1:2].isspace() or len(t) < 2 for t in texts):
+            return None
+        joined = "".join(texts)
+        a, b = self.ranked.encode_ordinary(joined), self.b.encode(joined[1:])
+        whole = b"".join(data)
+        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
+            return None
+        a, b, sizes = np.array(a), np.array(b), np.array([*map(len, data)])
+        return a, b, sizes, np.ones(len(texts), bool)
 
-    def _add(self, texts: list[str]) -> None:
-        """Encode texts that begin with a space; None where the bytes differ."""
+    def _encoded(self, texts: list[str], data: list[bytes]):
+        """Each segment by itself; those with other bytes are left out and marked."""
         ids_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
         ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        new = [self._aligned(t.encode(), a, b) for t, a, b in zip(texts, ids_a, ids_b)]
-        self.info += new
-        numbers = [x[:4] if x else (-1,) * 4 for x in new]
-        self.numbers = np.concatenate([self.numbers, np.array(numbers, np.int64).reshape(-1, 4)])
-
-    def _aligned(self, data: bytes, a: list[int], b: list[int]) -> Aligned | None:
-        by_a, by_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(by_a) != data or b"".join(by_b) != data:
-            return None
-        ends_a, ends_b = np.cumsum([len(x) for x in by_a]), np.cumsum([len(x) for x in by_b])
-        both = np.intersect1d(ends_a, ends_b)
-        cut_a, cut_b = np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
-        links, groups, n_links, at, bt = Counter(), [], 0, 0, 0
-        for i, j in zip(cut_a.tolist(), cut_b.tolist()):
-            own_a, own_b = a[at:i], b[bt:j]
-            at, bt = i, j
-            n_links += len(own_a) * len(own_b)
-            many_b = Counter(own_b).items()
-            for x, n in Counter(own_a).items():
-                for y, m in many_b:
-                    links[x * self.size_b + y] += n * m
-            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-        return Aligned(len(a), len(b), len(groups), n_links, tuple(links), tuple(links.values()), ";".join(groups))
-
-    def segments(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The segments of each text, as places in ``info`` and ``numbers`` that
-        hold until the next call; none for a text without tokens."""
+        good = np.array([b"".join(map(self.bytes_a.__getitem__, a)) == d == b"".join(map(self.bytes_b.__getitem__, b))
+                         for d, a, b in zip(data, ids_a, ids_b)], bool)
+        a, b = ([i for ids, ok in zip(own, good) if ok for i in ids] for own in (ids_a, ids_b))
+        return np.array(a, np.int64), np.array(b, np.int64), np.array([*map(len, data)])[good], good
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, good: np.ndarray, write: bool):
+        """The segments of ``sizes`` bytes that the tokens ``a`` and ``b`` cut, those
+        not ``good`` with -1.  Both tokenizers end a token where a segment ends."""
+        ends_a, ends_b, ends = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b]), np.cumsum(sizes)
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        in_a, in_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        n_a, n_b = np.bincount(in_a, minlength=len(both)), np.bincount(in_b, minlength=len(both))
+        of = np.searchsorted(ends, both)                  # the segment of each group
+        numbers = np.full((len(good), 4), -1, np.int64)
+        numbers[good] = np.stack([np.bincount(of[in_a], minlength=len(ends)), np.bincount(of[in_b], minlength=len(ends)),
+                                  np.bincount(of, minlength=len(ends)),
+                                  _sums(n_a * n_b, of, len(ends))], axis=1) if len(ends) else 0
+        # pairs: each token of the first with its group's tokens of the second, by ids and multiplicity in large groups
+        large = n_a * n_b > LARGE_GROUP
+        small_a = np.flatnonzero(~large[in_a])
+        which, nth = _products(small_a, n_b[in_a[small_a]])
+        first_b = np.cumsum(n_b) - n_b
+        token = small_a[which]
+        keys = [a[token] * self.size_b + b[first_b[in_a[token]] + nth]]
+        segment, times = [of[in_a[token]]], [np.ones(len(token), np.int64)]
+        first_a = np.cumsum(n_a) - n_a
+        for g in np.flatnonzero(large).tolist():
+            x, nx = np.unique(a[first_a[g]:first_a[g] + n_a[g]], return_counts=True)
+            y, ny = np.unique(b[first_b[g]:first_b[g] + n_b[g]], return_counts=True)
+            keys.append((x[:, None] * self.size_b + y).ravel())
+            times.append((nx[:, None] * ny).ravel())
+            segment.append(np.full(len(keys[-1]), of[g]))
+        keys, segment, times = np.concatenate(keys), np.concatenate(segment), np.concatenate(times)
+        by = np.lexsort((keys, segment))
+        keys, segment, times = keys[by], segment[by], times[by]
+        new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (segment[1:] != segment[:-1])])
+                             [:len(keys)])
+        per_segment = np.zeros(len(good), np.int64)
+        per_segment[good] = np.bincount(segment[new], minlength=len(ends))
+        text = [""] * len(good)
+        if write and len(ends):
+            last_a = np.append(in_a[1:] != in_a[:-1], True)
+            last_b = np.append(in_b[1:] != in_b[:-1], True)
+            codes = np.concatenate([2 * a + last_a, 2 * (self.size_a + b) + last_b])
+            group = np.concatenate([in_a, in_b])
+            by = np.argsort(2 * group + np.repeat([0, 1], [len(a), len(b)]), kind="stable")
+            parts = list(map(self.written.__getitem__, codes[by].tolist()))
+            until = np.cumsum(numbers[good, 0] + numbers[good, 1]).tolist()
+            for place, start, end in zip(np.flatnonzero(good).tolist(), [0, *until], until):
+                text[place] = "".join(parts[start:end])[:-1]
+        return numbers, per_segment, keys[new], np.add.reduceat(times, new) if len(new) else times, text
+
+    def segments(self, texts: list[str | None], groups: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The segments of all texts in order, as places in ``found`` that hold
+        until the next call, and how many of them each text has: none for a
+        text without tokens.  ``groups``: write the groups down, too (the same in
+        all calls until ``forget``)."""
         cut = [SEGMENT.findall(f" {t}") if t else [] for t in texts]
-        if len(self.info) > REMEMBERED:
+        if len(self.found) > REMEMBERED or self.groups != groups:
             self.forget()
+            self.groups = groups
         known = self.known
         new = list({s for own in cut for s in own if s not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            known.update(zip(part, range(len(self.info), len(self.info) + len(part))))
-            self._add(part)
-        out = []
-        for text, own in zip(texts, cut):
-            places = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
-            if (self.numbers[places, 0] < 0).any():
-                self._add([f" {text}"])
-                places = np.array([len(self.info) - 1] if self.info[-1] else [], np.int64)
-            out.append(places)
-        return out
+        # those that cannot be encoded at once last, so that they keep few others from it
+        new.sort(key=lambda s: len(s) > SHORT or s[-1] == " " or "▁" in s or s[1:2].isspace() or len(s) < 2)
+        known.update(zip(new, range(len(self.found), len(self.found) + len(new))))
+        self._add(new, groups)
+        places = np.fromiter((known[s] for own in cut for s in own), np.int64)
+        n = np.array([*map(len, cut)], np.int64)
+        bad = self.found.numbers[places, 0] < 0
+        if bad.any():                                     # a text with such a segment is encoded as a whole
+            own = np.split(places, np.cumsum(n)[:-1])
+            for i in np.unique(np.repeat(np.arange(len(n)), n)[bad]).tolist():
+                self._add([f" {texts[i]}"], groups)
+                own[i] = np.array([len(self.found) - 1] if self.found.numbers[-1, 0] >= 0 else [], np.int64)
+            places, n = np.concatenate(own), np.array([*map(len, own)], np.int64)
+        return places, n
 
 
 @lru_cache(maxsize=2)
@@ -203,6 +296,17 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
+def block_pairs(both: Tokenizers, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of some documents, and how many of these hold each."""
+    places, n = both.segments(texts)
+    docs, size = np.repeat(np.arange(len(n)), n), max(1, len(both.found))
+    held = np.unique(docs * size + places)                # the segments of each document, once
+    pair, which = both.found.of(held % size)
+    keys, key = np.unique(both.found.pairs[pair], return_inverse=True)
+    of_doc = np.unique((held // size)[which] * max(1, len(keys)) + key)
+    return keys, np.bincount(of_doc % max(1, len(keys)), minlength=len(keys))
+
+
 def _pairs(blocks: DataFrame, byte_level: str, pieces: str, shards: int, lanes: int) -> DataFrame:
     """(block, shard, lane, keys, counts): a block's distinct pairs, sorted, with
     the documents of the block that hold each."""
@@ -212,11 +316,7 @@ def _pairs(blocks: DataFrame, byte_level: str, pieces: str, shards: int, lanes:
         for batch in batches:
             for i in range(batch.num_rows):
                 block, lane = batch.column("block")[i].as_py(), batch.column("lane")[i].as_py()
-                held = Counter()
-                for places in both.segments(batch.column("texts")[i].as_py()):
-                    held.update(set().union(*[both.info[s].pairs for s in set(places.tolist())]))
-                keys = np.fromiter(held, np.int64, len(held))
-                counts = np.fromiter(held.values(), np.int64, len(held))
+                keys, counts = block_pairs(both, batch.column("texts")[i].as_py())
                 shard = keys // both.size_b % shards
                 by = np.lexsort((keys, shard))
                 keys, counts, shard = keys[by], counts[by], shard[by]
@@ -274,8 +374,8 @@ def _vector(rows: pa.Table, index: pa.Table) -> pa.Table:
         return pa.table({"shard": pa.array([], pa.int64()), "vector": pa.array([], pa.binary())})
     index = _index(index)
     total = np.zeros(index[0].size, np.int64)
-    for keys, counts in _rows(rows, "keys", "counts"):
-        total[_verified(index, _of(keys))] += _of(counts)
+    keys, counts = (np.concatenate([_of(x) for x in rows.column(c).to_pylist()]) for c in ("keys", "counts"))
+    np.add.at(total, _verified(index, keys), counts)
     return pa.table({"shard": rows.column("shard")[:1], "vector": [total.tobytes()]})
 
 
@@ -294,7 +394,9 @@ def _looked_up(size_b: int):
         highest = np.zeros(len(ids), np.int64)
         np.maximum.at(highest, which, vector)
         marked = np.where(vector == highest[which], -vector, vector)
-        counts = [marked[_verified(index, _of(k))].tobytes() for k, in _rows(rows, "keys")]
+        keys = [_of(k) for k in rows.column("keys").to_pylist()]
+        found = marked[_verified(index, np.concatenate([np.zeros(0, np.int64), *keys]))]
+        counts = [c.tobytes() for c in np.split(found, np.cumsum([len(k) for k in keys])[:-1])] if keys else []
         return pa.table({"block": rows.column("block"), "keys": rows.column("keys"),
                          "counts": pa.array(counts, pa.binary())})
     return run
@@ -304,30 +406,42 @@ def _judged(byte_level: str, pieces: str):
     def run(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         """A block's documents, aligned again and judged by the counts."""
         both = tokenizers(byte_level, pieces)
-        count_of: dict[int, int] = {}
-        for keys, counts in _rows(replies, "keys", "counts"):
-            count_of.update(zip(_of(keys).tolist(), _of(counts).tolist()))
+        keys, counts = (np.concatenate([np.zeros(0, np.int64), *[_of(x) for x in replies.column(c).to_pylist()]])
+                        for c in ("keys", "counts"))
+        by = np.argsort(keys)
+        keys, counts = keys[by], counts[by]
         out = {name: [] for name in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
                                      "groups_sha256")}
         for ids, texts in _rows(blocks, "ids", "texts"):
-            found = both.segments(texts)
-            judged = np.zeros((len(both.info), 2), np.int64)
-            for s in np.unique(np.concatenate(found)).tolist():
-                own = both.info[s]
-                counts = [count_of[p] for p in own.pairs]
-                judged[s] = (sum(t for t, c in zip(own.times, counts) if c < 0),
-                             sum(t * abs(c) for t, c in zip(own.times, counts)))
-            for doc_id, places in zip(ids, found):
-                groups = ";".join([both.info[s].groups for s in places.tolist()])
-                values = (doc_id, *both.numbers[places].sum(axis=0).tolist(), *judged[places].sum(axis=0).tolist(),
-                          hashlib.sha256(groups.encode()).hexdigest() if len(places) else "")
-                for column, value in zip(out.values(), values):
-                    column.append(value)
+            places, n = both.segments(texts, groups=True)
+            found = both.found
+            own, which = np.unique(places, return_inverse=True)
+            pair, segment = found.of(own)
+            count, times = counts[np.searchsorted(keys, found.pairs[pair])], found.times[pair]
+            judged = np.stack([_sums(times * (count < 0), segment, len(own)),
+                               _sums(times * np.abs(count), segment, len(own))], axis=1)
+            of = np.repeat(np.arange(len(n)), n)
+            values = [*found.numbers[places].T, *judged[which].T]
+            sums = [_sums(v, of, len(n)).tolist() for v in values]
+            written = [found.text[p] for p in places.tolist()]
+            ends = np.cumsum(n).tolist()
+            out["groups_sha256"] += [hashlib.sha256(";".join(written[s:e]).encode()).hexdigest() if e > s else ""
+                                     for s, e in zip([0, *ends], ends)]
+            for name, column in zip(out, [ids, *sums]):
+                out[name] += column
         return pa.table({name: pa.array(v, pa.string() if name == "groups_sha256" else pa.int64())
                          for name, v in out.items()})
     return run
 
 
+def _together(pairs: DataFrame, index: DataFrame):
+    """Grouped by shard and lane, over as many tasks as a shuffle has: the work
+    is far more than the bytes tell."""
+    n = shuffle_partitions(pairs.sparkSession)
+    one, two = (df.repartition(n, "shard", "lane").groupBy("shard", "lane") for df in (pairs, index))
+    return one.cogroup(two)
+
+
 def aligned(docs: DataFrame, byte_level: str, pieces: str, block_bytes: int = BLOCK_BYTES,
             shard_pairs: int = SHARD_PAIRS, lane_blocks: int = LANE_BLOCKS) -> DataFrame:
     """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best,
@@ -340,7 +454,7 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str, block_bytes: int = BL
     pairs = stage(_pairs(blocks, byte_level, pieces, shards, lanes), "align-pairs")
     index, sums = pair_counts(pairs, lanes)
     counted = index.join(sums, "shard").withColumn("lane", _every_lane(lanes))
-    replies = pairs.groupBy("shard", "lane").cogroup(counted.groupBy("shard", "lane")).applyInArrow(
+    replies = _together(pairs, counted).applyInArrow(
         _looked_up(own.size_b), "block long, keys binary, counts binary")
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         _judged(byte_level, pieces), "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
@@ -354,6 +468,6 @@ def pair_counts(pairs: DataFrame, lanes: int) -> tuple[DataFrame, DataFrame]:
     index = stage(unions.groupBy("shard").applyInArrow(_hashed, "shard long, hash binary, placed binary"),
                   "align-index")
     per_lane = index.withColumn("lane", _every_lane(lanes))
-    vectors = pairs.groupBy("shard", "lane").cogroup(per_lane.groupBy("shard", "lane")).applyInArrow(
+    vectors = _together(pairs, per_lane).applyInArrow(
         _vector, "shard long, vector binary")
     return index, stage(vectors.groupBy("shard").applyInArrow(_sum, "shard long, vector binary"), "align-counts")

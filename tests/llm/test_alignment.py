@@ -121,9 +121,30 @@ def test_segments_are_forgotten_in_time(monkeypatch):
     monkeypatch.setattr(alignment, "REMEMBERED", 3)
     both = Tokenizers(A, B)
     for text in ("one two three four five", "six seven", "one two"):
-        places = both.segments([text])[0]
-        assert both.numbers[places, 0].sum() == len(Tokenizer.from_file(A).encode(" " + text).ids)
-    assert len(both.info) <= 7
+        places, n = both.segments([text])
+        assert n.tolist() == [len(text.split())]
+        assert both.found.numbers[places, 0].sum() == len(Tokenizer.from_file(A).encode(" " + text).ids)
+    assert len(both.found) <= 7
+
+
+def test_large_groups_are_counted_by_multiplicity(monkeypatch, rows):
+    from policylens.llm import alignment
+    texts = [r[1] for r in rows[-600:]]
+    one, two = Tokenizers(A, B), Tokenizers(A, B)
+    one.segments(texts, groups=True)
+    monkeypatch.setattr(alignment, "LARGE_GROUP", 1)
+    monkeypatch.setattr(alignment, "MANY", 7)
+    two.segments(texts, groups=True)
+
+    def by_segment(both):
+        out = {}
+        for segment, i in both.known.items():
+            own = slice(both.found.starts[i], both.found.starts[i + 1])
+            out[segment] = (both.found.numbers[i].tolist(), both.found.pairs[own].tolist(),
+                            both.found.times[own].tolist(), both.found.text[i])
+        return out
+
+    assert by_segment(one) == by_segment(two)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
