@@ -41,6 +41,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,16 +53,18 @@ from policylens.llm.perfect_hash import PerfectHash
 from policylens.llm.tokens import _pattern, byte_symbols
 
 SEGMENT = re.compile(r" (?:[^ ]+| (?!\S)|(?<= ) )*")
+# A text of which every space is such a place has none of these.
+OTHER_SPACES = re.compile(r"^ | \s| $").search
+# A segment that does not stand in a text with others when it is encoded.
+ODD_SEGMENT = re.compile(r"^$|^\s|[ ▁]|^.{200}", re.DOTALL).search
 # Text bytes of a block, and blocks that one lane sums.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 LANE_BLOCKS = 64
 # Pairs that a shard can hold at most, by the size of the vocabularies.
 SHARD_PAIRS = 1 << 24
 # Segments a Python worker remembers, and encodes at once.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 MANY = 20_000
-# Characters of a segment that is encoded together with others.
-SHORT = 200
 # Links of a group that are listed one by one before they are counted.
 LARGE_GROUP = 4_096
 
@@ -73,6 +76,11 @@ def _sums(values: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
     return up_to[at[1:]] - up_to[at[:-1]]
 
 
+def segments_of(text: str) -> list[str]:
+    """A text's segments, without the space that begins each."""
+    return [x[1:] for x in SEGMENT.findall(" " + text)] if OTHER_SPACES(text) else text.split(" ")
+
+
 class Segments:
     """What segments give, a row each: ``numbers`` (tokens of either tokenizer,
     groups, links; -1 where the bytes differ), the distinct linked pairs
@@ -149,33 +157,33 @@ class Tokenizers:
         self.found, self.groups = Segments(), False
 
     def _add(self, texts: list[str], groups: bool) -> None:
-        """Align texts that begin with a space."""
-        for at in range(0, len(texts), MANY):
-            part = texts[at:at + MANY]
-            data = [t.encode() for t in part]
-            encoded = self._encoded_at_once(part, data) or self._encoded(part, data)
-            self.found.add(*self._aligned(*encoded, groups))
-
-    def _encoded_at_once(self, texts: list[str], data: list[bytes]):
-        """Segments that may stand one after the other, encoded as one text."""
-        if any(len(t) > SHORT or t[-1] == " " or t[1:2].isspace() or len(t) < 2 for t in texts):
-            return None
-        joined = "".join(texts)
-        a, b = self.ranked.encode_ordinary(joined), self.b.encode(joined[1:])
-        whole = b"".join(data)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
+        """Align texts, each as if a space were before it; those that may stand
+        one after the other are encoded as one."""
+        odd = [t for t in texts if ODD_SEGMENT(t)]
+        plain = [t for t in texts if not ODD_SEGMENT(t)] if odd else texts
+        for own, encode in ((plain, self._encoded_at_once), (odd, self._encoded)):
+            for at in range(0, len(own), MANY):
+                part = own[at:at + MANY]
+                self.known.update(zip(part, range(len(self.found), len(self.found) + len(part))))
+                self.found.add(*self._aligned(*(encode(part) or self._encoded(part)), groups))
+
+    def _encoded_at_once(self, texts: list[str]):
+        joined = " ".join(texts)
+        data = joined.encode()
+        a, b = self.ranked.encode_ordinary(" " + joined), self.b.encode(joined)
+        if not b"".join(map(self.bytes_a.__getitem__, a)) == b" " + data == b"".join(map(self.bytes_b.__getitem__, b)):
             return None
-        a, b, sizes = np.array(a), np.array(b), np.array([*map(len, data)])
-        return a, b, sizes, np.ones(len(texts), bool)
+        return np.array(a), np.array(b), np.array([*map(len, data.split(b" "))]) + 1, np.ones(len(texts), bool)
 
-    def _encoded(self, texts: list[str], data: list[bytes]):
-        """Each segment by itself; those with other bytes are left out and marked."""
-        ids_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
+    def _encoded(self, texts: list[str]):
+        """Each text by itself; those with other bytes are left out and marked."""
+        data = [b" " + t.encode() for t in texts]
+        ids_a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        ids_b = self.b.encode(texts, num_threads=1)
         good = np.array([b"".join(map(self.bytes_a.__getitem__, a)) == d == b"".join(map(self.bytes_b.__getitem__, b))
                          for d, a, b in zip(data, ids_a, ids_b)], bool)
         a, b = ([i for ids, ok in zip(own, good) if ok for i in ids] for own in (ids_a, ids_b))
-        return np.array(a, np.int64), np.array(b, np.int64), np.array([*map(len, data)])[good], good
+        return np.array(a, np.int64), np.array(b, np.int64), np.array([*map(len, data)], np.int64)[good], good
 
     def _aligned(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, good: np.ndarray, write: bool):
         """The segments of ``sizes`` bytes that the tokens ``a`` and ``b`` cut, those
@@ -229,23 +237,18 @@ class Tokenizers:
         until the next call, and how many of them each text has: none for a
         text without tokens.  ``groups``: write the groups down, too (the same in
         all calls until ``forget``)."""
-        cut = [SEGMENT.findall(f" {t}") if t else [] for t in texts]
+        cut = [segments_of(t) if t else [] for t in texts]
         if len(self.found) > REMEMBERED or self.groups != groups:
             self.forget()
             self.groups = groups
-        known = self.known
-        new = list({s for own in cut for s in own if s not in known})
-        # those that cannot be encoded at once last, so that they keep few others from it
-        new.sort(key=lambda s: len(s) > SHORT or s[-1] == " " or "▁" in s or s[1:2].isspace() or len(s) < 2)
-        known.update(zip(new, range(len(self.found), len(self.found) + len(new))))
-        self._add(new, groups)
-        places = np.fromiter((known[s] for own in cut for s in own), np.int64)
+        self._add(list(set().union(*cut).difference(self.known)), groups)
         n = np.array([*map(len, cut)], np.int64)
+        places = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, n.sum())
         bad = self.found.numbers[places, 0] < 0
         if bad.any():                                     # a text with such a segment is encoded as a whole
             own = np.split(places, np.cumsum(n)[:-1])
             for i in np.unique(np.repeat(np.arange(len(n)), n)[bad]).tolist():
-                self._add([f" {texts[i]}"], groups)
+                self.found.add(*self._aligned(*self._encoded([texts[i]]), groups))
                 own[i] = np.array([len(self.found) - 1] if self.found.numbers[-1, 0] >= 0 else [], np.int64)
             places, n = np.concatenate(own), np.array([*map(len, own)], np.int64)
         return places, n
