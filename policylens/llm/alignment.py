@@ -53,8 +53,6 @@ from policylens.llm.perfect_hash import PerfectHash
 from policylens.llm.tokens import _pattern, byte_symbols
 
 SEGMENT = re.compile(r" (?:[^ ]+| (?!\S)|(?<= ) )*")
-# A text of which every space is such a place has none of these.
-OTHER_SPACES = re.compile(r"^ | \s| $").search
 # A segment that does not stand in a text with others when it is encoded.
 ODD_SEGMENT = re.compile(r"^$|^\s|[ ▁]|^.{200}", re.DOTALL).search
 # Text bytes of a block, and blocks that one lane sums.
@@ -63,8 +61,10 @@ LANE_BLOCKS = 64
 # Pairs that a shard can hold at most, by the size of the vocabularies.
 SHARD_PAIRS = 1 << 24
 # Segments a Python worker remembers, and encodes at once.
-REMEMBERED = 150_000
+REMEMBERED = 200_000
 MANY = 20_000
+# Marks that are counted at once.
+MARKS = 1 << 25
 # Links of a group that are listed one by one before they are counted.
 LARGE_GROUP = 4_096
 
@@ -78,7 +78,10 @@ def _sums(values: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
 
 def segments_of(text: str) -> list[str]:
     """A text's segments, without the space that begins each."""
-    return [x[1:] for x in SEGMENT.findall(" " + text)] if OTHER_SPACES(text) else text.split(" ")
+    parts = text.split(" ")
+    if "" not in parts and parts == list(map(str.lstrip, parts)):
+        return parts                                      # every space is such a place
+    return [x[1:] for x in SEGMENT.findall(" " + text)]
 
 
 class Segments:
@@ -155,12 +158,29 @@ class Tokenizers:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.found, self.groups = Segments(), False
+        self.uses = np.zeros(0, np.int64)
+
+    def forget_rare(self) -> None:
+        """Keep the segments that were used more than once since the last time,
+        if these are not too many themselves."""
+        old, uses, known = self.found, self.uses, self.known
+        names = [s for s, place in known.items() if uses[place] > 1]
+        groups = self.groups
+        self.forget()
+        self.groups = groups
+        if names and len(names) < REMEMBERED // 2:
+            kept = np.array([known[s] for s in names])
+            pairs, _ = old.of(kept)
+            self.found.add(old.numbers[kept], old.starts[kept + 1] - old.starts[kept], old.pairs[pairs],
+                           old.times[pairs], [old.text[i] for i in kept.tolist()])
+            self.known = {s: i for i, s in enumerate(names)}
+            self.uses = np.zeros(len(names), np.int64)
 
     def _add(self, texts: list[str], groups: bool) -> None:
         """Align texts, each as if a space were before it; those that may stand
         one after the other are encoded as one."""
-        odd = [t for t in texts if ODD_SEGMENT(t)]
-        plain = [t for t in texts if not ODD_SEGMENT(t)] if odd else texts
+        odd = list(filter(ODD_SEGMENT, texts))
+        plain = list(set(texts).difference(odd)) if odd else texts
         for own, encode in ((plain, self._encoded_at_once), (odd, self._encoded)):
             for at in range(0, len(own), MANY):
                 part = own[at:at + MANY]
@@ -238,12 +258,16 @@ class Tokenizers:
         text without tokens.  ``groups``: write the groups down, too (the same in
         all calls until ``forget``)."""
         cut = [segments_of(t) if t else [] for t in texts]
-        if len(self.found) > REMEMBERED or self.groups != groups:
+        if self.groups != groups:
             self.forget()
             self.groups = groups
+        if len(self.found) > REMEMBERED:
+            self.forget_rare()
         self._add(list(set().union(*cut).difference(self.known)), groups)
         n = np.array([*map(len, cut)], np.int64)
         places = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, n.sum())
+        self.uses = np.bincount(places, minlength=len(self.found)) + np.pad(
+            self.uses, (0, len(self.found) - len(self.uses)))
         bad = self.found.numbers[places, 0] < 0
         if bad.any():                                     # a text with such a segment is encoded as a whole
             own = np.split(places, np.cumsum(n)[:-1])
@@ -302,12 +326,21 @@ def _batch(**columns) -> pa.RecordBatch:
 def block_pairs(both: Tokenizers, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct pairs of some documents, and how many of these hold each."""
     places, n = both.segments(texts)
-    docs, size = np.repeat(np.arange(len(n)), n), max(1, len(both.found))
-    held = np.unique(docs * size + places)                # the segments of each document, once
-    pair, which = both.found.of(held % size)
-    keys, key = np.unique(both.found.pairs[pair], return_inverse=True)
-    of_doc = np.unique((held // size)[which] * max(1, len(keys)) + key)
-    return keys, np.bincount(of_doc % max(1, len(keys)), minlength=len(keys))
+    found, ends = both.found, np.cumsum(n)
+    own = np.flatnonzero(np.bincount(places, minlength=1))
+    pair, _ = found.of(own)
+    keys, number = np.unique(found.pairs[pair], return_inverse=True)
+    number_at = np.zeros(len(found.pairs), np.int64)
+    number_at[pair] = number
+    counts, rows = np.zeros(len(keys), np.int64), max(1, MARKS // max(1, len(keys)))
+    for at in range(0, len(n), rows):                     # a mark for each of some documents and pairs
+        many = n[at:at + rows]
+        here = places[ends[at] - n[at]:ends[at] + many[1:].sum()]
+        pair, which = found.of(here)
+        marks = np.zeros(len(many) * len(keys), bool)
+        marks[np.repeat(np.arange(len(many)), many)[which] * len(keys) + number_at[pair]] = True
+        counts += marks.reshape(len(many), -1).sum(axis=0)
+    return keys, counts
 
 
 def _pairs(blocks: DataFrame, byte_level: str, pieces: str, shards: int, lanes: int) -> DataFrame:
@@ -418,13 +451,15 @@ def _judged(byte_level: str, pieces: str):
         for ids, texts in _rows(blocks, "ids", "texts"):
             places, n = both.segments(texts, groups=True)
             found = both.found
-            own, which = np.unique(places, return_inverse=True)
+            own = np.flatnonzero(np.bincount(places, minlength=1))
+            row = np.zeros(len(found), np.int64)
+            row[own] = np.arange(len(own))
             pair, segment = found.of(own)
             count, times = counts[np.searchsorted(keys, found.pairs[pair])], found.times[pair]
             judged = np.stack([_sums(times * (count < 0), segment, len(own)),
                                _sums(times * np.abs(count), segment, len(own))], axis=1)
             of = np.repeat(np.arange(len(n)), n)
-            values = [*found.numbers[places].T, *judged[which].T]
+            values = [*found.numbers[places].T, *judged[row[places]].T]
             sums = [_sums(v, of, len(n)).tolist() for v in values]
             written = [found.text[p] for p in places.tolist()]
             ends = np.cumsum(n).tolist()
