@@ -30,7 +30,9 @@ JSON_EXTRACTS = [n for n in EXTRACT_SCHEMA_NAMES if n not in ("vehicle", "compan
 
 
 def read_extracts(spark: SparkSession, base: str, overrides: dict[str, str], sep: str | None,
-                  key_width: int, names: list[str]) -> Sources:
+                  key_width: int, names: list[str], rejects: str | None = None) -> Sources:
+    """``rejects``: a folder for the broken lines of each JSON extract, whose
+    number is printed; without it they are left out of the rows only."""
     def path(name: str) -> str:
         return overrides.get(name, f"{base.rstrip('/')}/{name}")
 
@@ -41,7 +43,10 @@ def read_extracts(spark: SparkSession, base: str, overrides: dict[str, str], sep
             continue
         if name in ("vehicle", "company"):
             continue
-        frames[name] = files.read_json(spark, path(name), getattr(schemas, EXTRACT_SCHEMA_NAMES[name]))
+        frames[name], broken = files.read_json_checked(spark, path(name), getattr(schemas, EXTRACT_SCHEMA_NAMES[name]))
+        if rejects:
+            out, lines = sinks.write_parquet(broken, f"{rejects.rstrip('/')}/{name}")
+            print(f"{out}\t{lines} broken lines")
     if "vehicle" in names or "company" in names:
         separator = sep or files.sniff_separator(spark, path("vehicle"), key_width)
         frames["vehicle"] = files.read_delimited(spark, path("vehicle"), schemas.VEHICLE_COLUMNS, separator)
@@ -78,6 +83,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--path", action="append", default=[], help="name=location override")
     ap.add_argument("--sep")
     ap.add_argument("--key-width", type=int, default=22)
+    ap.add_argument("--rejects", help="folder for the broken lines of the JSON extracts")
     ap.add_argument("--single-file", action="store_true")
     ap.add_argument("--header", action="store_true", help="write a header line to the CSV")
     ap.add_argument("--input-bytes", type=int,
@@ -98,12 +104,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if not (args.start and args.end):
             ap.error("wide needs --start and --end")
         period = Period.of(args.start, args.end, args.prior_start, args.prior_end)
-        src = read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, WIDE_INPUTS)
+        src = read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, WIDE_INPUTS, args.rejects)
         out, rows = sinks.write_csv_per_window(policy_wide_table(ingested(src), period), args.out, period,
                                                header=args.header, single_file=args.single_file)
     else:
         from policylens.plans.plain import plain_wide_table
-        src = read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, PLAIN_INPUTS)
+        src = read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, PLAIN_INPUTS, args.rejects)
         out, rows = sinks.write_parquet(plain_wide_table(ingested(src)), args.out, files=1 if args.single_file else None)
     print(f"{out}\t{rows}")
     return 0

@@ -7,21 +7,35 @@ kept once; null keys never match) that is left to the planner and AQE.
 path whatever the data look like: a key is heavy when it holds more than
 ``1 / (SHARE * shuffle partitions)`` of its side's rows, so at most
 ``SHARE * shuffle partitions`` keys can be heavy.  That arithmetic bound is
-what makes the table of heavy keys safe to broadcast; nothing is collected,
-limited or switched off.  Every heavy key is cut into as many pieces as its
+what makes the table of heavy keys safe to broadcast; nothing is collected
+or left out.  Every heavy key is cut into as many pieces as its
 own row count asks for, and no piece is larger than a key that is not heavy.
+
+``salted_chain`` joins several sides on one key.  The heavy keys of all sides
+are counted in one pass, the left rows get their piece once and keep it, so
+no join of the chain moves them again.
+
+A piece must be the same when a lost executor's rows are computed again.  A
+row id is, above a file scan; above a shuffle it is not, since rows come in
+any order.  ``stable_rows`` decides from the plan and writes such a side to
+the shared folder first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from policylens.session import scratch_path
+
 # Pieces per shuffle partition: a key is cut when it alone fills more than
 # a quarter of an average task.
 SHARE = 4
+# Numbers per shuffle partition over which rows with a null key are spread.
+SPREAD = 64
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -29,6 +43,33 @@ def left_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> D
     return left.join(right, keys, "left_outer")
 
 
+# Plan nodes below which rows have no order of their own.
+MOVES_ROWS = {"Join", "AsOfJoin", "Aggregate", "Distinct", "Deduplicate", "Window", "Sort", "Repartition",
+              "RepartitionByExpression", "RebalancePartitions", "GlobalLimit", "Intersect", "Except"}
+
+
+def moves_rows(df: DataFrame) -> bool:
+    """Does ``df`` have a shuffle of rows, or what may become one, in its plan?"""
+    def below(plan) -> bool:
+        children = plan.children()
+        return plan.nodeName() in MOVES_ROWS or any(below(children.apply(i)) for i in range(children.size()))
+
+    plan = getattr(df, "_jdf", None)         # Spark Connect does not show plans: taken as one that does
+    return plan is None or below(plan.queryExecution().analyzed())
+
+
+def stable_rows(df: DataFrame) -> DataFrame:
+    """``df`` with rows whose row id is the same whenever they are computed:
+    itself above file scans, else written to the shared folder and read back."""
+    return _written(df, "stable-rows") if moves_rows(df) else df
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -43,6 +84,17 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], pieces: str) -> DataFrame:
         *keys, F.greatest(F.lit(2), F.ceil(F.col("_n") * share / total)).cast("int").alias(pieces))
 
 
+def _row_hash(salt_by: Sequence[str] | None) -> Column:
+    """What a row's piece is chosen by, the same when a task is recomputed: the
+    row id of ``stable_rows``, which tells identical copies apart, or the
+    columns ``salt_by`` of rows that move."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in salt_by] if salt_by else [F.monotonically_increasing_id()])
+
+
+def _piece(pieces: str) -> Column:
+    return F.pmod(F.col("_row_hash"), F.col(pieces)).cast("int")
+
+
 def _row_salt(df: DataFrame, pieces: Column, salt_by: Sequence[str] | None) -> Column:
     """A piece per row, the same when a task is recomputed.  The row id spreads
     identical copies of a file scan's or a staged table's rows; rows behind a
@@ -56,6 +108,108 @@ def _every_piece(pieces: str) -> Column:
     return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(pieces), F.lit(1)) - 1))
 
 
+def _spread(df: DataFrame, by: Sequence[str] | None) -> Column:
+    """A number per row for rows that match nothing, many to a task, so that
+    each task gets about as many."""
+    numbers = F.lit(SPREAD * _partitions(df))
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in (by or df.columns)]), numbers).cast("int")
+
+
+class Step(NamedTuple):
+    """One left outer join of a chain.  ``unique``: ``right`` has at most one row
+    per key.  ``count_on``: a cheaper frame with the same rows per key.
+    ``where`` filters the joined rows before the next join.  ``salt_by``:
+    columns that tell the rows of ``right`` apart, if it has such."""
+
+    right: DataFrame
+    unique: bool = False
+    count_on: DataFrame | None = None
+    where: Column | None = None
+    salt_by: Sequence[str] | None = None
+
+
+def _heavy_of_sides(sides: dict[int, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Keys that are heavy on some side: ``_lp`` pieces of the left (side 0),
+    ``_rp`` pieces of the right that is cut, and ``_split``, its number.  At most
+    ``SHARE * shuffle partitions`` rows for each side, by arithmetic."""
+    all_keys, counts, pieces = None, [], {}
+    for side, df in sides.items():
+        share, total = SHARE * _partitions(df), df.agg(F.count(F.lit(1))).scalar()
+        own = df.select(*keys, F.lit(side).alias("_side")).dropna(subset=list(keys))
+        all_keys = own if all_keys is None else all_keys.unionByName(own)
+        n = F.col(f"_n{side}")
+        counts.append(F.count_if(F.col("_side") == side).alias(f"_n{side}"))
+        pieces[side] = F.when(n * share > total, F.greatest(F.lit(2), F.ceil(n * share / total)).cast("int"))
+    cuts = [F.when(p.isNotNull(), F.struct(p.alias("pieces"), F.lit(side).alias("side")))
+            for side, p in pieces.items() if side > 0]
+    cut = F.greatest(*cuts) if len(cuts) > 1 else cuts[0] if cuts else F.lit(None).cast("struct<pieces:int,side:int>")
+    return all_keys.groupBy(*keys).agg(*counts).select(*keys, pieces[0].alias("_lp"), cut.alias("_cut")).where(
+        F.col("_lp").isNotNull() | F.col("_cut").isNotNull()).select(
+        *keys, "_lp", F.col("_cut.pieces").alias("_rp"), F.col("_cut.side").alias("_split"))
+
+
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
+    """Add ``name``, a number that tells rows apart, equal ones too; it can be
+    carried through joins and be what later pieces are chosen by."""
+    return stable_rows(df).withColumn(name, F.monotonically_increasing_id())
+
+
+def salted_chain(left: DataFrame, keys: str | Sequence[str], steps: Sequence[Step],
+                 spread_by: Sequence[str] | None = None, salt_by: Sequence[str] | None = None,
+                 count_left: DataFrame | None = None) -> DataFrame:
+    """``left`` left outer joined with every step's ``right`` in turn, all on
+    ``keys``.
+
+    A heavy key is cut twice: its left rows into pieces by the left's own
+    count, and the right side that has most rows of it into pieces by that
+    side's count.  Left rows go to one piece of the first and to every piece of
+    the second kind, rows of the side that is cut the other way round, rows of
+    the other sides to all.  Copies of left rows that meet no row of the side
+    that is cut are dropped at its step.  Rows with a null key match nothing
+    and are spread over all tasks.  The pieces are part of every join's key and
+    the left rows keep them from the first join to the last.
+
+    ``salt_by``: columns that tell the left rows apart (default: the row id of
+    ``stable_rows``); ``count_left``: a cheaper frame whose rows per key are in
+    proportion to those of ``left``.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    columns = list(left.columns)
+    left = left if salt_by else stable_rows(left)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    rights = [s.right if s.unique or s.salt_by else stable_rows(s.right) for s in steps]
+    sides = {0: (left if count_left is None else count_left).select(*keys)} | {
+        i: (r if s.count_on is None else s.count_on).select(*keys)
+        for i, (s, r) in enumerate(zip(steps, rights), 1) if not s.unique}
+    # written once, or every side would count them again
+    heavy = F.broadcast(_written(_heavy_of_sides(sides, keys), "heavy-keys"))
+    on = [*keys, "_ls", "_rs"]
+    out = (left.withColumn("_row_hash", _row_hash(salt_by)).join(heavy, keys, "left_outer")
+           .withColumn("_ls", F.when(null_key, _spread(left, spread_by)).when(F.col("_lp").isNull(), 0)
+                       .otherwise(_piece("_lp")))
+           .withColumn("_rs", _every_piece("_rp")).drop("_lp", "_rp", "_row_hash"))
+    for i, (step, right) in enumerate(zip(steps, rights), 1):
+        columns += [c for c in right.columns if c not in keys]
+        if step.unique:
+            r = right.join(heavy, keys, "left_outer").withColumn("_rs", _every_piece("_rp"))
+        else:
+            cut = F.coalesce(F.col("_split") == i, F.lit(False))
+            last = F.coalesce(F.col("_rp"), F.lit(1)) - 1
+            r = right.withColumn("_row_hash", _row_hash(step.salt_by)).join(heavy, keys, "left_outer")
+            r = r.withColumn("_rs", F.explode(F.sequence(
+                F.when(cut, _piece("_rp")).otherwise(0), F.when(cut, _piece("_rp")).otherwise(last)))).drop("_row_hash")
+        r = r.withColumn("_ls", _every_piece("_lp")).drop("_lp", "_rp", "_split").withColumn("_hit", F.lit(True))
+        out = out.join(r, on, "left_outer")
+        if not step.unique:
+            out = out.where(F.col("_hit").isNotNull() | ~F.coalesce(F.col("_split") == i, F.lit(False)))
+        out = out.drop("_hit")
+        if step.where is not None:
+            out = out.where(step.where)
+    return out.select(*[F.col(f"`{c}`") for c in columns])
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left_outer",
                 heavy: str = "right", count_right: DataFrame | None = None,
                 spread_by: Sequence[str] | None = None, salt_by: Sequence[str] | None = None) -> DataFrame:
@@ -81,6 +235,9 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
     for k in keys:
         null_key = null_key | F.col(k).isNull()
 
+    if not salt_by:                          # pieces by row id: of rows that do not move
+        left = stable_rows(left) if heavy in ("left", "both") else left
+        right = stable_rows(right) if heavy in ("right", "both") else right
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or l_cols)]),
                     F.lit(_partitions(left))).cast("int")
     l, r, on = left, right.withColumn("_hit", F.lit(True)), list(keys)

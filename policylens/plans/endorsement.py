@@ -9,13 +9,14 @@ multiply rows, and that multiplication is part of the result.
 Scaled plan (``endorsement_rollup``) computes the same numbers without
 materialising the fan-out:
 
-* fee, item kind and co-insurance are first aggregated per applyno (partial
-  aggregation before the shuffle collapses a hot application to one row per
-  map task), keeping counts and exact decimal sums by sign;
+* fee, item kind and co-insurance rows are aggregated per applyno together
+  (partial aggregation before the one shuffle collapses a hot application to
+  one row per map task), keeping counts and exact decimal sums by sign;
 * exact copies of head rows are collapsed with a multiplicity;
-* the joins after the window filter are then one-to-one, and each joined
-  row carries its multiplicities, so every indicator is a product of a
-  gate, a decimal sum and integer counts (exact, by distributivity);
+* copy main, heads and these details are one chain of joins on applyno: the
+  copy-main rows of a null or heavy applyno are spread once and stay so, and
+  each joined row carries its multiplicities, so every indicator is a product
+  of a gate, a decimal sum and integer counts (exact, by distributivity);
 * the final ``groupBy(policyno)`` is a partial + final hash aggregate.
 
 Exact decimals make the result independent of the order of addition; it
@@ -34,7 +35,7 @@ from policylens.functions.money import (
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
 )
-from policylens.operators.joins import salted_join
+from policylens.operators.joins import Step, salted_chain
 from policylens.operators.period import Period, endorsement_row_filter
 from policylens.operators.records import copycoins_record, copymain_record, head_record
 
@@ -46,14 +47,19 @@ ENDORSEMENT_FILL = {
 }
 
 
-def copy_with_head(src, period: Period, head: DataFrame | None = None) -> DataFrame:
-    """copy main ⟕ head on applyno, filtered to the reporting window (JN-1, FIL-1)."""
+def _head_step(src, where: Column, head: DataFrame | None = None) -> Step:
+    """⟕ head on applyno (JN-1), then a filter.  Heavy keys are counted on the raw
+    head extract (no dedupe pass needed)."""
     head = head_record(src.head) if head is None else head
-    # Heads fan out from the right side, which AQE cannot split for a left join;
-    # heavy keys are counted on the raw head extract (no dedupe pass needed).
-    joined = salted_join(copymain_record(src.copymain), head, "applyno", count_right=src.head,
-                         spread_by=["policyno"], salt_by=["_head"] if "_head" in head.columns else None).drop("_head")
-    return joined.where(endorsement_row_filter(period))
+    return Step(head, count_on=src.head, where=where, salt_by=["_head"] if "_head" in head.columns else None)
+
+
+def copy_with_head(src, period: Period, where: Column | None = None) -> DataFrame:
+    """copy main ⟕ head on applyno (JN-1), filtered to the reporting window (FIL-1)
+    or by ``where``."""
+    where = endorsement_row_filter(period) if where is None else where
+    return salted_chain(copymain_record(src.copymain), "applyno", [_head_step(src, where)],
+                        spread_by=["policyno"], count_left=src.copymain)
 
 
 def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
@@ -61,9 +67,9 @@ def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSE
     fee = src.fee.select("applyno", "chgpremium", "chgamount", "currency")
     item = src.itemkind.select("applyno", "calculateflag")  # its currency duplicates the fee's
     coins = copycoins_record(src.copycoins)
-    rows = salted_join(copy_with_head(src, period), fee, "applyno", spread_by=["policyno"])
-    rows = salted_join(salted_join(rows, item, "applyno", spread_by=["policyno"]), coins, "applyno",
-                       spread_by=["policyno"])
+    rows = salted_chain(copymain_record(src.copymain), "applyno",
+                        [_head_step(src, endorsement_row_filter(period)), Step(fee), Step(item), Step(coins)], spread_by=["policyno"],
+                        count_left=src.copymain)
     return rows.na.fill({**ENDORSEMENT_FILL, "coinsrate": missing_share})
 
 
@@ -83,40 +89,31 @@ def rollup_rows(rows: DataFrame) -> DataFrame:
 
 # --- scaled plan -------------------------------------------------------------------------------
 
-def fee_by_application(fee: DataFrame) -> DataFrame:
-    """Per applyno: row count, counts by premium sign and exact sums by sign."""
-    p = F.coalesce(F.col("chgpremium"), F.lit(0.0))
-    a = F.coalesce(F.col("chgamount"), F.lit(0.0))
-
-    def dsum(x: Column, cond: Column | None = None) -> Column:
-        return sum_micros(micros(x) if cond is None else F.when(cond, micros(x)))
-
-    return fee.groupBy("applyno").agg(
-        F.count(F.lit(1)).alias("n_fee"),
-        F.count_if(p > 0).alias("n_prem_pos"),
-        F.count_if(p < 0).alias("n_prem_neg"),
-        dsum(p, p > 0).alias("s_prem_pos"),
-        dsum(p, p < 0).alias("s_prem_neg"),
-        dsum(p).alias("s_prem"),
-        dsum(a, a > 0).alias("s_amt_pos"),
-        dsum(a, a < 0).alias("s_amt_neg"),
-        dsum(a).alias("s_amt"),
-    )
-
-
-def items_by_application(itemkind: DataFrame) -> DataFrame:
-    """Per applyno: item rows and rows whose amount counts (calculateflag "Y")."""
-    return itemkind.groupBy("applyno").agg(
-        F.count(F.lit(1)).alias("n_item"),
-        F.count_if(F.col("calculateflag") == "Y").alias("n_item_y"),
-    )
-
-
-def shares_by_application(copycoins: DataFrame, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
-    """Per applyno: co-insurance rows and the exact sum of their shares in percent (missing share → 100)."""
+def details_by_application(src, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
+    """One row per applyno from its fee, item and co-insurance rows: counts,
+    counts and exact sums of fees by sign, items whose amount counts
+    (calculateflag "Y"), and the exact sum of shares in percent (missing share
+    → 100).  The three extracts go through one aggregate, one shuffle; what an
+    application has no rows of is null."""
     percent = F.coalesce(F.col("coinsrate"), F.lit(100.0 * missing_share)).cast(PERCENT)
-    return copycoins.groupBy("applyno").agg(
-        F.count(F.lit(1)).alias("n_coins"), F.sum(percent).alias("s_percent"))
+    fee = src.fee.select("applyno", F.lit("fee").alias("_of"),
+                         *[micros(c).alias(f"_{c}") for c in ("chgpremium", "chgamount")])
+    item = src.itemkind.select("applyno", F.lit("item").alias("_of"), (F.col("calculateflag") == "Y").alias("_counts"))
+    coins = src.copycoins.select("applyno", F.lit("coins").alias("_of"), percent.alias("_percent"))
+    rows = fee.unionByName(item, allowMissingColumns=True).unionByName(coins, allowMissingColumns=True)
+    p, a = F.col("_chgpremium"), F.col("_chgamount")
+
+    def rows_of(kind: str) -> Column:
+        return F.nullif(F.count_if(F.col("_of") == kind), F.lit(0))
+
+    return rows.groupBy("applyno").agg(
+        rows_of("fee").alias("n_fee"), F.count_if(p > 0).alias("n_prem_pos"), F.count_if(p < 0).alias("n_prem_neg"),
+        sum_micros(F.when(p > 0, p)).alias("s_prem_pos"), sum_micros(F.when(p < 0, p)).alias("s_prem_neg"),
+        sum_micros(p).alias("s_prem"),
+        sum_micros(F.when(a > 0, a)).alias("s_amt_pos"), sum_micros(F.when(a < 0, a)).alias("s_amt_neg"),
+        sum_micros(a).alias("s_amt"),
+        rows_of("item").alias("n_item"), F.count_if("_counts").alias("n_item_y"),
+        rows_of("coins").alias("n_coins"), F.sum("_percent").alias("s_percent"))
 
 
 def head_with_multiplicity(head: DataFrame) -> DataFrame:
@@ -135,11 +132,10 @@ def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDOR
     """PIPE-1: one row per policyno with the 14 indicators (scaled plan).
     ``missing_share`` is the own share used when an application has no
     co-insurance row or a null share (1.0: the whole amount)."""
-    joined = copy_with_head(src, period, head=head_with_multiplicity(src.head))
-    rows = (joined
-            .join(fee_by_application(src.fee), "applyno", "left_outer")
-            .join(items_by_application(src.itemkind), "applyno", "left_outer")
-            .join(shares_by_application(src.copycoins, missing_share), "applyno", "left_outer"))
+    rows = salted_chain(copymain_record(src.copymain), "applyno",
+                        [_head_step(src, endorsement_row_filter(period), head_with_multiplicity(src.head)),
+                         Step(details_by_application(src, missing_share), unique=True)], spread_by=["policyno"],
+                        count_left=src.copymain)
 
     c = F.col
 

@@ -11,7 +11,8 @@ a claims input: (policyno, claimtime text, paid).
 * ``ncd_coefficient``: per policy, the number of immediately preceding
   claim-free policies of the same insured (ordered by start date, then
   policyno) → grade = min(run, max grade) → coefficient from a table.  A policy
-  without an insured keeps its row with a run of 0.  The run
+  without an insured keeps its row with a run of 0.  Claims are attached after
+  copies of a policy are collapsed, by a join that spreads null and repeated policyno.  The run
   is a prefix scan per insured.  To keep one insured with a third of all
   policies from landing in one task, the scan is done in two levels: rows are
   range-partitioned on (insured, start, policyno), so a hot insured spans many
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from policylens.functions.dates import parse_ts
 from policylens.functions.money import micros, sum_micros
 from policylens.operators.indicators import policy_indicator_columns
-from policylens.operators.joins import left_join, salted_join
+from policylens.operators.joins import Step, salted_chain, salted_join
 from policylens.operators.period import Period
 from policylens.plans.policy import policies_with_shares
 from policylens.session import ensure_checkpoint_dir
@@ -79,13 +80,17 @@ def claim_free_runs(policies: DataFrame, pieces: int, chunk: int = COPY_CHUNK) -
     bounded per-piece summary.  Then every copy gets its own row again:
     the first copy has the scanned run; a later copy follows its twin, so its
     run is 0 after a claimed twin and grows by one per copy otherwise."""
+    return _collapsed_runs(policies.groupBy(*policies.columns).agg(F.count(F.lit(1)).alias("copies")), pieces, chunk)
+
+
+def _collapsed_runs(collapsed: DataFrame, pieces: int, chunk: int = COPY_CHUNK) -> DataFrame:
+    """``claim_free_runs`` of rows that carry their number of ``copies``."""
     order = ["startdate", "policyno"]
-    cols = policies.columns
-    collapsed = policies.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+    cols = [c for c in collapsed.columns if c != "copies"]
     # The piece of a row comes from sampled range bounds; it is materialised
     # once (reliable checkpoint in the shared folder) so the local scan and the
     # per-piece summary below see the same assignment.
-    ensure_checkpoint_dir(policies.sparkSession)
+    ensure_checkpoint_dir(collapsed.sparkSession)
     ranged = (collapsed.repartitionByRange(pieces, "insuredcode", *order, "claimed")
               .withColumn("piece", F.spark_partition_id())
               .checkpoint(eager=True))
@@ -127,7 +132,8 @@ def _expand_copies(runs: DataFrame, cols: list[str], chunk: int) -> DataFrame:
     pieces = runs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk))))
     lo = F.col("chunk") * chunk
     hi = F.least(lo + chunk, F.col("copies")) - 1
-    out = pieces.repartition("policyno", "chunk").select(
+    # by the whole row: many policies may have no number, or the same
+    out = pieces.repartition(*cols, "chunk").select(
         *cols, "first_run", F.explode(F.sequence(lo, hi)).alias("copy"))
     run = (F.when(F.col("copy") == 0, F.col("first_run"))
            .when(F.col("claimed"), F.lit(0))
@@ -140,13 +146,18 @@ def ncd_coefficient(src, coefficients: dict[int, float] | None = None, pieces: i
     max_grade = max(coefficients)
     claimed = src.claims.groupBy("policyno").agg((F.count_if(F.col("paid") > 0) > 0).alias("claimed"))
     policies = src.policy.select("policyno", "insuredcode", parse_ts("startdate").alias("startdate"))
-    policies = left_join(policies, claimed, "policyno").na.fill({"claimed": False})
+    # copies of a policy are one row when its claims are joined, and the rows are
+    # distinct, so that those of a hot policyno can be told apart
+    rows = policies.groupBy(*policies.columns).agg(F.count(F.lit(1)).alias("copies"))
+    rows = salted_chain(rows, "policyno", [Step(claimed, unique=True)], spread_by=["insuredcode", "startdate"],
+                        salt_by=["insuredcode", "startdate"], count_left=src.policy).na.fill({"claimed": False})
     spark = policies.sparkSession
     pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = F.col("insuredcode").isNotNull()
     # nobody is known to have had a policy before: a run of 0
-    unknown = policies.where(~known).withColumn("claim_free_run", F.lit(0))
-    runs = claim_free_runs(policies.where(known), pieces).unionByName(unknown)
+    unknown = _expand_copies(rows.where(~known).withColumn("first_run", F.lit(0)), policies.columns + ["claimed"],
+                             COPY_CHUNK).withColumn("claim_free_run", F.lit(0))
+    runs = _collapsed_runs(rows.where(known), pieces).unionByName(unknown)
     grade = F.least(F.col("claim_free_run"), F.lit(max_grade))
     coef = F.lit(None).cast("double")
     for g in sorted(coefficients, reverse=True):

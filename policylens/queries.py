@@ -166,8 +166,8 @@ FROM copymain_r LEFT JOIN head_r USING (applyno)
 WHERE {s.endorse_in('maxValiddateAndWritedate', 'startdate')}""")
 def q_filter_endorse_window(spark, sf_dir):
     src = sources_for(spark, sf_dir)
-    df = copymain_record(src.copymain).join(head_record(src.head), "applyno", "left_outer")
-    return df.where(WINDOW.endorsement_in("maxValiddateAndWritedate", "startdate")).select(
+    window = WINDOW.endorsement_in("maxValiddateAndWritedate", "startdate")
+    return endo.copy_with_head(src, WINDOW, where=window).select(
         "applyno", "policyno", "maxValiddateAndWritedate", "startdate")
 
 
@@ -177,9 +177,8 @@ FROM copymain_r LEFT JOIN head_r USING (applyno)
 WHERE {s.surrender_in('maxValiddateAndWritedate', 'validdate', 'prppunderwriteenddate', 'startdate')}""")
 def q_filter_surrender_window(spark, sf_dir):
     src = sources_for(spark, sf_dir)
-    df = copymain_record(src.copymain).join(head_record(src.head), "applyno", "left_outer")
-    return df.where(WINDOW.surrender_in("maxValiddateAndWritedate", "validdate", "prppunderwriteenddate",
-                                        "startdate")).select(
+    window = WINDOW.surrender_in("maxValiddateAndWritedate", "validdate", "prppunderwriteenddate", "startdate")
+    return endo.copy_with_head(src, WINDOW, where=window).select(
         "applyno", "policyno", "maxValiddateAndWritedate", "validdate", "prppunderwriteenddate", "startdate")
 
 
@@ -347,15 +346,20 @@ def q_delimited_company_roundtrip(spark, sf_dir):
 
 @register("json_roundtrip", lambda s: "SELECT * FROM rollup")
 def q_json_roundtrip(spark, sf_dir):
-    """Endorsement extracts written as JSON lines, read back with explicit
-    schemas, rolled up (SRC-1 feeding PIPE-1)."""
+    """Endorsement extracts written as JSON lines, every tenth line again cut off
+    in the middle, read back with explicit schemas and rolled up (SRC-1 feeding
+    PIPE-1): broken lines are no rows, and each is in the rejects."""
     src = sources_for(spark, sf_dir)
     read = {}
     for name, schema in (("copymain", schemas.COPYMAIN), ("head", schemas.HEAD), ("fee", schemas.FEE),
                          ("itemkind", schemas.ITEMKIND), ("copycoins", schemas.COPYCOINS)):
         path = scratch_path(spark, f"{name}-json")
-        getattr(src, name).write.json(path)
-        read[name] = files.read_json(spark, path, schema)
+        text = getattr(src, name).select(F.to_json(F.struct("*")).alias("value"))
+        cut = text.where(F.pmod(F.xxhash64("value"), F.lit(10)) == 0).select(
+            F.expr("left(value, length(value) div 2)").alias("value"))
+        text.unionByName(cut).write.text(path)
+        read[name], rejects = files.read_json_checked(spark, path, schema)
+        sinks.write_parquet(rejects, scratch_path(spark, f"{name}-rejects"))
     return endo.endorsement_rollup(_replace(src, **read), WINDOW)
 
 

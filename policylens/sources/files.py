@@ -20,6 +20,24 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).json(path)
 
 
+def read_json_checked(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows of a JSON-lines source, and its broken lines as (file, line).
+
+    A line is broken if it is not one JSON object; blank lines are neither.  A
+    field of another type than the schema's is null, as ``read_json`` has it,
+    and its line is a row.  Both frames read the lines once each."""
+    corrupt = "_corrupt_record"
+    with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    line = F.col("value")
+    parsed = spark.read.text(path).where(F.length(F.trim(line)) > 0).select(
+        F.input_file_name().alias("file"), line.alias("line"),
+        F.from_json(line, with_corrupt, {"columnNameOfCorruptRecord": corrupt}).alias("row"))
+    # only a line that is not wholly as the schema says is looked at again
+    broken = F.col(f"row.{corrupt}").isNotNull() & F.from_json("line", T.MapType(T.StringType(), T.StringType())).isNull()
+    return (parsed.where(~broken).select(*[F.col(f"row.`{f.name}`").alias(f.name) for f in schema.fields]),
+            parsed.where(broken).select("file", "line"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = False) -> DataFrame:
     """CSV with the given separator and header flag (SRC-2)."""
     return spark.read.schema(schema).option("sep", sep).option("header", header).csv(path)

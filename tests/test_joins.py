@@ -3,7 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from policylens.operators.joins import heavy_keys, left_join, salted_join
+from policylens.operators.joins import (
+    MOVES_ROWS, Step, heavy_keys, left_join, moves_rows, salted_chain, salted_join, stable_rows, with_row_key,
+)
+from policylens.queries import spark_queries
+from tests.conftest import SF_SMALL
 
 
 def rows(df):
@@ -63,42 +67,31 @@ def test_salt_by_columns_does_not_depend_on_row_order(spark):
         assert rows(out) == rows(one.join(two, "k"))
 
 
-def unstable(df):
-    """Does a row id stand above a shuffle of rows?"""
-    def shuffled(plan):
-        return plan.nodeName() in ("Join", "Aggregate", "Distinct", "Deduplicate") or any(
-            shuffled(plan.children().apply(i)) for i in range(plan.children().size()))
+def row_ids_above_moved_rows(plan):
+    """Plan nodes with a row id in an expression and rows that move below."""
+    def moves(p):
+        return p.nodeName() in MOVES_ROWS or any(moves(c) for c in children(p))
 
-    return shuffled(df._jdf.queryExecution().analyzed())
+    def children(p):
+        return [p.children().apply(i) for i in range(p.children().size())]
 
+    below = children(plan)
+    own = "monotonically_increasing_id" in plan.expressions().toString() and any(moves(c) for c in below)
+    return ([plan.nodeName()] if own else []) + [x for c in below for x in row_ids_above_moved_rows(c)]
 
-@pytest.mark.parametrize("operator", ["near_dedup", "endorsement"])
-def test_heavy_sides_behind_a_shuffle_have_no_row_id(spark, monkeypatch, operator):
-    from policylens.llm import near_dedup
-    from policylens.plans import endorsement
-    from tests.test_rollup import WINDOW, story
 
-    module, calls = {"near_dedup": near_dedup, "endorsement": endorsement}[operator], []
+def test_the_guard_sees_a_row_id_above_an_aggregate(spark):
+    moved = spark.range(9).groupBy((F.col("id") % 2).alias("k")).count()
+    bad = moved.withColumn("row", F.monotonically_increasing_id())
+    assert row_ids_above_moved_rows(bad._jdf.queryExecution().analyzed()) == ["Project"]
+    assert moves_rows(moved) and not moves_rows(stable_rows(moved)) and not moves_rows(spark.range(3))
+    assert rows(stable_rows(moved)) == rows(moved)
 
-    def watched(left, right, *args, **kw):
-        heavy = kw.get("heavy", args[2] if len(args) > 2 else "right")
-        out = salted_join(left, right, *args, **kw)
-        side = left if heavy == "left" else right
-        if heavy != "none" and unstable(side):
-            calls.append("monotonically_increasing_id" in out._jdf.queryExecution().analyzed().toString())
-        return out
 
-    monkeypatch.setattr(module, "salted_join", watched)
-    if operator == "near_dedup":
-        sets = spark.createDataFrame([(i, [1, 2, 3]) for i in range(4)], "class long, shingles array<long>")
-        pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "centre long, class long")
-        assert near_dedup._confirmed(pairs, sets, 80).count() == 3
-        found = spark.createDataFrame([(0, 0), (1, 0), (2, 2)], "node long, component long")
-        more = spark.createDataFrame([(1, 2), (5, 2)], "a long, b long")
-        assert {r["component"] for r in near_dedup._joined(found, more).collect()} == {0}
-    else:
-        endorsement.endorsement_rollup(story(spark), WINDOW)
-    assert calls and not any(calls)
+@pytest.mark.parametrize("name", sorted(set(spark_queries()) - {"stream_policy_indicators"}))
+def test_no_registered_plan_has_a_row_id_above_moved_rows(spark, name):
+    df = spark_queries()[name](spark, SF_SMALL)
+    assert row_ids_above_moved_rows(df._jdf.queryExecution().analyzed()) == []
 
 
 def largest_task(df):
@@ -120,3 +113,97 @@ def test_null_and_heavy_keys_spread_over_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def chain_sides(spark):
+    left = spark.range(0, 900).select(
+        F.when(F.col("id") < 400, "H").when(F.col("id") < 500, None).when(F.col("id") < 520, "R")
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 90)).alias("k"), (F.col("id") % 11).alias("l"))
+    one = spark.range(0, 700).select(
+        F.when(F.col("id") < 600, "R").when(F.col("id") < 603, "H").when(F.col("id") < 620, None)
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 90)).alias("k"), (F.col("id") % 7).alias("a"))
+    two = spark.range(0, 60).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("b")).union(
+        spark.createDataFrame([("H", 1000), (None, 5)], "k string, b long"))
+    three = spark.range(0, 300).select(F.when(F.col("id") < 200, "k1").when(F.col("id") < 206, "R")
+                                       .otherwise(F.lit("none")).alias("k"), (F.col("id") % 5).alias("c"))
+    return left, one, two, three
+
+
+def test_chain_equals_plain_joins(spark):
+    left, one, two, three = chain_sides(spark)
+    plain = left.join(one, ["k"], "left_outer").where("a is null or a <> 3").join(two, ["k"], "left_outer").join(
+        three, ["k"], "left_outer")
+    steps = [Step(one, where=F.expr("a is null or a <> 3")), Step(two, unique=True), Step(three)]
+    assert rows(salted_chain(left, "k", steps)) == rows(plain)
+    keyed = with_row_key(left, "_row")
+    assert rows(salted_chain(keyed, "k", steps, spread_by=["l"], salt_by=["_row"], count_left=left).drop("_row")) == (
+        rows(plain))
+    empty = [Step(one.limit(0)), Step(two.limit(0), unique=True)]
+    assert rows(salted_chain(left, "k", empty)) == rows(left.withColumns({
+        "a": F.lit(None).cast("long"), "b": F.lit(None).cast("long")}))
+    assert rows(salted_chain(left.limit(0), "k", steps)) == []
+
+
+def spread_of(df, column):
+    """Rows in the largest task over the mean.  Reads ``column`` of a right side:
+    the optimizer drops a left join of unique keys that nothing reads."""
+    counts = df.select(F.spark_partition_id().alias("p"), F.hash(column).alias("h")).groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.max("h")).collect()
+    return max(r["n"] for r in counts) * 16 / sum(r["n"] for r in counts)
+
+
+@pytest.mark.parametrize("kind", ["null", "hot"])
+def test_a_chain_keeps_null_and_hot_left_keys_spread(spark, no_broadcast, kind):
+    hot = F.lit(None).cast("long") if kind == "null" else F.lit(7).cast("long")
+    left = spark.range(0, 40_000).select(F.when(F.col("id") % 10 < 7, hot).otherwise(F.col("id")).alias("k"),
+                                         F.col("id").alias("l"))
+    sides = [spark.range(0, 40_000).select(F.col("id").alias("k"), (F.col("id") * i).alias(f"r{i}")) for i in (1, 2, 3)]
+    for n in (1, 2, 3):
+        out = salted_chain(left, "k", [Step(s, unique=True) for s in sides[:n]], spread_by=["l"])
+        assert spread_of(out, f"r{n}") < 2
+    text = out._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in text.splitlines() if "Exchange hashpartitioning(k" in line and "_ls" in line]
+    assert len(moves) == 4                    # the left rows once, each right side once
+
+
+def story_of_one_fleet(spark):
+    """The rows of one policy are most rows of every extract on the policy side."""
+    from policylens.sources.adapter import materialize_sources, sources_for
+    from policylens.session import scratch_path
+
+    src = materialize_sources(spark, sources_for(spark, SF_SMALL), scratch_path(spark, "fleet"))
+    first = src.policy.agg(F.min("proposalno")).first()[0]
+    vehicles = src.vehicle.withColumn("proposalno", F.when(F.hash("licenseno") % 2 == 0, F.lit(first)).otherwise(
+        F.col("proposalno")))
+    no_number = F.when(F.hash("proposalno") % 2 == 0, F.lit(None)).otherwise(F.col("policyno"))
+    return type(src)(**{**src.__dict__, "vehicle": vehicles}), type(src)(**{
+        **src.__dict__, "policy": src.policy.withColumn("policyno", no_number)})
+
+
+def test_a_fleet_and_policies_without_number_stay_spread(spark, no_broadcast, monkeypatch):
+    from policylens.operators.period import Period
+    from policylens.plans import policy
+    from policylens.plans.extensions import ncd_coefficient
+
+    fleet, numberless = story_of_one_fleet(spark)
+    everything = Period.of("1900-01-01 00:00:00", "2100-01-01 00:00:00")
+    # without the join on comcode, which deals the rows out by company where it is not a broadcast
+    monkeypatch.setattr(policy, "left_join", lambda rows, right, key: rows.withColumns(
+        {c: F.lit(None).cast("string") for c in right.columns if c != key}))
+    wide = policy.policy_wide_table(fleet, everything)
+    assert wide.groupBy("policyno").count().agg(F.max("count")).first()[0] > wide.count() / 4
+    assert spread_of(wide, "rawpremium") < 2.5
+    runs = ncd_coefficient(numberless, pieces=16)
+    assert runs.count() == 1500 and spread_of(runs, "ncd_coefficient") < 2.5

@@ -62,3 +62,22 @@ def test_csv_per_window_refuses_to_overwrite(spark):
     assert [r[0] for r in spark.read.text(path).collect()] == ["1"]        # no header line unless asked for
     with pytest.raises(Exception):
         sinks.write_csv_per_window(df, base, p)
+
+
+def test_broken_json_lines_are_rejects(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from policylens.sources.files import read_json_checked
+
+    lines = ['{"a": "x", "b": 1.5}', '{"a": "y"', "", "   ", "nothing", '[1, 2]', '{"a": "z", "b": "text"}', '{"c": 1}',
+             '{"a": null, "b": 2}', '{"a": "w", "b": 3} trailing']
+    (tmp_path / "extract.json").write_text("\n".join(lines), encoding="utf-8")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.DoubleType())])
+    good, broken = read_json_checked(spark, str(tmp_path), schema)
+    assert good.schema == schema
+    got = sorted(map(tuple, good.collect()), key=str)
+    assert [x for x in got if x[0] != "w"] == sorted(
+        [("x", 1.5), ("z", None), (None, None), (None, 2.0)], key=str)
+    rejected = {r["line"] for r in broken.collect()}
+    assert {'{"a": "y"', "nothing", "[1, 2]"} <= rejected
+    assert good.count() + broken.count() == 8
