@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, In
 
 from policylens.llm.common import shuffle_partitions, stage
 from policylens.llm.hashing import mix, word_hashes
-from policylens.llm.trie import NgramTrie, build_trie
+from policylens.llm.trie import NgramTrie, build_trie, restore
 from policylens.session import scratch_path
 
 GROUP_WORDS = 1_000_000
@@ -139,7 +139,8 @@ class Group:
 
     def triples(self, pair_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct triples of which both pairs are known: ``triple_at`` are
-        their positions, ``triple_of`` which one each has."""
+        their positions, ``triple_of`` which one each has, ``triple_node`` and
+        ``triple_pair`` their first and last two words as pairs."""
         often = (pair_counts >= LEAST_CONTEXT)[self.pair_of]
         at = np.flatnonzero(often)
         at = at[~np.isin(at, self.starts)]
@@ -147,6 +148,8 @@ class Group:
         codes, self.triple_of = np.unique(self.pair_of[at - 1] * (self.size + 1) + self.tokens[at],
                                           return_inverse=True)
         self.triple_node, self.triple_word = np.divmod(codes, self.size + 1)
+        self.triple_pair = np.zeros(len(codes), np.int64)        # which pair its last two words are
+        self.triple_pair[self.triple_of] = self.pair_of[at]
         first, middle = self.pair_last[self.triple_node], self.pair_word[self.triple_node]
         keys = mix(mix(self.hashes[first] * _FIRST + self.hashes[middle] * _SECOND) * _THIRD
                     + self.hashes[self.triple_word])
@@ -311,15 +314,19 @@ def _score_group(group: Group, single: np.ndarray, pair: np.ndarray, triple: np.
     texts = int(single[np.searchsorted(group.vocabulary, END)])      # every training text has one end
     trie: NgramTrie = build_trie(
         single[known], (ids[group.pair_last[seen]], ids[group.pair_word[seen]], pair[seen]),
-        (nodes[group.triple_node[kept]], ids[group.pair_word[group.triple_node[kept]]], ids[group.triple_word[kept]],
+        (nodes[group.triple_node[kept]], ids[group.pair_word[group.triple_node[kept]]], nodes[group.triple_pair[kept]],
          triple[kept]), texts, total, sorts, discount, PAIR_WEIGHT, TRIPLE_WEIGHT, LEAST_CONTEXT).mapped()
-    # one query per distinct pair, or per distinct triple where the longer context counts
-    out = trie.score(np.full(len(pair), -2), ids[group.pair_last], ids[group.pair_word])[group.pair_of]
+    # every distinct pair and triple is searched for once; a pair's place is the context of the next word
+    last, word = ids[group.pair_last], ids[group.pair_word]
+    node = trie.pair_nodes(last, word)
+    out = trie.after_word(last, word, node)[group.pair_of]
     inner = np.ones(len(group.tokens), bool)
     inner[group.starts] = False
     at = np.flatnonzero(inner)
-    at = at[pair[group.pair_of[at - 1]] >= LEAST_CONTEXT]
-    codes, which = np.unique(group.pair_of[at - 1] * (group.size + 1) + group.tokens[at], return_inverse=True)
-    node, word = np.divmod(codes, group.size + 1)
-    out[at] = trie.score(ids[group.pair_last[node]], ids[group.pair_word[node]], ids[word])[which]
+    context = node[group.pair_of[at - 1]]
+    at, context = at[context >= 0], context[context >= 0]
+    out[at] += trie.back_off(context)
+    found = trie.triple_nodes(node[group.triple_node], word[group.triple_node], node[group.triple_pair])[group.triple_of]
+    known = np.flatnonzero(found >= 0)
+    out[group.triple_at[known]] = restore(trie.triples.prob[found[known]])
     return out

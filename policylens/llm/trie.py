@@ -36,9 +36,8 @@ def restore(steps: np.ndarray) -> np.ndarray:
 
 # --- bits --------------------------------------------------------------------------------------
 
-_POPCOUNT = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-#: _SELECT[b, r]: the place of the r-th one in byte b
-_SELECT = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.uint8)
+#: _SELECT[8 * b + r]: the place of the r-th one in byte b
+_SELECT = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64).ravel()
 
 
 def _packed(bits: np.ndarray) -> np.ndarray:
@@ -53,13 +52,15 @@ def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, ones: bool) ->
     """The place of the k-th one (or zero); ``before`` counts those before each word."""
     at = np.searchsorted(before, k, "right") - 1
     word = words[at] if ones else ~words[at]
-    parts = word.view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_POPCOUNT[parts], axis=1, dtype=np.uint8)
-    rest = (k - before[at]).astype(np.uint8)
-    byte = (upto <= rest[:, None]).sum(axis=1)
-    row = np.arange(len(k))
-    earlier = np.where(byte > 0, upto[row, byte - 1], 0)
-    return at * 64 + byte * 8 + _SELECT[parts[row, byte], rest - earlier]
+    rest, place = k - before[at], at * 64
+    for width in (32, 16, 8):                             # the half that holds it, down to a byte
+        lower = np.bitwise_count(word & np.uint64((1 << width) - 1)).astype(np.int64)
+        upper = rest >= lower
+        rest -= lower * upper
+        step = upper * width
+        place += step
+        word = word >> step.astype(np.uint64)
+    return place + _SELECT[(word & np.uint64(255)).astype(np.int64) * 8 + rest]
 
 
 @dataclass
@@ -87,7 +88,7 @@ class EliasFano:
         unary = np.zeros(n + top + 1, bool)
         unary[(values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)] = True
         high = _packed(unary)
-        per_word = _POPCOUNT[high.view(np.uint8)].reshape(-1, 8).sum(axis=1, dtype=np.int64)
+        per_word = np.bitwise_count(high).astype(np.int64)
         ones = np.concatenate([[0], np.cumsum(per_word)])
         return cls(n, low_bits, _packed(low.ravel()), high, ones, np.arange(len(ones)) * 64 - ones)
 
@@ -167,29 +168,49 @@ class NgramTrie:
     pairs: Level
     triples: Level
 
-    def score(self, before: np.ndarray, last: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 probability of each ``word`` after (``before``, ``last``); ``before``
-        is -2 where the context is only one long."""
-        single = np.where(word >= 0, restore(self.prob[np.maximum(word, 0)]), self.unknown)
-        out = single + np.where(last >= 0, restore(self.back[np.maximum(last, 0)]), 0.0)
-        both = np.flatnonzero((last >= 0) & (word >= 0))
+    def pair_nodes(self, last: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places of the pairs, -1 where the model has none."""
         node = np.full(len(word), -1, np.int64)
+        both = np.flatnonzero((last >= 0) & (word >= 0))
         node[both] = self.pairs.find(last[both], word[both])
+        return node
+
+    def after_word(self, last: np.ndarray, word: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """log10 probability of each ``word`` after the one word ``last``; ``node`` is their pair's place."""
+        single = np.where(word >= 0, restore(self.prob[np.maximum(word, 0)]), self.unknown)
+        out = single + np.where(last >= 0, restore(self.back[np.maximum(last, 0)]), 0.0)
         have = np.flatnonzero(node >= 0)
         out[have] = restore(self.pairs.prob[node[have]])
-        # the longer context, where the model has it
-        longer = np.flatnonzero((before >= 0) & (last >= 0) & (last < self.size))
-        context = np.full(len(word), -1, np.int64)
-        context[longer] = self.pairs.find(before[longer], last[longer])
-        have = np.flatnonzero(context >= 0)
-        out[have] += restore(self.pairs.back[context[have]])
-        have = have[node[have] >= 0]
+        return out
+
+    def back_off(self, context: np.ndarray) -> np.ndarray:
+        """What a word costs that does not follow the pair at ``context``."""
+        return restore(self.pairs.back[context])
+
+    def triple_nodes(self, context: np.ndarray, last: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Places of the triples whose first two words are the pair at ``context``
+        and whose last two, beginning with ``last``, are the pair at ``node``."""
+        out = np.full(len(node), -1, np.int64)
+        have = np.flatnonzero((context >= 0) & (node >= 0))
         place = node[have] - self.pairs.begins.at(last[have]).astype(np.int64)
         inside = place < self.triples.span
         have, place = have[inside], place[inside]
-        found = self.triples.find(context[have], place)
-        known = found >= 0
-        out[have[known]] = restore(self.triples.prob[found[known]])
+        out[have] = self.triples.find(context[have], place)
+        return out
+
+    def score(self, before: np.ndarray, last: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 probability of each ``word`` after (``before``, ``last``); ``before``
+        is -2 where the context is only one long."""
+        node = self.pair_nodes(last, word)
+        out = self.after_word(last, word, node)
+        # the longer context, where the model has it
+        longer = (before >= 0) & (last < self.size)
+        context = self.pair_nodes(np.where(longer, before, -1), last)
+        have = np.flatnonzero(context >= 0)
+        out[have] += self.back_off(context[have])
+        found = self.triple_nodes(context, last, node)
+        known = np.flatnonzero(found >= 0)
+        out[known] = restore(self.triples.prob[found[known]])
         return out
 
     # --- one file, mapped ---
@@ -222,8 +243,8 @@ def build_trie(single: np.ndarray, pair: tuple[np.ndarray, np.ndarray, np.ndarra
                triple: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], texts: int, total: int, sorts: int,
                discount: float, pair_weight: float, triple_weight: float, least_context: int) -> NgramTrie:
     """A trie from counts: ``single`` per word; ``pair`` (last, word, count)
-    sorted by both, last V meaning the beginning; ``triple`` (node of the
-    context in ``pair``, its last word, word, count).
+    sorted by both, last V meaning the beginning; ``triple`` (place in ``pair``
+    of the context, its last word, place in ``pair`` of the last two words, count).
 
     Words: counts less ``discount``, the rest of the mass to the one unknown
     word.  After a context of count c, a word of count n has probability
@@ -242,12 +263,11 @@ def build_trie(single: np.ndarray, pair: tuple[np.ndarray, np.ndarray, np.ndarra
     usable = n2 >= least_context
     back2 = np.where(usable, np.log10(triple_weight / (n2 + triple_weight)), 0.0)
     pairs = Level.of(last, word, size + 1, max(1, size), np.log10(p2), back2)
-    node, middle, third, n3 = triple
-    followed = pairs.find(middle, third)
+    node, middle, followed, n3 = triple
     place = followed - np.concatenate([[0], np.cumsum(np.bincount(last, minlength=size + 1))])[middle]
     p3 = (n3 + triple_weight * p2[followed]) / (n2[node] + triple_weight)
-    order = np.lexsort((place, node))
     span = int(place.max()) + 1 if len(place) else 1
+    order = np.argsort(node * span + place, kind="stable")
     triples = Level.of(node[order], place[order], max(1, len(last)), span, np.log10(p3[order]), np.zeros(len(node)))
     # the spare place keeps an empty vocabulary addressable
     return NgramTrie(size, quantise(np.log10(np.append(p1, 1.0))), quantise(np.log10(pair_weight / (context1 + pair_weight))),
