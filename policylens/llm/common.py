@@ -3,10 +3,13 @@ in the shared folder, and prefix sums over a total order."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from policylens.session import scratch_path
 
@@ -28,14 +31,53 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[list[str]]:
+    """Add to ``paths`` every table that is staged inside the block."""
+    _recording.append(paths)
+    try:
+        yield paths
+    finally:
+        _recording.pop()
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete the staged tables ``paths``, which nothing may read any more, and
+    let Spark's cleaner drop the shuffles of finished queries: it goes by what
+    the driver's garbage collector finds."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    paths.clear()
+    spark._jvm.System.gc()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: the
     lineage is cut, and lost executors cost nothing that was written."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _recording:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_results(docs: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                 results: StructType, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` but ``text``, and ``results``, which ``run`` gives
+    for batches of (text, carried) beside ``carried``.  A column of ``docs``
+    named as a result is replaced by it."""
+    gone = {text.lower(), *(f.name.lower() for f in results)}
+    others = [c for c in docs.columns if c.lower() not in gone]
+    carried = F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0).alias("nothing")]).alias("carried")
+    packed = docs.select(F.col(f"`{text}`").alias("text"), carried)
+    rows = packed.mapInArrow(run, StructType([StructField("carried", packed.schema["carried"].dataType), *results]))
+    return rows.select(*[F.col(f"carried.`{c}`").alias(c) for c in others], *[f.name for f in results])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

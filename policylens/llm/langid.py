@@ -12,8 +12,10 @@ each counts once.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters,
 or when there was nothing to learn from.  Rows whose training language is null
-teach nothing.  Equal texts get equal results; on ties the first language in
-code-point order wins.
+teach nothing.  Equal texts, repeated rows too, get equal results; on ties the
+first language in code-point order wins.  Very long texts and words are read
+whole, in parts.  An empty table gives no rows.  An extra column named as an
+output is replaced by it; all others are carried as they are.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from policylens.llm.common import stage
+from policylens.llm.common import stage, with_results
 from policylens.llm.tokens import is_latin
 
 UNKNOWN = "und"
@@ -40,6 +42,8 @@ LONGEST = 4
 # Distinct words a task counts before it hands its counts on.
 FLUSH = 300_000
 REMEMBERED = 400_000
+# N-grams that are added up at once.
+PLACES = 1 << 17
 
 _latin_words = re.compile("[a-zªµºß-öø-ÿ]+").findall
 _any_words = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
@@ -68,32 +72,53 @@ class LanguageModel:
     unseen: np.ndarray
     rows: dict[str, int] = field(default_factory=dict)
     table: np.ndarray | None = None
+    known_pieces: dict[str, int] = field(default_factory=dict)
+    spelling: np.ndarray | None = None
 
-    def _spell(self, word: str) -> np.ndarray:
-        """A word no language knows: at each place the longest n-gram known."""
-        padded, total = f"<{word}>", np.zeros(len(self.languages))
+    def _places(self, word: str) -> list[int]:
+        """Rows of ``spelling``: at each place the longest n-gram known, ``unseen`` (the last row) if none is."""
+        padded, find, none = f"<{word}>", self.known_pieces.get, len(self.known_pieces)
+        out = []
         for i in range(len(padded) - 1):
-            for size in range(min(LONGEST, len(padded) - i), 0, -1):
-                found = self.pieces.get(padded[i:i + size])
-                if found is not None:
-                    total += found / size
+            for end in range(i + LONGEST, i, -1):
+                at = find(padded[i:end])
+                if at is not None:
                     break
-            else:
-                total += self.unseen
-        return total
-
-    def _row(self, word: str) -> int:
-        if self.table is None or len(self.rows) >= len(self.table):
-            if self.table is not None and len(self.rows) >= REMEMBERED:
-                self.rows.clear()
-            else:
-                grown = np.empty((2 * len(self.rows) + 1024, len(self.languages)))
-                grown[:len(self.rows)] = self.table[:len(self.rows)] if self.table is not None else 0
-                self.table = grown
-        at = self.rows[word] = len(self.rows)
-        known = self.words.get(word)
-        self.table[at] = self._spell(word) if known is None else known
-        return at
+            out.append(none if at is None else at)
+        return out
+
+    def _remember(self, new: list[str]) -> None:
+        """Give each word of ``new`` its row: its own frequencies, or what its pieces add up to."""
+        if self.spelling is None:
+            self.known_pieces = {piece: at for at, piece in enumerate(self.pieces)}
+            self.spelling = np.array([*(found / len(piece) for piece, found in self.pieces.items()), self.unseen])
+        have = len(self.rows)
+        if self.table is None or have + len(new) > len(self.table):
+            grown = np.empty((2 * have + len(new) + 1024, len(self.languages)))
+            grown[:have] = self.table[:have] if self.table is not None else 0
+            self.table = grown
+        rows, at, starts = [], [], []
+
+        def add_up() -> None:
+            if rows:
+                np.add.at(self.table, rows, np.add.reduceat(self.spelling[at], starts, axis=0))
+                for part in (rows, at, starts):
+                    part.clear()
+
+        for row, word in enumerate(new, have):
+            self.rows[word] = row
+            known = self.words.get(word)
+            self.table[row] = 0.0 if known is None else known
+            if known is not None:
+                continue
+            places = self._places(word)
+            for start in range(0, len(places), PLACES):     # a very long word in parts
+                rows.append(row)
+                starts.append(len(at))
+                at += places[start:start + PLACES]
+                if len(at) >= PLACES:
+                    add_up()
+        add_up()
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = letters_words(text)
@@ -107,9 +132,7 @@ class LanguageModel:
             except KeyError:
                 if len(self.rows) + len(set(part)) > REMEMBERED:
                     self.rows.clear()
-                for word in set(part):
-                    if word not in self.rows:
-                        self._row(word)
+                self._remember([word for word in set(part) if word not in self.rows])
                 at = list(map(self.rows.__getitem__, part))
             total += self.table[at].sum(axis=0)
         best = int(total.argmax())
@@ -180,22 +203,20 @@ def train(training: DataFrame, min_share: float = MIN_SHARE, fit_words: int = FI
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` without ``text``, with ``lang_pred`` and ``score`` for it."""
+    """``docs`` without ``text``, with ``lang_pred`` and ``score`` for it, which replace columns of these names."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)           # bounded: see the module's text
-    carried = [c for c in docs.columns if c != "text"]
-    schema = StructType([*[docs.schema[c] for c in carried], StructField("lang_pred", StringType()),
-                         StructField("score", DoubleType())])
+    schema = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = shared.value.predict
         for batch in batches:
             found = [predict(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in carried], pa.array([x for x, _ in found], pa.string()),
-                 pa.array([s for _, s in found], pa.float64())], names=schema.names)
+                [batch.column("carried"), pa.array([x for x, _ in found], pa.string()),
+                 pa.array([s for _, s in found], pa.float64())], names=["carried", *schema.names])
 
-    return docs.mapInArrow(run, schema)
+    return with_results(docs, run, schema)
 
 
 def in_a_language(docs: DataFrame, model: LanguageModel, at_least: float = 0.5) -> DataFrame:
