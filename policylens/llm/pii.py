@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from policylens.llm.common import with_results
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]                   # start, kind (index), end
 
@@ -544,11 +546,10 @@ def find(texts: list[str | None], model: BiLstmCrf | None) -> list[tuple[list[Sp
 
 
 def personal_data(docs: DataFrame, model: BiLstmCrf | None) -> DataFrame:
-    """``docs`` without ``text``, with counts per kind, base_sha256 and spans."""
+    """``docs`` without ``text``, with counts per kind, base_sha256 and spans,
+    which replace columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)       # a fixed number of weights
-    carried = [c for c in docs.columns if c != "text"]
-    counts = [f"n_{k}" for k in KINDS]
-    schema = StructType([*[docs.schema[c] for c in carried], *[StructField(c, LongType()) for c in counts],
+    schema = StructType([*[StructField(f"n_{k}", LongType()) for k in KINDS],
                          StructField("base_sha256", StringType()), StructField("spans", StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -557,7 +558,7 @@ def personal_data(docs: DataFrame, model: BiLstmCrf | None) -> DataFrame:
             per_kind = [pa.array([sum(k == s[1] for s in e) for _, e in found], pa.int64()) for k in range(len(KINDS))]
             base = pa.array([hashlib.sha256(written(b).encode()).hexdigest() for b, _ in found], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in carried], *per_kind, base,
-                 pa.array([written(e) for _, e in found], pa.string())], names=schema.names)
+                [batch.column("carried"), *per_kind, base, pa.array([written(e) for _, e in found], pa.string())],
+                names=["carried", *schema.names])
 
-    return docs.mapInArrow(run, schema)
+    return with_results(docs, run, schema)

@@ -16,6 +16,8 @@ whole text.
 Defined results: null and empty texts have the feature 0.  With no labelled
 rows, or labels of one kind only, the score is the smoothed share of good
 labels for every text.  An id that is labelled more than once counts as often.
+Very long texts are scored whole, piece by piece.  An empty table gives no
+rows.  An extra column named as an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from policylens.llm.common import stage
+from policylens.llm.common import stage, with_results
 
 PIECE = 2_000
 SAMPLE_ROWS = 8_000
@@ -115,21 +117,19 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 
 def features(docs: DataFrame, model: CompressionModel) -> DataFrame:
-    """``docs`` without ``text``, with ``feature`` and ``log_ratio``."""
+    """``docs`` without ``text``, with ``feature`` and ``log_ratio``, which replace columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)      # two dictionaries of a fixed size
-    carried = [c for c in docs.columns if c != "text"]
-    schema = StructType([*[docs.schema[c] for c in carried], StructField("feature", DoubleType()),
-                         StructField("log_ratio", DoubleType())])
+    schema = StructType([StructField("feature", DoubleType()), StructField("log_ratio", DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feature = shared.value.feature
         for batch in batches:
             found = [feature(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in carried], *[pa.array([f[k] for f in found], pa.float64()) for k in (0, 1)]],
-                names=schema.names)
+                [batch.column("carried"), *[pa.array([f[k] for f in found], pa.float64()) for k in (0, 1)]],
+                names=["carried", *schema.names])
 
-    return docs.mapInArrow(run, schema)
+    return with_results(docs, run, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> CompressionModel:
@@ -166,7 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def score(docs: DataFrame, model: CompressionModel) -> DataFrame:
-    """``docs`` without ``text``, with ``feature``, ``score`` (0 to 1) and ``predicted``."""
+    """``docs`` without ``text``, with ``feature``, ``score`` (0 to 1) and ``predicted``,
+    which replace columns of these names."""
     difference, shrinkage, offset = model.weights
     beyond = F.greatest(F.lit(0.0), F.lit(model.usual) - F.col("log_ratio"))
     p = 1 / (1 + F.exp(-(F.col("feature") * difference + beyond * shrinkage + offset)))

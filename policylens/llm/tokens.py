@@ -22,9 +22,10 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from policylens.llm.common import with_results
+
 # The pre-tokenizer's pattern, with the classes spelled out for
 # texts of the first 256 code points, and Unicode's white space.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -142,17 +143,16 @@ def counter(path: str) -> MergeCounter:
 
 def with_token_counts(df: DataFrame, vocabulary: str, text: str = "text", name: str = "n_tokens") -> DataFrame:
     """``df`` without ``text``, with the bytes (``n_bytes``) and the tokens
-    (``name``) of it.  ``vocabulary`` is a path that every executor can open."""
-    carried = [c for c in df.columns if c != text]
-    schema = StructType([*[df.schema[c] for c in carried], StructField("n_bytes", LongType()),
-                         StructField(name, LongType())])
+    (``name``) of it, which replace columns of these names.  ``vocabulary`` is
+    a path that every executor can open."""
+    schema = StructType([StructField("n_bytes", LongType()), StructField(name, LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary).count
         for batch in batches:
-            n = pa.array([count(t) for t in batch.column(text).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in [*carried, "n_bytes"]], n],
-                                             names=[*carried, "n_bytes", name])
+            texts = batch.column("text").to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("carried"), pa.array([len((t or "").encode()) for t in texts], pa.int64()),
+                 pa.array([count(t) for t in texts], pa.int64())], names=["carried", *schema.names])
 
-    size = F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long")
-    return df.withColumn("n_bytes", size).mapInArrow(run, schema)
+    return with_results(df, run, schema, text)

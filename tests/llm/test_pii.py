@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from policylens.llm import pii
 
@@ -231,5 +232,7 @@ def test_frame(spark, texts):
         if r["doc_id"] is not None and r["doc_id"] != 7:
             want = pii.written(rule_spans(texts[r["doc_id"]]))
             assert set(filter(None, want.split(","))) <= {":".join(s) for s in spans}
+    clash = pii.personal_data(df.limit(9).withColumn("spans", F.lit("x")).withColumn("n_card", F.lit("x")), None)
+    assert dict(clash.dtypes)["n_card"] == "bigint" and clash.columns.count("spans") == 1 and clash.count() == 9
     empty = df.limit(0)
     assert pii.train(empty) is None and pii.personal_data(empty.select("doc_id", "text"), None).count() == 0

@@ -104,6 +104,51 @@ def test_a_full_memory_of_words_starts_anew(spark, monkeypatch):
     assert [model.predict(t)[0] for t in texts] == [w for w, _ in want]
 
 
+def written_out(model, text):
+    """The score by its definition, place by place."""
+    total = np.zeros(len(model.languages))
+    for word in langid.letters_words(text):
+        if word in model.words:
+            total += model.words[word]
+            continue
+        padded = f"<{word}>"
+        for i in range(len(padded) - 1):
+            pieces = [padded[i:i + n] for n in (4, 3, 2, 1) if i + n <= len(padded)]
+            known = [p for p in pieces if p in model.pieces]
+            total += model.pieces[known[0]] / len(known[0]) if known else model.unseen
+    best = int(total.argmax())
+    return model.languages[best], 1.0 / np.exp(total - total[best]).sum()
+
+
+def test_scores_are_the_definition(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    model = langid.train(docs.where("doc_id % 2 = 0").select("text", "lang"))
+    texts = [r["text"] for r in docs.where("doc_id % 2 = 1 and text is not null").orderBy("doc_id").limit(150).collect()]
+    texts = [t for t in texts if langid.letters_words(t)] + ["casaxyz" * 300, "q", "日本 zzz the"]
+    for places in (7, langid.PLACES):
+        monkeypatch.setattr(langid, "PLACES", places)
+        model.rows.clear()
+        for t in texts:
+            (lang, score), (want, p) = model.predict(t), written_out(model, t)
+            assert lang == want and score == pytest.approx(p, rel=1e-6)
+
+
+def test_columns_named_as_results(spark):
+    """Extra columns that clash are replaced, all others are carried; no row is lost."""
+    docs = spark.createDataFrame([(1, "the house", "a", 7, "x"), (1, "the house", "a", 7, "x"), (None, None, None, None, None)],
+                                 "doc_id long, text string, `lang_pred` string, score int, `carried` string")
+    model = langid.train(spark.createDataFrame([("the house", "en"), ("la casa", "es")], "text string, lang string"))
+    got = langid.identify(docs, model)
+    assert got.columns == ["doc_id", "carried", "lang_pred", "score"]
+    assert sorted(tuple(r)[:3] for r in got.collect() if r["doc_id"]) == [(1, "x", "en")] * 2 and got.count() == 3
+    assert {r["lang_pred"] for r in got.collect()} == {"en", "und"}
+    assert langid.identify(docs.limit(0), model).count() == 0
+    assert langid.identify(docs.select("text"), model).columns == ["lang_pred", "score"]
+    rated = quality.score(docs.withColumn("feature", F.lit("f")).withColumn("log_ratio", F.lit("f")),
+                          quality.CompressionModel(b"", b""))
+    assert rated.count() == 3 and dict(rated.dtypes)["score"] == "double" and dict(rated.dtypes)["feature"] == "double"
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = langid.train(empty.select("text", "lang"))

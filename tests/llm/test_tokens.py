@@ -55,6 +55,8 @@ def test_token_count_frame(spark):
     got = sorted(map(tuple, with_token_counts(df, BYTES).collect()), key=str)
     assert got == sorted([(1, "x", 11, 2), (2, None, 0, 0), (1, "x", 11, 2), (None, "y", 0, 0)], key=str)
     assert with_token_counts(df.limit(0), BYTES).count() == 0
+    clash = df.withColumn("n_bytes", F.lit("x")).withColumn("n_tokens", F.lit("y"))
+    assert sorted(map(tuple, with_token_counts(clash, BYTES).collect()), key=str) == got
 
 
 def check_patterns(counts, capacity, patterns):
