@@ -1,15 +1,22 @@
 """Exact dedup against a persistent digest index.
 
 The index is a table bucketed and sorted by digest.  A batch is reduced to
-one row per digest (partial aggregation first), sort-merge anti-joined with
-the index, and what is new is appended in the index's own buckets, so neither
-side of that join is ever shuffled or sorted again.
+one row per digest (partial aggregation first) in buckets of the same kind,
+sort-merge anti-joined with the index, and what is new is appended.  Neither
+side of that join is shuffled; each task sorts one bucket.
+
+A job may die after the append and before its result is written.  Each row of
+the index therefore carries the name of its batch: a rerun under the same name
+takes the rows of that batch for its own, appends only those that are missing
+and returns what the lost run would have.  Without a name every call is a new
+batch, for which all that the index holds is older.
 
 Defined results: texts are equal when identical after lower-casing A-Z; null
 counts as empty.  Of equal texts in a batch the row with the largest doc_id
 stays, null ids last; of rows that tie in doc_id too, one stays.  A text that
-the index already holds keeps its indexed id and no row of the batch stays.
-An empty table gives no rows.  Other columns are not read.
+the index already holds from another batch keeps its indexed id and no row of
+the batch stays.  Very long texts are hashed whole and never moved; an empty
+table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,47 +48,61 @@ class DigestIndex:
         self.path = path or scratch_path(spark, "digest-index")
         self.buckets = buckets or shuffle_partitions(spark)
         self.table = f"digest_index_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id {id_type}) USING parquet "
+        spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id {id_type}, batch STRING) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Append the new digests of ``batch`` (row, doc_id, digest) and return one
+    def _write(self, df: DataFrame, table: str, path: str, mode: str) -> DataFrame:
+        (df.repartition(self.buckets, "digest").write.mode(mode).format("parquet")
+         .bucketBy(self.buckets, "digest").sortBy("digest").option("path", path).saveAsTable(table))
+        return self.spark.table(table)
+
+    def older(self, groups: DataFrame, batch: str) -> DataFrame:
+        """Rows of the index for the digests of ``groups`` (in the index's buckets): digest, held_id, own."""
+        return groups.select("digest").join(self.rows().hint("merge"), "digest").select(
+            "digest", F.col("keep_id").alias("held_id"), F.col("batch").eqNullSafe(F.lit(batch)).alias("own"))
+
+    def add(self, rows: DataFrame, batch: str | None = None) -> DataFrame:
+        """Append the new digests of ``rows`` (row, doc_id, digest) and return one
         row per digest of it: digest, keep_id, group_size, keep_row (null when
-        the index held the digest before)."""
+        another batch brought the digest before)."""
+        batch = batch or uuid.uuid4().hex
         newest = F.max(F.struct(F.col("doc_id"), (-F.col("row")).alias("row")))
-        groups = batch.groupBy("digest").agg(newest.alias("keep"), F.count(F.lit(1)).alias("group_size"))
-        groups = stage(groups.repartition(self.buckets, "digest"), "digest-groups")
-        held = stage(groups.select("digest").join(self.rows().hint("merge"), "digest"), "digests-held")
-        fresh = groups.select("digest", F.col("keep.doc_id").alias("keep_id")).join(
+        table = f"digest_groups_{uuid.uuid4().hex}"
+        groups = self._write(rows.groupBy("digest").agg(newest.alias("keep"), F.count(F.lit(1)).alias("group_size")),
+                             table, scratch_path(self.spark, "digest-groups"), "error")
+        held = stage(self.older(groups, batch), "digests-held")
+        fresh = groups.select("digest", F.col("keep.doc_id").alias("keep_id"), F.lit(batch).alias("batch")).join(
             self.rows().hint("merge"), "digest", "left_anti")
-        (fresh.repartition(self.buckets, "digest").write.mode("append").format("parquet")
-         .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table))
-        known = held.select("digest", F.lit(True).alias("known"), F.col("keep_id").alias("held_id"))
-        return groups.join(known, "digest", "left_outer").select(
+        self._write(fresh, self.table, self.path, "append")
+        known = held.where(~F.col("own")).select("digest", F.lit(True).alias("known"), "held_id")
+        told = stage(groups.join(known, "digest", "left_outer").select(
             "digest", "group_size",
             F.when(F.col("known"), F.col("held_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
-            F.when(F.col("known").isNull(), -F.col("keep.row")).alias("keep_row"))
+            F.when(F.col("known").isNull(), -F.col("keep.row")).alias("keep_row")), "digests-told")
+        self.spark.sql(f"DROP TABLE {table}")              # the catalog's entry; the files are scratch
+        return told
 
 
-def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """One row per document: doc_id, row (if ``docs`` has it), keep_id,
-    group_size, kept, digest.  ``docs`` is added to ``index`` (default: a new one)."""
+def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
+    """One row per document: doc_id, row, keep_id, group_size, kept, digest.
+    ``docs`` is added to ``index`` (default: a new one) as ``batch``; name it
+    where a lost run may have to be run again."""
     row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id()
     rows = stage(docs.select("doc_id", row.alias("row"), text_digest(F.col("text")).alias("digest")), "digests")
     index = index or DigestIndex(docs.sparkSession, id_type=docs.schema["doc_id"].dataType.simpleString())
-    groups = index.add(rows)
+    groups = index.add(rows, batch)
     joined = salted_join(rows, groups, "digest", how="inner", heavy="left")
     return joined.select("doc_id", "row", "keep_id", "group_size",
                          F.coalesce(F.col("keep_row") == F.col("row"), F.lit(False)).alias("kept"), "digest")
 
 
-def without_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def without_copies(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """``docs`` with one row of each text, in the same columns."""
     columns = docs.columns
     rows = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
                              F.monotonically_increasing_id().alias("row")), "dedup-documents")
-    kept = exact_duplicates(rows.select("doc.doc_id", "doc.text", "row"), index).where("kept").select("row")
+    kept = exact_duplicates(rows.select("doc.doc_id", "doc.text", "row"), index, batch).where("kept").select("row")
     return rows.join(kept, "row", "left_semi").select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])

@@ -67,6 +67,52 @@ def test_the_index_persists_and_grows(spark, rows):
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_lost_run_is_run_again(spark, rows):
+    path = scratch_path(spark, "rerun-index")
+    first, second = rows[: len(rows) // 2], rows[len(rows) // 2:]
+    without_copies(frame(spark, first), DigestIndex(spark, path, 4), "monday").collect()
+    lost = exact_duplicates(frame(spark, second), DigestIndex(spark, path, 4), "tuesday")      # never written
+    held = DigestIndex(spark, path, 4).rows().count()
+    again = exact_duplicates(frame(spark, second), DigestIndex(spark, path, 4), "tuesday")
+    of = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"], bytes(r["digest"])) for r in again.collect()]
+    assert Counter(of) == Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], bytes(r["digest"]))
+                                  for r in lost.collect())
+    assert sum(o[3] for o in of) == len({lower_az(r[1]) for r in second} - {lower_az(r[1]) for r in first})
+    assert DigestIndex(spark, path, 4).rows().count() == held                 # nothing is appended twice
+    # the same rows under another name are copies
+    assert without_copies(frame(spark, second), DigestIndex(spark, path, 4), "wednesday").count() == 0
+
+
+def test_a_run_lost_while_it_appended(spark, rows):
+    whole = exact_duplicates(frame(spark, rows), DigestIndex(spark, buckets=4), "b")
+    index = DigestIndex(spark, buckets=4)
+    half = whole.where("kept").where(F.pmod(F.xxhash64("digest"), F.lit(2)) == 0)
+    index._write(half.select("digest", "keep_id", F.lit("b").alias("batch")), index.table, index.path, "append")
+    columns = ["doc_id", "keep_id", "group_size", "kept", "digest"]
+    again = exact_duplicates(frame(spark, rows), index, "b").select(columns)
+    assert again.exceptAll(whole.select(columns)).count() == 0 and again.count() == len(rows)
+    assert index.rows().count() == index.rows().select("digest").distinct().count() == whole.where("kept").count()
+
+
+def test_joins_with_the_index_move_nothing(spark, rows, monkeypatch):
+    plans, older = [], DigestIndex.older
+
+    def seen(self, groups, batch):
+        plans.append(older(self, groups, batch)._jdf.queryExecution().executedPlan().toString())
+        return older(self, groups, batch)
+
+    monkeypatch.setattr(DigestIndex, "older", seen)
+    exact_duplicates(frame(spark, rows), DigestIndex(spark, buckets=4))
+    assert "SortMergeJoin" in plans[0] and "Exchange" not in plans[0]
+
+
+def test_very_long_texts_are_compared_whole(spark):
+    long = "Word " * 400_000
+    docs = frame(spark, [(1, long, None, None), (2, long.lower(), None, None), (3, long + "x", None, None)])
+    assert sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in exact_duplicates(docs).collect()) == [
+        (1, 2, False), (2, 2, True), (3, 3, True)]
+
+
 def test_exact_dedup_of_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_duplicates(empty).count() == 0 and without_copies(empty).count() == 0
