@@ -3,11 +3,12 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 import corpus_pipeline
-from policylens.llm.common import stage
+from policylens.llm.common import release, stage
 
 WORDS = {"en": "the of and to in that was with for from house river stone".split(),
          "de": "der die und nicht von mit das ist ein haus fluss stein wald".split()}
@@ -140,6 +141,22 @@ def test_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_stages_delete_what_earlier_ones_staged(spark, tmp_path, monkeypatch):
+    rows = [(1, "the river and the house", "en", "a", 23), (2, "The river and the house", "en", "a", 23),
+            (3, "der Fluss und das Haus", "de", None, 22), (None, "the stone " * 50_000, "en", "b", 500_000),
+            (None, None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    released = []
+    monkeypatch.setattr(corpus_pipeline, "release", lambda s, paths: (released.extend(paths), release(s, paths)))
+    before = {(r["doc_id"], r["length"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert {i for i, _ in before} == {2, 3, None} and sum(n for i, n in before if i is None) > 2048
+    assert len(released) == len(set(released)) and not any(Path(p.removeprefix("file:")).exists() for p in released)
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        assert any(f"/pipeline-{name}-" in p for p in released)
+    assert not any("/pipeline-pack-" in p for p in released)
+
+
 def test_registered():
     import __spark_entry__
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
