@@ -11,16 +11,23 @@ near_dedup    of each group of near copies one document stays
 mix           sources are repeated or cut to their target shares
 pack          the mix, as sequences of at most 2048 tokens
 
-Nulls in any column pass where a stage's own rules allow; an empty table
-passes through all stages.
+Nulls in any column pass where a stage's own rules allow, very long texts are
+taken whole, repeated rows are exact copies, an empty table passes through all
+stages, and extra columns are carried up to the last stage, whatever their
+names; ties are settled as each operator's module says.
+
+What a stage stages in the shared folder is needed until its result is
+written.  The next stage starts after that and deletes it.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from policylens.llm import langid
-from policylens.llm.common import read_table, stage
+from policylens.llm.common import read_table, recorded, release, stage
 from policylens.llm.exact_dedup import without_copies
 from policylens.llm.mixing import mixed_documents
 from policylens.llm.near_dedup import without_near_copies
@@ -29,28 +36,48 @@ from policylens.llm.queries import vocabulary
 from policylens.session import workers_import_this
 
 
+_runs = threading.local()
+
+
+def _staged(sf_dir: str) -> list[str]:
+    """What the stages of this thread's run over ``sf_dir`` have staged and not deleted."""
+    if not hasattr(_runs, "staged"):
+        _runs.staged = {}
+    return _runs.staged.setdefault(sf_dir, [])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from every document that has a language, keeps what is in one."""
     workers_import_this(spark)
-    return langid.in_a_language(docs, langid.train(docs.select("text", "lang")))
+    _staged(sf_dir).clear()                    # a new run; an earlier one may not be written yet
+    with recorded(_staged(sf_dir)):
+        return langid.in_a_language(docs, langid.train(docs.select("text", "lang")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_copies(docs)
+    release(spark, _staged(sf_dir))
+    with recorded(_staged(sf_dir)):
+        return without_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_import_this(spark)
-    return without_near_copies(docs)
+    release(spark, _staged(sf_dir))
+    with recorded(_staged(sf_dir)):
+        return without_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed_documents(docs)
+    release(spark, _staged(sf_dir))
+    with recorded(_staged(sf_dir)):
+        return mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_import_this(spark)
-    return pack(docs, vocabulary("word_bpe_49k.json"))
+    release(spark, _staged(sf_dir))
+    with recorded(_staged(sf_dir)):
+        return pack(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix),
@@ -61,7 +88,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, read = read_table(spark, sf_dir, "documents"), []
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        written: list[str] = []
+        result = step(spark, docs, sf_dir)
+        with recorded(written):
+            docs = stage(result, f"pipeline-{name}")
+        release(spark, read)                   # the stage before this one's result
+        read = written
+    release(spark, _staged(sf_dir))
     return docs
