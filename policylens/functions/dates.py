@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from policylens.functions.flags import trimmed
 from policylens.functions.util import as_col
@@ -27,6 +28,12 @@ def parse_ts(s: Column | str) -> Column:
     return F.when(text.rlike(DATE_SHAPE), text).try_cast("timestamp_ntz")
 
 
+def typed_date(df: DataFrame, name: str) -> Column:
+    """A date column of ``df``: as it is if it is typed (an ingested extract), its
+    text parsed if not."""
+    return F.col(name) if isinstance(df.schema[name].dataType, T.TimestampNTZType) else parse_ts(name)
+
+
 def later(d1: Column | str, d2: Column | str) -> Column:
     """Later of two timestamps, skipping nulls (null only when both are null)."""
     return F.greatest(as_col(d1), as_col(d2))

@@ -11,6 +11,12 @@ table (older job), reading extract files and writing the result.
 delimited text for ``vehicle`` and ``company`` (separator found after the
 fixed-width key of the first vehicle line, or given with ``--sep``).  Any
 extract can be pointed elsewhere with ``--path name=location``.
+
+    python -m policylens.job ingest --extracts /shared/extracts --out /shared/typed
+    python -m policylens.job wide --ingested /shared/typed --start .. --end .. --out /shared/widetable
+
+``ingest`` parses the wide job's extracts once; any number of windows then
+read only the months they touch.
 """
 
 from __future__ import annotations
@@ -22,9 +28,10 @@ from pyspark.sql import SparkSession
 
 from policylens import schemas
 from policylens.operators.period import Period
-from policylens.session import CLUSTER_CONF, scratch_path, shuffle_partitions_for
+from policylens.session import CLUSTER_CONF, shuffle_partitions_for
 from policylens.sources import files, sinks
 from policylens.sources.adapter import EXTRACT_SCHEMA_NAMES, Sources
+from policylens.sources.ingest import ingested, read_ingested, write_ingested
 
 JSON_EXTRACTS = [n for n in EXTRACT_SCHEMA_NAMES if n not in ("vehicle", "company")]
 
@@ -54,27 +61,15 @@ def read_extracts(spark: SparkSession, base: str, overrides: dict[str, str], sep
     return Sources(**frames)
 
 
-def ingested(src: Sources) -> Sources:
-    """Each text extract read and parsed once, into Parquet in the shared folder:
-    counting heavy keys and joining then read single columns of it."""
-    out = {}
-    for name, df in src.__dict__.items():
-        if df is not None:
-            path = scratch_path(df.sparkSession, f"extract-{name}")
-            df.write.parquet(path)
-            df = df.sparkSession.read.schema(df.schema).parquet(path)
-        out[name] = df
-    return Sources(**out)
-
-
 WIDE_INPUTS = ["copymain", "head", "fee", "itemkind", "copycoins", "policy", "policy_coins", "vehicle", "company"]
 PLAIN_INPUTS = ["policy2", "head2", "fee2", "profit2", "vehicle2", "pmain2", "itemkind2"]
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="policylens.job")
-    ap.add_argument("job", choices=["wide", "plain"])
-    ap.add_argument("--extracts", required=True)
+    ap.add_argument("job", choices=["wide", "plain", "ingest"])
+    ap.add_argument("--extracts", help="folder of the extracts")
+    ap.add_argument("--ingested", help="folder that the ingest job wrote, instead of the extracts (wide only)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--start")
     ap.add_argument("--end")
@@ -89,6 +84,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--input-bytes", type=int,
                     help="total extract size; sets spark.sql.shuffle.partitions to keep partitions ~256 MiB")
     args = ap.parse_args(argv)
+    if (args.extracts is None) == (args.ingested is None):
+        ap.error("give --extracts or --ingested")
+    if args.ingested and args.job != "wide":
+        ap.error("--ingested is for the wide job")
 
     if spark is None:
         builder = SparkSession.builder.appName(f"policylens-{args.job}")
@@ -99,13 +98,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(args.input_bytes)))
     overrides = dict(p.split("=", 1) for p in args.path)
 
+    if args.job == "ingest":
+        write_ingested(read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, WIDE_INPUTS,
+                                     args.rejects), args.out)
+        print(args.out)
+        return 0
     if args.job == "wide":
         from policylens.plans.policy import policy_wide_table
         if not (args.start and args.end):
             ap.error("wide needs --start and --end")
         period = Period.of(args.start, args.end, args.prior_start, args.prior_end)
-        src = read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, WIDE_INPUTS, args.rejects)
-        out, rows = sinks.write_csv_per_window(policy_wide_table(ingested(src), period), args.out, period,
+        if args.ingested:
+            src = read_ingested(spark, args.ingested, WIDE_INPUTS)
+        else:
+            src = ingested(read_extracts(spark, args.extracts, overrides, args.sep, args.key_width, WIDE_INPUTS,
+                                         args.rejects))
+        out, rows = sinks.write_csv_per_window(policy_wide_table(src, period), args.out, period,
                                                header=args.header, single_file=args.single_file)
     else:
         from policylens.plans.plain import plain_wide_table

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from policylens.functions.dates import later_of_text, parse_ts
+from policylens.functions.dates import later, typed_date
 from policylens.functions.flags import (
     contains_any, flag_in, in_set, is_null_flag, new_renew_transfer, not_in_set_trimmed,
 )
@@ -29,14 +29,14 @@ def copymain_record(df: DataFrame, *extra: str) -> DataFrame:
     """Policy snapshot per application (endorsement side)."""
     return df.select(
         "applyno", "policyno", *extra,
-        parse_ts("startdate").alias("startdate"),
-        parse_ts("underwriteenddate").alias("policyunderwriteenddate"),
+        typed_date(df, "startdate").alias("startdate"),
+        typed_date(df, "underwriteenddate").alias("policyunderwriteenddate"),
         F.col("endorsetimes"),
         F.col("othflag"),
         F.col("sumpremium"), F.col("sumamount"),
         flag_in("coinsflag", 0, *CO_INSURED).alias("coinsflag"),
         flag_in("othflag", 6, "Y").alias("chargeflag"),
-        later_of_text("startdate", "underwriteenddate").alias("policyValiddate"),
+        later(typed_date(df, "startdate"), typed_date(df, "underwriteenddate")).alias("policyValiddate"),
         flag_in("underwriteflag", 0, *UNDERWRITTEN).alias("policyunderwriteflag"),
         # 1 = NOT cancelled on this side (character 3 is "0").
         flag_in("othflag", 3, "0").alias("cancelflag"),
@@ -48,10 +48,10 @@ def head_record(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         "applyno", *extra,
         flag_in("underwriteflag", 0, *UNDERWRITTEN).alias("underwriteflag"),
-        parse_ts("validdate").alias("validdate"),
+        typed_date(df, "validdate").alias("validdate"),
         F.col("endortype"),
-        parse_ts("underwriteenddate").alias("prppunderwriteenddate"),
-        later_of_text("validdate", "underwriteenddate").alias("maxValiddateAndWritedate"),
+        typed_date(df, "underwriteenddate").alias("prppunderwriteenddate"),
+        later(typed_date(df, "validdate"), typed_date(df, "underwriteenddate")).alias("maxValiddateAndWritedate"),
         contains_any("endortype", *SURRENDER_PARTS).alias("tuibaoflag"),
         in_set("endortype", CANCEL_TYPES).alias("policycancelflag"),
         not_in_set_trimmed("endortype", REDUCTION_NOT_OTHER_TYPES).alias("decreaseNotcancelflag"),
@@ -75,10 +75,10 @@ def policy_record(df: DataFrame) -> DataFrame:
     """Policy master, 24 typed columns."""
     return df.select(
         "proposalno", "policyno", "riskcode", "comcode",
-        parse_ts("underwriteenddate").alias("underwriteenddate"),
-        parse_ts("startdate").alias("startdate"),
-        later_of_text("underwriteenddate", "startdate").alias("validdate"),
-        parse_ts("operatedate").alias("operatedate"),
+        typed_date(df, "underwriteenddate").alias("underwriteenddate"),
+        typed_date(df, "startdate").alias("startdate"),
+        later(typed_date(df, "underwriteenddate"), typed_date(df, "startdate")).alias("validdate"),
+        typed_date(df, "operatedate").alias("operatedate"),
         # exact (untrimmed, whole-string) test on this side
         in_set("underwriteflag", UNDERWRITTEN).alias("underwriteflag"),
         flag_in("othflag", 6, "Y").alias("chargeflag"),
@@ -88,10 +88,10 @@ def policy_record(df: DataFrame) -> DataFrame:
         "sumpremium", "sumamount",
         flag_in("othflag", 5, "1").alias("stopflag"),
         "inputflag", "businessnature", "agentcode",
-        parse_ts("enddate").alias("enddate"),
+        typed_date(df, "enddate").alias("enddate"),
         new_renew_transfer("othflag", 0, "0", "1", "2").alias("continueflag"),
         "othflag",
-        later_of_text("underwriteenddate", "operatedate").alias("maxOperatedateUnderwritedate"),
-        later_of_text("underwriteenddate", "startdate").alias("maxStartdateUnderwritedate"),
+        later(typed_date(df, "underwriteenddate"), typed_date(df, "operatedate")).alias("maxOperatedateUnderwritedate"),
+        later(typed_date(df, "underwriteenddate"), typed_date(df, "startdate")).alias("maxStartdateUnderwritedate"),
         is_null_flag("contractno").alias("Tuancheflag"),
     )

@@ -38,6 +38,7 @@ from policylens.operators.indicators import (
 from policylens.operators.joins import Step, salted_chain
 from policylens.operators.period import Period, endorsement_row_filter
 from policylens.operators.records import copycoins_record, copymain_record, head_record
+from policylens.sources.ingest import in_reach
 
 HEAD_SOURCE_COLUMNS = ["applyno", "underwriteflag", "validdate", "endortype", "underwriteenddate"]
 MISSING_ENDORSEMENT_SHARE = 1.0
@@ -54,12 +55,18 @@ def _head_step(src, where: Column, head: DataFrame | None = None) -> Step:
     return Step(head, count_on=src.head, where=where, salt_by=["_head"] if "_head" in head.columns else None)
 
 
+def _copies(src, period: Period) -> DataFrame:
+    """Copy main without what starts after the window: no window test holds for it."""
+    return in_reach(src.copymain, period, since_start=False)
+
+
 def copy_with_head(src, period: Period, where: Column | None = None) -> DataFrame:
     """copy main ⟕ head on applyno (JN-1), filtered to the reporting window (FIL-1)
     or by ``where``."""
+    copies = _copies(src, period) if where is None else src.copymain
     where = endorsement_row_filter(period) if where is None else where
-    return salted_chain(copymain_record(src.copymain), "applyno", [_head_step(src, where)],
-                        spread_by=["policyno"], count_left=src.copymain)
+    return salted_chain(copymain_record(copies), "applyno", [_head_step(src, where)],
+                        spread_by=["policyno"], count_left=copies)
 
 
 def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSEMENT_SHARE) -> DataFrame:
@@ -67,9 +74,10 @@ def endorsement_rows(src, period: Period, missing_share: float = MISSING_ENDORSE
     fee = src.fee.select("applyno", "chgpremium", "chgamount", "currency")
     item = src.itemkind.select("applyno", "calculateflag")  # its currency duplicates the fee's
     coins = copycoins_record(src.copycoins)
-    rows = salted_chain(copymain_record(src.copymain), "applyno",
+    copies = _copies(src, period)
+    rows = salted_chain(copymain_record(copies), "applyno",
                         [_head_step(src, endorsement_row_filter(period)), Step(fee), Step(item), Step(coins)], spread_by=["policyno"],
-                        count_left=src.copymain)
+                        count_left=copies)
     return rows.na.fill({**ENDORSEMENT_FILL, "coinsrate": missing_share})
 
 
@@ -132,10 +140,11 @@ def endorsement_rollup(src, period: Period, missing_share: float = MISSING_ENDOR
     """PIPE-1: one row per policyno with the 14 indicators (scaled plan).
     ``missing_share`` is the own share used when an application has no
     co-insurance row or a null share (1.0: the whole amount)."""
-    rows = salted_chain(copymain_record(src.copymain), "applyno",
+    copies = _copies(src, period)
+    rows = salted_chain(copymain_record(copies), "applyno",
                         [_head_step(src, endorsement_row_filter(period), head_with_multiplicity(src.head)),
                          Step(details_by_application(src, missing_share), unique=True)], spread_by=["policyno"],
-                        count_left=src.copymain)
+                        count_left=copies)
 
     c = F.col
 

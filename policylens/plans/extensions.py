@@ -28,13 +28,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from policylens.functions.dates import parse_ts
+from policylens.functions.dates import typed_date
 from policylens.functions.money import micros, sum_micros
 from policylens.operators.indicators import policy_indicator_columns
 from policylens.operators.joins import Step, salted_chain, salted_join
 from policylens.operators.period import Period
 from policylens.plans.policy import policies_with_shares
 from policylens.session import ensure_checkpoint_dir
+from policylens.sources.ingest import in_reach
 
 MICROS_TOTAL = "decimal(38,0)"
 
@@ -47,7 +48,8 @@ def claims_ratio(src, period: Period) -> DataFrame:
     window on any of the company's policies, and their ratio.  Claims never
     meet the policies' co-insurance rows, so none is counted twice; claims on
     policies without a company or a record are in the null company's row."""
-    claims = src.claims.select("policyno", parse_ts("claimtime").alias("claimtime"), "paid")
+    claims = in_reach(src.claims, period)
+    claims = claims.select("policyno", typed_date(claims, "claimtime").alias("claimtime"), "paid")
     paid = (claims.where(period.contains("claimtime"))
             .groupBy("policyno").agg(sum_micros(micros("paid")).alias("paid_micros")))
     company_of = src.policy.groupBy("policyno").agg(F.max("comcode").alias("comcode"))
@@ -145,7 +147,7 @@ def ncd_coefficient(src, coefficients: dict[int, float] | None = None, pieces: i
     coefficients = coefficients or NCD_COEFFICIENTS
     max_grade = max(coefficients)
     claimed = src.claims.groupBy("policyno").agg((F.count_if(F.col("paid") > 0) > 0).alias("claimed"))
-    policies = src.policy.select("policyno", "insuredcode", parse_ts("startdate").alias("startdate"))
+    policies = src.policy.select("policyno", "insuredcode", typed_date(src.policy, "startdate").alias("startdate"))
     # copies of a policy are one row when its claims are joined, and the rows are
     # distinct, so that those of a hot policyno can be told apart
     rows = policies.groupBy(*policies.columns).agg(F.count(F.lit(1)).alias("copies"))

@@ -89,6 +89,7 @@ from policylens.operators.columns import (  # noqa: E402
 from policylens.operators.indicators import endorsement_indicator_columns, policy_indicator_columns  # noqa: E402
 from policylens.operators.records import copymain_record, head_record, policy_record  # noqa: E402
 from policylens.plans.plain import PLAIN_WIDE_OUTPUT, plain_wide_table  # noqa: E402
+from policylens.sources.ingest import ingested  # noqa: E402
 
 POLICY_FLAGS = ["policyno", "underwriteflag", "chargeflag", "cancelflag", "coinsflag", "stopflag", "continueflag",
                 "Tuancheflag"]
@@ -201,6 +202,19 @@ def q_filter_policy_rows(spark, sf_dir):
     return pol.filtered_policies(sources_for(spark, sf_dir), WINDOW)
 
 
+@register("ingested_policy_rows", lambda s: f"SELECT * FROM policy_r WHERE {Sql(PRIOR_WINDOW).fil2()}")
+def q_ingested_policy_rows(spark, sf_dir):
+    """The policies of two windows, read from typed extracts laid out by time (SRC-1, FIL-2)."""
+    return pol.filtered_policies(ingested(sources_for(spark, sf_dir)), PRIOR_WINDOW)
+
+
+@register("ingested_wide_table", lambda s: f"""
+SELECT {_cols(WIDE_TABLE_OUTPUT)} FROM policy_i LEFT JOIN rollup USING (policyno)""")
+def q_ingested_wide_table(spark, sf_dir):
+    """The wide table of a window, from typed extracts laid out by time."""
+    return pol.policy_wide_table(ingested(sources_for(spark, sf_dir)), WINDOW)
+
+
 # --- co-insurance and indicators ---------------------------------------------------------------
 
 @register("coinsurance_adjusted", lambda s: """
