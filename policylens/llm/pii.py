@@ -546,16 +546,18 @@ def find(texts: list[str | None], model: BiLstmCrf | None) -> list[tuple[list[Sp
 
 
 def personal_data(docs: DataFrame, model: BiLstmCrf | None) -> DataFrame:
-    """``docs`` without ``text``, with counts per kind, base_sha256 and spans,
-    which replace columns of these names."""
+    """``docs`` without ``text``, with counts per kind of all spans, of the rules'
+    alone (base_email, ...), base_sha256 and spans, which replace columns of
+    these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)       # a fixed number of weights
-    schema = StructType([*[StructField(f"n_{k}", LongType()) for k in KINDS],
+    schema = StructType([*[StructField(f"{of}_{k}", LongType()) for of in ("n", "base") for k in KINDS],
                          StructField("base_sha256", StringType()), StructField("spans", StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = find(batch.column("text").to_pylist(), shared.value)
-            per_kind = [pa.array([sum(k == s[1] for s in e) for _, e in found], pa.int64()) for k in range(len(KINDS))]
+            per_kind = [pa.array([sum(k == s[1] for s in spans) for spans in of], pa.int64())
+                        for of in ([e for _, e in found], [b for b, _ in found]) for k in range(len(KINDS))]
             base = pa.array([hashlib.sha256(written(b).encode()).hexdigest() for b, _ in found], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("carried"), *per_kind, base, pa.array([written(e) for _, e in found], pa.string())],

@@ -1,5 +1,6 @@
 """Personal data: rules against plain regular expressions, the model against numeric gradients and brute force."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from policylens.llm import pii
+from policylens.llm.queries import spark_queries
 
 
 def rule_spans(text):
@@ -236,3 +238,17 @@ def test_frame(spark, texts):
     assert dict(clash.dtypes)["n_card"] == "bigint" and clash.columns.count("spans") == 1 and clash.count() == 9
     empty = df.limit(0)
     assert pii.train(empty) is None and pii.personal_data(empty.select("doc_id", "text"), None).count() == 0
+
+
+def test_query_counts_the_rules_spans(spark, tmp_path):
+    added = "cards 4111 1111 1111 1111 5500 0000 0000 0004 in a row"        # the rules see one number and drop it
+    rows = [(i, f"mail a{i}.b@c{i}.org, host 10.0.{i % 256}.7, call +49 30 1234 56{i:03d}, pay 4111-1111-1111-1111 ok {added}")
+            for i in range(300)] + [(1000, None), (1001, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    more = 0
+    for r in spark_queries()["op8_pii"](spark, str(tmp_path)).collect():
+        base = rule_spans(dict(rows)[r["doc_id"]] or "")
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[1] == k for s in base) for k in range(len(pii.KINDS))]
+        assert r["base_sha256"] == hashlib.sha256(pii.written(base).encode()).hexdigest()
+        more += len(list(filter(None, r["spans"].split(",")))) - len(base)
+    assert more > 0
