@@ -81,3 +81,22 @@ def test_broken_json_lines_are_rejects(spark, tmp_path):
     rejected = {r["line"] for r in broken.collect()}
     assert {'{"a": "y"', "nothing", "[1, 2]"} <= rejected
     assert good.count() + broken.count() == 8
+
+
+def test_json_extracts_are_compressed(spark, monkeypatch):
+    """The JSON lines of a round trip, ten times the extracts' own bytes as plain text, are compressed."""
+    from pathlib import Path
+
+    from policylens import queries
+    from tests.conftest import SF_SMALL
+
+    made = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, name: made.append(scratch_path(s, name)) or made[-1])
+    queries.spark_queries()["json_roundtrip"](spark, SF_SMALL)
+    folders = [Path(p.removeprefix("file:")) for p in made if "-json-" in p]
+    parts = [f for folder in folders for f in folder.glob("part-*")]
+    assert len(folders) == 5 and parts and all(f.name.endswith(".gz") for f in parts)
+    for name in ("head", "copycoins"):
+        lines = spark.read.text(next(p for p in made if f"/{name}-json-" in p)).count()
+        rejects = spark.read.parquet(next(p for p in made if f"/{name}-rejects-" in p)).count()
+        assert 0 < rejects and lines - rejects == getattr(queries.sources_for(spark, SF_SMALL), name).count()
