@@ -207,3 +207,19 @@ def test_a_fleet_and_policies_without_number_stay_spread(spark, no_broadcast, mo
     assert spread_of(wide, "rawpremium") < 2.5
     runs = ncd_coefficient(numberless, pieces=16)
     assert runs.count() == 1500 and spread_of(runs, "ncd_coefficient") < 2.5
+
+
+def test_without_heavy_keys_nothing_is_written_for_row_ids(spark, monkeypatch):
+    """Sides behind a shuffle are staged, and their keys counted one by one, only where a key is heavy."""
+    from policylens.operators import joins
+
+    staged, write = [], joins._written
+    monkeypatch.setattr(joins, "_written", lambda df, name: staged.append(name) or write(df, name))
+    left = spark.range(0, 5000).groupBy(F.col("id").alias("k")).agg(F.max("id").alias("l"))
+    right = spark.range(0, 5000).groupBy(F.concat(F.lit(""), F.col("id")).cast("long").alias("k")).agg(F.max("id").alias("r"))
+    out = salted_chain(left, "k", [Step(right)])
+    assert "stable-rows" not in staged
+    assert rows(out) == rows(left.join(right, ["k"], "left_outer"))
+    hot = right.union(spark.range(0, 4000).groupBy("id").agg(F.max("id")).select(F.lit(7).cast("long"), "max(id)"))
+    assert rows(salted_chain(left, "k", [Step(hot)])) == rows(left.join(hot, ["k"], "left_outer"))
+    assert "stable-rows" in staged
