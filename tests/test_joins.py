@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from policylens.operators import joins
 from policylens.operators.joins import (
     MOVES_ROWS, Step, heavy_keys, left_join, moves_rows, salted_chain, salted_join, stable_rows, with_row_key,
 )
@@ -223,3 +224,27 @@ def test_without_heavy_keys_nothing_is_written_for_row_ids(spark, monkeypatch):
     hot = right.union(spark.range(0, 4000).groupBy("id").agg(F.max("id")).select(F.lit(7).cast("long"), "max(id)"))
     assert rows(salted_chain(left, "k", [Step(hot)])) == rows(left.join(hot, ["k"], "left_outer"))
     assert "stable-rows" in staged
+
+
+def test_a_chain_of_many_rows_has_tasks_of_a_bounded_size(spark, monkeypatch):
+    """More rows than shuffle partitions should sort go to more tasks; few rows do not."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 30_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("l"))
+        right = spark.range(0, 30_000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("r"))
+        other = right.withColumnRenamed("r", "u")
+        steps = [Step(right), Step(other, unique=True), Step(right.withColumnRenamed("r", "v"))]
+        few = salted_chain(left, "k", steps)
+        monkeypatch.setattr(joins, "TASK_ROWS", 4_000)       # 4 sides of 30,000 rows: 30 tasks
+        many = salted_chain(left, "k", steps)
+        assert largest_task(few) > 30_000 / 8 / 1.5
+        assert largest_task(many) < 1.5 * 30_000 / 30
+        assert rows(many) == rows(few)
+        known = salted_chain(left, "k", [Step(other, unique=True, rows=290_000)])
+        assert largest_task(known) < 1.5 * 30_000 / 80
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
