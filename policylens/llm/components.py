@@ -5,36 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from policylens.llm.common import stage
+from policylens.llm.common import shuffle_partitions, stage
 
+# Edges beside each other in one task, and the tasks of the smallest table.
+TASK_EDGES, LEAST_TASKS = 50_000, 8
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+
+def _dealt(df: DataFrame, edges: int) -> DataFrame:
+    """``df`` in as many tasks as so many ``edges`` need: a contraction's tables
+    shrink with the components, and a round is several shuffles and files a task."""
+    tasks = max(LEAST_TASKS, -(-edges // TASK_EDGES))
+    return df.coalesce(tasks) if tasks < shuffle_partitions(df.sparkSession) else df
+
+
+def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
     """One contraction of (a, b), a > b: every node's neighbours are linked with
     the least of them and of the node; large: the greater neighbours, else the
     smaller ones and the node itself.  The least neighbours are staged, so the
-    join is one of two plain scans and the optimizer splits a hub's rows."""
+    join is one of two plain scans and the optimizer splits a hub's rows.  ``n``:
+    how many edges there are, which sizes the tasks."""
     both = edges
     if large:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = stage(both.groupBy("a").agg(F.min("b").alias("_m")), "least")
-    rows = both.join(least, "a").withColumn("_m", F.least("a", "_m"))
+    least = stage(_dealt(both.groupBy("a").agg(F.min("b").alias("_m")), n), "least")
+    rows = _dealt(both.join(least, "a"), 2 * n).withColumn("_m", F.least("a", "_m"))
     if large:
         out = rows.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
     else:
         own = least.select("a", F.col("_m").alias("b"))
         out = rows.select(F.col("b").alias("a"), F.col("_m").alias("b")).unionByName(own)
-    return stage(out.where("a <> b").distinct(), "star")
+    return stage(_dealt(out.where("a <> b").distinct(), 2 * n), "star")
+
+
+def _state(edges: DataFrame) -> tuple:
+    """How many edges, and a sum that tells one set of them from another."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node reachable, for every node of the
     edges (a, b).  Nodes are numbers; self loops and repeats do no harm."""
-    state = None
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .where("a <> b").distinct(), "edges")
+    state = _state(edges)
     while True:
-        edges = _star(_star(edges, True), False)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        edges = _star(_star(edges, True, state[0]), False, state[0])
+        now = _state(edges)
         if now == state:
             break
         state = now

@@ -1,5 +1,6 @@
 """Exact dedup, components and near dedup against brute force, with nulls, ties, repeats and empty tables."""
 
+import glob
 import random
 import re
 from collections import Counter, defaultdict
@@ -8,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from policylens.llm import components as component_module
 from policylens.llm import near_dedup
-from policylens.llm.common import prefix_sums, stage
+from policylens.llm.common import prefix_sums, recorded, stage
 from policylens.llm.components import components
 from policylens.llm.exact_dedup import DigestIndex, exact_duplicates, without_copies
 from policylens.llm.near_dedup import block_links, near_duplicates, without_near_copies
@@ -155,6 +157,28 @@ def test_components(spark, seed):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_edge_tables_take_few_tasks_and_many_edges_all_of_them(spark, monkeypatch):
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.range(0, 3000).select(F.col("id").alias("a"), (F.col("id") - F.col("id") % 50).alias("b"))
+        want = {(i, i - i % 50) for i in range(3000)}
+
+        def files_of_stars():
+            with recorded([]) as paths:
+                assert {tuple(r) for r in components(edges).collect()} == want
+            return max(len(glob.glob(f"{p.removeprefix('file:')}/part-*")) for p in paths if "/star-" in p)
+
+        assert files_of_stars() <= component_module.LEAST_TASKS
+        monkeypatch.setattr(component_module, "TASK_EDGES", 10)
+        assert files_of_stars() > 20
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def shingles(text, k):
     w = re.findall(r"[^\x20\x09-\x0D]+", lower_az(text))
     return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
