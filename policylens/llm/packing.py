@@ -33,7 +33,12 @@ from policylens.llm.tokens import CONTRACTIONS, LATIN_NUMBER, SPACE, is_latin
 
 CAPACITY = 2048
 END_ID = 0
-REMEMBERED = 600_000
+# Chunks a Python worker remembers the ids of, those of late and those from before;
+# what it meets again stays.  Workers outlive the task, so this is held beside
+# whatever an executor does next.
+REMEMBERED = 150_000
+# Texts that are Python strings at a time.
+TEXTS = 500
 # Nodes that the search may visit beyond its first descent.
 SEARCH_NODES = 2_000
 # Fillings that are tried for one bin.
@@ -73,8 +78,11 @@ class IdEncoder:
             self.added = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
             spec["normalizer"], spec["added_tokens"] = None, []
             steps[0] = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+            spec["model"]["vocab"], spec["model"]["merges"] = {}, []
             self.chunks = Tokenizer.from_str(json.dumps(spec))
+            self.chunks.model = self.whole.model           # shared, so held once
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, missing: list[str]) -> None:
         for at in range(0, len(missing), 500):
@@ -96,10 +104,23 @@ class IdEncoder:
         try:
             return b"".join(map(get, chunks))
         except KeyError:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            self._learn([c for c in set(chunks) if c not in self.known])
-        return b"".join(map(self.known.__getitem__, chunks))
+            pass
+        half, parts = REMEMBERED // 2, []
+        for at in range(0, len(chunks), half):             # a very long text in parts
+            part = chunks[at:at + half]
+            missing = set(part).difference(self.known)
+            if len(self.known) + len(missing) > half:
+                self.known, self.older, missing = {}, self.known, set(part)
+            new = []
+            for c in missing:
+                ids = self.older.get(c)
+                if ids is None:
+                    new.append(c)
+                else:
+                    self.known[c] = ids
+            self._learn(new)
+            parts.append(b"".join(map(self.known.__getitem__, part)))
+        return b"".join(parts)
 
 
 @lru_cache(maxsize=2)
@@ -118,7 +139,8 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id
         encode = encoder(vocabulary).encode
         for batch in batches:
             source, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
+            texts = batch.column("text")
+            for i, text in enumerate(t for at in range(0, len(texts), TEXTS) for t in texts.slice(at, TEXTS).to_pylist()):
                 ids = encode(text) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]

@@ -49,6 +49,19 @@ def test_a_full_memory_starts_anew(monkeypatch):
         assert counts.count(text) == MergeCounter(BYTES).count(text) if i % 10 == 0 else True
 
 
+def test_ids_a_worker_holds_are_bounded_and_common_chunks_stay(monkeypatch):
+    monkeypatch.setattr("policylens.llm.packing.REMEMBERED", 40)
+    library, ours, learned = Tokenizer.from_file(WORDS), IdEncoder(WORDS), []
+    learn = ours._learn
+    monkeypatch.setattr(ours, "_learn", lambda missing: (learned.extend(missing), learn(missing)))
+    texts = [f"common words stay, w{'abcdefghij'[i % 10]}x{'klmnopqrst'[i // 10]}q" for i in range(100)]
+    texts.append(" ".join(f"{a}{b}zz" for a in "abcdefghij" for b in "klmnopqrst"))         # more chunks than are held
+    for text in texts:
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len({**ours.known, **ours.older}) <= 40
+    assert learned.count("common") == 1
+
+
 def test_token_count_frame(spark):
     df = spark.createDataFrame([(1, "hello world", "x"), (2, None, None), (1, "hello world", "x"), (None, "", "y")],
                                "doc_id long, text string, n_token string")
