@@ -211,6 +211,25 @@ def heavy_of_chain(left: DataFrame, keys: str | Sequence[str], steps: Sequence[S
         for i, s in enumerate(steps, 1) if not s.unique}, keys)
 
 
+def grouped_rows(rows: DataFrame, key: str, aggs: Sequence[Column], others: Sequence[str] = ()) -> DataFrame:
+    """``rows.groupBy(key, *others).agg(*aggs)`` for any number of keys: rows more than
+    ``TASK_ROWS`` for each shuffle partition are dealt to more tasks before they are
+    aggregated, so the groups of one task do not grow with the input.  What is dealt
+    so is not aggregated before its shuffle; heavy keys and the null key are, in an
+    aggregate of their own, where they are few groups by arithmetic unless ``others``
+    part them."""
+    heavy = heavy_of_chain(rows, key, [])
+    tasks = _tasks(heavy, [])
+    if tasks <= _partitions(rows):
+        return rows.groupBy(key, *others).agg(*aggs)
+    light, few = F.col(key).isNotNull(), F.col(key).isNull()
+    if heavy.found:
+        rows = rows.join(F.broadcast(heavy.table.select(key, F.lit(True).alias("_heavy"))), key, "left_outer")
+        light, few = light & F.col("_heavy").isNull(), few | F.col("_heavy").isNotNull()
+    return rows.where(light).repartition(tasks, key).groupBy(key, *others).agg(*aggs).unionByName(
+        rows.where(few).groupBy(key, *others).agg(*aggs))
+
+
 def with_row_key(df: DataFrame, name: str) -> DataFrame:
     """Add ``name``, a number that tells rows apart, equal ones too; it can be
     carried through joins and be what later pieces are chosen by."""

@@ -35,7 +35,7 @@ from policylens.functions.money import (
 from policylens.operators.indicators import (
     COUNT_INDICATORS, ENDORSEMENT_INDICATORS, MAX_INDICATORS, EndorsementGates, endorsement_indicator_columns,
 )
-from policylens.operators.joins import Heavy, Step, heavy_of_chain, salted_chain
+from policylens.operators.joins import Heavy, Step, grouped_rows, heavy_of_chain, salted_chain
 from policylens.operators.period import Period, endorsement_row_filter
 from policylens.operators.records import copycoins_record, copymain_record, head_record
 from policylens.sources.ingest import in_reach
@@ -101,8 +101,8 @@ def details_by_application(src, missing_share: float = MISSING_ENDORSEMENT_SHARE
     """One row per applyno from its fee, item and co-insurance rows: counts,
     counts and exact sums of fees by sign, items whose amount counts
     (calculateflag "Y"), and the exact sum of shares in percent (missing share
-    → 100).  The three extracts go through one aggregate, one shuffle; what an
-    application has no rows of is null."""
+    → 100).  The three extracts go through one aggregate, one shuffle, in as many
+    tasks as their rows need; what an application has no rows of is null."""
     percent = F.coalesce(F.col("coinsrate"), F.lit(100.0 * missing_share)).cast(PERCENT)
     fee = src.fee.select("applyno", F.lit("fee").alias("_of"),
                          *[micros(c).alias(f"_{c}") for c in ("chgpremium", "chgamount")])
@@ -114,20 +114,20 @@ def details_by_application(src, missing_share: float = MISSING_ENDORSEMENT_SHARE
     def rows_of(kind: str) -> Column:
         return F.nullif(F.count_if(F.col("_of") == kind), F.lit(0))
 
-    return rows.groupBy("applyno").agg(
+    return grouped_rows(rows, "applyno", [
         rows_of("fee").alias("n_fee"), F.count_if(p > 0).alias("n_prem_pos"), F.count_if(p < 0).alias("n_prem_neg"),
         sum_micros(F.when(p > 0, p)).alias("s_prem_pos"), sum_micros(F.when(p < 0, p)).alias("s_prem_neg"),
         sum_micros(p).alias("s_prem"),
         sum_micros(F.when(a > 0, a)).alias("s_amt_pos"), sum_micros(F.when(a < 0, a)).alias("s_amt_neg"),
         sum_micros(a).alias("s_amt"),
         rows_of("item").alias("n_item"), F.count_if("_counts").alias("n_item_y"),
-        rows_of("coins").alias("n_coins"), F.sum("_percent").alias("s_percent"))
+        rows_of("coins").alias("n_coins"), F.sum("_percent").alias("s_percent")])
 
 
 def head_with_multiplicity(head: DataFrame) -> DataFrame:
     """Exact copies of a head row collapse to one typed row with ``n_head``, and
     ``_head`` to tell it from rows that differ before they are typed."""
-    grouped = head.groupBy(*HEAD_SOURCE_COLUMNS).agg(F.count(F.lit(1)).alias("n_head"))
+    grouped = grouped_rows(head, HEAD_SOURCE_COLUMNS[0], [F.count(F.lit(1)).alias("n_head")], HEAD_SOURCE_COLUMNS[1:])
     return head_record(grouped.withColumn("_head", F.xxhash64(*HEAD_SOURCE_COLUMNS)), "n_head", "_head")
 
 

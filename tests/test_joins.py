@@ -7,7 +7,9 @@ from policylens.operators import joins
 from policylens.operators.joins import (
     MOVES_ROWS, Step, heavy_keys, left_join, moves_rows, salted_chain, salted_join, stable_rows, with_row_key,
 )
+from policylens.plans.endorsement import details_by_application, head_with_multiplicity
 from policylens.queries import spark_queries
+from policylens.sources.adapter import sources_for
 from tests.conftest import SF_SMALL
 
 
@@ -248,3 +250,25 @@ def test_a_chain_of_many_rows_has_tasks_of_a_bounded_size(spark, monkeypatch):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_groups_are_dealt_to_as_many_tasks_as_their_rows_need(spark, monkeypatch, hot):
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 9_000) if hot else F.col("id") % 9_000
+    df = spark.range(30_000).select(F.when(F.col("id") % 50 > 0, key).alias("k"), (F.col("id") % 2).alias("o"), F.col("id").alias("v"))
+    aggs = [F.sum("v").alias("s"), F.count(F.lit(1)).alias("n")]
+    before = joins.grouped_rows(df, "k", aggs, ["o"])
+    monkeypatch.setattr(joins, "TASK_ROWS", 1_000)
+    dealt = joins.grouped_rows(df, "k", aggs, ["o"])
+    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, before.collect()), key=str)
+    groups = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(groups) < 18_000 / 30 * 1.5 and len(groups) >= 30        # 8 shuffle partitions
+
+
+def test_details_and_heads_are_aggregated_in_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    src = sources_for(spark, SF_SMALL)
+    monkeypatch.setattr(joins, "TASK_ROWS", 200)
+    for grouped in (details_by_application(src), head_with_multiplicity(src.head)):
+        rows = grouped.count()
+        largest = max(r["count"] for r in grouped.groupBy(F.spark_partition_id()).count().collect())
+        assert largest < rows / 12                                          # 8 shuffle partitions
