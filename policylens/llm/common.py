@@ -82,7 +82,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def prefix_sums(df: DataFrame, order: Sequence[Column], value: Column, name: str = "before") -> DataFrame:
+# Narrow rows beside each other in one task, and the tasks of the smallest table.
+TASK_ROWS, LEAST_TASKS = 50_000, 8
+
+
+def tasks_for(rows: int, each: int = TASK_ROWS) -> int:
+    return max(LEAST_TASKS, -(-rows // each))
+
+
+def dealt(df: DataFrame, rows: int, each: int = TASK_ROWS) -> DataFrame:
+    """``df`` in as many tasks as ``rows`` need at ``each`` of them, if that is fewer
+    than a shuffle's: a small table in many files costs more to write than to make."""
+    tasks = tasks_for(rows, each)
+    return df.coalesce(tasks) if tasks < shuffle_partitions(df.sparkSession) else df
+
+
+def prefix_sums(df: DataFrame, order: Sequence[Column], value: Column, name: str = "before",
+                rows: int | None = None) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all rows that come earlier in
     the total order ``order``.
 
@@ -90,6 +106,7 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], value: Column, name: str
     number, each partition is summed by itself, and the partitions' totals
     (as many rows as shuffle partitions) give the offsets.  No task sees more
     than one range; rows that are equal in the whole order share a range.
+    ``rows``: how many there are, if known; they size the tasks of the result.
     """
     ranged = df.withColumn("_value", value.cast("long")).repartitionByRange(
         shuffle_partitions(df.sparkSession), *order).withColumn("_part", F.spark_partition_id())
@@ -98,7 +115,8 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], value: Column, name: str
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (staged.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-            .join(F.broadcast(offsets), "_part")
-            .withColumn(name, F.col("_inside") + F.col("_offset"))
-            .drop("_value", "_part", "_inside", "_offset"))
+    out = (staged.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+           .join(F.broadcast(offsets), "_part")
+           .withColumn(name, F.col("_inside") + F.col("_offset"))
+           .drop("_value", "_part", "_inside", "_offset"))
+    return out if rows is None else dealt(out, rows)

@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from policylens.llm.common import shuffle_partitions, stage
+from policylens.llm.common import LEAST_TASKS, dealt, stage
 
-# Edges beside each other in one task, and the tasks of the smallest table.
-TASK_EDGES, LEAST_TASKS = 50_000, 8
+# Edges beside each other in one task.
+TASK_EDGES = 50_000
 
 
 def _dealt(df: DataFrame, edges: int) -> DataFrame:
     """``df`` in as many tasks as so many ``edges`` need: a contraction's tables
     shrink with the components, and a round is several shuffles and files a task."""
-    tasks = max(LEAST_TASKS, -(-edges // TASK_EDGES))
-    return df.coalesce(tasks) if tasks < shuffle_partitions(df.sparkSession) else df
+    return dealt(df, edges, TASK_EDGES)
 
 
 def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
@@ -42,11 +41,12 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
     """(node, component): the least node reachable, for every node of the
-    edges (a, b).  Nodes are numbers; self loops and repeats do no harm."""
-    edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                  .where("a <> b").distinct(), "edges")
+    edges (a, b).  Nodes are numbers; self loops and repeats do no harm.
+    ``most``: how many edges there are at most, if known."""
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    edges = stage(edges if most is None else _dealt(edges, most), "edges")
     state = _state(edges)
     while True:
         edges = _star(_star(edges, True, state[0]), False, state[0])
@@ -55,4 +55,5 @@ def components(edges: DataFrame) -> DataFrame:
             break
         state = now
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+    least = stars.select(F.col("component").alias("node"), "component").distinct()
+    return stars.unionByName(_dealt(least, state[0]))

@@ -26,7 +26,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policylens.llm.common import lower_az, shuffle_partitions, stage
+from policylens.llm.common import lower_az, shuffle_partitions, stage, tasks_for
 from policylens.operators.joins import salted_join
 from policylens.session import scratch_path
 
@@ -94,7 +94,7 @@ def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None, batch: s
     rows = stage(docs.select("doc_id", row.alias("row"), text_digest(F.col("text")).alias("digest")), "digests")
     index = index or DigestIndex(docs.sparkSession, id_type=docs.schema["doc_id"].dataType.simpleString())
     groups = index.add(rows, batch)
-    joined = salted_join(rows, groups, "digest", how="inner", heavy="left")
+    joined = salted_join(rows, groups, "digest", how="inner", heavy="left", count_tasks=tasks_for(rows.count()))
     return joined.select("doc_id", "row", "keep_id", "group_size",
                          F.coalesce(F.col("keep_row") == F.col("row"), F.lit(False)).alias("kept"), "digest")
 

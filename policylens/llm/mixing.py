@@ -40,15 +40,16 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     """
     per_source = stage(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     by_name = [F.col("source").isNull(), F.col("source")]
-    placed = prefix_sums(per_source, by_name, F.lit(1), "position")
-    placed = prefix_sums(placed, by_name, F.col("source_size"), "start")
+    n = per_source.count()                     # sizes the tasks of what follows
+    placed = prefix_sums(per_source, by_name, F.lit(1), "position", n)
+    placed = prefix_sums(placed, by_name, F.col("source_size"), "start", n)
     weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]),
                           (F.col("position") % len(weights) + 1).cast("int"))
     limited = stage(placed.withColumn("weight", weight).withColumn("limit", F.col("source_size") * max_epochs)
                     .withColumn("level", F.col("limit").cast("double") / F.col("weight")), "limits")
     by_level = [F.col("level"), *by_name]
-    ranked = prefix_sums(limited, by_level, F.col("limit"), "limits_before")
-    ranked = prefix_sums(ranked, by_level, F.col("weight"), "weights_before")
+    ranked = prefix_sums(limited, by_level, F.col("limit"), "limits_before", n)
+    ranked = prefix_sums(ranked, by_level, F.col("weight"), "weights_before", n)
     all_sizes, all_weights = (limited.agg(F.sum(c)).scalar() for c in ("source_size", "weight"))
     ranked = stage(ranked.withColumn("own_level", (all_sizes * F.lit(float(share)) - F.col("limits_before"))
                                      / (all_weights - F.col("weights_before"))), "levels")

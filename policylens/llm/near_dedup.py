@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from policylens.llm.common import stage
+from policylens.llm.common import dealt, stage, tasks_for
 from policylens.llm.components import components
 from policylens.llm.hashing import mix, word_hashes
 from policylens.operators.joins import salted_join
@@ -42,7 +42,11 @@ SHINGLE = 5
 THRESHOLD = 80           # percent
 BINS, ROWS_PER_BAND = 128, 4
 BLOCK = 256
+# Tokens of a block that are counted at once: a table of 8 MB for two blocks.
+COLUMNS = 4096
 _ATTEMPTS = 64
+# Shingle sets beside each other in one task of a small table.
+TASK_SETS = 1_000
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -125,67 +129,92 @@ def _similar(common, n_a, n_b, threshold: int):
     return 100 * common >= threshold * (n_a + n_b - common)
 
 
-def _shared_buckets(classes: DataFrame) -> DataFrame:
-    """(key, class, n, centre) for buckets with two or more classes."""
+def _shared_buckets(classes: DataFrame, n: int) -> DataFrame:
+    """(key, class, n, centre) for buckets with two or more of the ``n`` classes."""
+    keys = n * (BINS // ROWS_PER_BAND)
     rows = stage(classes.select("class", "n", F.explode("bands").alias("key")), "bands")
-    full = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
-    shared = stage(salted_join(rows, full, "key", how="inner", heavy="left"), "shared")
+    full = stage(dealt(rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), keys),
+                 "buckets")
+    shared = stage(dealt(salted_join(rows, full, "key", how="inner", heavy="left", count_tasks=tasks_for(keys)), keys),
+                   "shared")
+    members = shared.count()
     weight = shared.groupBy("class").agg(F.sum("members").alias("weight"))
-    weighted = stage(shared.join(weight, "class"), "weighted")
+    weighted = stage(dealt(shared.join(weight, "class"), members), "weighted")
     centre = weighted.groupBy("key").agg(
         F.max_by("class", F.struct("weight", F.xxhash64("class"))).alias("centre"),
         F.max_by("n", F.struct("weight", F.xxhash64("class"))).alias("n_centre"))
-    return stage(salted_join(weighted.select("key", "class", "n"), centre, "key", how="inner", heavy="left"), "stars")
+    stars = salted_join(weighted.select("key", "class", "n"), dealt(centre, members), "key", how="inner", heavy="left",
+                        count_tasks=tasks_for(members))
+    return stage(dealt(stars, members), "stars")
 
 
-def _confirmed(candidates: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Edges (a, b) of ``candidates`` (centre, class) that are similar on their full sets."""
+def _confirmed(candidates: DataFrame, sets: DataFrame, threshold: int, n: int | None = None) -> DataFrame:
+    """Edges (a, b) of the ``n`` ``candidates`` (centre, class) that are similar on their full sets."""
+    n = candidates.count() if n is None else n
     members = candidates.join(sets, "class").withColumnRenamed("shingles", "_of_class")
     both = salted_join(members, sets.withColumnsRenamed({"class": "centre", "shingles": "_of_centre"}), "centre",
-                       how="inner", heavy="left", salt_by=["class"])
+                       how="inner", heavy="left", salt_by=["class"], count_left=candidates, count_tasks=tasks_for(n))
     common = F.size(F.array_intersect("_of_class", "_of_centre"))
     return both.where(_similar(common, F.size("_of_class"), F.size("_of_centre"), threshold)).select(
         F.col("centre").alias("a"), F.col("class").alias("b"))
 
 
+def _common(of: np.ndarray, token: np.ndarray, members: int) -> np.ndarray:
+    """How many tokens each two members have in common: ``token`` is distinct in
+    each member ``of``.  Products of 0/1 tables of ``COLUMNS`` tokens at a time."""
+    tokens, token = np.unique(token, return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    of, token = of[order], token[order]
+    common = np.zeros((members, members), np.int64)
+    for start in range(0, len(tokens), COLUMNS):
+        low, high = np.searchsorted(token, [start, start + COLUMNS])
+        held = np.zeros((members, min(COLUMNS, len(tokens) - start)), np.float32)
+        held[of[low:high], token[low:high] - start] = 1
+        common += (held @ held.T).astype(np.int64)
+    return common
+
+
 def block_links(members: list[tuple[int, int, np.ndarray]], threshold: int) -> list[tuple[int, int]]:
     """Links that join different components among ``members`` (class, component,
-    sorted set): exact by prefix filtering, a spanning set of them."""
+    set): exact by prefix filtering, a spanning set of them.  Members that share
+    no token of their prefixes with another component link with none; what the
+    others have in common is counted for all of them at once."""
     if len(members) < 2:
         return []
-    values, inverse, counts = np.unique(np.concatenate([m[2] for m in members]), return_inverse=True,
-                                        return_counts=True)
+    n = np.array([len(m[2]) for m in members])
+    _, component = np.unique([m[1] for m in members], return_inverse=True)
+    values, token, counts = np.unique(np.concatenate([m[2] for m in members]), return_inverse=True, return_counts=True)
     rank = np.empty(len(values), np.int64)
     rank[np.argsort(counts, kind="stable")] = np.arange(len(values))
-    ends = np.cumsum([len(m[2]) for m in members])
-    ranked = np.split(rank[inverse], ends[:-1])
-    parent = {m[1]: m[1] for m in members}
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    links, posting = [], {}
-    for i, (own, component, shingles) in enumerate(members):
-        n = len(shingles)
-        prefix = np.sort(ranked[i])[:n - -(-threshold * n // 100) + 1].tolist()
-        seen = set()
-        for token in prefix:
-            for j in posting.setdefault(token, []):
-                if j in seen:
-                    continue
-                seen.add(j)
-                other, theirs, set_j = members[j]
-                small, big = sorted((n, len(set_j)))
-                if 100 * small < threshold * big or root(theirs) == root(component):
-                    continue
-                common = len(np.intersect1d(shingles, set_j, assume_unique=True))
-                if _similar(common, n, len(set_j), threshold):
-                    links.append((own, other))
-                    parent[root(theirs)] = root(component)
-            posting[token].append(i)
+    owner, token = np.repeat(np.arange(len(members)), n), rank[token]
+    order = np.lexsort((token, owner))                   # each member's rarest tokens first
+    owner, token = owner[order], token[order]
+    place = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
+
+    def across(of: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Which of the tokens ``held`` members of different components have."""
+        low, high = np.full(len(values), len(members)), np.full(len(values), -1)
+        np.minimum.at(low, held, component[of])
+        np.maximum.at(high, held, component[of])
+        return low[held] != high[held]
+
+    prefix = place < np.repeat(n - -(-threshold * n // 100) + 1, n)
+    left = np.unique(owner[prefix][across(owner[prefix], token[prefix])])
+    if not len(left):
+        return []
+    n, component, names = n[left], component[left], [members[i][0] for i in left.tolist()]
+    new = np.full(len(members), -1)
+    new[left] = np.arange(len(left))
+    rest = new[owner] >= 0
+    owner, token = owner[rest], token[rest]
+    rest = across(new[owner], token)
+    common = _common(new[owner[rest]], token[rest], len(left))
+    alike = _similar(common, n[:, None], n[None, :], threshold) & (component[:, None] != component[None, :])
+    links = []
+    for i, j in np.argwhere(np.tril(alike)).tolist():
+        if component[i] != component[j]:
+            links.append((names[i], names[j]))
+            component[component == component[j]] = component[i]
     return links
 
 
@@ -195,14 +224,17 @@ def _left_over(stars: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
         found.select(F.col("node").alias("class"), "component"), "class", "left_outer").select(
         "key", "class", F.coalesce("component", "class").alias("component"))
     labelled = stage(labelled, "labelled")
+    n = labelled.count()
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(
         "_lo <> _hi").select("key")
-    members = stage(salted_join(labelled, open_keys, "key", how="inner", heavy="left"), "open")
-    by_component = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n"))
+    members = stage(dealt(salted_join(labelled, dealt(open_keys, n), "key", how="inner", heavy="left",
+                                      count_tasks=tasks_for(n)), n), "open")
+    n = members.count()
+    by_component = dealt(members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n")), n)
     sizes = by_component.groupBy("key").agg(
         F.max_by("component", F.struct("_n", "component")).alias("main"), F.max("_n").alias("n_main"),
         F.sum("_n").alias("n_all"))
-    rows = salted_join(members, sizes, "key", how="inner", heavy="left")
+    rows = dealt(salted_join(members, dealt(sizes, n), "key", how="inner", heavy="left", count_tasks=tasks_for(n)), n)
     # blocks 0..m-1 hold the bucket's largest component, which needs no look into itself
     m, o = F.ceil(F.col("n_main") / BLOCK), F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK)
     main = F.col("component") == F.col("main")
@@ -218,7 +250,8 @@ def _block_edges(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         shingles = table.column("shingles").combine_chunks()
-        parts = [np.sort(np.asarray(s.values).view(np.uint64)) for s in shingles]
+        ends = shingles.offsets.to_numpy()
+        parts = np.split(shingles.values.to_numpy().view(np.uint64)[:ends[-1]], ends[1:-1])
         members = list(zip(table.column("class").to_pylist(), table.column("component").to_pylist(), parts,
                            strict=True))
         links = block_links(members, threshold)
@@ -240,43 +273,53 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
         F.min("row").alias("class"), F.min("doc_id").alias("least_id"),
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least"),
         F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    stars = _shared_buckets(classes)
+    n_classes = classes.count()
+    stars = _shared_buckets(classes, n_classes)
     sized = stars.where((F.col("class") != F.col("centre")) & (
         100 * F.least("n", "n_centre") >= threshold * F.greatest("n", "n_centre")))
-    candidates = stage(sized.select("centre", "class").distinct(), "candidates")
+    candidates = stage(dealt(sized.select("centre", "class").distinct(), stars.count()), "candidates")
     wanted = stars.select("class").distinct()
-    sets = stage(_sets(rows.join(wanted.withColumnRenamed("class", "row"), "row", "left_semi"), size), "sets")
-    found = stage(components(_confirmed(candidates, sets, threshold)), "components")
+    texts = rows.join(wanted.withColumnRenamed("class", "row"), "row", "left_semi")
+    sets = stage(_sets(dealt(texts, n_classes, TASK_SETS), size), "sets")
+    n_candidates = candidates.count()
+    found = stage(components(_confirmed(candidates, sets, threshold, n_candidates), n_candidates), "components")
     more = stage(_block_edges(_left_over(stars, found, threshold), sets, threshold), "more-links")
-    if not more.isEmpty():
-        found = _joined(found, more)
-    return _labelled(signed, classes, found)
+    n_more = more.count()
+    if n_more:
+        found = _joined(found, more, n_more)
+    return _labelled(signed, classes, found, n_classes)
+
 
+def _joined(found: DataFrame, more: DataFrame, n_more: int | None = None) -> DataFrame:
+    """Components after further links, ``n_more``, between nodes of different components."""
+    n_more = more.count() if n_more is None else n_more
 
-def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
-    """Components after further links between nodes of different components."""
     def label(df: DataFrame, name: str) -> DataFrame:
         known = found.select(F.col("node").alias(name), F.col("component").alias("_c"))
         return df.join(known, name, "left_outer").withColumn(name, F.coalesce("_c", name)).drop("_c")
 
-    merged = components(label(label(more, "a"), "b").distinct()).select(
+    merged = components(label(label(more, "a"), "b").distinct(), n_more).select(
         F.col("node").alias("component"), F.col("component").alias("_into"))
     nodes = found.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
                               .join(found, "node", "left_anti").select("node", F.col("node").alias("component")))
-    joined = salted_join(nodes, merged, "component", heavy="left", salt_by=["node"])
-    return stage(joined.select("node", F.coalesce("_into", "component").alias("component")), "joined")
+    n = found.count() + 2 * n_more
+    joined = salted_join(nodes, merged, "component", heavy="left", salt_by=["node"], count_tasks=tasks_for(n))
+    return stage(dealt(joined.select("node", F.coalesce("_into", "component").alias("component")), n), "joined")
 
 
-def _labelled(signed: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+def _labelled(signed: DataFrame, classes: DataFrame, found: DataFrame, n_classes: int) -> DataFrame:
     of_class = classes.select("digest", "class", "least_id", "least").join(
         found.withColumnRenamed("node", "class"), "class", "left_outer").withColumn(
         "component", F.coalesce("component", "class"))
-    of_class = stage(of_class, "class-components")
+    of_class = stage(dealt(of_class, n_classes), "class-components")
     groups = of_class.groupBy("component").agg(F.min("least_id").alias("component_id"),
                                                F.min("least").alias("least"))
-    of_class = salted_join(of_class.select("digest", "component"), groups, "component", how="inner", heavy="left")
-    of_class = stage(of_class.select("digest", "component_id", F.col("least.row").alias("keep_row")), "class-groups")
-    out = salted_join(signed.select("row", "doc_id", "n", "digest"), of_class, "digest", heavy="left")
+    of_class = salted_join(of_class.select("digest", "component"), dealt(groups, n_classes), "component", how="inner",
+                           heavy="left", count_tasks=tasks_for(n_classes))
+    of_class = of_class.select("digest", "component_id", F.col("least.row").alias("keep_row"))
+    of_class = stage(dealt(of_class, n_classes), "class-groups")
+    out = salted_join(signed.select("row", "doc_id", "n", "digest"), of_class, "digest", heavy="left",
+                      count_tasks=tasks_for(signed.count()))
     alone = F.col("digest").isNull()
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"),
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -289,4 +332,4 @@ def without_near_copies(docs: DataFrame, size: int = SHINGLE, threshold: int = T
     rows = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
                              F.monotonically_increasing_id().alias("row")), "near-stage")
     kept = near_duplicates(rows.select("doc.doc_id", "doc.text", "row"), size, threshold).where("kept").select("row")
-    return rows.join(kept, "row", "left_semi").select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])
+    return rows.join(dealt(kept, rows.count()), "row", "left_semi").select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])

@@ -79,12 +79,15 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], pieces: str) -> DataFrame:
+def heavy_keys(df: DataFrame, keys: Sequence[str], pieces: str, tasks: int | None = None) -> DataFrame:
     """Heavy keys of ``df`` with the number of ``pieces`` (at least 2) each is
-    cut into.  At most ``SHARE * shuffle partitions`` rows, by arithmetic."""
+    cut into.  At most ``SHARE * shuffle partitions`` rows, by arithmetic.
+    ``tasks``: how many are enough to count the keys in (default: a shuffle's)."""
     total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
     share = SHARE * _partitions(df)
     counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if tasks is not None and tasks < _partitions(df):
+        counts = counts.coalesce(tasks)
     return counts.where(F.col("_n") * share > total).select(
         *keys, F.greatest(F.lit(2), F.ceil(F.col("_n") * share / total)).cast("int").alias(pieces))
 
@@ -300,7 +303,8 @@ def salted_chain(left: DataFrame, keys: str | Sequence[str], steps: Sequence[Ste
 
 def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "left_outer",
                 heavy: str = "right", count_right: DataFrame | None = None,
-                spread_by: Sequence[str] | None = None, salt_by: Sequence[str] | None = None) -> DataFrame:
+                spread_by: Sequence[str] | None = None, salt_by: Sequence[str] | None = None,
+                count_left: DataFrame | None = None, count_tasks: int | None = None) -> DataFrame:
     """``left.join(right, keys, how)`` for ``how`` "left_outer" or "inner", with
     heavy keys of the ``heavy`` side ("left", "right", "both" or "none") cut in
     pieces.  "none" is for keys known to be unique on both sides.
@@ -313,7 +317,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
     nothing and are spread over all tasks by a hash of ``spread_by`` (default:
     every column; naming a few lets the others be pruned).  ``count_right`` is
     a cheaper frame to count right keys on, with the same rows per key (default:
-    ``right``).
+    ``right``), ``count_left`` one for left keys; ``count_tasks``: as many tasks
+    are enough to count them in, where that is fewer than a shuffle's.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     l_cols = list(left.columns)
@@ -330,13 +335,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], ho
                     F.lit(_partitions(left))).cast("int")
     l, r, on = left, right.withColumn("_hit", F.lit(True)), list(keys)
     if heavy in ("right", "both"):
-        table = heavy_keys((right if count_right is None else count_right).select(*keys), keys, "_rp")
+        table = heavy_keys((right if count_right is None else count_right).select(*keys), keys, "_rp", count_tasks)
         r = r.join(F.broadcast(table), keys, "left_outer").withColumn(
             "_rs", F.when(F.col("_rp").isNull(), 0).otherwise(_row_salt(right, F.col("_rp"), salt_by))).drop("_rp")
         l = l.join(F.broadcast(table), keys, "left_outer").withColumn("_rs", _every_piece("_rp"))
         on.append("_rs")
     if heavy in ("left", "both"):
-        table = heavy_keys(left.select(*keys), keys, "_lp")
+        table = heavy_keys((left if count_left is None else count_left).select(*keys), keys, "_lp", count_tasks)
         l = l.join(F.broadcast(table), keys, "left_outer").withColumn(
             "_ls", F.when(null_key, spread).when(F.col("_lp").isNull(), 0)
             .otherwise(_row_salt(left, F.col("_lp"), salt_by))).drop("_lp")

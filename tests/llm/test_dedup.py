@@ -3,6 +3,7 @@
 import glob
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from policylens.llm import components as component_module
 from policylens.llm import near_dedup
-from policylens.llm.common import prefix_sums, recorded, stage
+from policylens.llm.common import LEAST_TASKS, prefix_sums, recorded, stage
 from policylens.llm.components import components
 from policylens.llm.exact_dedup import DigestIndex, exact_duplicates, without_copies
 from policylens.llm.near_dedup import block_links, near_duplicates, without_near_copies
@@ -259,3 +260,49 @@ def test_block_links_span_what_brute_force_links():
              if 100 * len(np.intersect1d(members[i][2], members[j][2])) >= 80 * len(np.union1d(members[i][2], members[j][2]))]
     assert set(map(tuple, map(sorted, links))) <= {(j, i) for i, j in edges}
     assert roots(range(60), links) == roots(range(60), edges) and len(links) < 60
+
+
+def test_blocks_of_many_components_are_quick_and_exact():
+    """Two blocks of variants of one text, nearly all a component of their own, most less alike than asked for."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 150).astype(np.uint64)
+    members = []
+    for i in range(450):
+        s = base.copy()
+        at = rng.choice(150, 7 + i % 11, replace=False)
+        s[at] = rng.integers(0, 2**63, len(at)).astype(np.uint64)
+        members.append((i, i if i % 2 else 0, np.unique(s)))
+    began = time.process_time()
+    links = block_links(members, 80)
+    took = time.process_time() - began
+    sets = [set(m[2].tolist()) for m in members]
+    edges = [(i, j) for i in range(450) for j in range(i)
+             if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert links and set(map(tuple, map(sorted, links))) <= {(j, i) for i, j in edges}
+    one = [(0, i) for i in range(0, 450, 2)]
+    assert roots(range(450), links + one) == roots(range(450), edges + one) and len(links) < 450
+    best = []                                            # what verifying the pairs one by one takes on this machine
+    for _ in range(3):
+        start = time.process_time()
+        for i in range(100):
+            np.intersect1d(members[i][2], members[i + 1][2], assume_unique=True)
+        best.append(time.process_time() - start)
+    assert took < min(best) / 100 * 450 * 449 / 2 / 10
+
+
+def test_small_tables_of_near_dedup_take_few_files(spark, near_rows):
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = stage(spark.createDataFrame(near_rows, "doc_id long, text string"), "near-few")
+        with recorded([]) as paths:
+            got = near_duplicates(df, size=4)
+            assert got.count() == len(near_rows)
+        for name in ("buckets", "shared", "weighted", "stars", "candidates", "sets", "edges", "open", "class-groups"):
+            files = [len(glob.glob(f"{p.removeprefix('file:')}/part-*")) for p in paths if f"/{name}-" in p]
+            assert files and max(files) <= LEAST_TASKS, (name, files)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
