@@ -196,7 +196,9 @@ def fillings(counts: dict[int, int], room: int, width: int) -> Iterator[list[tup
             bits |= bits << take * lengths[i] & mask
             left, step = left - take, 2 * step
         reach[i] = bits
-    found = 0
+    found, there = 0, 0
+    for x, n in counts.items():
+        there |= (n > 0) << x
     sums = reach[0]
 
     def exact(i: int, rest: int) -> Iterator[list[tuple[int, int]]]:
@@ -217,7 +219,7 @@ def fillings(counts: dict[int, int], room: int, width: int) -> Iterator[list[tup
         best = sums.bit_length() - 1
         sums ^= 1 << best
         for filling in exact(0, best):
-            if not _dominated(filling, counts, room - best):
+            if not _dominated(filling, counts, room - best, there):
                 yield filling
                 found += 1
                 if found >= width:
@@ -226,14 +228,18 @@ def fillings(counts: dict[int, int], room: int, width: int) -> Iterator[list[tup
             return                                        # a full bin dominates what wastes more
 
 
-def _dominated(filling: list[tuple[int, int]], counts: dict[int, int], slack: int) -> bool:
-    """Could one unused item replace one or two of the filling and waste less?"""
+def _dominated(filling: list[tuple[int, int]], counts: dict[int, int], slack: int, there: int) -> bool:
+    """Could one unused item replace one or two of the filling and waste less?
+    ``there`` has the bits of the lengths in ``counts``."""
     if not slack:
         return False
-    used = dict(filling)
+    for x, k in filling:
+        if counts[x] <= k:
+            there &= ~(1 << x)                            # none is left unused
     items = [x for x, k in filling for _ in range(min(k, 2))]
     subsets = {*items, *(a + b for i, a in enumerate(items) for b in items[i + 1:])}
-    return any(counts.get(x, 0) > used.get(x, 0) for s in subsets for x in range(s + 1, s + slack + 1))
+    longer = (1 << slack) - 1
+    return any(there >> s + 1 & longer for s in subsets)
 
 
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = SEARCH_NODES,
