@@ -43,6 +43,9 @@ TEXTS = 500
 SEARCH_NODES = 2_000
 # Fillings that are tried for one bin.
 WIDTH = 4
+# Dominated fillings that are looked at for one bin; a few short lengths have
+# exponentially many.  The first, fullest filling is never one.
+TRIES = 100
 
 # --- tokens ------------------------------------------------------------------------------------
 
@@ -196,7 +199,7 @@ def fillings(counts: dict[int, int], room: int, width: int) -> Iterator[list[tup
             bits |= bits << take * lengths[i] & mask
             left, step = left - take, 2 * step
         reach[i] = bits
-    found, there = 0, 0
+    found, there, tries = 0, 0, 0
     for x, n in counts.items():
         there |= (n > 0) << x
     sums = reach[0]
@@ -224,6 +227,10 @@ def fillings(counts: dict[int, int], room: int, width: int) -> Iterator[list[tup
                 found += 1
                 if found >= width:
                     return
+            else:
+                tries += 1
+                if tries >= TRIES:
+                    return
         if best == room:
             return                                        # a full bin dominates what wastes more
 

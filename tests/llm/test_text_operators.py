@@ -247,3 +247,14 @@ def test_similar_documents_are_all_found(spark):
     sets = {i: spotsigs.parse(f) for f, i in prints.items() if f}
     ids = sorted(sets)
     assert got == {(a, b) for x, a in enumerate(ids) for b in ids[x + 1:] if spotsigs.likeness(sets[a], sets[b], 0.6)}
+
+
+def test_few_short_lengths_do_not_hold_up_the_search(monkeypatch):
+    from policylens.llm import packing
+
+    looked = []
+    dominated = packing._dominated
+    monkeypatch.setattr(packing, "_dominated", lambda *a: looked.append(1) or dominated(*a))
+    counts = {145: 30, 131: 40, 97: 30, 61: 40, 43: 30, 29: 40, 17: 16}
+    found = list(packing.fillings(counts, 1901, 50))
+    assert found and sum(x * k for x, k in found[0]) == 1901 and len(looked) <= 50 + packing.TRIES
