@@ -26,16 +26,41 @@ def read_json_checked(spark: SparkSession, path: str, schema: T.StructType) -> t
     A line is broken if it is not one JSON object; blank lines are neither.  A
     field of another type than the schema's is null, as ``read_json`` has it,
     and its line is a row.  Both frames read the lines once each."""
+    parsed = _parsed_lines(spark, path, schema)
+    return (parsed.where(~F.col(BROKEN)).select(*[F.col(f"row.`{f.name}`").alias(f.name) for f in schema.fields]),
+            parsed.where(BROKEN).select("file", "line"))
+
+
+BROKEN, BROKEN_FILE, BROKEN_LINE = "_broken", "_broken_file", "_broken_line"
+
+
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Each line that is not blank, what it parses to and whether it is broken.
+    The parse is a generator's input, which no filter or projection above it
+    repeats."""
     corrupt = "_corrupt_record"
     with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     line = F.col("value")
+    row = F.from_json(line, with_corrupt, {"columnNameOfCorruptRecord": corrupt})
     parsed = spark.read.text(path).where(F.length(F.trim(line)) > 0).select(
-        F.input_file_name().alias("file"), line.alias("line"),
-        F.from_json(line, with_corrupt, {"columnNameOfCorruptRecord": corrupt}).alias("row"))
+        F.input_file_name().alias("file"), line.alias("line"), F.explode(F.array(row)).alias("row"))
     # only a line that is not wholly as the schema says is looked at again
     broken = F.col(f"row.{corrupt}").isNotNull() & F.from_json("line", T.MapType(T.StringType(), T.StringType())).isNull()
-    return (parsed.where(~broken).select(*[F.col(f"row.`{f.name}`").alias(f.name) for f in schema.fields]),
-            parsed.where(broken).select("file", "line"))
+    return parsed.withColumn(BROKEN, broken)
+
+
+def parse_json_checked(spark: SparkSession, path: str, schema: T.StructType, parsed: str) -> tuple[DataFrame, DataFrame]:
+    """``read_json_checked`` for frames that are read more than once: every line
+    is parsed once, into Parquet in the new folder ``parsed``, and both frames
+    read that."""
+    lines, is_broken = _parsed_lines(spark, path, schema), F.col(BROKEN)
+    lines.select(*[F.col(f"row.`{f.name}`").alias(f.name) for f in schema.fields],
+                 F.when(is_broken, F.col("file")).alias(BROKEN_FILE),
+                 F.when(is_broken, F.col("line")).alias(BROKEN_LINE)).write.parquet(parsed)
+    kept = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in (BROKEN_FILE, BROKEN_LINE)]])
+    staged, is_row = spark.read.schema(kept).parquet(parsed), F.col(BROKEN_LINE).isNull()
+    return (staged.where(is_row).select(*[F.col(f"`{f.name}`") for f in schema.fields]),
+            staged.where(~is_row).select(F.col(BROKEN_FILE).alias("file"), F.col(BROKEN_LINE).alias("line")))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = False) -> DataFrame:

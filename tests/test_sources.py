@@ -100,3 +100,22 @@ def test_json_extracts_are_compressed(spark, monkeypatch):
         lines = spark.read.text(next(p for p in made if f"/{name}-json-" in p)).count()
         rejects = spark.read.parquet(next(p for p in made if f"/{name}-rejects-" in p)).count()
         assert 0 < rejects and lines - rejects == getattr(queries.sources_for(spark, SF_SMALL), name).count()
+
+
+def test_json_lines_are_parsed_once(spark, tmp_path):
+    """One parse a line and pass, and none after the lines were staged."""
+    from policylens import queries, schemas
+    from policylens.sources.files import parse_json_checked, read_json_checked
+    from tests.conftest import SF_SMALL
+
+    lines = ['{"applyno": "A1", "coinsrate": 30}', '{"applyno": "A2", "coinsr', " ", '{"applyno": "A3", "coinsrate": "x"}']
+    (tmp_path / "coins.json").write_text("\n".join(lines), encoding="utf-8")
+    read = read_json_checked(spark, str(tmp_path / "coins.json"), schemas.COPYCOINS)
+    staged = parse_json_checked(spark, str(tmp_path / "coins.json"), schemas.COPYCOINS, str(tmp_path / "parsed"))
+    for a, b in zip(read, staged):
+        assert a.dtypes == b.dtypes and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert [r["line"] for r in staged[1].collect()] == [lines[1]]
+    plan = read[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField") == 1
+    rolled = queries.spark_queries()["json_roundtrip"](spark, SF_SMALL)
+    assert "from_json" not in rolled._jdf.queryExecution().optimizedPlan().toString()
