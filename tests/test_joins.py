@@ -272,3 +272,51 @@ def test_details_and_heads_are_aggregated_in_as_many_tasks_as_their_rows_need(sp
         rows = grouped.count()
         largest = max(r["count"] for r in grouped.groupBy(F.spark_partition_id()).count().collect())
         assert largest < rows / 12                                          # 8 shuffle partitions
+
+
+def moved_by(df, key):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return sum(f"Exchange hashpartitioning({key}#" in line for line in text.splitlines())
+
+
+@pytest.fixture
+def extracts(spark):
+    from policylens.session import scratch_path
+    from policylens.sources.adapter import materialize_sources
+
+    return materialize_sources(spark, sources_for(spark, SF_SMALL), scratch_path(spark, "join-extracts"))
+
+
+def with_one_application(src, name, share):
+    """``src`` with one of ``share`` rows of an extract on the same application."""
+    df = getattr(src, name)
+    first = df.agg(F.min("applyno")).first()[0]
+    hot = df.withColumn("applyno", F.when(F.xxhash64(*df.columns) % share == 0, F.lit(first)).otherwise(F.col("applyno")))
+    return type(src)(**{**src.__dict__, name: hot})
+
+
+def test_a_dealt_roll_up_moves_every_row_once(spark, no_broadcast, monkeypatch, extracts):
+    """Copy main, heads and details by application, each once; a heavy key or null keys go the salted way."""
+    from policylens.plans.endorsement import endorsement_rollup
+    from policylens.queries import WINDOW
+
+    nulls = type(extracts)(**{**extracts.__dict__, "copymain": extracts.copymain.withColumn(
+        "applyno", F.when(F.hash("applyno") % 3 > 0, F.col("applyno")))})
+    for src, moves in ((extracts, 3), (with_one_application(extracts, "fee", 3), None),
+                       (with_one_application(extracts, "copymain", 3), None), (nulls, None)):
+        with monkeypatch.context() as m:
+            few = rows(endorsement_rollup(src, WINDOW))
+            m.setattr(joins, "TASK_ROWS", 400)
+            many = endorsement_rollup(src, WINDOW)
+            assert rows(many) == few
+            assert (moved_by(many, "applyno") == 3) == (moves == 3)
+
+
+def test_snapshots_that_no_window_reaches_are_not_moved(spark, no_broadcast, extracts):
+    from policylens.operators.period import Period
+    from policylens.plans.endorsement import copy_with_head
+
+    early = Period.of("1900-01-01 00:00:00", "1901-01-01 00:00:00")
+    plan = copy_with_head(extracts, early)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("LeftOuter"):]
+    assert "1901-01-01" in below and copy_with_head(extracts, early).count() == 0
