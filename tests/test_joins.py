@@ -320,3 +320,19 @@ def test_snapshots_that_no_window_reaches_are_not_moved(spark, no_broadcast, ext
     plan = copy_with_head(extracts, early)._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("LeftOuter"):]
     assert "1901-01-01" in below and copy_with_head(extracts, early).count() == 0
+
+
+def test_items_and_fees_of_many_heads_are_moved_once(spark, no_broadcast, monkeypatch, extracts):
+    """Heads, items, fees and snapshots by application, each once, though items are joined on the policy too."""
+    from policylens.plans.plain import plain_wide_table
+
+    other = type(extracts)(**{**extracts.__dict__, "itemkind2": extracts.itemkind2.withColumn(
+        "policyno", F.when(F.hash("applyno") % 3 == 0, F.lit("P0")).otherwise(F.col("policyno")))})
+    for src, once in ((extracts, True), (other, True), (with_one_application(extracts, "fee2", 3), False)):
+        with monkeypatch.context() as m:
+            few = rows(plain_wide_table(src))
+            m.setattr(joins, "TASK_ROWS", 400)
+            many = plain_wide_table(src)
+            assert rows(many) == few
+            text = many._jdf.queryExecution().executedPlan().toString()
+            assert (text.count("shufflepartitionidpassthrough") == 4 and moved_by(many, "applyno") == 0) == once
