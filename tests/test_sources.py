@@ -119,3 +119,17 @@ def test_json_lines_are_parsed_once(spark, tmp_path):
     assert plan.count("from_json(StructField") == 1
     rolled = queries.spark_queries()["json_roundtrip"](spark, SF_SMALL)
     assert "from_json" not in rolled._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_csv_of_a_round_trip_is_compressed(spark, monkeypatch):
+    from pathlib import Path
+
+    from policylens import queries
+    from tests.conftest import SF_SMALL
+
+    made = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, name: made.append(scratch_path(s, name)) or made[-1])
+    rows = queries.spark_queries()["csv_roundtrip"](spark, SF_SMALL)
+    parts = list(Path(made[-1].removeprefix("file:")).rglob("part-*"))
+    assert parts and all(f.name.endswith(".csv.gz") for f in parts)
+    assert rows.exceptAll(queries.spark_queries()["policy_wide_table"](spark, SF_SMALL)).isEmpty()
