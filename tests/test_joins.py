@@ -336,3 +336,18 @@ def test_items_and_fees_of_many_heads_are_moved_once(spark, no_broadcast, monkey
             assert rows(many) == few
             text = many._jdf.queryExecution().executedPlan().toString()
             assert (text.count("shufflepartitionidpassthrough") == 4 and moved_by(many, "applyno") == 0) == once
+
+
+def test_chains_of_a_plan_are_counted_in_one_job(spark, monkeypatch, extracts):
+    from policylens.operators.joins import heavy_of_chain, heavy_of_chains
+    from policylens.plans.plain import plain_wide_table
+
+    staged, write = [], joins._written
+    monkeypatch.setattr(joins, "_written", lambda df, name: staged.append(name) or write(df, name))
+    plain_wide_table(extracts)
+    assert staged.count("key-groups") == 1
+    hot = with_one_application(extracts, "fee", 3)
+    chains = [(extracts.copymain, "applyno", [Step(extracts.head), Step(s.fee)]) for s in (extracts, hot)]
+    for one, alone in zip(heavy_of_chains(*chains), (heavy_of_chain(*c) for c in chains)):
+        assert rows(one.table) == rows(alone.table) and one[1:] == alone[1:]
+    assert [h.even for h in heavy_of_chains(*chains)] == [True, False]
